@@ -41,8 +41,11 @@ def period_stats(transfers: DataFrame, unit: str, edges: list[float] | None = No
     """period, blockchain, amount, txs, senders, receivers, tx_<b>…, amt_<b>….
 
     ``distinct``: 'exact' (COUNT DISTINCT) or 'approx' (HLL++ with ``rsd``).
-    ``sum_scale``: sum amounts as DECIMAL(38, scale) – exact and independent
-    of row order – and return DOUBLE; ``None`` sums DOUBLEs like the source.
+    ``sum_scale``: sum amounts as fixed-point integers of 10^-scale units
+    (BIGINT, overflow raises under ANSI) – exact and independent of row order –
+    and return DOUBLE; ``None`` sums DOUBLEs like the source. Fixed-point
+    longs are ~10x cheaper than DECIMAL(38,s), whose sums fall back to
+    BigDecimal arithmetic.
     Empty buckets give count 0 and sum NULL.
     """
     amount = F.col(amount_col)
@@ -50,7 +53,8 @@ def period_stats(transfers: DataFrame, unit: str, edges: list[float] | None = No
     def total(x: Column) -> Column:
         if sum_scale is None:
             return F.sum(x)
-        return F.sum(x.cast(f"decimal(38,{sum_scale})")).cast("double")
+        unit = F.lit(10.0 ** sum_scale)
+        return F.sum(F.rint(x * unit).cast("bigint")).cast("double") / unit
 
     if distinct == "exact":
         senders, receivers = F.countDistinct(from_col), F.countDistinct(to_col)

@@ -111,3 +111,267 @@ def q_stats_weekly_approx(spark, d):
     exact counts within the error bound.
     """
     return transfer_stats(_normalised(spark, d), "week", "approx", rsd=0.01, sum_scale=6)
+
+
+# ------------------------------------------------------------ daily flows
+
+import datetime as _dt  # noqa: E402
+
+from flowlake.context import RunContext  # noqa: E402
+from flowlake.functions.address import ZERO_ADDRESS as Z  # noqa: E402
+from flowlake.plans.daily_flows import (  # noqa: E402
+    FlowSpec, all_flows, flow_from_spec, rwa_daily, rwa_spine, yield_daily, yield_spine,
+)
+from flowlake.sources.seeds import seed_from_rows  # noqa: E402
+
+EV_FULL = RunContext(as_of=td.EVENTS_AS_OF)
+EV_INC = RunContext(as_of=td.EVENTS_AS_OF, lookback_days=2, incremental=True)
+ORD_FULL = RunContext(as_of=td.ORDERS_AS_OF)
+
+
+def _events_reader(spark, d):
+    ev = td.read(spark, d, "events")
+    log = td.events_transfer_log(ev)
+    by_type = {f"ev_{t}": log.filter(F.col("event_type") == t)
+               for t in ("purchase", "error", "signup", "view")}
+    tables = {"ev_log": log, "ev_actions": td.events_action_log(ev), **by_type}
+    return tables.__getitem__, ev
+
+
+# Flow specs of the events world (fixed values of the bindings).
+EV_ZERO = FlowSpec("ev_zero", "zero_address", ("ev_log",), chain=td.EVENTS_CHAIN, scale=100.0)
+EV_SHARES = FlowSpec("ev_shares", "paired", ("ev_signup",), burn_sources=("ev_view",),
+                     chain=td.EVENTS_CHAIN, scale=100.0)
+EV_VARIANTS = FlowSpec("ev_variants", "paired", ("ev_purchase", "ev_signup"),
+                       burn_sources=("ev_error", "ev_view"), protocol=td.EVENTS_PROTOCOL,
+                       join="address", chain=td.EVENTS_CHAIN, scale=100.0,
+                       date_from_time="evt_block_time")
+EV_RWA = FlowSpec("ev_rwa", "zero_address", ("ev_log",), protocol=td.EVENTS_PROTOCOL,
+                  join="address", chain=td.EVENTS_CHAIN, since_start=True)
+EV_SPL = FlowSpec("ev_spl", "action", ("ev_actions",), join="address", chain="solana",
+                  value_col="amount", date_col="block_date", address_col="token_mint_address",
+                  since_start=True)
+ORD_MULTI = FlowSpec("ord_multi", "zero_address", ("ord_log",), protocol="tpch",
+                     join="chain_address", since_start=True)
+LI_V2 = FlowSpec("li_v2", "lending", ("li_mint",), burn_sources=("li_burn",),
+                 protocol="aave-v2", join="chain_address")
+LI_V3 = FlowSpec("li_v3", "lending_interest", ("li_mint",), burn_sources=("li_burn",),
+                 protocol="aave-v3", join="chain_address")
+
+_EV_LOG = f"({tsql.EVENTS_LOG})"
+_SIGNED = f"""CASE WHEN "from" = '{Z}' THEN value WHEN "to" = '{Z}' THEN -value END"""
+
+
+def _flow_sql(body: str, keys: str, scale: str) -> str:
+    return f"""SELECT {keys}, CAST(sum(v) AS DOUBLE) / {scale} AS amount FROM ({body}) GROUP BY ALL"""
+
+
+ZERO_FLOW_SQL = f"""SELECT chain, evt_block_date AS dt, contract_address AS token_address,
+  CAST(sum({_SIGNED}) AS DOUBLE) / 100.0 AS amount
+FROM {_EV_LOG} WHERE '{Z}' IN ("from", "to") GROUP BY 1, 2, 3"""
+
+SHARES_FLOW_SQL = f"""SELECT chain, dt, token_address, CAST(sum(v) AS DOUBLE) / 100.0 AS amount FROM (
+  SELECT chain, evt_block_date AS dt, contract_address AS token_address, value AS v
+  FROM {_EV_LOG} WHERE event_type = 'signup'
+  UNION ALL
+  SELECT chain, evt_block_date, contract_address, -value FROM {_EV_LOG} WHERE event_type = 'view')
+GROUP BY 1, 2, 3"""
+
+VARIANTS_FLOW_SQL = f"""SELECT chain, dt, token_address, CAST(sum(v) AS DOUBLE) / 100.0 AS amount FROM (
+  SELECT '{td.EVENTS_CHAIN}' AS chain, CAST(t.evt_block_time AS DATE) AS dt, t.contract_address AS token_address,
+    CASE WHEN t.event_type IN ('purchase', 'signup') THEN t.value ELSE -t.value END AS v
+  FROM {_EV_LOG} t JOIN ({tsql.EVENTS_TOKENS}) tk
+    ON t.contract_address = tk.token_address AND tk.protocol = '{td.EVENTS_PROTOCOL}'
+  WHERE t.event_type IN ('purchase', 'signup', 'error', 'view'))
+GROUP BY 1, 2, 3"""
+
+RWA_FLOW_SQL = f"""SELECT t.evt_block_date AS dt, t.contract_address, tk.blockchain,
+  CAST(sum({_SIGNED.replace('"from"', 't."from"').replace('"to"', 't."to"').replace('value', 't.value')}) AS DOUBLE)
+    / power(10.0, tk.token_decimals) AS amount
+FROM {_EV_LOG} t JOIN ({tsql.EVENTS_RWA_TOKENS}) tk
+  ON t.contract_address = tk.token_address AND t.evt_block_date >= tk.start_date
+  AND tk.blockchain = '{td.EVENTS_CHAIN}' AND tk.protocol = '{td.EVENTS_PROTOCOL}'
+WHERE '{Z}' IN (t."from", t."to")
+GROUP BY t.evt_block_date, t.contract_address, tk.blockchain, tk.token_decimals"""
+
+_ORD_SEED_SQL = tsql.values_table(td.ORDERS_RWA_SEED, tsql.RWA_SEED_COLS, ("token_address",))
+MULTI_FLOW_SQL = f"""SELECT t.evt_block_date AS dt, t.contract_address, tk.blockchain,
+  CAST(sum(CASE WHEN t."from" = '{Z}' THEN t.value WHEN t."to" = '{Z}' THEN -t.value END) AS DOUBLE)
+    / power(10.0, tk.token_decimals) AS amount
+FROM ({tsql.ORDERS_MINT_LOG}) t JOIN ({_ORD_SEED_SQL}) tk
+  ON t.contract_address = tk.token_address AND t.evt_block_date >= tk.start_date
+  AND tk.blockchain = t.chain AND tk.protocol = 'tpch'
+WHERE '{Z}' IN (t."from", t."to")
+GROUP BY t.evt_block_date, t.contract_address, tk.blockchain, tk.token_decimals"""
+
+_LI_SEED_SQL = tsql.values_table(td.LINEITEM_LENDING_SEED, tsql.YIELD_SEED_COLS,
+                                 ("token_address", "underlying_token_address"))
+
+
+def _lending_sql(protocol: str, interest: bool) -> str:
+    mint = '(m.value - m."balanceIncrease")' if interest else "m.value"
+    burn = '-(m.value + m."balanceIncrease")' if interest else "-(m.value)"
+    def part(status, expr):
+        return f"""SELECT m.chain, m.evt_block_date AS dt, tk.token_address,
+    (CAST({expr} AS DOUBLE) / power(10.0, tk.token_decimals)) / (m."index" / 1e27) AS a
+  FROM ({tsql.lineitem_lending_log(status)}) m JOIN ({_LI_SEED_SQL}) tk
+    ON m.chain = tk.chain AND m.contract_address = tk.token_address
+  WHERE tk.protocol = '{protocol}'"""
+    return f"""SELECT chain, dt, token_address, sum(a) AS amount FROM (
+  {part('O', mint)}
+  UNION ALL
+  {part('F', burn)}) GROUP BY 1, 2, 3"""
+
+
+SCALED_INDEX_SQL = f"""SELECT chain, dt, token_address, round(amount, 6) AS amount FROM (
+  {_lending_sql('aave-v2', False)}
+  UNION ALL
+  {_lending_sql('aave-v3', True)})"""
+
+_SPL_SIGNED = "CASE WHEN t.action = 'mint' THEN t.amount WHEN t.action = 'burn' THEN -t.amount END"
+SPL_FLOW_SQL = f"""SELECT 'solana' AS chain, t.block_date AS dt, t.token_mint_address AS token_address,
+  CAST(sum({_SPL_SIGNED}) AS DOUBLE) / power(10.0, tk.token_decimals) AS amount
+FROM ({tsql.EVENTS_ACTION_LOG}) t JOIN ({tsql.EVENTS_SPL_TOKENS}) tk
+  ON t.token_mint_address = tk.token_address
+WHERE t.block_date >= tk.start_date
+GROUP BY 1, 2, 3, tk.token_decimals"""
+
+_SPINE_KEYS = "chain, category, protocol, token_address, token_name, underlying_token_address, underlying_token_name"
+
+
+def _yield_spine_sql(window_start: _dt.date | None = None) -> str:
+    start = "start_date" if window_start is None else f"greatest(start_date, DATE '{window_start}')"
+    return f"""SELECT {_SPINE_KEYS}, CAST(unnest(generate_series(st, DATE '{td.EVENTS_AS_OF}', INTERVAL 1 DAY)) AS DATE) AS dt
+FROM (SELECT {_SPINE_KEYS}, {start} AS st FROM (
+        SELECT {_SPINE_KEYS}, min(start_date) AS start_date FROM ({tsql.EVENTS_TOKEN_SEED}) GROUP BY ALL)
+      WHERE {start} <= DATE '{td.EVENTS_AS_OF}')"""
+
+
+def _rwa_spine_sql(tokens_sql: str, as_of: _dt.date) -> str:
+    return f"""SELECT blockchain, protocol, token_address, token_name,
+  CAST(unnest(generate_series(start_date, DATE '{as_of}', INTERVAL 1 DAY)) AS DATE) AS dt
+FROM ({tokens_sql}) WHERE start_date <= DATE '{as_of}'"""
+
+
+DENSIFIED_SQL = f"""WITH flows AS (
+  SELECT chain, dt, token_address, sum(amount) AS amount FROM (
+    {ZERO_FLOW_SQL}
+    UNION ALL {SHARES_FLOW_SQL}
+    UNION ALL {VARIANTS_FLOW_SQL}) GROUP BY 1, 2, 3)
+SELECT s.dt, s.chain AS blockchain, s.category, s.protocol, s.token_address, s.token_name,
+  s.underlying_token_address, s.underlying_token_name,
+  round(coalesce(f.amount, 0), 6) AS daily_net_amount
+FROM ({_yield_spine_sql()}) s LEFT JOIN flows f
+  ON s.dt = f.dt AND s.chain = f.chain AND s.token_address = f.token_address"""
+
+RWA_DAILY_SQL = f"""SELECT s.blockchain, s.dt, s.protocol, s.token_name, s.token_address,
+  coalesce(f.amount, 0) AS daily_net_amount
+FROM ({_rwa_spine_sql(tsql.EVENTS_RWA_TOKENS, td.EVENTS_AS_OF)}) s LEFT JOIN (
+  SELECT blockchain, dt, contract_address AS token_address, sum(amount) AS amount
+  FROM ({RWA_FLOW_SQL}) GROUP BY 1, 2, 3) f
+  ON s.dt = f.dt AND s.token_address = f.token_address AND s.blockchain = f.blockchain"""
+
+SPL_DAILY_SQL = f"""SELECT s.blockchain, s.dt, s.protocol, s.token_name, s.token_address,
+  coalesce(f.amount, 0) AS daily_net_amount
+FROM ({_rwa_spine_sql(tsql.EVENTS_SPL_TOKENS, td.EVENTS_AS_OF)}) s LEFT JOIN ({SPL_FLOW_SQL}) f
+  ON s.dt = f.dt AND s.token_address = f.token_address AND s.blockchain = f.chain"""
+
+
+def _rwa_out(flow: DataFrame) -> DataFrame:
+    return flow.select("dt", F.col("token_address").alias("contract_address"),
+                       F.col("chain").alias("blockchain"), "amount")
+
+
+@register("net_flow_zero_address", ZERO_FLOW_SQL)
+def q_net_flow_zero_address(spark, d):
+    """P-4: Σ(+value from zero, −value to zero) / scale per day and token."""
+    read, _ = _events_reader(spark, d)
+    return flow_from_spec(EV_ZERO, read, None)
+
+
+@register("net_flow_shares", SHARES_FLOW_SQL)
+def q_net_flow_shares(spark, d):
+    """P-5: deposit shares − withdraw shares (union of two event tables)."""
+    read, _ = _events_reader(spark, d)
+    return flow_from_spec(EV_SHARES, read, None)
+
+
+@register("net_flow_variants", VARIANTS_FLOW_SQL)
+def q_net_flow_variants(spark, d):
+    """P-7: two mint variants + two redeem variants, date(time), token join on address."""
+    read, ev = _events_reader(spark, d)
+    return flow_from_spec(EV_VARIANTS, read, td.events_tokens(ev))
+
+
+@register("net_flow_token_decimals", RWA_FLOW_SQL)
+def q_net_flow_token_decimals(spark, d):
+    """P-11…P-21: token join with start_date residual, per-token decimals."""
+    read, ev = _events_reader(spark, d)
+    return _rwa_out(flow_from_spec(EV_RWA, read, td.events_rwa_tokens(ev)))
+
+
+@register("net_flow_multichain", MULTI_FLOW_SQL)
+def q_net_flow_multichain(spark, d):
+    """JOIN-4: token join on (address, chain = source chain) with start_date residual."""
+    log = td.orders_mint_log(td.read(spark, d, "orders"))
+    seed = seed_from_rows(spark, td.ORDERS_RWA_SEED, "rwa_tokens")
+    return _rwa_out(flow_from_spec(ORD_MULTI, {"ord_log": log}.__getitem__, seed.broadcast()))
+
+
+@register("net_flow_scaled_index", SCALED_INDEX_SQL)
+def q_net_flow_scaled_index(spark, d):
+    """P-2 / P-3: lending mint/burn in index-scaled units (v3 minus accrued interest)."""
+    li = td.read(spark, d, "lineitem")
+    read = {"li_mint": td.lineitem_lending_log(li, "O"),
+            "li_burn": td.lineitem_lending_log(li, "F")}.__getitem__
+    seed = seed_from_rows(spark, td.LINEITEM_LENDING_SEED, "yield_tokens").broadcast()
+    out = flow_from_spec(LI_V2, read, seed).unionByName(flow_from_spec(LI_V3, read, seed))
+    return out.select("chain", "dt", "token_address", F.round("amount", 6).alias("amount"))
+
+
+@register("net_flow_action", SPL_DAILY_SQL)
+def q_net_flow_action(spark, d):
+    """P-23: mint/burn/other action log → SPL daily net on the token spine."""
+    read, ev = _events_reader(spark, d)
+    tokens = td.events_spl_tokens(ev)
+    flows = flow_from_spec(EV_SPL, read, tokens)
+    return rwa_daily(rwa_spine(tokens, EV_FULL), flows, EV_FULL)
+
+
+@register("calendar_spine", _yield_spine_sql())
+def q_calendar_spine(spark, d):
+    """P-1: 7-column token dedup (min start_date) exploded to one row per day."""
+    ev = td.read(spark, d, "events")
+    return yield_spine(td.events_token_seed(ev), EV_FULL)
+
+
+@register("calendar_spine_incremental", _yield_spine_sql(EV_INC.window_start))
+def q_calendar_spine_incremental(spark, d):
+    """P-1 incremental branch: greatest(start_date, today − 2 days) … today."""
+    ev = td.read(spark, d, "events")
+    return yield_spine(td.events_token_seed(ev), EV_INC)
+
+
+def _yield_daily(spark, d) -> DataFrame:
+    read, ev = _events_reader(spark, d)
+    flows = all_flows([EV_ZERO, EV_SHARES, EV_VARIANTS], read, td.events_tokens(ev))
+    return yield_daily(yield_spine(td.events_token_seed(ev), EV_FULL), flows, EV_FULL)
+
+
+@register("densified_daily_net", DENSIFIED_SQL)
+def q_densified_daily_net(spark, d):
+    """P-9: union of flows, re-aggregated, left-joined onto the spine with 0 fill."""
+    out = _yield_daily(spark, d)
+    return out.withColumn("daily_net_amount", F.round("daily_net_amount", 6))
+
+
+def _rwa_daily(spark, d) -> DataFrame:
+    read, ev = _events_reader(spark, d)
+    tokens = td.events_rwa_tokens(ev)
+    return rwa_daily(rwa_spine(tokens, EV_FULL), all_flows([EV_RWA], read, tokens), EV_FULL)
+
+
+@register("rwa_daily_net", RWA_DAILY_SQL)
+def q_rwa_daily_net(spark, d):
+    """P-22: RWA flows (start_date residual) densified on the undeduplicated seed spine."""
+    return _rwa_daily(spark, d)

@@ -40,6 +40,39 @@ ORDER_CHAINS = {
     "5-LOW": ("low", 3),
 }
 LINEITEM_MINTS = {"A": ("lineitem", 2), "N": ("lineitem", 2), "R": ("lineitem", 2)}
+ORDERS_CHAIN_TOKEN = "0x0000000000000000000000000000000000ab1e50"
+# Seed-like token table of the orders world: one token per priority "chain",
+# hex case varies (canonicalised on read), the last one starts in the future.
+ORDERS_RWA_SEED = [
+    ("tpch", "1-URGENT", "0x0000000000000000000000000000000000AB1E50", "TPCH-U", 2, dt.date(1995, 1, 1)),
+    ("tpch", "2-HIGH", "0x0000000000000000000000000000000000ab1e50", "TPCH-H", 2, dt.date(1996, 6, 1)),
+    ("tpch", "3-MEDIUM", "0x0000000000000000000000000000000000Ab1E50", "TPCH-M", 3, dt.date(1997, 1, 1)),
+    ("tpch", "4-NOT SPECIFIED", "0x0000000000000000000000000000000000ab1e50", "TPCH-N", 2, dt.date(1999, 12, 31)),
+    ("tpch", "5-LOW", "0x0000000000000000000000000000000000AB1E50", "TPCH-L", 4, dt.date(2002, 1, 1)),
+]
+# Lending tokens of the lineitem world: one aToken per return flag.
+LINEITEM_LENDING_SEED = [
+    ("aave-v2", "yield", "tpch", "erc20", "0x000000000000000000000000000000000000000A", "aTPCH-A", 2,
+     "0x00000000000000000000000000000000000000f0", "TPCH", 2, dt.date(1995, 1, 1)),
+    ("aave-v3", "yield", "tpch", "erc20", "0x000000000000000000000000000000000000000n", "aTPCH-N", 2,
+     "0x00000000000000000000000000000000000000f0", "TPCH", 2, dt.date(1995, 1, 1)),
+    ("aave-v3", "yield", "tpch", "erc20", "0x000000000000000000000000000000000000000R", "aTPCH-R", 2,
+     "0x00000000000000000000000000000000000000f0", "TPCH", 2, dt.date(1995, 1, 1)),
+]
+# Market tokens of the orders world: two tokens share underlying "f" on one
+# chain (fan-out), one token belongs to another protocol (filtered out).
+ORDERS_MARKET_SEED = [
+    ("compound-v3", "yield", "1-URGENT", "erc20", "0x00000000000000000000000000000000000000C1", "cF-1", 6,
+     "0x000000000000000000000000000000000000000F", "F", 6, dt.date(1995, 1, 1)),
+    ("compound-v3", "yield", "1-URGENT", "erc20", "0x00000000000000000000000000000000000000C2", "cF-2", 6,
+     "0x000000000000000000000000000000000000000f", "F", 6, dt.date(1995, 1, 1)),
+    ("compound-v3", "yield", "2-HIGH", "erc20", "0x00000000000000000000000000000000000000C3", "cO-2", 6,
+     "0x000000000000000000000000000000000000000o", "O", 6, dt.date(1995, 1, 1)),
+    ("compound-v3", "yield", "3-MEDIUM", "erc20", "0x00000000000000000000000000000000000000C4", "cP-3", 6,
+     "0x000000000000000000000000000000000000000p", "P", 6, dt.date(1995, 1, 1)),
+    ("aave-v3", "yield", "1-URGENT", "erc20", "0x00000000000000000000000000000000000000C5", "aO-1", 6,
+     "0x000000000000000000000000000000000000000o", "O", 6, dt.date(1995, 1, 1)),
+]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -141,6 +174,53 @@ def events_token_seed(events: DataFrame) -> DataFrame:
     )
 
 
+def events_tokens(events: DataFrame) -> DataFrame:
+    """The seed deduplicated on every column but start_date (one row per user)."""
+    seed = events_token_seed(events)
+    cols = [c for c in seed.columns if c != "start_date"]
+    return seed.groupBy(*cols).agg(F.min("start_date").alias("start_date"))
+
+
+def events_rwa_tokens(events: DataFrame) -> DataFrame:
+    """The same tokens in RWA seed shape: protocol, blockchain, token_address, token_name, token_decimals, start_date."""
+    return events_tokens(events).select("protocol", F.col("chain").alias("blockchain"),
+                                        "token_address", "token_name", "token_decimals",
+                                        "start_date")
+
+
+def events_spl_tokens(events: DataFrame) -> DataFrame:
+    """The same tokens in SPL seed shape (chain fixed to 'solana')."""
+    return events_tokens(events).select("protocol", F.lit("solana").alias("blockchain"),
+                                        "token_address", "token_name", "token_decimals",
+                                        "start_date")
+
+
+def orders_mint_log(orders: DataFrame) -> DataFrame:
+    """orders as a multichain ERC-20 log: F orders mint, O orders burn, P are peer transfers."""
+    holder = padded_address(F.col("o_custkey"))
+    st = F.col("o_orderstatus")
+    return orders.select(
+        F.col("o_orderpriority").alias("chain"),
+        F.to_date("o_orderdate").alias("evt_block_date"),
+        F.lit(ORDERS_CHAIN_TOKEN).alias("contract_address"),
+        F.when(st == "F", F.lit(ZERO_ADDRESS)).otherwise(holder).alias("from"),
+        F.when(st == "O", F.lit(ZERO_ADDRESS)).otherwise(holder).alias("to"),
+        raw_cents(F.col("o_totalprice")).alias("value"),
+    )
+
+
+def lineitem_lending_log(lineitem: DataFrame, linestatus: str) -> DataFrame:
+    """lineitem rows of one status as aToken mint (O) or burn (F) events."""
+    return lineitem.filter(F.col("l_linestatus") == linestatus).select(
+        F.lit("tpch").alias("chain"),
+        F.to_date("l_shipdate").alias("evt_block_date"),
+        padded_address(F.lower(F.col("l_returnflag"))).alias("contract_address"),
+        raw_cents(F.col("l_extendedprice")).alias("value"),
+        raw_cents(F.col("l_extendedprice") * F.col("l_discount")).alias("balanceIncrease"),
+        ((F.lit(1.0) + F.col("l_tax")) * F.lit(1e27)).alias("index"),
+    )
+
+
 def events_index_log(events: DataFrame, event_type: str | None = None) -> DataFrame:
     """events as reserve-index updates: chain, contract_address, reserve, date, time, liquidityIndex."""
     rows = events if event_type is None else events.filter(F.col("event_type") == event_type)

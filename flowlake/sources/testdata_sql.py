@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from flowlake.functions.address import ZERO_ADDRESS
 from flowlake.sources.testdata import (
-    EVENTS_CHAIN, EVENTS_PROTOCOL, TOKEN_NAME_PREFIXES,
+    EVENTS_CHAIN, EVENTS_PROTOCOL, ORDERS_CHAIN_TOKEN, TOKEN_NAME_PREFIXES,
 )
 
 
@@ -82,3 +82,48 @@ ORDERS_MARKETS = f"""SELECT CAST(o_orderdate AS DATE) AS period, o_orderpriority
 
 EVENTS_BLOCKS = """SELECT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS block_number,
   CAST(ts AS DATE) AS block_date FROM events"""
+
+_SEED_COLS = ["protocol", "category", "chain", "asset_type", "token_address", "token_name",
+              "token_decimals", "underlying_token_address", "underlying_token_name",
+              "underlying_token_decimals"]
+
+EVENTS_TOKENS = f"""SELECT {', '.join(_SEED_COLS)}, min(start_date) AS start_date
+FROM ({EVENTS_TOKEN_SEED}) GROUP BY {', '.join(_SEED_COLS)}"""
+
+EVENTS_RWA_TOKENS = f"""SELECT protocol, chain AS blockchain, token_address, token_name,
+  token_decimals, start_date FROM ({EVENTS_TOKENS})"""
+
+EVENTS_SPL_TOKENS = f"""SELECT protocol, 'solana' AS blockchain, token_address, token_name,
+  token_decimals, start_date FROM ({EVENTS_TOKENS})"""
+
+ORDERS_MINT_LOG = f"""SELECT o_orderpriority AS chain, CAST(o_orderdate AS DATE) AS evt_block_date,
+  '{ORDERS_CHAIN_TOKEN}' AS contract_address,
+  CASE WHEN o_orderstatus = 'F' THEN '{ZERO_ADDRESS}' ELSE {padded('o_custkey')} END AS "from",
+  CASE WHEN o_orderstatus = 'O' THEN '{ZERO_ADDRESS}' ELSE {padded('o_custkey')} END AS "to",
+  {cents('o_totalprice')} AS value FROM orders"""
+
+
+def lineitem_lending_log(status: str) -> str:
+    return f"""SELECT 'tpch' AS chain, CAST(l_shipdate AS DATE) AS evt_block_date,
+  {padded('lower(l_returnflag)')} AS contract_address, {cents('l_extendedprice')} AS value,
+  {cents('l_extendedprice * l_discount')} AS "balanceIncrease",
+  (1.0 + l_tax) * 1e27 AS "index" FROM lineitem WHERE l_linestatus = '{status}'"""
+
+
+def values_table(rows: list[tuple], cols: list[str], lower_cols: tuple[str, ...] = ()) -> str:
+    """Inline rows as a SELECT … FROM (VALUES …); listed columns canonicalised with lower()."""
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        if hasattr(v, "isoformat"):
+            return f"DATE '{v.isoformat()}'"
+        return str(v)
+    body = ",\n  ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    sel = ", ".join(f"lower({c}) AS {c}" if c in lower_cols else c for c in cols)
+    return f"SELECT {sel} FROM (VALUES\n  {body}) AS v({', '.join(cols)})"
+
+
+YIELD_SEED_COLS = _SEED_COLS + ["start_date"]
+RWA_SEED_COLS = ["protocol", "blockchain", "token_address", "token_name", "token_decimals", "start_date"]
