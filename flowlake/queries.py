@@ -375,3 +375,226 @@ def _rwa_daily(spark, d) -> DataFrame:
 def q_rwa_daily_net(spark, d):
     """P-22: RWA flows (start_date residual) densified on the undeduplicated seed spine."""
     return _rwa_daily(spark, d)
+
+
+# ------------------------------------------------------------ indices
+
+from flowlake.plans.balances import (  # noqa: E402
+    STABLE_TOKEN_RULES, detailed, rwa_values, stable_values,
+)
+from flowlake.plans.indices import (  # noqa: E402
+    daily_index, filled_token_index, index_table, market_index, vault_history, vault_universe,
+)
+
+# Fixed values of the vault-universe binding: supply threshold as in the
+# source model; the symbol pattern picks PURCHASE / ERROR snapshot symbols.
+VAULT_MIN_SUPPLY = 1e5
+VAULT_SYMBOL_PATTERN = "%R%"
+# Price substitutes (token priced by another token) and fixed-price names.
+PRICE_ALIASES = {"0x0000000000000000000000000000000000000003": "0x0000000000000000000000000000000000000004"}
+FIXED_PRICE_NAMES = ["sUSDC-7", "aUSDT-8"]
+
+
+def _ev_daily_index(ev: DataFrame, event_type: str | None) -> DataFrame:
+    return daily_index(td.events_index_log(ev, event_type), protocol=td.EVENTS_PROTOCOL,
+                       value="liquidityIndex", ray=100.0, tiebreak="evt_index")
+
+
+def _daily_index_sql(event_type: str | None) -> str:
+    return f"""SELECT chain, '{td.EVENTS_PROTOCOL}' AS protocol, contract_address,
+  reserve AS underlying_token_address, evt_block_date AS dt,
+  arg_max(CAST(liquidityIndex AS DOUBLE) / 1e2, (evt_block_time, evt_index)) AS "index"
+FROM ({tsql.events_index_log(event_type)}) GROUP BY chain, contract_address, reserve, evt_block_date"""
+
+
+FFILL_SQL = f"""SELECT s.dt, s.chain AS blockchain, s.protocol, s.token_address,
+  coalesce(i."index", last_value(i."index" IGNORE NULLS) OVER (
+    PARTITION BY s.chain, s.protocol, s.token_address ORDER BY s.dt)) AS "index"
+FROM ({_yield_spine_sql()}) s LEFT JOIN ({_daily_index_sql('view')}) i
+  ON s.dt = i.dt AND s.protocol = i.protocol AND s.chain = i.chain AND s.token_address = i.contract_address"""
+
+UNIVERSE_SQL = f"""SELECT DISTINCT blockchain, vault_address FROM ({tsql.EVENTS_VAULTS})
+WHERE dt = (SELECT max(dt) FROM ({tsql.EVENTS_VAULTS}))
+  AND supply_usd >= {VAULT_MIN_SUPPLY} AND token_symbol LIKE '{VAULT_SYMBOL_PATTERN}'"""
+
+VAULT_HISTORY_SQL = f"""SELECT v.dt, v.blockchain, 'morpho-v1' AS protocol, v.vault_address,
+  v.share_price_usd AS "index"
+FROM ({tsql.EVENTS_VAULTS}) v JOIN ({UNIVERSE_SQL}) m USING (blockchain, vault_address)"""
+
+_MKT_SEED_SQL = tsql.values_table(td.ORDERS_MARKET_SEED, tsql.YIELD_SEED_COLS,
+                                  ("token_address", "underlying_token_address"))
+MARKET_SQL = f"""SELECT c.period AS dt, c.blockchain, 'compound-v3' AS protocol, t.token_address,
+  c.asset_address, c.supply_index AS "index"
+FROM ({tsql.ORDERS_MARKETS}) c JOIN ({_MKT_SEED_SQL}) t
+  ON c.asset_address = t.underlying_token_address AND c.blockchain = t.chain
+  AND t.protocol = 'compound-v3'"""
+
+INDEX_UNION_SQL = f"""SELECT dt, blockchain, protocol, token_address, "index" FROM ({MARKET_SQL})
+UNION ALL SELECT dt, blockchain, protocol, vault_address, "index" FROM ({VAULT_HISTORY_SQL})
+UNION ALL SELECT dt, blockchain, protocol, token_address, "index" FROM ({FFILL_SQL})"""
+
+
+def _filled(spark, d):
+    ev = td.read(spark, d, "events")
+    return filled_token_index(td.events_token_seed(ev), [_ev_daily_index(ev, "view")], EV_FULL)
+
+
+def _vaults(spark, d):
+    snaps = td.events_vault_snapshots(td.read(spark, d, "events"))
+    return vault_history(snaps, vault_universe(snaps, VAULT_MIN_SUPPLY, VAULT_SYMBOL_PATTERN))
+
+
+def _market(spark, d):
+    seed = seed_from_rows(spark, td.ORDERS_MARKET_SEED, "yield_tokens")
+    return market_index(td.orders_market_snapshots(td.read(spark, d, "orders")), seed.broadcast())
+
+
+def _index_table(spark, d):
+    return index_table(_market(spark, d), _vaults(spark, d), _filled(spark, d))
+
+
+@register("last_of_day_index", _daily_index_sql(None))
+def q_last_of_day_index(spark, d):
+    """P-24…P-27: max_by(index, time) per (chain, contract, reserve, day)."""
+    return _ev_daily_index(td.read(spark, d, "events"), None)
+
+
+@register("forward_fill_index", FFILL_SQL)
+def q_forward_fill_index(spark, d):
+    """P-31 third branch: spine ⟕ daily index, last value ignoring NULLs per token."""
+    return _filled(spark, d)
+
+
+@register("latest_snapshot_universe", UNIVERSE_SQL)
+def q_latest_snapshot_universe(spark, d):
+    """P-29: scalar max(dt) + threshold + LIKE + DISTINCT."""
+    snaps = td.events_vault_snapshots(td.read(spark, d, "events"))
+    return vault_universe(snaps, VAULT_MIN_SUPPLY, VAULT_SYMBOL_PATTERN)
+
+
+@register("universe_history", VAULT_HISTORY_SQL)
+def q_universe_history(spark, d):
+    """P-30: snapshot history of the universe (JOIN USING distinct keys == semi join)."""
+    return _vaults(spark, d)
+
+
+@register("market_index_by_underlying", MARKET_SQL)
+def q_market_index_by_underlying(spark, d):
+    """P-28: market snapshots ⋈ tokens by underlying asset and chain."""
+    return _market(spark, d)
+
+
+@register("index_union", INDEX_UNION_SQL)
+def q_index_union(spark, d):
+    """P-31: market ∪ vault ∪ forward-filled token indices."""
+    return _index_table(spark, d)
+
+
+# ------------------------------------------------------------ valuation
+
+def _in_list(names: list[str]) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+_ALIAS_SUB, _ALIAS_SRC = next(iter(PRICE_ALIASES.items()))
+_PRICE_JOIN = f"""ab.blockchain = p.blockchain AND ab.dt = p.dt AND (
+    (ab.token_address = '{_ALIAS_SUB}' AND p.token_address = '{_ALIAS_SRC}')
+    OR ab.token_address = p.token_address)"""
+
+
+def _r(expr: str, rounded: bool) -> str:
+    return f"round({expr}, 6)" if rounded else expr
+
+
+def _rwa_values_sql(rounded: bool) -> str:
+    price = f"CASE WHEN ab.token_name IN ({_in_list(FIXED_PRICE_NAMES)}) THEN 1.0 ELSE p.price_usd END"
+    return f"""SELECT ab.blockchain, ab.dt, ab.protocol, 'rwa' AS category, ab.token_name,
+  ab.token_address, {_r('ab.balance', rounded)} AS balance, {price} AS price_usd,
+  {_r(f'({price}) * ab.balance', rounded)} AS value_usd
+FROM (SELECT *, sum(daily_net_amount) OVER (PARTITION BY blockchain, token_address ORDER BY dt) AS balance
+      FROM ({RWA_DAILY_SQL})) ab
+LEFT JOIN ({tsql.EVENTS_PRICES}) p ON {_PRICE_JOIN}"""
+
+
+def _densified_sql(rounded: bool) -> str:
+    return DENSIFIED_SQL if rounded else DENSIFIED_SQL.replace(
+        "round(coalesce(f.amount, 0), 6)", "coalesce(f.amount, 0)")
+
+
+def _stable_values_sql(rounded: bool) -> str:
+    price = (f"CASE WHEN ab.token_name IN ({_in_list(FIXED_PRICE_NAMES)}) THEN 1.0 "
+             f"WHEN i.\"index\" IS NOT NULL THEN i.\"index\" ELSE p.price_usd END")
+    return f"""SELECT ab.blockchain, ab.dt, ab.protocol, ab.category, ab.token_name,
+  ab.token_address, {_r('ab.balance', rounded)} AS balance, {price} AS price_usd,
+  {_r(f'({price}) * ab.balance', rounded)} AS value_usd
+FROM (SELECT *, sum(daily_net_amount) OVER (PARTITION BY blockchain, token_address ORDER BY dt) AS balance
+      FROM ({_densified_sql(False)})) ab
+LEFT JOIN ({INDEX_UNION_SQL}) i ON ab.blockchain = i.blockchain AND ab.protocol = i.protocol
+  AND ab.dt = i.dt AND ab.token_address = i.token_address
+LEFT JOIN ({tsql.EVENTS_PRICES}) p ON {_PRICE_JOIN}"""
+
+
+def _classifier_sql() -> str:
+    arms = " ".join(f"WHEN lower(sr.token_name) LIKE '{p}' THEN '{l}'" for p, l in STABLE_TOKEN_RULES)
+    return f"CASE WHEN sr.category = 'rwa' THEN NULL {arms} ELSE 'Others' END"
+
+
+DETAILED_SQL = f"""WITH stable_rwa AS (
+  SELECT * FROM ({_stable_values_sql(False)})
+  UNION ALL SELECT * FROM ({_rwa_values_sql(False)})),
+agg AS (SELECT dt, sum(coalesce(value_usd, 0)) AS value_usd_total FROM stable_rwa GROUP BY 1)
+SELECT sr.blockchain, sr.dt, sr.protocol, sr.category, sr.token_name, {_classifier_sql()} AS stable_token,
+  sr.token_address, round(sr.balance, 6) AS amount, round(sr.value_usd, 6) AS value_usd,
+  round(ag.value_usd_total, 6) AS value_usd_total
+FROM stable_rwa sr LEFT JOIN agg ag USING (dt)
+WHERE dt >= DATE '2020-01-01'"""
+
+ROUND_VALUE_COLS = ["balance", "value_usd"]
+
+
+def _round(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _rwa_values(spark, d):
+    ev = td.read(spark, d, "events")
+    return rwa_values(_rwa_daily(spark, d), td.events_daily_prices(ev), FIXED_PRICE_NAMES,
+                      PRICE_ALIASES)
+
+
+def _stable_values(spark, d):
+    ev = td.read(spark, d, "events")
+    return stable_values(_yield_daily(spark, d), _index_table(spark, d), td.events_daily_prices(ev),
+                         FIXED_PRICE_NAMES, PRICE_ALIASES, category_mode="carry")
+
+
+@register("running_balance", f"""SELECT blockchain, dt, category, protocol, token_name, token_address,
+  round(daily_net_amount, 6) AS daily_net_amount,
+  round(sum(daily_net_amount) OVER (PARTITION BY blockchain, token_address ORDER BY dt), 6) AS balance
+FROM ({_densified_sql(False)})""")
+def q_running_balance(spark, d):
+    """WIN-1: running SUM over (blockchain, token) ordered by day, RANGE frame."""
+    from flowlake.plans.balances import with_balance
+    out = with_balance(_yield_daily(spark, d)).select(
+        "blockchain", "dt", "category", "protocol", "token_name", "token_address",
+        "daily_net_amount", "balance")
+    return _round(out, ["daily_net_amount", "balance"])
+
+
+@register("price_lookup_or_join", _rwa_values_sql(True))
+def q_price_lookup_or_join(spark, d):
+    """P-32: RWA balances priced with a substitute-token price join and fixed-price names."""
+    return _round(_rwa_values(spark, d), ROUND_VALUE_COLS)
+
+
+@register("price_override_value", _stable_values_sql(True))
+def q_price_override_value(spark, d):
+    """P-33: fixed price → yield index → market price, value = price × balance."""
+    return _round(_stable_values(spark, d), ROUND_VALUE_COLS)
+
+
+@register("detailed_with_totals", DETAILED_SQL)
+def q_detailed_with_totals(spark, d):
+    """P-34: union of both fact tables, daily USD total, stable-token class, date floor."""
+    out = detailed(_stable_values(spark, d), _rwa_values(spark, d), td.EVENTS_AS_OF)
+    return _round(out, ["amount", "value_usd", "value_usd_total"])
