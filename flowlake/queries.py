@@ -598,3 +598,193 @@ def q_detailed_with_totals(spark, d):
     """P-34: union of both fact tables, daily USD total, stable-token class, date floor."""
     out = detailed(_stable_values(spark, d), _rwa_values(spark, d), td.EVENTS_AS_OF)
     return _round(out, ["amount", "value_usd", "value_usd_total"])
+
+
+# ------------------------------------------------------------ materializations
+
+from flowlake import checks  # noqa: E402
+from flowlake.functions.keys import surrogate_key  # noqa: E402
+from flowlake.plans.blocks import PARTITION_BY, UNIQUE_KEY, tx_per_block  # noqa: E402
+from flowlake.session import workspace_dir  # noqa: E402
+from flowlake.sinks import append_dedup, compact, delete_insert, merge, write_table  # noqa: E402
+
+# Fixed values of the incremental scenario: the first run sees data up to
+# RUN1_AS_OF except 'view' events dated from LATE_FROM (they arrive late);
+# the second run re-reads everything from WINDOW_START.
+RUN1_AS_OF = _dt.date(2024, 1, 27)
+LATE_FROM = _dt.date(2024, 1, 25)
+WINDOW_START = _dt.date(2024, 1, 26)
+MERGE_PREDICATE_FROM = _dt.date(2024, 1, 27)
+
+
+def _blocks(spark, d) -> DataFrame:
+    ev = td.read(spark, d, "events")
+    return ev.select(F.date_format("ts", "yyyyMMddHH").cast("bigint").alias("block_number"),
+                     F.to_date("ts").alias("block_date"), "event_type")
+
+
+def _run1_blocks(blocks: DataFrame) -> DataFrame:
+    late = (F.col("event_type") == "view") & (F.col("block_date") >= F.lit(LATE_FROM))
+    return blocks.filter((F.col("block_date") <= F.lit(RUN1_AS_OF)) & ~late)
+
+
+def _first_run(spark, d, path) -> None:
+    write_table(spark, tx_per_block(_run1_blocks(_blocks(spark, d))), path, PARTITION_BY)
+
+
+_BLOCKS_SQL = f"""SELECT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS block_number,
+  CAST(ts AS DATE) AS block_date, event_type FROM events"""
+_T1_SQL = f"""SELECT block_number, block_date, count(1) AS total_tx_per_block FROM ({_BLOCKS_SQL})
+WHERE block_date <= DATE '{RUN1_AS_OF}'
+  AND NOT (event_type = 'view' AND block_date >= DATE '{LATE_FROM}') GROUP BY 1, 2"""
+_BATCH_SQL = f"""SELECT block_number, block_date, count(1) AS total_tx_per_block FROM ({_BLOCKS_SQL})
+WHERE block_date >= DATE '{WINDOW_START}' GROUP BY 1, 2"""
+
+
+def _replace_sql(pred_from: _dt.date) -> str:
+    return f"""WITH t1 AS ({_T1_SQL}), b AS ({_BATCH_SQL})
+SELECT * FROM t1 WHERE NOT (t1.block_date >= DATE '{pred_from}' AND EXISTS (
+  SELECT 1 FROM b WHERE b.block_number = t1.block_number AND b.block_date = t1.block_date))
+UNION ALL SELECT * FROM b"""
+
+
+@register("tx_per_block", f"""SELECT block_number, block_date, count(1) AS total_tx_per_block
+FROM ({tsql.EVENTS_BLOCKS}) GROUP BY 1, 2""")
+def q_tx_per_block(spark, d):
+    """P-39: transactions per block (events per hour)."""
+    return tx_per_block(td.events_blocks(td.read(spark, d, "events")))
+
+
+@register("inc_full_refresh", f"""SELECT block_number, block_date, count(1) AS total_tx_per_block
+FROM ({tsql.EVENTS_BLOCKS}) GROUP BY 1, 2""")
+def q_inc_full_refresh(spark, d):
+    """SINK-2/3: first run, then a full refresh replaces the whole partitioned table."""
+    path = workspace_dir(spark, "inc_full_refresh")
+    _first_run(spark, d, path)
+    return write_table(spark, tx_per_block(_blocks(spark, d)), path, PARTITION_BY)
+
+
+@register("inc_delete_insert", _replace_sql(WINDOW_START))
+def q_inc_delete_insert(spark, d):
+    """SINK-4: lookback batch replaces matching keys inside the predicate window."""
+    path = workspace_dir(spark, "inc_delete_insert")
+    _first_run(spark, d, path)
+    batch = tx_per_block(_blocks(spark, d), since=WINDOW_START)
+    return delete_insert(spark, batch, path, UNIQUE_KEY, PARTITION_BY,
+                         predicate=F.col("block_date") >= F.lit(WINDOW_START))
+
+
+@register("inc_merge", _replace_sql(WINDOW_START))
+def q_inc_merge(spark, d):
+    """SINK-5: matched rows updated, new rows inserted."""
+    path = workspace_dir(spark, "inc_merge")
+    _first_run(spark, d, path)
+    batch = tx_per_block(_blocks(spark, d), since=WINDOW_START)
+    return merge(spark, batch, path, UNIQUE_KEY, PARTITION_BY,
+                 dest_predicate=F.col("block_date") >= F.lit(WINDOW_START))
+
+
+@register("inc_merge_predicate_dup", _replace_sql(MERGE_PREDICATE_FROM))
+def q_inc_merge_predicate_dup(spark, d):
+    """SINK-5 quirk: a destination predicate narrower than the batch duplicates keys."""
+    path = workspace_dir(spark, "inc_merge_predicate_dup")
+    _first_run(spark, d, path)
+    batch = tx_per_block(_blocks(spark, d), since=WINDOW_START)
+    return merge(spark, batch, path, UNIQUE_KEY, PARTITION_BY,
+                 dest_predicate=F.col("block_date") >= F.lit(MERGE_PREDICATE_FROM))
+
+
+@register("inc_append_dedup", f"""WITH t1 AS ({_T1_SQL}), b AS ({_BATCH_SQL})
+SELECT * FROM t1
+UNION ALL SELECT * FROM b WHERE NOT EXISTS (
+  SELECT 1 FROM t1 WHERE t1.block_number = b.block_number AND t1.block_date = b.block_date
+    AND t1.block_date >= DATE '{WINDOW_START}')""")
+def q_inc_append_dedup(spark, d):
+    """SINK-6: only keys absent from the recent target window are appended."""
+    path = workspace_dir(spark, "inc_append_dedup")
+    _first_run(spark, d, path)
+    batch = tx_per_block(_blocks(spark, d), since=WINDOW_START)
+    return append_dedup(spark, batch, path, UNIQUE_KEY, PARTITION_BY,
+                        target_window=F.col("block_date") >= F.lit(WINDOW_START))
+
+
+_NULL_BLOCK = "CASE WHEN event_type = 'error' THEN NULL ELSE block_number END"
+
+
+@register("inc_null_key_dup", f"""WITH b AS (
+  SELECT {_NULL_BLOCK} AS block_number, block_date, count(1) AS total_tx_per_block
+  FROM ({_BLOCKS_SQL}) WHERE block_date >= DATE '{WINDOW_START}' GROUP BY 1, 2)
+SELECT * FROM b UNION ALL SELECT * FROM b WHERE block_number IS NULL""")
+def q_inc_null_key_dup(spark, d):
+    """SINK-8: the same batch loaded twice; rows with a NULL key never match and double."""
+    path = workspace_dir(spark, "inc_null_key_dup")
+    blocks = _blocks(spark, d).withColumn(
+        "block_number", F.when(F.col("event_type") == "error", None).otherwise(F.col("block_number")))
+    batch = tx_per_block(blocks, since=WINDOW_START)
+    delete_insert(spark, batch, path, UNIQUE_KEY, PARTITION_BY, null_keys="keep")
+    return delete_insert(spark, batch, path, UNIQUE_KEY, PARTITION_BY, null_keys="keep")
+
+
+@register("compact_partitions", _T1_SQL)
+def q_compact_partitions(spark, d):
+    """SINK-10: many small files per partition rewritten into few; content unchanged."""
+    path = workspace_dir(spark, "compact_partitions")
+    tx_per_block(_run1_blocks(_blocks(spark, d))).repartition(16).write.partitionBy(
+        *PARTITION_BY).parquet(path)
+    return compact(spark, path, PARTITION_BY)
+
+
+# ------------------------------------------------------------ data tests
+
+@register("check_not_null", f"""SELECT * FROM ({_rwa_values_sql(True)}) WHERE price_usd IS NULL""")
+def q_check_not_null(spark, d):
+    """TEST-1: priced RWA rows without a price."""
+    return checks.not_null(_round(_rwa_values(spark, d), ROUND_VALUE_COLS), "price_usd")
+
+
+@register("check_unique_combination", """SELECT l_orderkey, l_linenumber, count(1) AS n_records
+FROM lineitem GROUP BY 1, 2 HAVING count(1) > 1""")
+def q_check_unique_combination(spark, d):
+    """TEST-2: (l_orderkey, l_linenumber) is not unique in the test data."""
+    return checks.unique_combination(td.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("check_unique", """SELECT tx_hash, count(1) AS n_records FROM (
+  SELECT CAST(l_orderkey AS VARCHAR) AS tx_hash FROM lineitem) WHERE tx_hash IS NOT NULL
+GROUP BY 1 HAVING count(1) > 1""")
+def q_check_unique(spark, d):
+    """TEST-3: normalised Solana-style transfers repeat tx ids (Q14 shape)."""
+    return checks.unique(_normalised(spark, d)[1], "tx_hash")
+
+
+@register("check_accepted_values", """SELECT o_orderstatus, count(1) AS n_records FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY 1""")
+def q_check_accepted_values(spark, d):
+    """TEST-4: order status outside the accepted list."""
+    return checks.accepted_values(td.read(spark, d, "orders"), "o_orderstatus", ["F", "O"])
+
+
+@register("check_relationships", """SELECT o.* FROM orders o WHERE o.o_custkey IS NOT NULL
+AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""")
+def q_check_relationships(spark, d):
+    """TEST-5: orders whose customer does not exist."""
+    return checks.relationships(td.read(spark, d, "orders"), "o_custkey",
+                                td.read(spark, d, "customer"), "c_custkey")
+
+
+@register("check_custom", """SELECT * FROM lineitem WHERE l_discount > 0.1 OR l_tax < 0""")
+def q_check_custom(spark, d):
+    """TEST-6: a custom failing-row predicate."""
+    return checks.custom(td.read(spark, d, "lineitem"),
+                         (F.col("l_discount") > 0.1) | (F.col("l_tax") < 0))
+
+
+@register("surrogate_key", """SELECT l_orderkey, l_linenumber, md5(concat_ws('-',
+  coalesce(CAST(l_orderkey AS VARCHAR), '_dbt_utils_surrogate_key_null_'),
+  coalesce(CAST(l_linenumber AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS surrogate_key
+FROM lineitem""")
+def q_surrogate_key(spark, d):
+    """PRJ-19: md5 over '-'-joined key columns with a NULL marker."""
+    li = td.read(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     surrogate_key("l_orderkey", "l_linenumber").alias("surrogate_key"))
