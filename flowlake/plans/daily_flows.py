@@ -36,9 +36,10 @@ class FlowSpec:
       * ``lending`` – mint/burn tables scaled by a liquidity index
       * ``lending_interest`` – same, minus the accrued ``balanceIncrease``
       * ``action`` – log with an ``action`` column (mint / burn / other)
-    join: None (no token join), 'address' or 'chain_address' (token chain =
-      source chain column); the token dimension is filtered to ``protocol``
-      when one is given.
+    join: None (no token join), 'address' (address only),
+      'address_fixed_chain' (address and token chain = ``chain``) or
+      'chain_address' (address and token chain = the source's chain column);
+      the token dimension is filtered to ``protocol`` when one is given.
     chain: literal chain of the output (None = the source's ``chain`` column,
       or the token's chain when joined on chain).
     scale: fixed divisor (e.g. 1e18); None = 10^token_decimals of the token.
@@ -94,7 +95,7 @@ def _join_tokens(df: DataFrame, tokens: DataFrame | None, spec: FlowSpec) -> Dat
     if spec.join == "chain_address":
         if "chain" in df.columns:
             cond = cond & (F.col("chain") == F.col("_tk_chain"))
-    elif spec.chain is not None:
+    elif spec.join == "address_fixed_chain":
         cond = cond & (F.col("_tk_chain") == F.lit(spec.chain))
     if spec.since_start:
         cond = cond & (F.col("dt") >= F.col("start_date"))

@@ -147,7 +147,7 @@ EV_VARIANTS = FlowSpec("ev_variants", "paired", ("ev_purchase", "ev_signup"),
                        join="address", chain=td.EVENTS_CHAIN, scale=100.0,
                        date_from_time="evt_block_time")
 EV_RWA = FlowSpec("ev_rwa", "zero_address", ("ev_log",), protocol=td.EVENTS_PROTOCOL,
-                  join="address", chain=td.EVENTS_CHAIN, since_start=True)
+                  join="address_fixed_chain", chain=td.EVENTS_CHAIN, since_start=True)
 EV_SPL = FlowSpec("ev_spl", "action", ("ev_actions",), join="address", chain="solana",
                   value_col="amount", date_col="block_date", address_col="token_mint_address",
                   since_start=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlake.functions.address import canonical_address
@@ -89,10 +90,17 @@ def read_seed(spark: SparkSession, path: str, kind: str) -> Seed:
     return seed_from_df(df, kind)
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Small inline table built JVM-side (no Python RDD, no Python worker)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def seed_from_rows(spark: SparkSession, rows: list[tuple], kind: str) -> Seed:
     schema = {
         "yield_tokens": YIELD_TOKENS_SCHEMA, "rwa_tokens": RWA_TOKENS_SCHEMA,
         "spl_tokens": SPL_TOKENS_SCHEMA, "address_labels": ADDRESS_LABELS_SCHEMA,
     }[kind]
-    return seed_from_df(spark.createDataFrame(rows, schema), kind, rows=len(rows))
+    return seed_from_df(literal_table(spark, rows, schema), kind, rows=len(rows))
 
