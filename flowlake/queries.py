@@ -788,3 +788,19 @@ def q_surrogate_key(spark, d):
     li = td.read(spark, d, "lineitem")
     return li.select("l_orderkey", "l_linenumber",
                      surrogate_key("l_orderkey", "l_linenumber").alias("surrogate_key"))
+
+
+# ------------------------------------------------------------ streaming
+
+from flowlake.streaming import stream_tx_per_block  # noqa: E402
+
+
+@register("stream_tx_per_block", f"""SELECT block_number, block_date, count(1) AS total_tx_per_block
+FROM ({tsql.EVENTS_BLOCKS}) GROUP BY 1, 2""")
+def q_stream_tx_per_block(spark, d):
+    """P-39 as a stream: watermarked hourly counts upserted into the Parquet target."""
+    target = workspace_dir(spark, "stream_tx_per_block")
+    schema = td.read(spark, d, "events").schema
+    q = stream_tx_per_block(spark, f"{d}/events*.parquet", schema, target)
+    q.awaitTermination()
+    return spark.read.parquet(target).select("block_number", "block_date", "total_tx_per_block")
