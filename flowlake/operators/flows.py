@@ -81,30 +81,29 @@ def paired_flow(mints: list[DataFrame], burns: list[DataFrame], keys: list[str],
     return net_flow(union_all(plus + minus), keys, F.col("_v"), scale, out)
 
 
-def index_scaled_flow(mints: DataFrame, burns: DataFrame, keys: list[str],
-                      decimals: str, index: str = "index", value: str = "value",
+def index_scaled_flow(rows: DataFrame, keys: list[str], decimals: str,
+                      burn_col: str = "_burn", index: str = "index", value: str = "value",
                       balance_increase: str | None = None,
                       ray: float = 1e27, out: str = "amount") -> DataFrame:
-    """Lending supply flow in *scaled* units: (value / 10^d) / (index / 1e27).
-
-    With ``balance_increase`` (v3 events) the accrued interest is removed:
-    mint uses value − increase, burn −(value + increase), both in exact
-    DECIMAL before the DOUBLE division. Per-row DOUBLE arithmetic is inherent
-    here (the index division is not linear in the sum).
+    """Lending supply flow in *scaled* units: ±(value / 10^d) / (index / 1e27).
+
+    ``rows`` holds mint and burn events together, ``burn_col`` tells them
+    apart (one pass, one aggregate). With ``balance_increase`` (v3 events)
+    the accrued interest is removed: mint uses value − increase, burn
+    −(value + increase), both in exact DECIMAL before the DOUBLE division.
+    Per-row DOUBLE arithmetic is inherent here (the index division is not
+    linear in the sum).
     """
-    def scaled(v: Column) -> Column:
-        return (v.cast("double") / F.pow(F.lit(10.0), F.col(decimals))) / (
-            F.col(index).cast("double") / F.lit(ray))
-
+    v = F.col(value).cast(U256)
+    burn = F.col(burn_col)
     if balance_increase:
-        m_raw = F.col(value).cast(U256) - F.col(balance_increase).cast(U256)
-        b_raw = -(F.col(value).cast(U256) + F.col(balance_increase).cast(U256))
-        m_amt, b_amt = scaled(m_raw), scaled(b_raw)
+        bi = F.col(balance_increase).cast(U256)
+        raw = F.when(burn, -(v + bi)).otherwise(v - bi)
     else:
-        m_amt, b_amt = scaled(F.col(value)), -scaled(F.col(value))
-    rows = mints.select(*keys, m_amt.alias("_a")).unionByName(
-        burns.select(*keys, b_amt.alias("_a")))
-    return rows.groupBy(*keys).agg(F.sum("_a").alias(out))
+        raw = F.when(burn, -v).otherwise(v)
+    amt = (raw.cast("double") / F.pow(F.lit(10.0), F.col(decimals))) / (
+        F.col(index).cast("double") / F.lit(ray))
+    return rows.groupBy(*keys).agg(F.sum(amt).alias(out))
 
 
 def reaggregate(flows: DataFrame, keys: list[str], col: str = "amount") -> DataFrame:

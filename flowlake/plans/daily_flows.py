@@ -107,33 +107,52 @@ def _join_tokens(df: DataFrame, tokens: DataFrame | None, spec: FlowSpec) -> Dat
 
 def flow_from_spec(spec: FlowSpec, read: Callable[[str], DataFrame],
                    tokens: DataFrame | None, ctx: RunContext | None = None) -> DataFrame:
-    """One FlowSpec → (chain, dt, token_address, amount)."""
+    """One FlowSpec → (chain, dt, token_address, amount).
+
+    The source tables of a spec are unioned first and joined with the token
+    dimension once (an inner join distributes over UNION ALL), so a spec with
+    four variant tables is one broadcast probe, not four.
+    """
     keys = ["chain", "dt", "token_address"]
     scale = spec.scale if spec.scale is not None else "token_decimals"
     if spec.kind in ("zero_address", "action"):
-        parts = [_join_tokens(_prepare(read(s), spec, ctx, spec.value_col), tokens, spec)
-                 for s in spec.sources]
-        rows = union_all(parts)
+        rows = union_all([_prepare(read(s), spec, ctx, spec.value_col) for s in spec.sources])
+        rows = _join_tokens(rows, tokens, spec)
         if spec.kind == "zero_address":
             return zero_address_flow(rows, keys, scale, spec.value_col, spec.from_col,
                                      spec.to_col)
         return action_flow(rows, keys, scale, value=spec.value_col, action="action")
     if spec.kind == "paired":
         burn_value = spec.burn_value_col or spec.value_col
-        mints = [_join_tokens(_prepare(read(s), spec, ctx, spec.value_col), tokens, spec)
-                 .withColumnRenamed(spec.value_col, "_v") for s in spec.sources]
-        burns = [_join_tokens(_prepare(read(s), spec, ctx, burn_value), tokens, spec)
-                 .withColumnRenamed(burn_value, "_v") for s in spec.burn_sources]
-        return paired_flow(mints, burns, keys, "_v", scale)
+        signed = [_prepare(read(s), spec, ctx, spec.value_col)
+                  .select(*[c for c in ("dt", "token_address", "chain") if c in _cols(read(s), spec)],
+                          F.col(spec.value_col).cast("decimal(38,0)").alias("_v"))
+                  for s in spec.sources]
+        signed += [_prepare(read(s), spec, ctx, burn_value)
+                   .select(*[c for c in ("dt", "token_address", "chain") if c in _cols(read(s), spec)],
+                           (-F.col(burn_value).cast("decimal(38,0)")).alias("_v"))
+                   for s in spec.burn_sources]
+        rows = _join_tokens(union_all(signed), tokens, spec)
+        return paired_flow([rows], [], keys, "_v", scale)
     if spec.kind in ("lending", "lending_interest"):
-        mint = _join_tokens(_prepare(read(spec.sources[0]), spec, ctx, spec.value_col), tokens, spec)
-        burn = _join_tokens(_prepare(read(spec.burn_sources[0]), spec, ctx, spec.value_col), tokens, spec)
+        mint = _prepare(read(spec.sources[0]), spec, ctx, spec.value_col)
+        burn = _prepare(read(spec.burn_sources[0]), spec, ctx, spec.value_col)
+        rows = _join_tokens(mint.withColumn("_burn", F.lit(False)).unionByName(
+            burn.withColumn("_burn", F.lit(True))), tokens, spec)
         return index_scaled_flow(
-            mint, burn, keys, decimals="token_decimals", value=spec.value_col,
+            rows, keys, decimals="token_decimals", burn_col="_burn", value=spec.value_col,
             balance_increase="balanceIncrease" if spec.kind == "lending_interest" else None)
     raise ValueError(f"unknown flow kind {spec.kind!r}")
 
 
+def _cols(df: DataFrame, spec: FlowSpec) -> set[str]:
+    """Output columns of ``_prepare`` for this source (chain only when present)."""
+    out = {"dt", "token_address"}
+    if spec.chain is not None or "chain" in df.columns:
+        out.add("chain")
+    return out
+
+
 def all_flows(specs: list[FlowSpec], read: Callable[[str], DataFrame],
               tokens: DataFrame | None, ctx: RunContext | None = None,
               reaggregate: bool = True) -> DataFrame:
