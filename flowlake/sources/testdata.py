@@ -98,7 +98,12 @@ def token_name(user_id: Column) -> Column:
 
 
 def raw_cents(col: Column) -> Column:
-    return F.round(col * F.lit(100)).cast("decimal(38,0)")
+    """An amount as integer cents, rounded half-up (the raw-unit column of a log).
+
+    round → BIGINT → DECIMAL keeps the decimal long-backed; a direct
+    double → DECIMAL cast goes through BigDecimal for every row.
+    """
+    return F.round(col * F.lit(100)).cast("bigint").cast("decimal(38,0)")
 
 
 def orders_transfer_log(orders: DataFrame) -> DataFrame:
