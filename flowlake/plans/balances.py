@@ -87,7 +87,10 @@ def detailed(stables: DataFrame, rwas: DataFrame, as_of: dt.date,
 
 
 def sorted_for_write(df: DataFrame) -> DataFrame:
-    """The source's final ORDER BY dt DESC, value_usd DESC without a global sort:
-    rows of a day stay together and are ordered inside their partition."""
-    return df.repartition("dt").sortWithinPartitions(F.col("dt").desc(),
-                                                      F.col("value_usd").desc_nulls_last())
+    """The source's final ORDER BY dt DESC, value_usd DESC (NULLs last).
+
+    Spark's sort range-partitions on the sampled composite key, so one very
+    large day is still split over several tasks by value; files come out in
+    table order.
+    """
+    return df.orderBy(F.col("dt").desc(), F.col("value_usd").desc_nulls_last())

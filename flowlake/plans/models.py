@@ -85,8 +85,14 @@ def yield_indices(catalog: Catalog, tokens: Seed, ctx: RunContext,
     return index_table(markets, vault_history(vaults, vault_universe(vaults)), filled)
 
 
-def fct_rwas(daily: DataFrame, prices: DataFrame) -> DataFrame:
-    """fct_yielding_rwas: running balance, price and USD value."""
+def fct_rwas(daily: DataFrame, prices: DataFrame, spl_daily: DataFrame | None = None) -> DataFrame:
+    """fct_yielding_rwas: running balance, price and USD value.
+
+    The source model leaves the Solana flows out (commented out); pass
+    ``spl_daily`` to include them.
+    """
+    if spl_daily is not None:
+        daily = daily.unionByName(spl_daily)
     return rwa_values(daily, prices, D.FIXED_PRICE_NAMES, D.PRICE_ALIASES)
 
 

@@ -61,14 +61,25 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _swap(spark: SparkSession, stage: str, path: str) -> None:
+    """Replace ``path`` by the finished staging folder (a rename, no data copy)."""
+    fs, target = _fs_path(spark, path)
+    _, staged = _fs_path(spark, stage)
+    if fs.exists(target):
+        fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {stage} to {path}")
+
+
 def write_table(spark: SparkSession, df: DataFrame, path: str,
                 partition_by: list[str] | None = None) -> DataFrame:
-    """SINK-2: full rebuild. Written to staging, then swapped in."""
+    """SINK-2: full rebuild. Written completely to staging, then swapped in by
+    rename, so readers never see a half-written table and file order (e.g. a
+    sorted table) is kept."""
     stage = _staging(spark)
     _writer(df, partition_by).mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    _writer(staged, partition_by).mode("overwrite").parquet(path)
-    _remove(spark, stage)
+    _swap(spark, stage, path)
     return spark.read.parquet(path)
 
 
@@ -178,3 +189,28 @@ def compact(spark: SparkSession, path: str, partition_by: list[str] | None = Non
      .option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path))
     _remove(spark, stage)
     return spark.read.parquet(path)
+
+
+def materialize(spark: SparkSession, build, path: str, ctx, strategy: str = "table",
+                unique_key: list[str] | None = None, partition_by: list[str] | None = None,
+                predicate: Column | None = None, full_refresh: bool = False) -> DataFrame:
+    """Run a model the way an incremental materialization does.
+
+    The incremental branch is taken only when the target exists, the
+    strategy is incremental and no full refresh is asked for; otherwise the
+    model is built in full mode and the table rebuilt. ``build`` maps a
+    ``RunContext`` to the model's DataFrame.
+    """
+    from dataclasses import replace
+
+    incremental = (strategy != "table" and not full_refresh and table_exists(spark, path))
+    df = build(replace(ctx, incremental=incremental))
+    if not incremental:
+        return write_table(spark, df, path, partition_by)
+    if strategy == "delete+insert":
+        return delete_insert(spark, df, path, unique_key, partition_by, predicate)
+    if strategy == "merge":
+        return merge(spark, df, path, unique_key, partition_by, predicate)
+    if strategy == "append":
+        return append_dedup(spark, df, path, unique_key, partition_by, predicate)
+    raise ValueError(f"unknown strategy {strategy!r}")

@@ -226,6 +226,25 @@ def lineitem_lending_log(lineitem: DataFrame, linestatus: str) -> DataFrame:
     )
 
 
+def events_pool_log(events: DataFrame) -> DataFrame:
+    """events as a pool transfer log with owner_ / recipient_ / amount_ columns."""
+    log = events_transfer_log(events)
+    return log.select("evt_block_date", "contract_address", F.col("from").alias("owner_"),
+                      F.col("to").alias("recipient_"), F.col("value").alias("amount_"))
+
+
+def events_drip_calls(events: DataFrame) -> DataFrame:
+    """events as savings-rate drip call traces; 'error' rows are failed calls."""
+    return events.select(
+        user_token(F.col("user_id")).alias("contract_address"),
+        F.to_date("ts").alias("call_block_date"),
+        F.col("ts").alias("call_block_time"),
+        F.col("event_id").alias("evt_index"),
+        raw_cents(F.col("value")).alias("output_tmp"),
+        (F.col("event_type") != "error").alias("call_success"),
+    )
+
+
 def events_index_log(events: DataFrame, event_type: str | None = None) -> DataFrame:
     """events as reserve-index updates: chain, contract_address, reserve, date, time, liquidityIndex."""
     rows = events if event_type is None else events.filter(F.col("event_type") == event_type)

@@ -127,3 +127,10 @@ def values_table(rows: list[tuple], cols: list[str], lower_cols: tuple[str, ...]
 
 YIELD_SEED_COLS = _SEED_COLS + ["start_date"]
 RWA_SEED_COLS = ["protocol", "blockchain", "token_address", "token_name", "token_decimals", "start_date"]
+
+EVENTS_POOL_LOG = f"""SELECT evt_block_date, contract_address, "from" AS owner_, "to" AS recipient_,
+  value AS amount_ FROM ({EVENTS_LOG})"""
+
+EVENTS_DRIP_CALLS = f"""SELECT {padded('user_id')} AS contract_address, CAST(ts AS DATE) AS call_block_date,
+  ts AS call_block_time, event_id AS evt_index, {cents('value')} AS output_tmp,
+  (event_type <> 'error') AS call_success FROM events"""

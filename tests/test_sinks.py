@@ -98,3 +98,25 @@ def test_compact_keeps_content(spark, tmp_dir):
     after = content(compact(spark, path, PARTITION_BY))
     assert before == after
     assert len(glob.glob(os.path.join(path, "*", "*.parquet"))) < n_before
+
+
+def test_materialize_first_run_then_incremental(spark, tmp_dir):
+    from flowlake.context import RunContext
+    from flowlake.sinks import materialize
+
+    path = os.path.join(tmp_dir, "mat")
+    data = {"rows": blocks(spark, [1, 2])}
+    seen = []
+
+    def build(ctx):
+        seen.append(ctx.incremental)
+        return tx_per_block(data["rows"], since=ctx.window_start if ctx.incremental else None)
+
+    ctx = RunContext(as_of=dt.date(2024, 1, 3), lookback_days=1)
+    materialize(spark, build, path, ctx, "delete+insert", UNIQUE_KEY, PARTITION_BY)
+    data["rows"] = blocks(spark, [1, 2, 3])
+    out = materialize(spark, build, path, ctx, "delete+insert", UNIQUE_KEY, PARTITION_BY)
+    assert seen == [False, True]
+    assert out.count() == 9
+    materialize(spark, build, path, ctx, "delete+insert", UNIQUE_KEY, PARTITION_BY, full_refresh=True)
+    assert seen[-1] is False
