@@ -21,7 +21,7 @@ from flowlake.plans.indices import (
 )
 from flowlake.plans.transfers import normalize_transfers, transfer_stats
 from flowlake.sources.catalog import Catalog
-from flowlake.sources.seeds import Seed
+from flowlake.sources.seeds import Seed, dedupe_seed
 
 HEX_SOURCE_COLUMNS = ("contract_address", "from", "to", "owner_", "recipient_", "reserve",
                       "vault_address", "asset_address", "token_address")
@@ -39,16 +39,26 @@ def hex_reader(catalog: Catalog):
 
 
 def evm_stables_daily(catalog: Catalog, tokens: Seed, ctx: RunContext,
-                      specs=None, reaggregate: bool = True) -> DataFrame:
-    """dbt_yielding_evm_stablecoins: daily net amount per yield token and day."""
+                      specs=None, reaggregate: bool = True,
+                      dedupe_tokens: bool = True) -> DataFrame:
+    """dbt_yielding_evm_stablecoins: daily net amount per yield token and day.
+
+    ``dedupe_tokens=False`` keeps seed rows that collide after address
+    canonicalisation (the source model then counts their flows twice).
+    """
+    if dedupe_tokens:
+        tokens = dedupe_seed(tokens, ["chain", "token_address"])
     flows = all_flows(specs or D.YIELD_STABLE_FLOWS, hex_reader(catalog), tokens.broadcast(), ctx,
                       reaggregate=reaggregate)
     return yield_daily(yield_spine(tokens.df, ctx), flows, ctx)
 
 
 def evm_rwas_daily(catalog: Catalog, tokens: Seed, ctx: RunContext,
-                   specs=None, reaggregate: bool = True) -> DataFrame:
+                   specs=None, reaggregate: bool = True,
+                   dedupe_tokens: bool = True) -> DataFrame:
     """dbt_yielding_evm_rwas: daily net amount per RWA token and day."""
+    if dedupe_tokens:
+        tokens = dedupe_seed(tokens, ["blockchain", "token_address"])
     flows = all_flows(specs or D.RWA_FLOWS, hex_reader(catalog), tokens.broadcast(), ctx,
                       reaggregate=reaggregate)
     return rwa_daily(rwa_spine(tokens.df, ctx), flows, ctx)
@@ -63,8 +73,10 @@ def spl_rwas_daily(catalog: Catalog, tokens: Seed, ctx: RunContext) -> DataFrame
 
 
 def yield_indices(catalog: Catalog, tokens: Seed, ctx: RunContext,
-                  join_on: str = "contract") -> DataFrame:
+                  join_on: str = "contract", dedupe_tokens: bool = True) -> DataFrame:
     """int_yielding_indices: market ∪ vault ∪ forward-filled daily indices."""
+    if dedupe_tokens:
+        tokens = dedupe_seed(tokens, ["chain", "token_address"])
     read = hex_reader(catalog)
     idx = [
         daily_index(read(D.AAVE_V2_INDEX), "aave-v2", "liquidityIndex"),

@@ -104,3 +104,20 @@ def seed_from_rows(spark: SparkSession, rows: list[tuple], kind: str) -> Seed:
     }[kind]
     return seed_from_df(literal_table(spark, rows, schema), kind, rows=len(rows))
 
+
+
+def dedupe_seed(seed: Seed, keys: list[str]) -> Seed:
+    """One row per key (e.g. chain + canonical address).
+
+    Seed rows that differ only in hex case become equal after
+    canonicalisation and would double every joined flow. The row kept is the
+    one with the earliest start_date (then the smallest name), so the choice
+    is deterministic. The row count stays a valid upper bound.
+    """
+    cols = seed.df.columns
+    rest = [c for c in cols if c not in keys]
+    order = F.struct(*[F.col(c) for c in ("start_date", "token_name") if c in cols])
+    picked = (seed.df.groupBy(*keys)
+              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
+              .select(*keys, "_row.*"))
+    return Seed(picked.select(*cols), seed.rows)

@@ -78,6 +78,23 @@ def test_evm_stables_daily_reference_flows(spark, catalog):
     assert {r["dt"] for r in inc.collect()} == {D2, D3}
 
 
+def test_duplicate_seed_rows_after_canonicalisation(spark, catalog):
+    specs = [s for s in D.YIELD_STABLE_FLOWS if s.name == "syrup"]
+    rows = [("maple", "yield", "ethereum", "erc20", SYRUP, "syrupUSDC", 6, Z, "USDC", 6, D2),
+            ("maple", "yield", "ethereum", "erc20", SYRUP.upper().replace("0X", "0x"), "syrupUSDC", 6, Z,
+             "USDC", 6, D1)]
+    ctx = RunContext(as_of=D3)
+
+    def syrup_d2(dedupe):
+        out = evm_stables_daily(catalog, seed_from_rows(spark, rows, "yield_tokens"), ctx,
+                                specs=specs, dedupe_tokens=dedupe)
+        return [r["daily_net_amount"] for r in out.collect() if r["dt"] == D2]
+
+    assert syrup_d2(True) == [pytest.approx(7.0)]
+    # Reference behaviour: the join fans out, the spine dedup merges the rows.
+    assert syrup_d2(False) == [pytest.approx(14.0)]
+
+
 def test_tether_models(spark, tmp_dir):
     eth, tron = "tether_ethereum.tether_usd_evt_transfer", "tether_tron.tether_usd_evt_transfer"
     usdt_eth = list(D.TETHER_SOURCES[eth].chains)[0]
