@@ -8,6 +8,7 @@ re-aggregates, and left-joins the result onto the token × day spine.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -75,11 +76,15 @@ def _prepare(df: DataFrame, spec: FlowSpec, ctx: RunContext | None,
         cols.append(F.col("chain"))
     keep = {value_col, spec.from_col, spec.to_col, "index", "balanceIncrease", "action"}
     cols += [F.col(c) for c in df.columns if c in keep and c not in ("chain",)]
-    out = df.select(*cols)
     if ctx is not None and ctx.incremental:
-        # A literal bound on the source date column: reaches the Parquet scan.
-        out = out.filter(F.col("dt") >= F.lit(ctx.window_start))
-    return out
+        # A literal bound on a physical column of the source, so it reaches the
+        # Parquet scan: the date column when there is one, else the time column.
+        if spec.date_col in df.columns:
+            df = df.filter(F.col(spec.date_col) >= F.lit(ctx.window_start))
+        else:
+            start = _dt.datetime.combine(ctx.window_start, _dt.time())
+            df = df.filter(F.col(spec.date_from_time) >= F.lit(start))
+    return df.select(*cols)
 
 
 def _join_tokens(df: DataFrame, tokens: DataFrame | None, spec: FlowSpec) -> DataFrame:

@@ -858,3 +858,44 @@ def q_fct_rwas_sorted_table(spark, d):
     path = workspace_dir(spark, "fct_rwas")
     out = write_table(spark, sorted_for_write(_rwa_values(spark, d)), path)
     return _round(out, ROUND_VALUE_COLS)
+
+
+# ------------------------------------------------------------ incremental branch, chain subsets
+
+INDEX_CHAINS = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+
+
+def _densified_incremental_sql() -> str:
+    ws = EV_INC.window_start
+    flows = (DENSIFIED_SQL.split("WITH flows AS (", 1)[1].split(") GROUP BY 1, 2, 3)", 1)[0]
+             + ") GROUP BY 1, 2, 3")
+    return f"""WITH flows AS (
+  SELECT * FROM ({flows}) WHERE dt >= DATE '{ws}')
+SELECT s.dt, s.chain AS blockchain, s.category, s.protocol, s.token_address, s.token_name,
+  s.underlying_token_address, s.underlying_token_name,
+  round(coalesce(f.amount, 0), 6) AS daily_net_amount
+FROM ({_yield_spine_sql(ws)}) s LEFT JOIN flows f
+  ON s.dt = f.dt AND s.chain = f.chain AND s.token_address = f.token_address
+WHERE s.dt >= DATE '{ws}'"""
+
+
+@register("densified_daily_net_incremental", _densified_incremental_sql())
+def q_densified_daily_net_incremental(spark, d):
+    """P-9 incremental branch: lookback-bounded source reads, spine from
+    greatest(start, today − 2), output filter dt ≥ trunc_day(now − 2 days)."""
+    read, ev = _events_reader(spark, d)
+    flows = all_flows([EV_ZERO, EV_SHARES, EV_VARIANTS], read, td.events_tokens(ev), EV_INC)
+    out = yield_daily(yield_spine(td.events_token_seed(ev), EV_INC), flows, EV_INC)
+    return out.withColumn("daily_net_amount", F.round("daily_net_amount", 6))
+
+
+@register("reserve_index_chain_subset", f"""SELECT chain, 'aave-v3' AS protocol, contract_address,
+  reserve AS underlying_token_address, evt_block_date AS dt,
+  arg_max(CAST(liquidityIndex AS DOUBLE) / 1e2, (evt_block_time, evt_index)) AS "index"
+FROM ({tsql.ORDERS_INDEX_LOG}) WHERE chain IN ({_in_list(INDEX_CHAINS)})
+GROUP BY chain, contract_address, reserve, evt_block_date""")
+def q_reserve_index_chain_subset(spark, d):
+    """SRC-7 + P-25: daily index of a multichain source restricted to listed chains."""
+    log = td.orders_index_log(td.read(spark, d, "orders"))
+    return daily_index(log, "aave-v3", "liquidityIndex", ray=100.0, chains=INDEX_CHAINS,
+                       tiebreak="evt_index")

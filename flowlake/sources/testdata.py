@@ -245,6 +245,19 @@ def events_drip_calls(events: DataFrame) -> DataFrame:
     )
 
 
+def orders_index_log(orders: DataFrame) -> DataFrame:
+    """orders as multichain reserve-index updates (chain = priority, contract = status)."""
+    return orders.select(
+        F.col("o_orderpriority").alias("chain"),
+        padded_address(F.lower(F.col("o_orderstatus"))).alias("contract_address"),
+        F.lit(ZERO_ADDRESS).alias("reserve"),
+        F.to_date("o_orderdate").alias("evt_block_date"),
+        F.col("o_orderdate").alias("evt_block_time"),
+        F.col("o_orderkey").alias("evt_index"),
+        raw_cents(F.col("o_totalprice")).alias("liquidityIndex"),
+    )
+
+
 def events_index_log(events: DataFrame, event_type: str | None = None) -> DataFrame:
     """events as reserve-index updates: chain, contract_address, reserve, date, time, liquidityIndex."""
     rows = events if event_type is None else events.filter(F.col("event_type") == event_type)

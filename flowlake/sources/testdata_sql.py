@@ -134,3 +134,7 @@ EVENTS_POOL_LOG = f"""SELECT evt_block_date, contract_address, "from" AS owner_,
 EVENTS_DRIP_CALLS = f"""SELECT {padded('user_id')} AS contract_address, CAST(ts AS DATE) AS call_block_date,
   ts AS call_block_time, event_id AS evt_index, {cents('value')} AS output_tmp,
   (event_type <> 'error') AS call_success FROM events"""
+
+ORDERS_INDEX_LOG = f"""SELECT o_orderpriority AS chain, {padded('lower(o_orderstatus)')} AS contract_address,
+  '{ZERO_ADDRESS}' AS reserve, CAST(o_orderdate AS DATE) AS evt_block_date, o_orderdate AS evt_block_time,
+  o_orderkey AS evt_index, {cents('o_totalprice')} AS liquidityIndex FROM orders"""
