@@ -51,3 +51,37 @@ def summary(results: dict[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("test"), "n_failed")
         first = row if first is None else first.unionByName(row)
     return first
+
+
+# The data tests declared on the source project's models.
+_DAILY_KEYS = ["dt", "blockchain", "token_address"]
+_TRANSFER_TESTS = ([("not_null", c) for c in ("dt", "period", "from", "to", "tx_hash", "evt_index")]
+                   + [("unique_combination", ("tx_hash", "evt_index"))])
+_BLOCK_TESTS = [("unique_combination", ("block_number", "block_date"))]
+DECLARED_TESTS = {
+    "dbt_yielding_evm_rwas": [("not_null", c) for c in _DAILY_KEYS],
+    "dbt_yielding_evm_stablecoins": [("not_null", c) for c in _DAILY_KEYS],
+    "dbt_yielding_spl_rwas": [("not_null", c) for c in _DAILY_KEYS],
+    "int_yielding_indices": [("not_null", c) for c in _DAILY_KEYS],
+    **{f"dbt_tether_{chain}": _TRANSFER_TESTS
+       for chain in ("arbitrum", "bnb", "ethereum", "polygon", "solana", "tron")},
+    "dbt_template_merge_incremental_model": _BLOCK_TESTS,
+    "dbt_template_delete_insert_incremental_model": _BLOCK_TESTS,
+    "dbt_template_append_incremental_model": _BLOCK_TESTS,
+}
+
+
+def declared(model: str, df: DataFrame) -> dict[str, DataFrame]:
+    """The declared tests of ``model`` as {test name: failing rows}."""
+    out = {}
+    for kind, arg in DECLARED_TESTS[model]:
+        if kind == "not_null":
+            out[f"not_null_{model}_{arg}"] = not_null(df, arg)
+        else:
+            out[f"unique_combination_{model}_{'__'.join(arg)}"] = unique_combination(df, list(arg))
+    return out
+
+
+def run_declared(model: str, df: DataFrame) -> DataFrame:
+    """(test, n_failed) for every declared test of ``model``."""
+    return summary(declared(model, df))

@@ -102,3 +102,14 @@ def run_tether_models(spark: SparkSession, catalog: Catalog, ctx: RunContext, ou
         out[name] = _run(spark, name, lambda c, u=unit: M.tether_stats(chains, u, c), out_dir, ctx,
                          full_refresh)
     return out
+
+
+def run_model_tests(outputs: dict[str, DataFrame]) -> DataFrame:
+    """Run the declared data tests of every written model: (test, n_failed)."""
+    from flowlake import checks
+
+    tests = {}
+    for name, df in outputs.items():
+        if name in checks.DECLARED_TESTS:
+            tests.update(checks.declared(name, df))
+    return checks.summary(tests)

@@ -899,3 +899,23 @@ def q_reserve_index_chain_subset(spark, d):
     log = td.orders_index_log(td.read(spark, d, "orders"))
     return daily_index(log, "aave-v3", "liquidityIndex", ray=100.0, chains=INDEX_CHAINS,
                        tiebreak="evt_index")
+
+
+# ------------------------------------------------------------ declared model tests
+
+
+def _declared_sql() -> str:
+    src = f"({NORM_LINEITEM_SQL})"
+    parts = [f"""SELECT 'not_null_dbt_tether_solana_{c}' AS test, count(*) AS n_failed
+  FROM {src} WHERE "{c}" IS NULL""" for c in ("dt", "period", "from", "to", "tx_hash", "evt_index")]
+    parts.append(f"""SELECT 'unique_combination_dbt_tether_solana_tx_hash__evt_index' AS test,
+  count(*) AS n_failed FROM (SELECT tx_hash, evt_index FROM {src} GROUP BY 1, 2 HAVING count(*) > 1)""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("check_declared_transfers", _declared_sql())
+def q_check_declared_transfers(spark, d):
+    """§5: the project's declared tests on a Solana-style transfer table
+    (the (tx_hash, evt_index) key fails by design: tx_index is the position
+    of the transaction, not of the transfer)."""
+    return checks.run_declared("dbt_tether_solana", _normalised(spark, d)[1])

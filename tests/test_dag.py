@@ -11,7 +11,7 @@ import pytest
 from flowlake.context import RunContext
 from flowlake.functions.address import ZERO_ADDRESS as Z
 from flowlake.plans import defaults as D
-from flowlake.plans.dag import run_tether_models, run_yield_models
+from flowlake.plans.dag import run_tether_models, run_yield_models, run_model_tests
 from flowlake.sources.catalog import Catalog
 from flowlake.sources.seeds import seed_from_rows
 
@@ -133,6 +133,8 @@ def test_yield_models_full_then_incremental(spark, tmp_dir):
     inc = run_yield_models(spark, cat4, ytok, rtok, None, ctx4, inc_dir)
     full = run_yield_models(spark, cat4, ytok, rtok, None, ctx4, full_dir, full_refresh=True)
 
+    failed = {r["test"]: r["n_failed"] for r in run_model_tests(inc).collect()}
+    assert len(failed) == 3 * 3 and not any(failed.values())
     daily = {(r["token_address"], r["dt"]): r["daily_net_amount"]
              for r in inc["dbt_yielding_evm_stablecoins"].collect()}
     assert daily[(SUSDS, D1)] == pytest.approx(3.0) and daily[(SUSDS, D3)] == pytest.approx(-1.0)
@@ -171,6 +173,8 @@ def test_tether_models_full_then_incremental(spark, tmp_dir):
     for name in ("fct_tether_weekly_stats", "fct_tether_monthly_stats", "dbt_tether_ethereum"):
         cols = sorted(c for c in full[name].columns if c not in ("senders", "receivers"))
         assert snapshot(inc[name], cols) == snapshot(full[name], cols), name
+    failed = {r["test"]: r["n_failed"] for r in run_model_tests(inc).collect()}
+    assert len(failed) == 5 * 7 and not any(failed.values())
     monthly = {r["blockchain"]: r for r in full["fct_tether_monthly_stats"].collect()}
     assert monthly["bnb"]["amount"] == pytest.approx((150 * 10 ** 6 + 2 * 10 ** 12) / 1e18)
     assert monthly["ethereum"]["tx_10000000"] == 1 and monthly["ethereum"]["txs"] == 2
