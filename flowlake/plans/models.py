@@ -8,6 +8,8 @@ daily-flow and index tables when several downstream models reuse them.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,8 +126,8 @@ def tether_transfers(catalog: Catalog, source: str, ctx: RunContext) -> DataFram
     """dbt_tether_<chain>: normalised USDT transfers of one chain."""
     since = None
     if ctx.incremental:
-        import datetime as _dt
-        since = _dt.datetime.combine(ctx.as_of, _dt.time()) - _dt.timedelta(days=ctx.lookback_days)
+        # now() − lookback, untruncated: safe because the key holds tx hash + log index.
+        since = dt.datetime.combine(ctx.as_of, dt.time()) - dt.timedelta(days=ctx.lookback_days)
     name = D.SOURCE_ALIASES.get(source, source)
     return normalize_transfers(hex_reader(catalog)(name), D.TETHER_SOURCES[name], since)
 
