@@ -919,3 +919,29 @@ def q_check_declared_transfers(spark, d):
     (the (tx_hash, evt_index) key fails by design: tx_index is the position
     of the transaction, not of the transfer)."""
     return checks.run_declared("dbt_tether_solana", _normalised(spark, d)[1])
+
+
+# ------------------------------------------------------------ approximate-distinct accuracy
+
+HLL_SLACK_REL, HLL_SLACK_ABS = 0.05, 3
+
+
+@register("stats_weekly_checked", f"""SELECT * EXCLUDE (senders, receivers),
+  true AS senders_within_bound, true AS receivers_within_bound
+FROM ({_stats_sql('week')})""")
+def q_stats_weekly_checked(spark, d):
+    """P-37 with a value check: every exact measure of the weekly stats, and
+    whether the HLL++ (1 % standard error) sender / receiver counts are within
+    5 % + 3 of the exact counts."""
+    norm = _normalised(spark, d)
+    approx = transfer_stats(norm, "week", "approx", rsd=0.01, sum_scale=6)
+    exact = transfer_stats(norm, "week", "exact", sum_scale=6).select(
+        "period", "blockchain", F.col("senders").alias("_es"), F.col("receivers").alias("_er"))
+
+    def within(a, e):
+        return F.abs(F.col(a) - F.col(e)) <= F.col(e) * F.lit(HLL_SLACK_REL) + F.lit(HLL_SLACK_ABS)
+
+    j = approx.join(exact, ["period", "blockchain"])
+    return j.select(*[c for c in approx.columns if c not in ("senders", "receivers")],
+                    within("senders", "_es").alias("senders_within_bound"),
+                    within("receivers", "_er").alias("receivers_within_bound"))
