@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
-from flowlake.operators.flows import (
-    action_flow, index_scaled_flow, paired_flow, union_all, zero_address_flow,
-)
+from flowlake.functions.amounts import action_sign_value, signed_by_zero_address, touches_zero
+from flowlake.operators.flows import index_scaled_flow, net_flow, union_all
 from flowlake.operators.spine import calendar_spine, dedup_tokens, densify
 
 YIELD_TOKEN_KEYS = ["chain", "category", "protocol", "token_address", "token_name",
@@ -110,35 +109,49 @@ def _join_tokens(df: DataFrame, tokens: DataFrame | None, spec: FlowSpec) -> Dat
     return joined.drop("_tk_address", "_tk_chain", "start_date")
 
 
+def _signed_rows(spec: FlowSpec, read: Callable[[str], DataFrame],
+                 ctx: RunContext | None) -> DataFrame:
+    """All source rows of a spec as (dt, token_address, [chain], _v = signed raw amount)."""
+    if spec.kind == "paired":
+        burn_value = spec.burn_value_col or spec.value_col
+        parts = [(s, spec.value_col, 1) for s in spec.sources]
+        parts += [(s, burn_value, -1) for s in spec.burn_sources]
+        out = []
+        for src, value, sign in parts:
+            df = _prepare(read(src), spec, ctx, value)
+            v = F.col(value).cast("decimal(38,0)")
+            out.append(df.select(*[c for c in ("dt", "token_address", "chain") if c in df.columns],
+                                 (v if sign > 0 else -v).alias("_v")))
+        return union_all(out)
+    rows = union_all([_prepare(read(s), spec, ctx, spec.value_col) for s in spec.sources])
+    if spec.kind == "zero_address":
+        rows = rows.filter(touches_zero(spec.from_col, spec.to_col))
+        signed = signed_by_zero_address(spec.value_col, spec.from_col, spec.to_col)
+    else:
+        signed = action_sign_value(spec.value_col, "action")
+    return rows.select(*[c for c in ("dt", "token_address", "chain") if c in rows.columns],
+                       signed.cast("decimal(38,0)").alias("_v"))
+
+
 def flow_from_spec(spec: FlowSpec, read: Callable[[str], DataFrame],
                    tokens: DataFrame | None, ctx: RunContext | None = None) -> DataFrame:
     """One FlowSpec → (chain, dt, token_address, amount).
 
-    The source tables of a spec are unioned first and joined with the token
-    dimension once (an inner join distributes over UNION ALL), so a spec with
-    four variant tables is one broadcast probe, not four.
+    Additive flows are summed to one row per (chain, day, token) *before* the
+    token join: the join, its start-date residual and the per-token decimals
+    then touch daily aggregates instead of raw events, so a hot token is
+    absorbed by the map-side partial sum and never becomes a skewed join
+    partition. Exact DECIMAL sums make this identical to joining row by row.
+    Lending flows divide each row by its own index, so they join first.
     """
     keys = ["chain", "dt", "token_address"]
     scale = spec.scale if spec.scale is not None else "token_decimals"
-    if spec.kind in ("zero_address", "action"):
-        rows = union_all([_prepare(read(s), spec, ctx, spec.value_col) for s in spec.sources])
-        rows = _join_tokens(rows, tokens, spec)
-        if spec.kind == "zero_address":
-            return zero_address_flow(rows, keys, scale, spec.value_col, spec.from_col,
-                                     spec.to_col)
-        return action_flow(rows, keys, scale, value=spec.value_col, action="action")
-    if spec.kind == "paired":
-        burn_value = spec.burn_value_col or spec.value_col
-        signed = [_prepare(read(s), spec, ctx, spec.value_col)
-                  .select(*[c for c in ("dt", "token_address", "chain") if c in _cols(read(s), spec)],
-                          F.col(spec.value_col).cast("decimal(38,0)").alias("_v"))
-                  for s in spec.sources]
-        signed += [_prepare(read(s), spec, ctx, burn_value)
-                   .select(*[c for c in ("dt", "token_address", "chain") if c in _cols(read(s), spec)],
-                           (-F.col(burn_value).cast("decimal(38,0)")).alias("_v"))
-                   for s in spec.burn_sources]
-        rows = _join_tokens(union_all(signed), tokens, spec)
-        return paired_flow([rows], [], keys, "_v", scale)
+    if spec.kind in ("zero_address", "action", "paired"):
+        rows = _signed_rows(spec, read, ctx)
+        if spec.join is not None and tokens is not None:
+            group = [c for c in ("chain", "dt", "token_address") if c in rows.columns]
+            rows = _join_tokens(rows.groupBy(*group).agg(F.sum("_v").alias("_v")), tokens, spec)
+        return net_flow(rows, keys, F.col("_v"), scale)
     if spec.kind in ("lending", "lending_interest"):
         mint = _prepare(read(spec.sources[0]), spec, ctx, spec.value_col)
         burn = _prepare(read(spec.burn_sources[0]), spec, ctx, spec.value_col)
@@ -150,14 +163,6 @@ def flow_from_spec(spec: FlowSpec, read: Callable[[str], DataFrame],
     raise ValueError(f"unknown flow kind {spec.kind!r}")
 
 
-def _cols(df: DataFrame, spec: FlowSpec) -> set[str]:
-    """Output columns of ``_prepare`` for this source (chain only when present)."""
-    out = {"dt", "token_address"}
-    if spec.chain is not None or "chain" in df.columns:
-        out.add("chain")
-    return out
-
-
 def all_flows(specs: list[FlowSpec], read: Callable[[str], DataFrame],
               tokens: DataFrame | None, ctx: RunContext | None = None,
               reaggregate: bool = True) -> DataFrame:
