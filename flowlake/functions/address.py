@@ -23,3 +23,10 @@ def binary_to_hex(col: Column | str) -> Column:
     """varbinary → ``0x`` + lower hex. ``cast(binary as string)`` would decode UTF-8."""
     c = F.col(col) if isinstance(col, str) else col
     return F.when(c.isNull(), None).otherwise(F.concat(F.lit("0x"), F.lower(F.hex(c))))
+
+
+def address_text(df, col: str) -> Column:
+    """An address column as text: hex for varbinary (never a UTF-8 cast), else as is."""
+    if dict(df.dtypes).get(col) == "binary":
+        return binary_to_hex(col)
+    return F.col(col).cast("string")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
-from flowlake.functions.address import canonical_address
+from flowlake.functions.address import binary_to_hex, canonical_address
 from flowlake.plans import defaults as D
 from flowlake.plans.balances import detailed, rwa_values, stable_values
 from flowlake.plans.daily_flows import all_flows, rwa_daily, rwa_spine, yield_daily, yield_spine
@@ -33,9 +33,12 @@ def hex_reader(catalog: Catalog):
     """Read a source with EVM address columns canonicalised (lower-case text)."""
     def read(name: str) -> DataFrame:
         df = catalog.read(name)
+        types = dict(df.dtypes)
         for c in HEX_SOURCE_COLUMNS:
-            if c in df.columns and dict(df.dtypes)[c] == "string":
+            if types.get(c) == "string":
                 df = df.withColumn(c, canonical_address(c))
+            elif types.get(c) == "binary":
+                df = df.withColumn(c, binary_to_hex(c))
         return df
     return read
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
+from flowlake.functions.address import address_text, binary_to_hex
 from flowlake.operators.flows import union_all
 from flowlake.operators.stats import period_stats
 
@@ -53,6 +54,8 @@ def normalize_transfers(log: DataFrame, src: TransferSource,
     ``since`` is the incremental lower bound on the event time (a literal, so
     it reaches the Parquet scan as a pushed filter).
     """
+    if dict(log.dtypes).get(src.contract_col) == "binary":
+        log = log.withColumn(src.contract_col, binary_to_hex(src.contract_col))
     contract = F.col(src.contract_col)
     rows = log.filter(contract.isin(*src.chains))
     if since is not None:
@@ -64,8 +67,8 @@ def normalize_transfers(log: DataFrame, src: TransferSource,
         F.col(src.time_col).alias("period"),
         chain.alias("blockchain"),
         (F.col(src.value_col) / F.pow(F.lit(10.0), decimals)).alias("amount"),
-        F.col(src.from_col).cast("string").alias("from"),
-        F.col(src.to_col).cast("string").alias("to"),
+        address_text(rows, src.from_col).alias("from"),
+        address_text(rows, src.to_col).alias("to"),
         F.col(src.tx_hash_col).cast("string").alias("tx_hash"),
         F.col(src.index_col).cast("bigint").alias("evt_index"),
     )

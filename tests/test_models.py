@@ -120,3 +120,16 @@ def test_tether_models(spark, tmp_dir):
     assert monthly["tron"]["tx_10000000"] == 1 and monthly["tron"]["period"] == dt.date(2024, 3, 1)
     weekly = tether_stats(norm, "week", ctx).collect()
     assert {r["period"] for r in weekly} == {dt.date(2024, 3, 4)}
+
+
+def test_binary_addresses_become_hex_text(spark, tmp_dir):
+    eth = "tether_ethereum.tether_usd_evt_transfer"
+    contract = list(D.TETHER_SOURCES[eth].chains)[0]
+    schema = ("evt_block_time timestamp, contract_address binary, value decimal(38,0), "
+              "from binary, to binary, evt_tx_hash string, evt_index long")
+    row = (dt.datetime(2024, 3, 4), bytearray.fromhex(contract[2:]), decimal.Decimal(10 ** 6),
+           bytearray.fromhex("ab" * 20), bytearray.fromhex("cd" * 20), "h", 0)
+    cat = Catalog(spark, {eth: write(spark, tmp_dir, "bin", [row], schema)})
+    out = tether_transfers(cat, eth, RunContext(as_of=dt.date(2024, 3, 5))).first()
+    assert out["from"] == "0x" + "ab" * 20 and out["to"] == "0x" + "cd" * 20
+    assert out["blockchain"] == "ethereum" and out["amount"] == pytest.approx(1.0)
