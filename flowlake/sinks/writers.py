@@ -73,10 +73,22 @@ def _swap(spark: SparkSession, stage: str, path: str) -> None:
 
 
 def write_table(spark: SparkSession, df: DataFrame, path: str,
-                partition_by: list[str] | None = None) -> DataFrame:
-    """SINK-2: full rebuild. Written completely to staging, then swapped in by
-    rename, so readers never see a half-written table and file order (e.g. a
-    sorted table) is kept."""
+                partition_by: list[str] | None = None,
+                on_table_exists: str = "rename") -> DataFrame:
+    """SINK-2: full rebuild.
+
+    ``on_table_exists='rename'`` (default): written completely to staging,
+    then swapped in by rename, so readers never see a half-written table and
+    file order (e.g. a sorted table) is kept. ``'drop'``: the old table is
+    dropped first and the new one written in place (no staging space needed;
+    readers see no table while it runs). ``df`` must not read ``path`` then.
+    """
+    if on_table_exists == "drop":
+        _remove(spark, path)
+        _writer(df, partition_by).mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    if on_table_exists != "rename":
+        raise ValueError("on_table_exists must be 'rename' or 'drop'")
     stage = _staging(spark)
     _writer(df, partition_by).mode("overwrite").parquet(stage)
     _swap(spark, stage, path)

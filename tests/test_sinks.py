@@ -120,3 +120,10 @@ def test_materialize_first_run_then_incremental(spark, tmp_dir):
     assert out.count() == 9
     materialize(spark, build, path, ctx, "delete+insert", UNIQUE_KEY, PARTITION_BY, full_refresh=True)
     assert seen[-1] is False
+
+
+def test_write_table_drop_mode(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "drop")
+    write_table(spark, tx_per_block(blocks(spark, [1, 2])), path, PARTITION_BY)
+    out = write_table(spark, tx_per_block(blocks(spark, [3])), path, PARTITION_BY, on_table_exists="drop")
+    assert {r["block_date"] for r in out.collect()} == {dt.date(2024, 1, 3)}
