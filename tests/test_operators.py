@@ -150,7 +150,7 @@ def test_approx_distinct_within_error(spark):
     from flowlake.queries import QUERIES
     approx = QUERIES["stats_weekly_approx"](spark, sf)
     from flowlake.plans.transfers import transfer_stats
-    from flowlake.queries import _normalised
+    from flowlake.queries.transfers import _normalised
     exact = transfer_stats(_normalised(spark, sf), "week", "exact", sum_scale=6)
     j = approx.alias("a").join(exact.alias("e"), ["period", "blockchain"])
     bad = j.filter((F.abs(F.col("a.senders") - F.col("e.senders")) > F.col("e.senders") * 0.05 + 3)
