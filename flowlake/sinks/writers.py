@@ -43,6 +43,15 @@ def _remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a written table with its known schema.
+
+    An empty result written with ``partitionBy`` leaves no data files, so
+    the schema cannot be inferred from the folder; the writer knows it.
+    """
+    return spark.read.schema(schema).parquet(path)
+
+
 def _staging(spark: SparkSession) -> str:
     return workspace_dir(spark, f"staging-{uuid.uuid4().hex[:8]}")
 
@@ -86,13 +95,13 @@ def write_table(spark: SparkSession, df: DataFrame, path: str,
     if on_table_exists == "drop":
         _remove(spark, path)
         _writer(df, partition_by).mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return _read(spark, path, df.schema)
     if on_table_exists != "rename":
         raise ValueError("on_table_exists must be 'rename' or 'drop'")
     stage = _staging(spark)
     _writer(df, partition_by).mode("overwrite").parquet(stage)
     _swap(spark, stage, path)
-    return spark.read.parquet(path)
+    return _read(spark, path, df.schema)
 
 
 # Above this many touched partitions the target is restricted with a semi
@@ -118,7 +127,7 @@ def _stage_batch(spark: SparkSession, batch: DataFrame,
     """Compute the batch once: checks, the rewrite and the insert all read the files."""
     stage = _staging(spark)
     _writer(batch, partition_by).mode("overwrite").parquet(stage)
-    return spark.read.parquet(stage), stage
+    return _read(spark, stage, batch.schema), stage
 
 
 def _touched(target: DataFrame, staged: DataFrame, partition_by: list[str] | None) -> DataFrame:
@@ -170,12 +179,12 @@ def _rewrite(spark: SparkSession, target: DataFrame, staged: DataFrame, path: st
     stage = _staging(spark)
     _writer(new_content, partition_by).mode("overwrite").parquet(stage)
     if partition_by:
-        (_writer(spark.read.parquet(stage), partition_by).mode("overwrite")
+        (_writer(_read(spark, stage, new_content.schema), partition_by).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(path))
         _remove(spark, stage)
     else:
         _swap(spark, stage, path)
-    return spark.read.parquet(path)
+    return _read(spark, path, new_content.schema)
 
 
 def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str],
@@ -189,7 +198,7 @@ def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key:
         _check_null_keys(staged, unique_key, null_keys)
         if not table_exists(spark, path):
             return write_table(spark, staged, path, partition_by)
-        target = spark.read.parquet(path)
+        target = _read(spark, path, staged.schema)
         return _rewrite(spark, target, staged, path, unique_key, partition_by, predicate)
     finally:
         _remove(spark, stage)
@@ -213,7 +222,7 @@ def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str
             raise ValueError(f"merge batch has several rows for one key {unique_key}")
         if not table_exists(spark, path):
             return write_table(spark, staged, path, partition_by)
-        target = spark.read.parquet(path)
+        target = _read(spark, path, staged.schema)
         return _rewrite(spark, target, staged, path, unique_key, partition_by, dest_predicate)
     finally:
         _remove(spark, stage)
@@ -232,17 +241,18 @@ def append_dedup(spark: SparkSession, batch: DataFrame, path: str, unique_key: l
     try:
         if not table_exists(spark, path):
             return write_table(spark, staged, path, partition_by)
-        target = spark.read.parquet(path)
+        target = _read(spark, path, staged.schema)
         if partition_by and set(partition_by) <= set(unique_key):
             target = _touched(target, staged, partition_by)
         if target_window is not None:
             target = target.filter(target_window)
         new_rows = staged.join(target.select(*unique_key), unique_key, "left_anti")
         out = _staging(spark)
-        _writer(new_rows.select(*target.columns), partition_by).mode("overwrite").parquet(out)
-        _writer(spark.read.parquet(out), partition_by).mode("append").parquet(path)
+        new_rows = new_rows.select(*target.columns)
+        _writer(new_rows, partition_by).mode("overwrite").parquet(out)
+        _writer(_read(spark, out, new_rows.schema), partition_by).mode("append").parquet(path)
         _remove(spark, out)
-        return spark.read.parquet(path)
+        return _read(spark, path, new_rows.schema)
     finally:
         _remove(spark, stage)
 
@@ -255,10 +265,10 @@ def compact(spark: SparkSession, path: str, partition_by: list[str] | None = Non
         df = df.filter(where)
     stage = _staging(spark)
     _writer(df, partition_by).mode("overwrite").parquet(stage)
-    (_writer(spark.read.parquet(stage), partition_by).mode("overwrite")
+    (_writer(_read(spark, stage, df.schema), partition_by).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if partition_by else "static").parquet(path))
     _remove(spark, stage)
-    return spark.read.parquet(path)
+    return _read(spark, path, df.schema)
 
 
 def materialize(spark: SparkSession, build, path: str, ctx, strategy: str = "table",

@@ -178,3 +178,21 @@ def test_tether_models_full_then_incremental(spark, tmp_dir):
     monthly = {r["blockchain"]: r for r in full["fct_tether_monthly_stats"].collect()}
     assert monthly["bnb"]["amount"] == pytest.approx((150 * 10 ** 6 + 2 * 10 ** 12) / 1e18)
     assert monthly["ethereum"]["tx_10000000"] == 1 and monthly["ethereum"]["txs"] == 2
+
+
+def test_cli_runs_the_graph_and_declared_tests(spark, tmp_dir):
+    import json
+
+    from flowlake.__main__ import main
+
+    cat = catalog(spark, os.path.join(tmp_dir, "src"), D4)
+    cat_file = os.path.join(tmp_dir, "catalog.json")
+    with open(cat_file, "w") as f:
+        json.dump(cat.paths, f)
+    out = os.path.join(tmp_dir, "out")
+    args = ["--catalog", cat_file, "--seeds", tmp_dir, "--out", out, "--as-of", str(D4),
+            "--select", "tether", "--test"]
+    assert main(args) == 0
+    assert main(args) == 0          # second run takes the incremental branch
+    monthly = spark.read.parquet(os.path.join(out, "fct_tether_monthly_stats"))
+    assert monthly.count() == 5

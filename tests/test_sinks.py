@@ -127,3 +127,12 @@ def test_write_table_drop_mode(spark, tmp_dir):
     write_table(spark, tx_per_block(blocks(spark, [1, 2])), path, PARTITION_BY)
     out = write_table(spark, tx_per_block(blocks(spark, [3])), path, PARTITION_BY, on_table_exists="drop")
     assert {r["block_date"] for r in out.collect()} == {dt.date(2024, 1, 3)}
+
+
+def test_empty_partitioned_results_round_trip(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "empty")
+    empty = spark.createDataFrame([], SCHEMA)
+    assert write_table(spark, empty, path, PARTITION_BY).count() == 0
+    assert delete_insert(spark, empty, path, UNIQUE_KEY, PARTITION_BY).count() == 0
+    out = delete_insert(spark, tx_per_block(blocks(spark, [1])), path, UNIQUE_KEY, PARTITION_BY)
+    assert out.count() == 3

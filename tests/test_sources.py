@@ -51,3 +51,10 @@ def test_catalog_aliases(spark, tmp_dir):
                   aliases={"tokens_solana.tether_solana_transfers": "tokens_solana.transfers"})
     assert cat.read("tokens_solana.tether_solana_transfers").count() == 3
     assert cat.has("tokens_solana.tether_solana_transfers") and not cat.has("x.y")
+
+
+def test_cli_arguments():
+    from flowlake.__main__ import parse_args
+    a = parse_args(["--catalog", "c.json", "--seeds", "s", "--out", "o", "--as-of", "2024-05-04",
+                    "--full-refresh", "--test"])
+    assert a.as_of == dt.date(2024, 5, 4) and a.full_refresh and a.test and a.select == "all"
