@@ -14,7 +14,7 @@ from flowlake.sinks import create_view, write_table
 from flowlake.sources import testdata as td, testdata_sql as tsql
 
 from flowlake.queries.registry import register
-from flowlake.queries.flows import DENSIFIED_SQL, EV_INC, EV_SHARES, EV_VARIANTS, EV_ZERO, _events_reader, _yield_spine_sql
+from flowlake.queries.flows import densified_sql, EV_INC, EV_SHARES, EV_VARIANTS, EV_ZERO, _events_reader
 from flowlake.queries.valuation import ROUND_VALUE_COLS, _in_list, _round, _rwa_values, _rwa_values_sql
 
 
@@ -74,21 +74,7 @@ def q_fct_rwas_sorted_table(spark, d):
 INDEX_CHAINS = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 
-def _densified_incremental_sql() -> str:
-    ws = EV_INC.window_start
-    flows = (DENSIFIED_SQL.split("WITH flows AS (", 1)[1].split(") GROUP BY 1, 2, 3)", 1)[0]
-             + ") GROUP BY 1, 2, 3")
-    return f"""WITH flows AS (
-  SELECT * FROM ({flows}) WHERE dt >= DATE '{ws}')
-SELECT s.dt, s.chain AS blockchain, s.category, s.protocol, s.token_address, s.token_name,
-  s.underlying_token_address, s.underlying_token_name,
-  round(coalesce(f.amount, 0), 6) AS daily_net_amount
-FROM ({_yield_spine_sql(ws)}) s LEFT JOIN flows f
-  ON s.dt = f.dt AND s.chain = f.chain AND s.token_address = f.token_address
-WHERE s.dt >= DATE '{ws}'"""
-
-
-@register("densified_daily_net_incremental", _densified_incremental_sql())
+@register("densified_daily_net_incremental", densified_sql(True, EV_INC.window_start))
 def q_densified_daily_net_incremental(spark, d):
     """P-9 incremental branch: lookback-bounded source reads, spine from
     greatest(start, today − 2), output filter dt ≥ trunc_day(now − 2 days)."""

@@ -8,7 +8,7 @@ from flowlake.plans.balances import detailed, rwa_values, STABLE_TOKEN_RULES, st
 from flowlake.sources import testdata as td, testdata_sql as tsql
 
 from flowlake.queries.registry import register
-from flowlake.queries.flows import DENSIFIED_SQL, RWA_DAILY_SQL, _rwa_daily, _yield_daily
+from flowlake.queries.flows import densified_sql, RWA_DAILY_SQL, _rwa_daily, _yield_daily
 from flowlake.queries.indices import FIXED_PRICE_NAMES, INDEX_UNION_SQL, PRICE_ALIASES, _index_table
 
 
@@ -39,8 +39,7 @@ LEFT JOIN ({tsql.EVENTS_PRICES}) p ON {_PRICE_JOIN}"""
 
 
 def _densified_sql(rounded: bool) -> str:
-    return DENSIFIED_SQL if rounded else DENSIFIED_SQL.replace(
-        "round(coalesce(f.amount, 0), 6)", "coalesce(f.amount, 0)")
+    return densified_sql(rounded)
 
 
 def _stable_values_sql(rounded: bool) -> str:
