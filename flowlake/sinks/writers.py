@@ -258,9 +258,12 @@ def append_dedup(spark: SparkSession, batch: DataFrame, path: str, unique_key: l
 
 
 def compact(spark: SparkSession, path: str, partition_by: list[str] | None = None,
-            where: Column | None = None) -> DataFrame:
-    """SINK-10: rewrite (some) partitions into fewer, larger files; content unchanged."""
-    df = spark.read.parquet(path)
+            where: Column | None = None, schema=None) -> DataFrame:
+    """SINK-10: rewrite (some) partitions into fewer, larger files; content unchanged.
+
+    Pass ``schema`` when the table may be empty (nothing to infer it from).
+    """
+    df = _read(spark, path, schema) if schema is not None else spark.read.parquet(path)
     if where is not None:
         df = df.filter(where)
     stage = _staging(spark)

@@ -134,5 +134,6 @@ def test_empty_partitioned_results_round_trip(spark, tmp_dir):
     empty = spark.createDataFrame([], SCHEMA)
     assert write_table(spark, empty, path, PARTITION_BY).count() == 0
     assert delete_insert(spark, empty, path, UNIQUE_KEY, PARTITION_BY).count() == 0
+    assert compact(spark, path, PARTITION_BY, schema=empty.schema).count() == 0
     out = delete_insert(spark, tx_per_block(blocks(spark, [1])), path, UNIQUE_KEY, PARTITION_BY)
     assert out.count() == 3
