@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -47,15 +47,15 @@ def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir`` (or a checkpoint dir set on
-    the context). Only when neither is set (local tests) is a private temporary
-    folder created and registered as the checkpoint dir.
+    the context) and keeps its scheme. Only a ``local[...]`` master may go
+    without one: driver and tasks then share the machine, and a private
+    temporary folder is registered as the checkpoint dir.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="flowlake-ckpt-")
-        sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
-    base = base.removeprefix("file:")
-    path = os.path.join(base, "flowlake", name or "work", uuid.uuid4().hex)
-    return path
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="flowlake-ckpt-"))
+        base = sc.getCheckpointDir()
+    return f"{base.rstrip('/')}/flowlake/{name or 'work'}/{uuid.uuid4().hex}"
