@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlake.llm.common import table
+from flowlake.llm.common import table, work_path
 from flowlake.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -15,3 +15,11 @@ __all__ = ["ORACLES", "QUERIES"]
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.bpe import encode_documents
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op5_codes")
+def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.codes import read_documents, write_codes
+    path = work_path(spark, "codes")
+    write_codes(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, path)
+    return read_documents(spark, path)
