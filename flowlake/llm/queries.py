@@ -23,3 +23,9 @@ def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "codes")
     write_codes(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, path)
     return read_documents(spark, path)
+
+
+@register("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.pii import find_personal_data
+    return find_personal_data(table(spark, sf_dir, "documents"))
