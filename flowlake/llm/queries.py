@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlake.llm.common import table, work_path
+from flowlake.llm.common import in_fold, table, work_path
 from flowlake.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -29,3 +29,12 @@ def op5_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.pii import find_personal_data
     return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@register("op4_langid")
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.langid import fit, predict
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold("doc_id", 4, 2)
+    return (predict(docs, fit(docs, ~held_out))
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans"))
