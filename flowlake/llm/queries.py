@@ -38,3 +38,34 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = in_fold("doc_id", 4, 2)
     return (predict(docs, fit(docs, ~held_out))
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_spans"))
+
+
+#: Exact components: all pairs of sets that share a shingle, then reachability.
+_OP6_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s
+  FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM items x JOIN items y ON x.item = y.item AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.other) AS component_id, min(r.other) = s.doc_id AS kept
+FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+
+@register("op6_near_duplicates", _OP6_SQL)
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
