@@ -69,3 +69,9 @@ FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.neardup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+@register("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.decontam import find_leaks
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
