@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlake.llm.common import in_fold, table, work_path
+from flowlake.llm.common import in_fold, table, work_path, written
 from flowlake.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -75,3 +76,24 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.decontam import find_leaks
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op1_fingerprints")
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_near``: for rows whose id is divisible by 100, the documents (itself
+    included) within three bits of its fingerprint; null for the others."""
+    from flowlake.llm.simhash import count_within, with_next
+    rows = written(with_next(table(spark, sf_dir, "documents")), "op1")
+    near = count_within(rows.select("fp"), rows.filter("doc_id % 100 = 0").select("fp"))
+
+    def like(x: str, y: str):
+        return 1 - F.bit_count(F.col(x).bitwiseXOR(F.col(y))) / 64
+
+    def shown(c: str):
+        return F.lpad(F.lower(F.hex(F.col(c))), 16, "0")
+
+    return (rows.join(near, "fp", "left")
+            .select("doc_id", "n_chars", "edited_sha256", shown("fp").alias("fingerprint"),
+                    shown("edited_fp").alias("edited_fingerprint"), like("fp", "edited_fp").alias("near_edited"),
+                    like("fp", "next_fp").alias("near_next"),
+                    F.when(F.col("doc_id") % 100 == 0, F.col("n_near")).alias("n_near")))
