@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +73,10 @@ def chunk_rows(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[i
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: For words as runs of letters: every ASCII byte that is not a letter parts words.
+NOT_LETTER = np.zeros(256, bool)
+NOT_LETTER[:128] = True
+NOT_LETTER[65:91] = NOT_LETTER[97:123] = False
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -116,21 +120,28 @@ class Words:
     end: np.ndarray
     hash: np.ndarray       # uint64
     bound: np.ndarray      # word range of row i: bound[i]..bound[i+1]
+    heads: list[np.ndarray] = field(default_factory=list)     # hashes of asked-for prefixes
 
     def row(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.bound) - 1), np.diff(self.bound))
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the rows data[offsets[i]:offsets[i+1]]; words never cross rows."""
+def find_words(data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = _SPACE,
+               prefixes: tuple[int, ...] = ()) -> Words:
+    """Words of the rows data[offsets[i]:offsets[i+1]]; words never cross rows.
+
+    ``blanks`` says which bytes part words.  ``prefixes`` asks for the hashes of
+    the words' first so many bytes too (0 where a word is not longer).
+    """
     base = int(offsets[0])
     data = data[base:int(offsets[-1])]
     offs = offsets - base
     n = len(data)
     empty = np.zeros(0, np.int64)
     if n == 0:
-        return Words(data, empty, empty, np.zeros(0, np.uint64), np.zeros(len(offs), np.int64))
-    blank = _SPACE[data]
+        return Words(data, empty, empty, np.zeros(0, np.uint64), np.zeros(len(offs), np.int64),
+                     [np.zeros(0, np.uint64) for _ in prefixes])
+    blank = blanks[data]
     edge = np.ones(n + 1, bool)            # a word may start at i / end before i
     edge[1:n] = blank[:-1]
     edge[offs] = True
@@ -143,7 +154,12 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_CODES[data] * up[:n], out=total[1:])
         h = mix64((total[end] - total[start]) * down[start])
-    return Words(data, start, end, h, np.searchsorted(start, offs))
+        heads = []
+        for k in prefixes:
+            at = np.minimum(start + k, n)
+            head = mix64((total[at] - total[start]) * down[start] + np.uint64(k))
+            heads.append(np.where(end - start > k, head, np.uint64(0)))
+    return Words(data, start, end, h, np.searchsorted(start, offs), heads)
 
 
 def shingle_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:

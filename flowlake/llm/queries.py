@@ -97,3 +97,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                     shown("edited_fp").alias("edited_fingerprint"), like("fp", "edited_fp").alias("near_edited"),
                     like("fp", "next_fp").alias("near_next"),
                     F.when(F.col("doc_id") % 100 == 0, F.col("n_near")).alias("n_near")))
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.toxicity import fit, score_toxicity
+    docs, held_out = table(spark, sf_dir, "documents"), in_fold("doc_id", 5, 0)
+    index = fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return score_toxicity(docs, index).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
