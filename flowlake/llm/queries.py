@@ -106,3 +106,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     return score_toxicity(docs, index).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+@register("op2_lm_score")
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.lm import score_texts
+    return score_texts(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
