@@ -112,3 +112,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.lm import score_texts
     return score_texts(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
+
+
+@register("op8_main_text")
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.pages import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages"))
