@@ -137,3 +137,68 @@ def test_empty_partitioned_results_round_trip(spark, tmp_dir):
     assert compact(spark, path, PARTITION_BY, schema=empty.schema).count() == 0
     out = delete_insert(spark, tx_per_block(blocks(spark, [1])), path, UNIQUE_KEY, PARTITION_BY)
     assert out.count() == 3
+
+
+TWO_PARTS = "k long, p string, q string, v long"
+
+
+def two_part_rows(df):
+    return sorted((r["k"], r["p"] or "", r["q"] or "", r["v"]) for r in df.collect())
+
+
+@pytest.mark.parametrize("parts", [["p"], ["p", "q"]])
+def test_null_partition_keeps_its_rows(spark, tmp_dir, parts):
+    path = os.path.join(tmp_dir, "null-part")
+    write_table(spark, spark.createDataFrame([(1, None, "x", 1), (2, None, "x", 1), (3, "a", None, 1), (4, "a", None, 1)], TWO_PARTS), path, parts)
+    batch = spark.createDataFrame([(1, None, "x", 9), (3, "a", None, 9)], TWO_PARTS)
+    out = two_part_rows(delete_insert(spark, batch, path, ["k", "p", "q"], parts, null_keys="keep"))
+    # NULL never matches: the old rows of keys 1 and 3 stay beside the new ones
+    assert out == [(1, "", "x", 1), (1, "", "x", 9), (2, "", "x", 1), (3, "a", "", 1), (3, "a", "", 9), (4, "a", "", 1)]
+
+
+def test_many_touched_partitions_keep_their_rows(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "many")
+    schema = "k long, p long"
+    write_table(spark, spark.createDataFrame([(1, i) for i in range(40)] + [(1, None)], schema), path, ["p"])
+    batch = spark.createDataFrame([(2, i) for i in range(40)] + [(2, None)], schema)
+    assert delete_insert(spark, batch, path, ["k", "p"], ["p"], null_keys="keep").count() == 82
+
+
+def test_refused_rename_keeps_the_old_table(spark, tmp_dir, monkeypatch):
+    from flowlake.sinks import writers
+
+    path = os.path.join(tmp_dir, "kept")
+    old = content(write_table(spark, tx_per_block(blocks(spark, [1, 2])), path, PARTITION_BY))
+
+    class Refusing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def rename(self, a, b):
+            return False if "-stage-" in a.toString() else self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    real = writers._move_in
+    monkeypatch.setattr(writers, "_move_in", lambda fs, *a: real(Refusing(fs), *a))
+    with pytest.raises(OSError):
+        write_table(spark, tx_per_block(blocks(spark, [3])), path, PARTITION_BY)
+    with pytest.raises(OSError):
+        delete_insert(spark, tx_per_block(blocks(spark, [2])), path, UNIQUE_KEY, PARTITION_BY)
+    assert content(spark.read.parquet(path)) == old
+    assert [f for f in os.listdir(tmp_dir) if f.startswith("_")] == []
+
+
+def test_null_keys_can_be_dropped_and_are_checked_on_the_first_run(spark, tmp_dir):
+    from flowlake.context import RunContext
+    from flowlake.sinks import materialize
+
+    rows = spark.createDataFrame([(None, dt.date(2024, 1, 1), 1), (5, dt.date(2024, 1, 1), 1)], SCHEMA)
+    out = delete_insert(spark, rows, os.path.join(tmp_dir, "d"), UNIQUE_KEY, PARTITION_BY, null_keys="drop")
+    assert content(out) == [(5, dt.date(2024, 1, 1), 1)]
+    ctx = RunContext(as_of=dt.date(2024, 1, 3), lookback_days=1)
+    path = os.path.join(tmp_dir, "first")
+    with pytest.raises(ValueError):
+        materialize(spark, lambda c: rows, path, ctx, "delete+insert", UNIQUE_KEY, PARTITION_BY)
+    assert not os.path.exists(path)
