@@ -27,6 +27,8 @@ empty folder with the schema; other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import text_buffer
+from flowlake.llm.common import chunk_rows, find_words, text_buffer
 
 SEGMENT_TOKENS = 8192
 RANK_BITS = 512
@@ -119,72 +121,92 @@ class Codes:
 class WordEncoder:
     """A library tokenizer with a memory of white-space-separated words.
 
-    The tokenizer's pre-tokenizer never joins text across ASCII white space, so
-    a text's ids are its words' ids in order; a word is encoded by the library
-    once per task.  Texts that may hold a special token's string are encoded
-    whole.  New words go to the library many at a time, parted by a control
-    character whose id cannot come from them.
+    The tokenizer's normalizer and pre-tokenizer never join text across ASCII
+    white space, so a text's ids are its words' ids in order.  A new word is
+    cut by the library's own normalizer and pre-tokenizer (an ASCII word by the
+    same pattern, directly) and its pieces go through the library's model.  Texts that may hold a special token's string are encoded whole.
     """
 
-    MARK = "\x1f"
-    REMEMBERED = 500_000
+    WORDS = 1_000_000        # remembered per task (24 bytes each) before the memory starts anew
+    PIECES = 100_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        (self.mark,) = self._encode([self.MARK])[0]
+        with open(path, encoding="utf-8") as f:
+            self.ascii_pieces = re.compile(_ascii_pattern(json.load(f))).findall
+        self.pieces: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[bytes, int] = {}
+        # words by hash (A-Z folded, as the normalizer lower-cases anyway), in order; place in offset
+        self.hash, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.offset = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _remember(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"\x1f" not in w]
-        odd = [w for w in words if b"\x1f" in w]
-        groups = [plain[i:i + 2000] for i in range(0, len(plain), 2000)]
-        joined = [f" {self.MARK} ".join(w.decode() for w in g) for g in groups]
-        parts, lengths = [self.ids], []
-        for g, ids in zip(groups, self._encode(joined)):
-            ids = np.array(ids, np.int32)
-            cut = np.flatnonzero(ids == self.mark)
-            if len(cut) != len(g) - 1:
-                raise ValueError("the tokenizer joins text across white space")
-            lengths.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
-            parts.append(np.delete(ids, cut))
-        for ids in self._encode([w.decode() for w in odd]):
-            lengths.append(np.array([len(ids)]))
-            parts.append(np.array(ids, np.int32))
-        for w in plain + odd:
-            self.place[w] = len(self.place)
-        self.ids = np.concatenate(parts)
-        ends = self.offset[-1] + np.cumsum(np.concatenate(lengths))
-        self.offset = np.concatenate([self.offset, ends])
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
-        if len(self.place) > self.REMEMBERED:
+    def _cut(self, word: str) -> list[str]:
+        """Pieces of one word, in the byte alphabet of the model."""
+        if word.isascii() and word.isprintable():
+            return self.ascii_pieces(word.lower())
+        word = self.library.normalizer.normalize_str(word)
+        return [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(word)]
+
+    def _remember(self, words: list[bytes], hashes: np.ndarray) -> None:
+        known, model = self.pieces, self.library.model
+        flat, lengths = [], []
+        for w in words:
+            n = len(flat)
+            for piece in self._cut(w.decode()):
+                ids = known.get(piece)
+                if ids is None:
+                    if len(known) >= self.PIECES:
+                        known.clear()
+                    ids = known[piece] = [t.id for t in model.tokenize(piece)]
+                flat += ids
+            lengths.append(len(flat) - n)
+        first = len(self.offset) - 1
+        self.ids = np.concatenate([self.ids, np.array(flat, np.int32)])
+        self.offset = np.concatenate([self.offset, self.offset[-1] + np.cumsum(lengths, dtype=np.int64)])
+        at = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, at, hashes)
+        self.place = np.insert(self.place, at, first + np.arange(len(words)))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts data[offsets[i]:offsets[i + 1]]."""
+        words = find_words(data, offsets)
+        if len(self.hash) > self.WORDS:
             self._forget()
-        place = self.place
-        new = list({w for ws in words for w in ws if w not in place})
-        if new:
-            self._remember(new)
-        out = []
-        for t, ws in zip(texts, words):
-            if b"<|" in t:
-                out.append(np.array(self._encode([t.decode()])[0], np.int32))
-                continue
-            pick = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
-            length = self.offset[pick + 1] - self.offset[pick]
-            total = np.cumsum(length)
-            n = int(total[-1]) if len(total) else 0
-            out.append(self.ids[np.arange(n) + np.repeat(self.offset[pick] - (total - length), length)])
+        distinct, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, distinct)
+        new = np.append(self.hash, np.uint64(0))[at] != distinct
+        new[at == len(self.hash)] = True
+        raw = words.data.tobytes()
+        if new.any():
+            spans = zip(words.start[first[new]].tolist(), words.end[first[new]].tolist())
+            self._remember([raw[s:e] for s, e in spans], distinct[new])
+            at = np.searchsorted(self.hash, distinct)
+        pick = self.place[at][back] if len(back) else np.zeros(0, np.int64)
+        length = self.offset[pick + 1] - self.offset[pick]
+        total = np.concatenate([[0], np.cumsum(length)])
+        flat = self.ids[np.arange(total[-1]) + np.repeat(self.offset[pick] - total[:-1], length)]
+        cut = total[words.bound]
+        out = [flat[a:b] for a, b in zip(cut[:-1], cut[1:])]
+        if b"<|" in raw:
+            begin = (offsets - offsets[0]).tolist()
+            for i, (a, b) in enumerate(zip(begin[:-1], begin[1:])):
+                if b"<|" in raw[a:b]:
+                    ids = self.library.encode(raw[a:b].decode(), add_special_tokens=False).ids
+                    out[i] = np.array(ids, np.int32)
         return out
 
 
+def _ascii_pattern(spec: dict) -> str:
+    """The tokenizer's split pattern with its letter and number classes cut to ASCII."""
+    (split,) = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
+    if not split["invert"] or split["behavior"] != "Removed":
+        raise ValueError("the pre-tokenizer must keep what its pattern matches")
+    return split["pattern"]["Regex"].replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+
+
 def write_codes(docs: DataFrame, tokenizer: str, end_id: int, path: str,
                 id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id`` and write segments in doc_id order.
@@ -211,10 +233,8 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, path: str,
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
             doc_ids = batch.column("doc_id").to_pylist()
-            for lo in range(0, len(doc_ids), 256):
-                hi = min(lo + 256, len(doc_ids))
-                texts = [data[offsets[i]:offsets[i + 1]].tobytes() for i in range(lo, hi)]
-                for doc_id, x in zip(doc_ids[lo:hi], encoder.encode(texts)):
+            for lo, hi in chunk_rows(offsets):
+                for doc_id, x in zip(doc_ids[lo:hi], encoder.encode(data, offsets[lo:hi + 1])):
                     names.append(doc_id)
                     ids.append(np.append(x, end_id))
                     size += len(x) + 1
