@@ -82,6 +82,21 @@ def declared(model: str, df: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+def null_counts(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """(test, n_failed) of several not-null tests ({test: column}) in one scan."""
+    counts = df.agg(*(F.count_if(F.col(c).isNull()).alias(t) for t, c in names.items()))
+    rows = F.array(*(F.struct(F.lit(t).alias("test"), F.col(t).alias("n_failed")) for t in names))
+    return counts.select(F.explode(rows).alias("r")).select("r.test", "r.n_failed")
+
+
 def run_declared(model: str, df: DataFrame) -> DataFrame:
-    """(test, n_failed) for every declared test of ``model``."""
-    return summary(declared(model, df))
+    """(test, n_failed) for every declared test of ``model``: all not-null tests share a scan."""
+    nulls = {f"not_null_{model}_{arg}": arg for kind, arg in DECLARED_TESTS[model] if kind == "not_null"}
+    others = {t: fails for t, fails in declared(model, df).items() if t not in nulls}
+    parts = [null_counts(df, nulls)] if nulls else []
+    if others:
+        parts.append(summary(others))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -43,10 +43,10 @@ def build_session(master: str | None = None, app: str = "flowlake",
     return spark
 
 
-def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh sub-folder of the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession) -> str:
+    """This package's folder in the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir`` (or a checkpoint dir set on
+    It comes from ``spark.checkpoint.dir`` (or a checkpoint dir set on
     the context) and keeps its scheme. Only a ``local[...]`` master may go
     without one: driver and tasks then share the machine, and a private
     temporary folder is registered as the checkpoint dir.
@@ -58,4 +58,9 @@ def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="flowlake-ckpt-"))
         base = sc.getCheckpointDir()
-    return f"{base.rstrip('/')}/flowlake/{name or 'work'}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/flowlake"
+
+
+def workspace_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh sub-folder of the shared folder."""
+    return f"{shared_dir(spark)}/{name or 'work'}/{uuid.uuid4().hex}"

@@ -1,54 +1,54 @@
 """An incremental model run as a stream.
 
-The source warehouse handles late data by re-reading a lookback window on
-every scheduled run and upserting the result. The streaming equivalent keeps
-the per-key aggregate in the state store, bounds that state with a
-watermark (the lookback), emits only the keys a micro-batch changed
-(``update`` mode) and upserts them into the Parquet target in
-``foreachBatch``. The checkpoint lives in the cluster's shared checkpoint
-folder, so a restarted driver or lost executor resumes from the last
-committed batch; re-running a batch rewrites the same values (idempotent).
+The source warehouse handles late data by re-reading a lookback window on every
+scheduled run and upserting the result. The streaming equivalent lets each
+micro-batch say which days it touches, re-reads those days from the source
+folder and replaces them in the target. No row is too late: a day is counted
+again from all its files whenever one of its rows arrives. Replaying a batch
+writes the same values (idempotent). The checkpoint lives in the cluster's
+shared checkpoint folder under a name made from source and target, so a
+restarted driver resumes after the last committed batch.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowlake.plans.blocks import PARTITION_BY, UNIQUE_KEY
-from flowlake.session import workspace_dir
-from flowlake.sinks.writers import merge
+from flowlake.plans.blocks import PARTITION_BY, UNIQUE_KEY, tx_per_block
+from flowlake.session import shared_dir
+from flowlake.sinks.writers import delete_insert
 
 
-def upsert_stream(spark: SparkSession, updates: DataFrame, target: str, unique_key: list[str],
-                  partition_by: list[str] | None, checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
-    """Write a streaming aggregate's updated rows into ``target`` with MERGE semantics."""
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            merge(spark, batch, target, unique_key, partition_by)
+def _blocks(rows: DataFrame, time_col: str) -> DataFrame:
+    """One block per hour of ``time_col`` (NULL times belong to no block)."""
+    return rows.filter(F.col(time_col).isNotNull()).select(
+        F.date_format(time_col, "yyyyMMddHH").cast("bigint").alias("block_number"),
+        F.to_date(time_col).alias("block_date"))
 
-    writer = (updates.writeStream.outputMode("update").foreachBatch(upsert)
-              .option("checkpointLocation", checkpoint or workspace_dir(spark, "stream-checkpoint")))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
 
+def stream_tx_per_block(spark: SparkSession, source: str, schema, target: str,
+                        time_col: str = "ts", checkpoint: str | None = None,
+                        available_now: bool = True) -> StreamingQuery:
+    """Transactions per block kept up to date as files arrive."""
+    if checkpoint is None:
+        name = hashlib.sha256(f"{source}\n{target}".encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark)}/stream-checkpoint/{name}"
 
-def stream_tx_per_block(spark: SparkSession, source: str, schema: str, target: str,
-                        time_col: str = "ts", lateness: str = "2 days",
-                        checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Transactions per block (one block per hour of ``time_col``) kept up to date as files arrive.
-
-    ``lateness`` is the watermark delay: rows later than that are dropped, as
-    rows older than the lookback window are never re-read by a batch run.
-    """
-    rows = spark.readStream.schema(schema).parquet(source)
-    # Watermarks need TIMESTAMP; with the session in UTC the cast keeps the wall clock.
-    rows = rows.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, lateness)
-    per_hour = rows.groupBy(F.window(time_col, "1 hour").alias("w")).agg(
-        F.count(F.lit(1)).alias("total_tx_per_block"))
-    updates = per_hour.select(
-        F.date_format("w.start", "yyyyMMddHH").cast("bigint").alias("block_number"),
-        F.to_date("w.start").alias("block_date"), "total_tx_per_block")
-    return upsert_stream(spark, updates, target, UNIQUE_KEY, PARTITION_BY, checkpoint, available_now)
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        # one row per day of the batch: the days are the partitions to replace
+        days = [r["d"] for r in batch.select(F.to_date(time_col).alias("d")).distinct().collect() if r["d"] is not None]
+        if not days:
+            return
+        rows = spark.read.schema(batch.schema).parquet(source)
+        rows = rows.filter((F.col(time_col) >= F.lit(min(days)).cast("timestamp_ntz"))
+                           & (F.to_date(time_col).isin(*days)))
+        delete_insert(spark, tx_per_block(_blocks(rows, time_col)), target, UNIQUE_KEY, PARTITION_BY)
+
+    writer = (spark.readStream.schema(schema).parquet(source).writeStream
+              .foreachBatch(upsert).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
