@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.functions.address import canonical_token
+
 
 def expand_price_keys(prices: DataFrame, token: str, aliases: dict[str, str],
                       out: str = "_lookup") -> DataFrame:
@@ -38,8 +40,13 @@ def price_lookup(balances: DataFrame, prices: DataFrame, keys: list[str],
                  token: str = "token_address", price: str = "price_usd",
                  aliases: dict[str, str] | None = None,
                  out: str = "price_usd") -> DataFrame:
-    """balances ⟕ prices on keys + token (with substitutes); adds column ``out``."""
-    p = expand_price_keys(prices.select(*keys, token, price), token, aliases or {})
+    """balances ⟕ prices on keys + token (with substitutes); adds column ``out``.
+
+    Price tokens may be varbinary or hex text in any case; balances hold
+    canonical text.
+    """
+    canonical = prices.select(*keys, canonical_token(prices, token).alias(token), price)
+    p = expand_price_keys(canonical, token, aliases or {})
     p = p.select(*keys, F.col("_lookup").alias(token), F.col(price).alias("_price"))
     return balances.join(p, on=[*keys, token], how="left").withColumnRenamed("_price", out)
 

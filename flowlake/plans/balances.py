@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.classify import ordered_like
@@ -64,26 +64,23 @@ def stable_values(daily: DataFrame, index: DataFrame, prices: DataFrame,
     ).withColumn("value_usd", F.col("price_usd") * F.col("balance")).select(*VALUE_COLUMNS)
 
 
-def detailed(stables: DataFrame, rwas: DataFrame, as_of: dt.date,
-             floor: dt.date = DETAIL_FLOOR, rules=None) -> DataFrame:
+def detailed(stables: DataFrame, rwas: DataFrame, floor: dt.date = DETAIL_FLOOR, rules=None) -> DataFrame:
     """P-34: union, daily USD total, stable-token class, date floor.
 
-    The daily total is a window over the fact rows partitioned by day, so the
-    union is evaluated once (a separate aggregate joined back would evaluate it
-    twice). Fact rows are one per token per day, so a day partition holds at
-    most one row per token and never grows with event volume. ``amount`` is
-    the balance (the source selects a column its inputs do not have; the
-    balance is the only sensible reading).
+    The daily total is a grouped sum (combined map-side, one row per day) joined
+    back, so no task gathers a day. Both inputs are read twice: pass written
+    tables, as the model graph does. ``amount`` is the balance (the source selects
+    a column its inputs do not have; the balance is the only sensible reading).
     """
     both = union_all([stables.select(*VALUE_COLUMNS), rwas.select(*VALUE_COLUMNS)])
-    both = both.filter((F.col("dt") >= F.lit(floor)) & (F.col("dt") <= F.lit(as_of)))
-    total = F.sum(F.coalesce(F.col("value_usd"), F.lit(0.0))).over(Window.partitionBy("dt"))
+    both = both.filter(F.col("dt") >= F.lit(floor))
+    totals = both.groupBy("dt").agg(F.sum(F.coalesce(F.col("value_usd"), F.lit(0.0))).alias("value_usd_total"))
     stable_token = F.when(F.col("category") == "rwa", F.lit(None).cast("string")).otherwise(
         ordered_like("token_name", rules or STABLE_TOKEN_RULES, "Others"))
-    return both.select(
+    return both.join(totals, "dt", "left").select(
         "blockchain", "dt", "protocol", "category", "token_name",
         stable_token.alias("stable_token"), "token_address",
-        F.col("balance").alias("amount"), "value_usd", total.alias("value_usd_total"))
+        F.col("balance").alias("amount"), "value_usd", "value_usd_total")
 
 
 def sorted_for_write(df: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ Order follows the ``ref()`` edges: daily flows → indices → fact tables →
 detail table, and per-chain transfers → weekly / monthly stats. Every model
 is written to ``out_dir/<model>`` with the strategy, unique key and
 partitioning of the source model; downstream models read the written tables,
-which cuts the lineage at each hop (as the warehouse does) and lets a failed
-run resume from the last finished model.
+which cuts the lineage at each hop (as the warehouse does). A run that failed is
+started again from the first model; the incremental strategies make that repeat
+itself without changing what was already written.
 """
 
 from __future__ import annotations
@@ -25,22 +26,24 @@ from flowlake.sources.seeds import Seed
 
 @dataclass(frozen=True)
 class ModelConfig:
+    """``on_table_exists`` is how a full rebuild replaces the table."""
     strategy: str
     unique_key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    on_table_exists: str = "rename"
 
 
 # Materialization of each model in the source project.
 MODELS = {
     "dbt_yielding_evm_stablecoins": ModelConfig("delete+insert", ("dt", "blockchain", "token_address"),
-                                                ("dt", "blockchain")),
+                                                ("dt", "blockchain"), on_table_exists="drop"),
     "dbt_yielding_evm_rwas": ModelConfig("delete+insert", ("dt", "blockchain", "token_address"),
                                          ("dt", "blockchain")),
     "dbt_yielding_spl_rwas": ModelConfig("delete+insert", ("dt", "token_address"), ("dt",)),
-    "int_yielding_indices": ModelConfig("table"),
-    "fct_yielding_evm_stablecoins": ModelConfig("table"),
-    "fct_yielding_rwas": ModelConfig("table"),
-    "fct_yielding_detailed": ModelConfig("table"),
+    "int_yielding_indices": ModelConfig("table", on_table_exists="drop"),
+    "fct_yielding_evm_stablecoins": ModelConfig("table", on_table_exists="drop"),
+    "fct_yielding_rwas": ModelConfig("table", on_table_exists="drop"),
+    "fct_yielding_detailed": ModelConfig("table", on_table_exists="drop"),
     "dbt_tether": ModelConfig("delete+insert", ("dt", "tx_hash", "evt_index"), ("dt",)),
     "fct_tether_weekly_stats": ModelConfig("delete+insert", ("period", "blockchain")),
     "fct_tether_monthly_stats": ModelConfig("delete+insert", ("period", "blockchain")),
@@ -52,7 +55,7 @@ def _run(spark: SparkSession, name: str, build, out_dir: str, ctx: RunContext,
     cfg = MODELS[name]
     return materialize(spark, build, f"{out_dir}/{table or name}", ctx, cfg.strategy,
                        list(cfg.unique_key) or None, list(cfg.partition_by) or None,
-                       full_refresh=full_refresh)
+                       full_refresh=full_refresh, on_table_exists=cfg.on_table_exists)
 
 
 def run_yield_models(spark: SparkSession, catalog: Catalog, yield_tokens: Seed,
@@ -76,13 +79,15 @@ def run_yield_models(spark: SparkSession, catalog: Catalog, yield_tokens: Seed,
     prices = catalog.read(D.TOKEN_PRICES)
     stables = sorted_for_write(M.fct_stables(out["dbt_yielding_evm_stablecoins"],
                                              out["int_yielding_indices"], prices))
-    out["fct_yielding_evm_stablecoins"] = write_table(
-        spark, stables, f"{out_dir}/fct_yielding_evm_stablecoins")
+    out["fct_yielding_evm_stablecoins"] = write_table(spark, stables, f"{out_dir}/fct_yielding_evm_stablecoins",
+        on_table_exists=MODELS["fct_yielding_evm_stablecoins"].on_table_exists)
     rwas = sorted_for_write(M.fct_rwas(out["dbt_yielding_evm_rwas"], prices))
-    out["fct_yielding_rwas"] = write_table(spark, rwas, f"{out_dir}/fct_yielding_rwas")
+    out["fct_yielding_rwas"] = write_table(spark, rwas, f"{out_dir}/fct_yielding_rwas",
+        on_table_exists=MODELS["fct_yielding_rwas"].on_table_exists)
     detail = sorted_for_write(M.fct_detailed(out["fct_yielding_evm_stablecoins"],
-                                             out["fct_yielding_rwas"], ctx))
-    out["fct_yielding_detailed"] = write_table(spark, detail, f"{out_dir}/fct_yielding_detailed")
+                                             out["fct_yielding_rwas"]))
+    out["fct_yielding_detailed"] = write_table(spark, detail, f"{out_dir}/fct_yielding_detailed",
+        on_table_exists=MODELS["fct_yielding_detailed"].on_table_exists)
     return out
 
 

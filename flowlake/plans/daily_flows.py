@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
-from flowlake.functions.amounts import action_sign_value, signed_by_zero_address, touches_zero
+from flowlake.functions.address import ZERO_ADDRESS, address_in, raw_name
+from flowlake.functions.amounts import action_sign_value, signed_by_zero_address
 from flowlake.operators.flows import index_scaled_flow, net_flow, union_all
 from flowlake.operators.spine import calendar_spine, dedup_tokens, densify
 
@@ -73,7 +74,8 @@ def _prepare(df: DataFrame, spec: FlowSpec, ctx: RunContext | None,
         cols.append(F.lit(spec.chain).alias("chain"))
     elif "chain" in df.columns:
         cols.append(F.col("chain"))
-    keep = {value_col, spec.from_col, spec.to_col, "index", "balanceIncrease", "action"}
+    keep = {value_col, spec.from_col, spec.to_col, "index", "balanceIncrease", "action",
+            raw_name(spec.from_col), raw_name(spec.to_col)}
     cols += [F.col(c) for c in df.columns if c in keep and c not in ("chain",)]
     if ctx is not None and ctx.incremental:
         # A literal bound on a physical column of the source, so it reaches the
@@ -97,8 +99,9 @@ def _join_tokens(df: DataFrame, tokens: DataFrame | None, spec: FlowSpec) -> Dat
         "token_decimals", "start_date")
     cond = F.col("token_address") == F.col("_tk_address")
     if spec.join == "chain_address":
-        if "chain" in df.columns:
-            cond = cond & (F.col("chain") == F.col("_tk_chain"))
+        if "chain" not in df.columns:
+            raise ValueError(f"flow {spec.name!r} joins on chain, but its source has no chain column")
+        cond = cond & (F.col("chain") == F.col("_tk_chain"))
     elif spec.join == "address_fixed_chain":
         cond = cond & (F.col("_tk_chain") == F.lit(spec.chain))
     if spec.since_start:
@@ -123,9 +126,13 @@ def _signed_rows(spec: FlowSpec, read: Callable[[str], DataFrame],
             out.append(df.select(*[c for c in ("dt", "token_address", "chain") if c in df.columns],
                                  (v if sign > 0 else -v).alias("_v")))
         return union_all(out)
-    rows = union_all([_prepare(read(s), spec, ctx, spec.value_col) for s in spec.sources])
+    parts = [_prepare(read(s), spec, ctx, spec.value_col) for s in spec.sources]
+    if spec.kind == "zero_address":
+        # on the stored columns, source by source: the filter reaches each scan
+        parts = [p.filter(address_in(p, spec.from_col, [ZERO_ADDRESS]) | address_in(p, spec.to_col, [ZERO_ADDRESS]))
+                 .drop(raw_name(spec.from_col), raw_name(spec.to_col)) for p in parts]
+    rows = union_all(parts)
     if spec.kind == "zero_address":
-        rows = rows.filter(touches_zero(spec.from_col, spec.to_col))
         signed = signed_by_zero_address(spec.value_col, spec.from_col, spec.to_col)
     else:
         signed = action_sign_value(spec.value_col, "action")

@@ -94,10 +94,11 @@ SKY_DRIP = "sky_ethereum.susds_evt_drip"
 SKY_UNDERLYING = "0xdc035d45d973e3ec169d2276ddab16f1e407384f"
 MAKER_DRIP_CALL = "maker_ethereum.pot_call_drip"
 MAKER_UNDERLYING = "0x6b175474e89094c44da98b954eedeac495271d0f"
-COMPOUND_V3_MARKETS = "steakhouse.result_compound_v3_markets_data"
-MORPHO_VAULTS = "steakhouse.result_morpho_vaults_data"
-TOKEN_PRICES = "steakhouse.result_token_price"
+COMPOUND_V3_MARKETS = "curated.compound_v3_markets"
+MORPHO_VAULTS = "curated.morpho_vaults"
+TOKEN_PRICES = "curated.token_price"
 
+# (curated.* are names of this package; a catalog maps them to the deployment's tables)
 # Prices. Tokens priced at 1 USD by name, and one substitute
 # token priced with another token's price.
 FIXED_PRICE_NAMES = ["BUIDL", "BUIDL-I", "BENJI", "WTGXX"]

@@ -23,14 +23,16 @@ INDEX_COLUMNS = ["chain", "protocol", "contract_address", "underlying_token_addr
 def daily_index(updates: DataFrame, protocol: str, value: str, ray: float = 1e27,
                 chain: str | None = None, chains: list[str] | None = None,
                 underlying: str | Column = "reserve", date_col: str = "evt_block_date",
-                time_col: str = "evt_block_time", tiebreak: str | None = None,
+                time_col: str = "evt_block_time", tiebreak: str | tuple[str, ...] | None = None,
                 success_col: str | None = None) -> DataFrame:
     """max_by(value / ray, time) per (chain, contract, underlying, day).
 
     ``chain``: literal chain (single-chain source); ``chains``: keep only these
     chains of a multichain source; ``underlying``: a column name or a literal
     column (savings-rate contracts have a fixed underlying token);
-    ``success_col``: keep only successful calls (call traces).
+    ``success_col``: keep only successful calls (call traces); ``tiebreak``: columns
+    that order updates of one time, as far as the source has them. The value itself
+    decides last, so equal times give the same index in any layout.
     """
     rows = updates
     if chains:
@@ -44,11 +46,12 @@ def daily_index(updates: DataFrame, protocol: str, value: str, ray: float = 1e27
         F.col(date_col).alias("dt"), F.col(time_col).alias("_t"),
         (F.col(value).cast("double") / F.lit(ray)).alias("_v"),
     ]
-    if tiebreak:
-        cols.append(F.col(tiebreak).alias("_tb"))
+    order = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak or ())
+    cols.append(F.struct(*[F.col(c) for c in order if c in rows.columns],
+                         F.col(value).cast("double").alias("_value")).alias("_tb"))
     keyed = rows.select(*cols)
     out = last_of_day(keyed, ["chain", "contract_address", "underlying_token_address", "dt"],
-                      "_v", "_t", tiebreak="_tb" if tiebreak else None, out="index")
+                      "_v", "_t", tiebreak="_tb", out="index")
     return out.withColumn("protocol", F.lit(protocol)).select(*INDEX_COLUMNS)
 
 

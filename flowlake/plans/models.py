@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
-from flowlake.functions.address import binary_to_hex, canonical_address
+from flowlake.functions.address import binary_to_hex, canonical_address, raw_name
 from flowlake.plans import defaults as D
 from flowlake.plans.balances import detailed, rwa_values, stable_values
 from flowlake.plans.daily_flows import all_flows, rwa_daily, rwa_spine, yield_daily, yield_spine
@@ -29,17 +29,29 @@ HEX_SOURCE_COLUMNS = ("contract_address", "from", "to", "owner_", "recipient_",
                       "vault_address", "asset_address", "token_address")
 
 
+# What orders events and calls of one block.
+EVENT_ORDER = ("evt_block_number", "evt_index")
+CALL_ORDER = ("call_block_number", "call_tx_index", "call_trace_address")
+
+
 def hex_reader(catalog: Catalog):
-    """Read a source with EVM address columns canonicalised (lower-case text)."""
+    """Read a source with EVM address columns canonicalised (lower-case text).
+
+    The stored form stays beside each as ``_raw_<column>`` when a filter on it can
+    reach the scan: varbinary always, text if the catalog says that the source
+    stores canonical text.
+    """
     def read(name: str) -> DataFrame:
         df = catalog.read(name)
-        types = dict(df.dtypes)
-        for c in HEX_SOURCE_COLUMNS:
-            if types.get(c) == "string":
-                df = df.withColumn(c, canonical_address(c))
-            elif types.get(c) == "binary":
-                df = df.withColumn(c, binary_to_hex(c))
-        return df
+        out = []
+        for c, kind in df.dtypes:
+            if c not in HEX_SOURCE_COLUMNS or kind not in ("string", "binary"):
+                out.append(F.col(c))
+                continue
+            out.append((canonical_address(c) if kind == "string" else binary_to_hex(c)).alias(c))
+            if kind == "binary" or catalog.stores_canonical(name):
+                out.append(F.col(c).alias(raw_name(c)))
+        return df.select(*out)
     return read
 
 
@@ -84,17 +96,18 @@ def yield_indices(catalog: Catalog, tokens: Seed, ctx: RunContext,
         tokens = dedupe_seed(tokens, ["chain", "token_address"])
     read = hex_reader(catalog)
     idx = [
-        daily_index(read(D.AAVE_V2_INDEX), "aave-v2", "liquidityIndex"),
+        daily_index(read(D.AAVE_V2_INDEX), "aave-v2", "liquidityIndex", tiebreak=EVENT_ORDER),
         daily_index(read(D.AAVE_V3_INDEX), "aave-v3", "liquidityIndex",
-                    chains=D.AAVE_V3_INDEX_CHAINS),
+                    chains=D.AAVE_V3_INDEX_CHAINS, tiebreak=EVENT_ORDER),
         daily_index(read(D.AAVE_V3_L2_INDEX), "aave-v3", "liquidityIndex",
-                    chains=D.AAVE_V3_L2_INDEX_CHAINS),
-        daily_index(read(D.AAVE_V3_PLASMA_INDEX), "aave-v3", "liquidityIndex", chain="plasma"),
+                    chains=D.AAVE_V3_L2_INDEX_CHAINS, tiebreak=EVENT_ORDER),
+        daily_index(read(D.AAVE_V3_PLASMA_INDEX), "aave-v3", "liquidityIndex", chain="plasma",
+                    tiebreak=EVENT_ORDER),
         daily_index(read(D.SKY_DRIP), "sky", "chi", chain="ethereum",
-                    underlying=F.lit(D.SKY_UNDERLYING)),
+                    underlying=F.lit(D.SKY_UNDERLYING), tiebreak=EVENT_ORDER),
         daily_index(read(D.MAKER_DRIP_CALL), "sky", "output_tmp", chain="ethereum",
                     underlying=F.lit(D.MAKER_UNDERLYING), date_col="call_block_date",
-                    time_col="call_block_time", success_col="call_success"),
+                    time_col="call_block_time", success_col="call_success", tiebreak=CALL_ORDER),
     ]
     filled = filled_token_index(tokens.df, idx, ctx, join_on=join_on)
     markets = market_index(read(D.COMPOUND_V3_MARKETS), tokens.broadcast())
@@ -120,9 +133,9 @@ def fct_stables(daily: DataFrame, indices: DataFrame, prices: DataFrame,
                          category_mode=category_mode)
 
 
-def fct_detailed(stables: DataFrame, rwas: DataFrame, ctx: RunContext) -> DataFrame:
+def fct_detailed(stables: DataFrame, rwas: DataFrame) -> DataFrame:
     """fct_yielding_detailed: both fact tables, daily total, stable-token class."""
-    return detailed(stables, rwas, ctx.as_of)
+    return detailed(stables, rwas)
 
 
 def tether_transfers(catalog: Catalog, source: str, ctx: RunContext) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.context import RunContext
-from flowlake.functions.address import address_text, binary_to_hex
+from flowlake.functions.address import address_in, address_text, binary_to_hex
 from flowlake.operators.flows import union_all
 from flowlake.operators.stats import period_stats
 
@@ -54,10 +54,10 @@ def normalize_transfers(log: DataFrame, src: TransferSource,
     ``since`` is the incremental lower bound on the event time (a literal, so
     it reaches the Parquet scan as a pushed filter).
     """
+    rows = log.filter(address_in(log, src.contract_col, list(src.chains)))
     if dict(log.dtypes).get(src.contract_col) == "binary":
-        log = log.withColumn(src.contract_col, binary_to_hex(src.contract_col))
+        rows = rows.withColumn(src.contract_col, binary_to_hex(src.contract_col))
     contract = F.col(src.contract_col)
-    rows = log.filter(contract.isin(*src.chains))
     if since is not None:
         rows = rows.filter(F.col(src.time_col) >= F.lit(since))
     chain = _case_by_contract(contract, {k: v[0] for k, v in src.chains.items()})
@@ -85,7 +85,6 @@ def all_transfers(normalised: list[DataFrame], since: dt.date | None = None) ->
 
 def transfer_stats(normalised: list[DataFrame], unit: str, distinct: str,
                    ctx: RunContext | None = None, rsd: float = 0.01,
-                   sum_scale: int | None = None,
                    edges: list[float] | None = None) -> DataFrame:
     """Weekly (``unit='week'``, approximate distinct) or monthly (exact) statistics.
 
@@ -94,4 +93,4 @@ def transfer_stats(normalised: list[DataFrame], unit: str, distinct: str,
     """
     since = ctx.period_start(unit) if (ctx is not None and ctx.incremental) else None
     return period_stats(all_transfers(normalised, since), unit, edges=edges,
-                        distinct=distinct, rsd=rsd, sum_scale=sum_scale)
+                        distinct=distinct, rsd=rsd)

@@ -14,7 +14,7 @@ from flowlake.sinks import create_view, write_table
 from flowlake.sources import testdata as td, testdata_sql as tsql
 
 from flowlake.queries.registry import register
-from flowlake.queries.flows import densified_sql, EV_INC, EV_SHARES, EV_VARIANTS, EV_ZERO, _events_reader
+from flowlake.queries.flows import densified_sql, ev_inc, WINDOW_START, EV_SHARES, EV_VARIANTS, EV_ZERO, _events_reader
 from flowlake.queries.valuation import ROUND_VALUE_COLS, _in_list, _round, _rwa_values, _rwa_values_sql
 
 
@@ -74,13 +74,14 @@ def q_fct_rwas_sorted_table(spark, d):
 INDEX_CHAINS = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 
-@register("densified_daily_net_incremental", densified_sql(True, EV_INC.window_start))
+@register("densified_daily_net_incremental", densified_sql(True, WINDOW_START))
 def q_densified_daily_net_incremental(spark, d):
     """P-9 incremental branch: lookback-bounded source reads, spine from
     greatest(start, today − 2), output filter dt ≥ trunc_day(now − 2 days)."""
     read, ev = _events_reader(spark, d)
-    flows = all_flows([EV_ZERO, EV_SHARES, EV_VARIANTS], read, td.events_tokens(ev), EV_INC)
-    out = yield_daily(yield_spine(td.events_token_seed(ev), EV_INC), flows, EV_INC)
+    ctx = ev_inc(ev)
+    flows = all_flows([EV_ZERO, EV_SHARES, EV_VARIANTS], read, td.events_tokens(ev), ctx)
+    out = yield_daily(yield_spine(td.events_token_seed(ev), ctx), flows, ctx)
     return out.withColumn("daily_net_amount", F.round("daily_net_amount", 6))
 
 

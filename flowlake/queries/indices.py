@@ -16,7 +16,7 @@ from flowlake.sources import testdata as td, testdata_sql as tsql
 from flowlake.sources.seeds import seed_from_rows
 
 from flowlake.queries.registry import register
-from flowlake.queries.flows import EV_FULL, _yield_spine_sql
+from flowlake.queries.flows import ev_full, _yield_spine_sql
 
 
 # ------------------------------------------------------------ indices
@@ -42,36 +42,47 @@ def _daily_index_sql(event_type: str | None) -> str:
 FROM ({tsql.events_index_log(event_type)}) GROUP BY chain, contract_address, reserve, evt_block_date"""
 
 
-FFILL_SQL = f"""SELECT s.dt, s.chain AS blockchain, s.protocol, s.token_address,
-  coalesce(i."index", last_value(i."index" IGNORE NULLS) OVER (
-    PARTITION BY s.chain, s.protocol, s.token_address ORDER BY s.dt)) AS "index"
-FROM ({_yield_spine_sql()}) s LEFT JOIN ({_daily_index_sql('view')}) i
-  ON s.dt = i.dt AND s.protocol = i.protocol AND s.chain = i.chain AND s.token_address = i.contract_address"""
-
-UNIVERSE_SQL = f"""SELECT DISTINCT blockchain, vault_address FROM ({tsql.EVENTS_VAULTS})
-WHERE dt = (SELECT max(dt) FROM ({tsql.EVENTS_VAULTS}))
-  AND supply_usd >= {VAULT_MIN_SUPPLY} AND token_symbol LIKE '{VAULT_SYMBOL_PATTERN}'"""
-
-VAULT_HISTORY_SQL = f"""SELECT v.dt, v.blockchain, 'morpho-v1' AS protocol, v.vault_address,
-  v.share_price_usd AS "index"
-FROM ({tsql.EVENTS_VAULTS}) v JOIN ({UNIVERSE_SQL}) m USING (blockchain, vault_address)"""
-
-_MKT_SEED_SQL = tsql.values_table(td.ORDERS_MARKET_SEED, tsql.YIELD_SEED_COLS,
-                                  ("token_address", "underlying_token_address"))
-MARKET_SQL = f"""SELECT c.period AS dt, c.blockchain, 'compound-v3' AS protocol, t.token_address,
-  c.asset_address, c.supply_index AS "index"
-FROM ({tsql.ORDERS_MARKETS}) c JOIN ({_MKT_SEED_SQL}) t
-  ON c.asset_address = t.underlying_token_address AND c.blockchain = t.chain
-  AND t.protocol = 'compound-v3'"""
-
-INDEX_UNION_SQL = f"""SELECT dt, blockchain, protocol, token_address, "index" FROM ({MARKET_SQL})
-UNION ALL SELECT dt, blockchain, protocol, vault_address, "index" FROM ({VAULT_HISTORY_SQL})
-UNION ALL SELECT dt, blockchain, protocol, token_address, "index" FROM ({FFILL_SQL})"""
+# the latest reading that fell on a calendar day of the token, up to each day
+FFILL_SQL = f"""WITH calendar AS ({_yield_spine_sql()}),
+known AS (
+  SELECT reading.* FROM ({_daily_index_sql('view')}) reading
+  WHERE reading."index" IS NOT NULL AND EXISTS (
+    SELECT 1 FROM calendar WHERE calendar.dt = reading.dt AND calendar.chain = reading.chain
+      AND calendar.protocol = reading.protocol AND calendar.token_address = reading.contract_address))
+SELECT calendar.dt, calendar.chain AS blockchain, calendar.protocol, calendar.token_address, known."index"
+FROM calendar ASOF LEFT JOIN known
+  ON known.chain = calendar.chain AND known.protocol = calendar.protocol
+  AND known.contract_address = calendar.token_address AND calendar.dt >= known.dt"""
+
+UNIVERSE_SQL = f"""WITH snap AS ({tsql.EVENTS_VAULTS})
+SELECT blockchain, vault_address FROM snap
+WHERE supply_usd >= {VAULT_MIN_SUPPLY} AND token_symbol LIKE '{VAULT_SYMBOL_PATTERN}'
+  AND NOT EXISTS (SELECT 1 FROM snap later WHERE later.dt > snap.dt)
+GROUP BY ALL"""
+
+VAULT_HISTORY_SQL = f"""SELECT past.dt, past.blockchain, 'morpho-v1' AS protocol, past.vault_address,
+  past.share_price_usd AS "index"
+FROM ({tsql.EVENTS_VAULTS}) past
+WHERE EXISTS (SELECT 1 FROM ({UNIVERSE_SQL}) chosen
+              WHERE chosen.vault_address = past.vault_address AND chosen.blockchain = past.blockchain)"""
+
+MARKET_SQL = f"""SELECT market.period AS dt, market.blockchain, 'compound-v3' AS protocol, listed.token_address,
+  market.asset_address, market.supply_index AS "index"
+FROM (SELECT chain, token_address, underlying_token_address
+      FROM ({tsql.values_table(td.ORDERS_MARKET_SEED, tsql.YIELD_SEED_COLS, ("token_address", "underlying_token_address"))})
+      WHERE protocol = 'compound-v3') listed, ({tsql.ORDERS_MARKETS}) market
+WHERE listed.chain = market.blockchain AND listed.underlying_token_address = market.asset_address"""
+
+_SERIES = 'dt, blockchain, protocol, token_address, "index"'
+INDEX_UNION_SQL = f"""WITH filled AS (SELECT {_SERIES} FROM ({FFILL_SQL})),
+vault AS (SELECT * RENAME (vault_address AS token_address) FROM ({VAULT_HISTORY_SQL})),
+market AS (SELECT {_SERIES} FROM ({MARKET_SQL}))
+FROM filled SELECT {_SERIES} UNION ALL (FROM vault SELECT {_SERIES}) UNION ALL (FROM market SELECT {_SERIES})"""
 
 
 def _filled(spark, d):
     ev = td.read(spark, d, "events")
-    return filled_token_index(td.events_token_seed(ev), [_ev_daily_index(ev, "view")], EV_FULL)
+    return filled_token_index(td.events_token_seed(ev), [_ev_daily_index(ev, "view")], ev_full(ev))
 
 
 def _vaults(spark, d):

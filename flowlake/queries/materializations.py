@@ -134,6 +134,35 @@ def q_inc_null_key_dup(spark, d):
     return delete_insert(spark, batch, path, UNIQUE_KEY, PARTITION_BY, null_keys="keep")
 
 
+_TWO_PARTS = """SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN event_type <> 'error' THEN event_type END AS kind, {value} AS v
+FROM events"""
+
+
+@register("inc_null_partition", f"""WITH old AS ({_TWO_PARTS.format(value="0")}),
+batch AS ({_TWO_PARTS.format(value="1")} WHERE event_id % 3 = 0)
+SELECT * FROM batch UNION ALL SELECT * FROM old
+WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch.event_id = old.event_id AND batch.day = old.day AND batch.kind = old.kind)""")
+def q_inc_null_partition(spark, d):
+    """SINK-4 / SINK-8: two partition columns, one of them NULL for some rows, whose old rows stay."""
+    path = workspace_dir(spark, "inc_null_partition")
+    ev = td.read(spark, d, "events").select(
+        "event_id", F.to_date("ts").alias("day"),
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"))
+    write_table(spark, ev.withColumn("v", F.lit(0)), path, ["day", "kind"])
+    batch = ev.filter("event_id % 3 = 0").withColumn("v", F.lit(1))
+    out = delete_insert(spark, batch, path, ["event_id", "day", "kind"], ["day", "kind"], null_keys="keep")
+    return out.select("event_id", "day", "kind", "v")
+
+
+@register("table_drop_mode", f"""SELECT block_number, block_date, count(1) AS total_tx_per_block
+FROM ({tsql.EVENTS_BLOCKS}) GROUP BY 1, 2""")
+def q_table_drop_mode(spark, d):
+    """SINK-2 with on_table_exists='drop': the old table goes before the new one is written."""
+    path = workspace_dir(spark, "table_drop_mode")
+    _first_run(spark, d, path)
+    return write_table(spark, tx_per_block(_blocks(spark, d)), path, PARTITION_BY, on_table_exists="drop")
+
+
 @register("compact_partitions", _T1_SQL)
 def q_compact_partitions(spark, d):
     """SINK-10: many small files per partition rewritten into few; content unchanged."""
@@ -148,7 +177,7 @@ def q_compact_partitions(spark, d):
 @register("stream_tx_per_block", f"""SELECT block_number, block_date, count(1) AS total_tx_per_block
 FROM ({tsql.EVENTS_BLOCKS}) GROUP BY 1, 2""")
 def q_stream_tx_per_block(spark, d):
-    """P-39 as a stream: watermarked hourly counts upserted into the Parquet target."""
+    """P-39 as a stream: the days a micro-batch touches are counted again and replaced."""
     target = workspace_dir(spark, "stream_tx_per_block")
     schema = td.read(spark, d, "events").schema
     q = stream_tx_per_block(spark, f"{d}/events*.parquet", schema, target)

@@ -78,7 +78,7 @@ def q_transfer_normalize_alt_schema(spark, d):
 @register("stats_monthly_exact", _stats_sql("month"))
 def q_stats_monthly_exact(spark, d):
     """P-38: union of chains → monthly stats with exact distinct counts."""
-    return transfer_stats(_normalised(spark, d), "month", "exact", sum_scale=6)
+    return transfer_stats(_normalised(spark, d), "month", "exact")
 
 
 @register("stats_weekly_approx")
@@ -88,4 +88,4 @@ def q_stats_weekly_approx(spark, d):
     No SQL oracle (sketches differ between engines); tests compare with the
     exact counts within the error bound.
     """
-    return transfer_stats(_normalised(spark, d), "week", "approx", rsd=0.01, sum_scale=6)
+    return transfer_stats(_normalised(spark, d), "week", "approx", rsd=0.01)

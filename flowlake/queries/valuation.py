@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from flowlake.plans.balances import detailed, rwa_values, STABLE_TOKEN_RULES, stable_values
+from flowlake.session import workspace_dir
+from flowlake.sinks import write_table
 from flowlake.sources import testdata as td, testdata_sql as tsql
 
 from flowlake.queries.registry import register
@@ -18,57 +20,63 @@ def _in_list(names: list[str]) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
-_ALIAS_SUB, _ALIAS_SRC = next(iter(PRICE_ALIASES.items()))
-_PRICE_JOIN = f"""ab.blockchain = p.blockchain AND ab.dt = p.dt AND (
-    (ab.token_address = '{_ALIAS_SUB}' AND p.token_address = '{_ALIAS_SRC}')
-    OR ab.token_address = p.token_address)"""
+# each price answers for its own token, and one more time for the token it stands in for
+QUOTES_SQL = f"""SELECT blockchain, dt, token_address, price_usd AS quote FROM ({tsql.EVENTS_PRICES})
+""" + "".join(f"""UNION ALL SELECT blockchain, dt, '{sub}', price_usd FROM ({tsql.EVENTS_PRICES}) WHERE token_address = '{src}'
+""" for sub, src in PRICE_ALIASES.items())
 
 
 def _r(expr: str, rounded: bool) -> str:
     return f"round({expr}, 6)" if rounded else expr
 
 
+def _valued_sql(daily_sql: str, category: str, rounded: bool, index_sql: str | None = None) -> str:
+    """Balance so far, the first known of fixed price, yield index and quote, and their product."""
+    known = [f"CASE WHEN holding.token_name IN ({_in_list(FIXED_PRICE_NAMES)}) THEN 1.0 END"]
+    lookups = ""
+    if index_sql:
+        known.append('yield_index."index"')
+        lookups += f"LEFT JOIN ({index_sql}) yield_index USING (dt, blockchain, protocol, token_address)\n"
+    known.append("market.quote")
+    lookups += f"LEFT JOIN ({QUOTES_SQL}) market USING (dt, blockchain, token_address)"
+    return f"""WITH holding AS (
+  SELECT * EXCLUDE (daily_net_amount), sum(daily_net_amount) OVER day_by_day AS balance FROM ({daily_sql})
+  WINDOW day_by_day AS (PARTITION BY blockchain, token_address ORDER BY dt)),
+priced AS (SELECT holding.*, coalesce({', '.join(known)}) AS price_usd FROM holding
+{lookups})
+SELECT blockchain, dt, protocol, {category} AS category, token_name, token_address,
+  {_r('balance', rounded)} AS balance, price_usd, {_r('price_usd * balance', rounded)} AS value_usd FROM priced"""
+
+
 def _rwa_values_sql(rounded: bool) -> str:
-    price = f"CASE WHEN ab.token_name IN ({_in_list(FIXED_PRICE_NAMES)}) THEN 1.0 ELSE p.price_usd END"
-    return f"""SELECT ab.blockchain, ab.dt, ab.protocol, 'rwa' AS category, ab.token_name,
-  ab.token_address, {_r('ab.balance', rounded)} AS balance, {price} AS price_usd,
-  {_r(f'({price}) * ab.balance', rounded)} AS value_usd
-FROM (SELECT *, sum(daily_net_amount) OVER (PARTITION BY blockchain, token_address ORDER BY dt) AS balance
-      FROM ({RWA_DAILY_SQL})) ab
-LEFT JOIN ({tsql.EVENTS_PRICES}) p ON {_PRICE_JOIN}"""
+    return _valued_sql(RWA_DAILY_SQL, "'rwa'", rounded)
 
 
 def _densified_sql(rounded: bool) -> str:
     return densified_sql(rounded)
 
 
-def _stable_values_sql(rounded: bool) -> str:
-    price = (f"CASE WHEN ab.token_name IN ({_in_list(FIXED_PRICE_NAMES)}) THEN 1.0 "
-             f"WHEN i.\"index\" IS NOT NULL THEN i.\"index\" ELSE p.price_usd END")
-    return f"""SELECT ab.blockchain, ab.dt, ab.protocol, ab.category, ab.token_name,
-  ab.token_address, {_r('ab.balance', rounded)} AS balance, {price} AS price_usd,
-  {_r(f'({price}) * ab.balance', rounded)} AS value_usd
-FROM (SELECT *, sum(daily_net_amount) OVER (PARTITION BY blockchain, token_address ORDER BY dt) AS balance
-      FROM ({_densified_sql(False)})) ab
-LEFT JOIN ({INDEX_UNION_SQL}) i ON ab.blockchain = i.blockchain AND ab.protocol = i.protocol
-  AND ab.dt = i.dt AND ab.token_address = i.token_address
-LEFT JOIN ({tsql.EVENTS_PRICES}) p ON {_PRICE_JOIN}"""
+def _stable_values_sql(rounded: bool, category: str = "category") -> str:
+    return _valued_sql(_densified_sql(False), category, rounded, INDEX_UNION_SQL)
+
 
+def _stable_class_sql() -> str:
+    """First matching name pattern, for tokens that are not real-world assets."""
+    patterns = ", ".join(f"('{pattern}', '{label}', {i})" for i, (pattern, label) in enumerate(STABLE_TOKEN_RULES))
+    return f"""CASE WHEN category <> 'rwa' OR category IS NULL THEN coalesce((
+    SELECT arg_min(rule.label, rule.place) FROM (VALUES {patterns}) rule(pattern, label, place)
+    WHERE lower(token_name) LIKE rule.pattern), 'Others') END"""
 
-def _classifier_sql() -> str:
-    arms = " ".join(f"WHEN lower(sr.token_name) LIKE '{p}' THEN '{l}'" for p, l in STABLE_TOKEN_RULES)
-    return f"CASE WHEN sr.category = 'rwa' THEN NULL {arms} ELSE 'Others' END"
 
+def _detailed_sql(category: str) -> str:
+    """``category``: the stable facts' category expression."""
+    return f"""WITH fact AS (
+  FROM ({_rwa_values_sql(False)}) UNION ALL FROM ({_stable_values_sql(False, category)})),
+day_total AS (SELECT dt, sum(value_usd) AS total FROM fact GROUP BY dt)
+SELECT blockchain, dt, protocol, category, token_name, {_stable_class_sql()} AS stable_token, token_address,
+  round(balance, 6) AS amount, round(value_usd, 6) AS value_usd, round(coalesce(total, 0), 6) AS value_usd_total
+FROM fact JOIN day_total USING (dt) WHERE dt >= DATE '2020-01-01'"""
 
-DETAILED_SQL = f"""WITH stable_rwa AS (
-  SELECT * FROM ({_stable_values_sql(False)})
-  UNION ALL SELECT * FROM ({_rwa_values_sql(False)})),
-agg AS (SELECT dt, sum(coalesce(value_usd, 0)) AS value_usd_total FROM stable_rwa GROUP BY 1)
-SELECT sr.blockchain, sr.dt, sr.protocol, sr.category, sr.token_name, {_classifier_sql()} AS stable_token,
-  sr.token_address, round(sr.balance, 6) AS amount, round(sr.value_usd, 6) AS value_usd,
-  round(ag.value_usd_total, 6) AS value_usd_total
-FROM stable_rwa sr LEFT JOIN agg ag USING (dt)
-WHERE dt >= DATE '2020-01-01'"""
 
 ROUND_VALUE_COLS = ["balance", "value_usd"]
 
@@ -83,10 +91,17 @@ def _rwa_values(spark, d):
                       PRICE_ALIASES)
 
 
-def _stable_values(spark, d):
+def _stable_values(spark, d, category_mode="carry"):
     ev = td.read(spark, d, "events")
     return stable_values(_yield_daily(spark, d), _index_table(spark, d), td.events_daily_prices(ev),
-                         FIXED_PRICE_NAMES, PRICE_ALIASES, category_mode="carry")
+                         FIXED_PRICE_NAMES, PRICE_ALIASES, category_mode=category_mode)
+
+
+def _detailed(spark, d, category_mode: str):
+    """The detail table over written fact tables (two reads of each are cheap)."""
+    facts = [write_table(spark, facts, workspace_dir(spark, name)) for name, facts in
+             (("fct_stables", _stable_values(spark, d, category_mode)), ("fct_rwas", _rwa_values(spark, d)))]
+    return _round(detailed(*facts), ["amount", "value_usd", "value_usd_total"])
 
 
 @register("running_balance", f"""SELECT blockchain, dt, category, protocol, token_name, token_address,
@@ -114,8 +129,19 @@ def q_price_override_value(spark, d):
     return _round(_stable_values(spark, d), ROUND_VALUE_COLS)
 
 
-@register("detailed_with_totals", DETAILED_SQL)
+@register("price_override_value_default", _stable_values_sql(True, "'rwa'"))
+def q_price_override_value_default(spark, d):
+    """P-33 as the source has it: every row is labelled 'rwa'."""
+    return _round(_stable_values(spark, d, "reference"), ROUND_VALUE_COLS)
+
+
+@register("detailed_with_totals", _detailed_sql("category"))
 def q_detailed_with_totals(spark, d):
     """P-34: union of both fact tables, daily USD total, stable-token class, date floor."""
-    out = detailed(_stable_values(spark, d), _rwa_values(spark, d), td.EVENTS_AS_OF)
-    return _round(out, ["amount", "value_usd", "value_usd_total"])
+    return _detailed(spark, d, "carry")
+
+
+@register("detailed_default", _detailed_sql("'rwa'"))
+def q_detailed_default(spark, d):
+    """P-34 over the default category: no row has a stable-token class."""
+    return _detailed(spark, d, "reference")

@@ -17,6 +17,8 @@ class Catalog:
     spark: SparkSession
     paths: dict[str, str] = field(default_factory=dict)
     aliases: dict[str, str] = field(default_factory=dict)
+    # sources whose text addresses are stored as canonical lower-case text
+    canonical_text: set[str] = field(default_factory=set)
 
     def path(self, name: str) -> str:
         name = self.aliases.get(name, name)
@@ -31,5 +33,8 @@ class Catalog:
             return self.spark.read.parquet(p)
         return self.spark.table(p)
 
+    def stores_canonical(self, name: str) -> bool:
+        return name in self.canonical_text or self.aliases.get(name, name) in self.canonical_text
+
     def has(self, name: str) -> bool:
         return self.aliases.get(name, name) in self.paths

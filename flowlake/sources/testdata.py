@@ -27,7 +27,6 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 # Fixed values of the bindings.
-EVENTS_AS_OF = dt.date(2024, 1, 30)
 ORDERS_AS_OF = dt.date(2001, 8, 1)
 EVENTS_CHAIN = "evm"
 EVENTS_PROTOCOL = "events"
@@ -79,6 +78,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events_as_of(events: DataFrame) -> dt.date:
+    """The last event day: "today" of the events world (an empty table has none)."""
+    return events.agg(F.max(F.to_date("ts")).alias("d")).first()["d"] or dt.date(1970, 1, 1)
+
+
 def padded_address(col: Column, fill: str = "0", prefix: str = "0x") -> Column:
     """An id rendered as a 40-character address-like string."""
     return F.concat(F.lit(prefix), F.lpad(col.cast("string"), 42 - len(prefix), fill))

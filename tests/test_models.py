@@ -133,3 +133,73 @@ def test_binary_addresses_become_hex_text(spark, tmp_dir):
     out = tether_transfers(cat, eth, RunContext(as_of=dt.date(2024, 3, 5))).first()
     assert out["from"] == "0x" + "ab" * 20 and out["to"] == "0x" + "cd" * 20
     assert out["blockchain"] == "ethereum" and out["amount"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("form", ["binary", "checksum", "lower"])
+def test_prices_of_any_address_form_give_the_same_values(spark, form):
+    from flowlake.operators.pricing import price_lookup
+
+    address = "0x00000000000000000000000000000000000000ab"
+    held = spark.createDataFrame([("evm", dt.date(2024, 1, 1), address)], "blockchain string, dt date, token_address string")
+    stored = {"binary": bytes.fromhex(address[2:]), "checksum": "0x" + address[2:].upper(), "lower": address}[form]
+    kind = "binary" if form == "binary" else "string"
+    prices = spark.createDataFrame([("evm", dt.date(2024, 1, 1), stored, 2.5)],
+                                   f"blockchain string, dt date, token_address {kind}, price_usd double")
+    assert [r["price_usd"] for r in price_lookup(held, prices, ["blockchain", "dt"]).collect()] == [2.5]
+
+
+@pytest.mark.parametrize("kind", ["binary", "string"])
+def test_address_filters_reach_the_scan(spark, tmp_dir, kind):
+    from flowlake.functions.address import ZERO_ADDRESS
+    from flowlake.plans.daily_flows import FlowSpec, flow_from_spec
+    from flowlake.plans.models import hex_reader
+    from flowlake.plans.transfers import TransferSource, normalize_transfers
+    from flowlake.sources.catalog import Catalog
+
+    def stored(a):
+        return bytes.fromhex(a[2:]) if kind == "binary" else a
+
+    token, holder = "0x" + "ab" * 20, "0x" + "cd" * 20
+    rows = [(dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), stored(token), stored(ZERO_ADDRESS), stored(holder), 5, b"h", 1),
+            (dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), stored(token), stored(holder), stored(holder), 7, b"h", 2)]
+    path = tmp_dir + "/log"
+    spark.createDataFrame(rows, f"evt_block_date date, evt_block_time timestamp, contract_address {kind}, `from` {kind}, `to` {kind}, "
+                                "value long, evt_tx_hash binary, evt_index long").write.parquet(path)
+    read = hex_reader(Catalog(spark, {"log": path}, canonical_text={"log"}))
+    spec = FlowSpec("f", "zero_address", ("log",), chain="evm", scale=1.0)
+    flow = flow_from_spec(spec, read, None)
+    normal = normalize_transfers(read("log"), TransferSource({token: ("evm", 0)}))
+    for df in (flow, normal):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters: ["):].split("]")[0]
+        assert len(pushed) > len("PushedFilters: ["), plan
+    assert [r["amount"] for r in flow.collect()] == [5.0]
+    assert normal.count() == 2
+
+
+def test_equal_timestamps_give_one_index_in_any_layout(spark):
+    from flowlake.plans.indices import daily_index
+
+    rows = [("evm", "0xa", "0xb", dt.date(2024, 1, 1), dt.datetime(2024, 1, 1), i, (i * 7) % 40) for i in range(40)]
+    df = spark.createDataFrame(rows, "chain string, contract_address string, reserve string, evt_block_date date, "
+                                     "evt_block_time timestamp, evt_index long, liquidityIndex long")
+    for tiebreak, expected in ((("evt_block_number", "evt_index"), (39 * 7) % 40), (None, 39)):
+        got = {daily_index(df.repartition(n), "p", "liquidityIndex", ray=1.0, tiebreak=tiebreak).collect()[0]["index"] for n in (1, 3, 7)}
+        assert got == {float(expected)}
+
+
+def test_group_totals_above_the_bigint_range(spark):
+    from flowlake.operators.stats import period_stats
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), "c", 6e18, "a", "b")] * 2, "dt date, blockchain string, amount double, `from` string, `to` string")
+    assert period_stats(df, "month").collect()[0]["amount"] == 1.2e19
+
+
+def test_a_flow_that_joins_on_chain_needs_a_chain(spark):
+    from flowlake.plans.daily_flows import FlowSpec, flow_from_spec
+
+    log = spark.createDataFrame([(dt.date(2024, 1, 1), "0xa", "mint", 5)], "evt_block_date date, contract_address string, action string, value long")
+    tokens = spark.createDataFrame([("evm", "0xa", 0, dt.date(2024, 1, 1), "p")], "chain string, token_address string, token_decimals int, start_date date, protocol string")
+    spec = FlowSpec("f", "action", ("log",), join="chain_address")
+    with pytest.raises(ValueError):
+        flow_from_spec(spec, {"log": log}.__getitem__, tokens)

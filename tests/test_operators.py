@@ -130,7 +130,7 @@ def test_bucket_edges_half_open_and_empty_sum_null(spark):
     amounts = [-5.0, 99.99, 100.0, 1000.0, 10000.0, 100000.0, 1000000.0, 5e7]
     df = spark.createDataFrame([(D1, "eth", a, f"s{i}", "r") for i, a in enumerate(amounts)],
                                "dt date, blockchain string, amount double, from string, to string")
-    out = period_stats(df, "month", sum_scale=6).collect()[0]
+    out = period_stats(df, "month").collect()[0]
     assert out["txs"] == 8 and out["senders"] == 8 and out["receivers"] == 1
     assert [out[f"tx_{b}"] for b in (100, 1000, 10000, 100000, 1000000, 10000000)] == [2, 1, 1, 1, 1, 2]
     assert out["amt_100"] == pytest.approx(94.99)
@@ -151,7 +151,7 @@ def test_approx_distinct_within_error(spark):
     approx = QUERIES["stats_weekly_approx"](spark, sf)
     from flowlake.plans.transfers import transfer_stats
     from flowlake.queries.transfers import _normalised
-    exact = transfer_stats(_normalised(spark, sf), "week", "exact", sum_scale=6)
+    exact = transfer_stats(_normalised(spark, sf), "week", "exact")
     j = approx.alias("a").join(exact.alias("e"), ["period", "blockchain"])
     bad = j.filter((F.abs(F.col("a.senders") - F.col("e.senders")) > F.col("e.senders") * 0.05 + 3)
                    | (F.abs(F.col("a.receivers") - F.col("e.receivers")) > F.col("e.receivers") * 0.05 + 3)
