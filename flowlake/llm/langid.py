@@ -173,8 +173,12 @@ class Labeller:
     def __init__(self, model: Model):
         self.model = model
 
-    def rows(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per text: word spans (bytes), label per word, letters per word."""
+    def rows(self, column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+        """Per text: word starts and ends (bytes), label, letters and scores per word."""
+        if not self.model.languages:
+            for _ in range(len(column)):
+                yield (np.zeros(0, np.int64),) * 4 + (np.zeros((0, 0)),)
+            return
         data, offsets = text_buffer(column)
         for lo, hi in chunk_rows(offsets, 4 << 20):
             words = find_words(data, offsets[lo:hi + 1])
