@@ -49,7 +49,7 @@ def period_stats(transfers: DataFrame, unit: str, edges: list[float] | None = No
     amount = F.col(amount_col)
 
     def total(x: Column) -> Column:
-        return F.sum(x.cast(EXACT)).cast("double")
+        return F.sum(x).cast("double")
 
     if distinct == "exact":
         senders, receivers = F.countDistinct(from_col), F.countDistinct(to_col)
@@ -61,16 +61,16 @@ def period_stats(transfers: DataFrame, unit: str, edges: list[float] | None = No
 
     buckets = bucket_conditions(amount, edges or DEFAULT_EDGES)
     measures = [
-        total(amount).alias("amount"),
+        total(F.col("_exact")).alias("amount"),
         F.count(F.lit(1)).alias("txs"),
         senders.alias("senders"),
         receivers.alias("receivers"),
         *[F.count(F.when(cond, F.lit(1))).alias(f"tx_{label}") for label, cond in buckets],
-        *[total(F.when(cond, amount)).alias(f"amt_{label}") for label, cond in buckets],
+        *[total(F.when(cond, F.col("_exact"))).alias(f"amt_{label}") for label, cond in buckets],
     ]
     return (transfers
             .select(period_start(date_col, unit).alias("period"),
-                    F.col(chain_col).alias("blockchain"), amount,
+                    F.col(chain_col).alias("blockchain"), amount, amount.cast(EXACT).alias("_exact"),
                     F.col(from_col).cast("string").alias(from_col),
                     F.col(to_col).cast("string").alias(to_col))
             .groupBy("period", "blockchain")
