@@ -72,7 +72,52 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
-@register("op3_decontamination")
+def _op3_sql() -> str:
+    """The same templates, windows and slot checks, with all windows of all texts joined by their words."""
+    from flowlake.llm import decontam as d
+
+    def lines(table_: str, key: str) -> str:
+        return f"""SELECT {key} AS id, text,
+  regexp_replace(coalesce(text, ''), '{d.NUMBER}', ' 0 ', 'g') AS numbered,
+  lower(regexp_replace(numbered, '{d.NAME}', '\\1 1 ', 'g')) AS named,
+  regexp_extract_all(regexp_replace(named, '{d.UNIT}', '0 2 \\2', 'g'), '{d.WORD}') AS w
+FROM {table_}"""
+
+    def values(source: str) -> str:
+        """Each slot place with its kind and value."""
+        pick = f"""CASE kind WHEN '0' THEN regexp_extract_all(text, '{d.NUMBER}')[ordinal]
+    WHEN '1' THEN regexp_extract_all(numbered, '{d.NAME}', 2)[ordinal]
+    ELSE regexp_extract_all(named, '{d.UNIT}', 1)[ordinal] END"""
+        return f"""SELECT id, place, kind || ':' || {pick} AS v FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, kind ORDER BY place) AS ordinal FROM (
+    SELECT id, text, numbered, named, unnest(w) AS kind, unnest(range(1, len(w) + 1)) AS place FROM {source})
+  WHERE kind IN ('0', '1', '2'))"""
+
+    def windows(source: str, size: str) -> str:
+        return f"""SELECT id, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: {{'at': i, 'words': w[i:i + size - 1]}}), recursive := true)
+FROM (SELECT *, {size} AS size FROM {source})"""
+
+    whole = d.K + d.STRIDE - 1
+    return f"""WITH doc AS ({lines('documents', 'doc_id')}), item AS (SELECT * FROM ({lines('benchmark', 'item_id')}) WHERE len(w) > 0),
+item_window AS ({windows('item', f'CASE WHEN len(w) < {whole} THEN len(w) ELSE {d.K} END')}),
+doc_window AS ({windows(f'(SELECT doc.*, asked FROM doc, (SELECT DISTINCT size AS asked FROM item_window))', 'asked')}),
+hit AS (SELECT d.id AS doc_id, i.id AS item_id, d.at AS doc_at, i.at AS item_at, i.size
+  FROM doc_window d JOIN item_window i ON d.size = i.size AND d.words = i.words),
+pair AS (SELECT doc_id, item_id, count(DISTINCT item_at) AS n_matched, any_value(size) AS size FROM hit
+  GROUP BY ALL HAVING bool_or(doc_at % {d.STRIDE} = 1) OR any_value((SELECT len(w) FROM item WHERE item.id = item_id)) < {whole}),
+met AS (SELECT DISTINCT hit.doc_id, hit.item_id, iv.v AS iv, dv.v AS dv
+  FROM hit, unnest(range(0, hit.size)) AS step(j), ({values('item')}) iv, ({values('doc')}) dv
+  WHERE iv.id = hit.item_id AND iv.place = hit.item_at + j AND dv.id = hit.doc_id AND dv.place = hit.doc_at + j
+    AND iv.v IS NOT NULL AND dv.v IS NOT NULL),
+slot AS (SELECT doc_id, item_id, avg(CAST(n = 1 AS DOUBLE)) AS share
+  FROM (SELECT doc_id, item_id, iv, count(*) AS n FROM met GROUP BY ALL) GROUP BY ALL)
+SELECT pair.doc_id, pair.item_id, n_matched, CAST(len(item.w) - pair.size + 1 AS BIGINT) AS n_windows,
+  n_matched / n_windows AS coverage, coalesce(slot.share, 1.0) AS consistency
+FROM pair JOIN item ON item.id = pair.item_id LEFT JOIN slot USING (doc_id, item_id)
+WHERE n_matched / n_windows >= {d.LEAST_COVERAGE} AND coalesce(slot.share, 1.0) >= {d.LEAST_CONSISTENCY}"""
+
+
+@register("op3_decontamination", _op3_sql())
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.decontam import find_leaks
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
