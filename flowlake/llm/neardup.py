@@ -8,13 +8,15 @@
    prefix is MIN_DEPTH or more.  Among many rows with that prefix the nearest
    ones share longer prefixes, so the depth grows where a region is crowded.
 3. Links are confirmed on full shingle sets.  First the few closest neighbours
-   per node are tested and contracted to components; then every pair of an
-   order within WINDOW places that still joins two components is tested.  In a
-   crowd of near copies this spans the crowd without testing all its pairs.
+   per node are tested and contracted to components, then the most alike within
+   NEAR places; last, every pair of an order within WINDOW places that still
+   joins two components.  In a crowd of near copies this spans the crowd without
+   testing all its pairs.
 
 A pair at the threshold 0.8 shares a prefix of 4 in one order with probability
 0.41, so all 25 orders miss it with probability 2e-6.  A signature filter lets
-pairs pass whose estimate is at most 6 standard deviations below the threshold.
+pairs pass whose estimate is at most 5 standard deviations below the threshold
+(a true link fails it with probability 3e-7).
 The orders are range-partitioned by tree, prefix and node, so that a crowded
 prefix spreads over tasks; a task keeps the last WINDOW rows only.  (The few
 pairs of one order that a partition border parts are left to the other orders.)
@@ -43,12 +45,13 @@ from pyspark.sql import functions as F
 from flowlake.llm.common import chunk_rows, find_words, mix64, shingle_hashes, text_buffer, written
 from flowlake.llm.graph import components
 
-HASHES = 128
+HASHES = 256
 TREES = 25
 ROTATE = 5                 # tree t starts at hash 5 t: the first five are its own
 KEY_HASHES = 12            # length of a sort key, in hashes
 MIN_DEPTH = 4
-WINDOW = 16
+NEAR = 4                   # places looked at in round 2
+WINDOW = 48                # and in round 3
 CLOSEST = 3                # neighbours per node tested first
 BLOOM_BITS = 1 << 23
 
@@ -96,41 +99,68 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
     return source.mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary")
 
 
+def _rows(column: pa.Array, dtype: str) -> np.ndarray:
+    """A binary column of equally long values as a matrix, without an object per value."""
+    n = len(column)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    return data.view(dtype).reshape(n, -1)
+
+
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as a binary column."""
+    data = np.ascontiguousarray(matrix)
+    width = data.shape[1] * data.itemsize
+    offsets = np.arange(len(data) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 # ---------------------------------------------------------------- the forest
 
-def _orders(nodes: DataFrame) -> DataFrame:
-    """One row per node and tree, in tree and prefix order. nodes: node, sig, root."""
+def _orders(nodes: DataFrame, signed: bool = False) -> DataFrame:
+    """One row per node and tree, in tree and prefix order. nodes: node, sig, root.
+
+    ``signed`` rows carry the low byte of each hash, to judge pairs in place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), ">u2").reshape(-1, HASHES)
+            if not batch.num_rows:
+                continue
+            sig = _rows(batch.column("sig"), ">u2")
+            short = _binary((sig & 255).astype(np.uint8)) if signed else pa.nulls(len(sig), pa.binary())
             turned = np.concatenate([sig, sig[:, :KEY_HASHES]], axis=1)
             for t in range(TREES):
-                part = np.ascontiguousarray(turned[:, t * ROTATE:t * ROTATE + KEY_HASHES])
-                keys = [r.tobytes() for r in part]
+                keys = _binary(turned[:, t * ROTATE:t * ROTATE + KEY_HASHES])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(sig), t, np.int32)), pa.array(keys, pa.binary()), batch.column("node"), batch.column("root")],
-                    ["tree", "key", "node", "root"])
+                    [pa.array(np.full(len(sig), t, np.int32)), keys, batch.column("node"), batch.column("root"), short],
+                    ["tree", "key", "node", "root", "short"])
 
-    rows = nodes.select("node", "sig", "root").mapInArrow(run, "tree int, key binary, node long, root long")
+    rows = nodes.select("node", "sig", "root").mapInArrow(run, "tree int, key binary, node long, root long, short binary")
     return rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
 
-def _neighbours(orders: DataFrame, window: int) -> DataFrame:
-    """Pairs (a < b) of different roots within ``window`` places whose common prefix is MIN_DEPTH or more."""
+def _neighbours(orders: DataFrame, window: int, least: float | None = None) -> DataFrame:
+    """Pairs (a < b) of different roots within ``window`` places whose common prefix is MIN_DEPTH or more.
+
+    With ``least`` (signed orders) only pairs whose short signatures agree so far.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, key = np.zeros(0, np.int32), np.zeros((0, KEY_HASHES), np.uint16)
         node, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        short = np.zeros((0, HASHES), np.uint8)
         for batch in batches:
             if not batch.num_rows:
                 continue
             old = len(node)
-            fresh = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u2").reshape(-1, KEY_HASHES)
+            fresh = _rows(batch.column("key"), ">u2")
             tree = np.concatenate([tree, batch.column("tree").to_numpy()])
             key = np.concatenate([key, fresh])
             node = np.concatenate([node, batch.column("node").to_numpy()])
             root = np.concatenate([root, batch.column("root").to_numpy()])
+            if least is not None:
+                short = np.concatenate([short, _rows(batch.column("short"), np.uint8)])
             same = (key[1:] == key[:-1]).cumprod(axis=1).sum(axis=1)
             depth = np.where(tree[1:] == tree[:-1], same, 0)
             low = depth.copy()
@@ -139,14 +169,24 @@ def _neighbours(orders: DataFrame, window: int) -> DataFrame:
                     low = np.minimum(low[:-1], depth[j - 1:])
                 later = np.arange(j, len(node))
                 hit = np.flatnonzero((low >= MIN_DEPTH) & (later >= old) & (root[j:] != root[:-j]))
+                alike = np.ones(len(hit))
+                if least is not None and len(hit):
+                    alike = (short[hit] == short[hit + j]).mean(axis=1)
+                    hit, alike = hit[alike >= least], alike[alike >= least]
                 if len(hit):
                     x, y = node[hit], node[hit + j]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(low[hit].astype(np.int32))],
-                        ["a", "b", "depth"])
-            tree, key, node, root = tree[-window:], key[-window:], node[-window:], root[-window:]
+                        [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(low[hit].astype(np.int32)), pa.array(alike)],
+                        ["a", "b", "depth", "alike"])
+            tree, key, node, root, short = tree[-window:], key[-window:], node[-window:], root[-window:], short[-window:]
 
-    return orders.mapInArrow(run, "a long, b long, depth int")
+    return orders.mapInArrow(run, "a long, b long, depth int, alike double")
+
+
+def _best(pairs: DataFrame, *order: str) -> DataFrame:
+    """The CLOSEST pairs of each node by the given columns, descending (the rest is tested later)."""
+    rank = F.row_number().over(Window.partitionBy("b").orderBy(*(F.desc(c) for c in order), "a"))
+    return pairs.withColumn("rank", rank).filter(F.col("rank") <= CLOSEST).select("a", "b")
 
 
 # ---------------------------------------------------------------- confirming
@@ -159,8 +199,10 @@ def _alike(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
-            keep = (x == y).mean(axis=1) >= least if batch.num_rows else np.zeros(0, bool)
+            if not batch.num_rows:
+                continue
+            x, y = (_rows(batch.column(c), np.uint16) for c in ("sig_a", "sig_b"))
+            keep = (x == y).mean(axis=1) >= least
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
 
     return joined.mapInArrow(run, "a long, b long")
@@ -240,24 +282,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         F.min("doc_id").alias("first"), F.any_value("sig").alias("sig"))
     nodes = written(nodes, "nodes")
     firsts = nodes.filter("first is not null").select("node", "first")
-    least = percent / 100 - 6 * (percent / 100 * (1 - percent / 100) / HASHES) ** 0.5
+    def floor(p: float) -> float:
+        """Five standard deviations below the threshold's share of equal hashes."""
+        return p - 5 * (p * (1 - p) / HASHES) ** 0.5
+
+    threshold = percent / 100
 
-    # round 1: the closest neighbours of each node
+    # round 1: the closest neighbours of each node in any order
     beside = _neighbours(_orders(nodes.select("node", "sig", F.col("node").alias("root"))), 1)
     beside = written(beside.groupBy("a", "b").agg(F.count("*").alias("times"), F.max("depth").alias("depth")), "beside")
-    rank = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("times"), F.desc("depth"), "a"))
-    closest = written(_alike(beside.withColumn("rank", rank).filter(F.col("rank") <= CLOSEST), nodes, least), "closest")
+    closest = written(_alike(_best(beside, "times", "depth"), nodes, floor(threshold)), "closest")
     links = written(_confirmed(closest, docs, firsts, k, percent, id_col, text_col), "links")
-    first_roots = written(components(links), "roots")
+    roots = components(links)
 
-    # round 2: whatever else is near in an order and not yet in one component
+    # round 2: the most alike of near places, between components; round 3: all of a wide window
     crowd = beside.select(F.col("a").alias("node")).union(beside.select(F.col("b").alias("node"))).distinct()
-    rest = (nodes.join(crowd, "node", "left_semi").join(first_roots, "node", "left")
-            .select("node", "sig", F.coalesce("root", "node").alias("root")))
-    within = _neighbours(_orders(written(rest, "crowd")), WINDOW).select("a", "b").distinct()
-    within = written(_alike(within.join(closest, ["a", "b"], "left_anti"), nodes, least), "within")
-    more = _confirmed(within, docs, firsts, k, percent, id_col, text_col)
-    roots = components(links.union(more))
+    crowd = written(nodes.join(crowd, "node", "left_semi").select("node", "sig"), "crowd")
+    alike = floor(threshold + (1 - threshold) / 256)
+    for window in (NEAR, WINDOW):
+        rest = crowd.join(roots, "node", "left").select("node", "sig", F.coalesce("root", "node").alias("root"))
+        within = _neighbours(_orders(written(rest, "rest"), signed=True), window, alike)
+        within = within.groupBy("a", "b").agg(F.max("alike").alias("alike"))
+        if window == NEAR:
+            within = _best(within, "alike")
+        more = _confirmed(written(within.select("a", "b"), "within"), docs, firsts, k, percent, id_col, text_col)
+        links = written(links.union(more), "links")
+        roots = components(links)
 
     # back to documents: the smallest doc_id of a component names it
     named = (nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
@@ -267,3 +317,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       (F.col("doc_id").eqNullSafe(component)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                            text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with its smallest doc_id.
+
+    All columns stay.  Rows with the empty set are all kept.  Of rows that share a
+    kept doc_id and the text one stays; rows that share the doc_id with another
+    text stay with it.  Rows without a doc_id are only compared by equal text.
+    """
+    found = near_duplicates(docs, k, percent, id_col, text_col)
+    found = written(found.groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.max("kept").alias("kept"), F.max("n_shingles").alias("most")), "kept").filter("kept")
+    keep = found.select(F.col("doc_id").alias("_id"))
+    own = docs[id_col].cast("long")
+    rows = docs.join(keep, own.eqNullSafe(keep["_id"]), "left_semi")
+    repeated = found.filter("n > 1 and most > 0").select(F.col("doc_id").alias("_id"))
+    if repeated.isEmpty():
+        return rows
+    single = rows.join(repeated, own.eqNullSafe(repeated["_id"]), "left_anti")
+    several = rows.join(repeated, own.eqNullSafe(repeated["_id"]), "left_semi")
+    return single.unionByName(several.dropDuplicates([id_col, text_col]))

@@ -2,8 +2,9 @@
 
 import random
 
-from flowlake.llm import neardup
-from flowlake.llm.graph import components
+import pytest
+
+from flowlake.llm import graph, neardup
 from tests.llm.helpers import awkward_texts, documents, prose
 
 
@@ -64,8 +65,12 @@ def test_empty_table(spark):
     assert neardup.near_duplicates(documents(spark).limit(0)).count() == 0
 
 
-def test_components_of_long_paths(spark):
+@pytest.mark.parametrize("per_task", [500_000, 9])
+def test_components_of_long_paths(spark, monkeypatch, per_task):
+    monkeypatch.setattr(graph, "EDGES_PER_TASK", per_task)       # 9: several forests, joined by stars
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 101 + i) for i in range(5)] + [(7, 7), (60, 59)]
     random.Random(3).shuffle(edges)
-    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    df = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    got = {r["node"]: r["root"] for r in graph.components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(6)}}
+    assert graph.components(df.limit(0)).count() == 0
