@@ -9,17 +9,23 @@
    ones share longer prefixes, so the depth grows where a region is crowded.
 3. Links are confirmed on full shingle sets.  First the few closest neighbours
    per node are tested and contracted to components, then the most alike within
-   NEAR places; last, every pair of an order within WINDOW places that still
+   NEAR places; third, every pair of an order within WINDOW places that still
    joins two components.  In a crowd of near copies this spans the crowd without
    testing all its pairs.
+4. A node is *open* if rows with its prefix go on past its window, or past a
+   task border, in any order.  Pairs further apart than that have two open ends,
+   and the open nodes are joined exactly: sets at the threshold share one of
+   their rarest shingles (prefix filter, any fixed order of shingles will do).
+   Shingles of one component only are left out, as are those whose sets all share
+   the next rarer one.  Long lists are dealt to pairs of blocks of about BLOCK sets;
+   each yields no more links than join its components.
 
 A pair at the threshold 0.8 shares a prefix of 4 in one order with probability
 0.41, so all 25 orders miss it with probability 2e-6.  A signature filter lets
 pairs pass whose estimate is at most 5 standard deviations below the threshold
 (a true link fails it with probability 3e-7).
 The orders are range-partitioned by tree, prefix and node, so that a crowded
-prefix spreads over tasks; a task keeps the last WINDOW rows only.  (The few
-pairs of one order that a partition border parts are left to the other orders.)
+prefix spreads over tasks; a task keeps the last WINDOW rows only.
 
 Full sets are rebuilt only for nodes in a pair that passed, chosen by a Bloom
 filter of fixed size (BLOOM_BITS) whatever the number of documents.
@@ -51,7 +57,10 @@ ROTATE = 5                 # tree t starts at hash 5 t: the first five are its o
 KEY_HASHES = 12            # length of a sort key, in hashes
 MIN_DEPTH = 4
 NEAR = 4                   # places looked at in round 2
-WINDOW = 48                # and in round 3
+WINDOW = 48                # and in round 3; what is further away is left to round 4
+BLOCK = 256                # sets of one shingle compared at once in round 4
+COUNT_BUCKETS = 1 << 22    # counts that order the shingles of round 4 (hashed: only its speed depends on them)
+COLUMNS = 4096             # shingles per product of two blocks
 CLOSEST = 3                # neighbours per node tested first
 BLOOM_BITS = 1 << 23
 
@@ -140,16 +149,29 @@ def _orders(nodes: DataFrame, signed: bool = False) -> DataFrame:
     return rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
 
-def _neighbours(orders: DataFrame, window: int, least: float | None = None) -> DataFrame:
+def _neighbours(orders: DataFrame, window: int, least: float | None = None, mark: bool = False) -> DataFrame:
     """Pairs (a < b) of different roots within ``window`` places whose common prefix is MIN_DEPTH or more.
 
     With ``least`` (signed orders) only pairs whose short signatures agree so far.
+    With ``mark`` also a row a = b for each node whose prefix goes on past its
+    window or may go on past the border of its task.
     """
 
+    def marks(ids: np.ndarray) -> pa.RecordBatch:
+        ids = np.unique(ids)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(np.zeros(len(ids), np.int32)), pa.array(np.zeros(len(ids)))],
+                                          ["a", "b", "depth", "alike"])
+
+    def joined(tree: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Common prefix of each row and the next."""
+        same = (key[1:] == key[:-1]).cumprod(axis=1).sum(axis=1)
+        return np.where(tree[1:] == tree[:-1], same, 0)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, key = np.zeros(0, np.int32), np.zeros((0, KEY_HASHES), np.uint16)
         node, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
         short = np.zeros((0, HASHES), np.uint8)
+        first = 0 if mark else window              # rows so far of the run at the task's lower border
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -161,9 +183,12 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None) -> D
             root = np.concatenate([root, batch.column("root").to_numpy()])
             if least is not None:
                 short = np.concatenate([short, _rows(batch.column("short"), np.uint8)])
-            same = (key[1:] == key[:-1]).cumprod(axis=1).sum(axis=1)
-            depth = np.where(tree[1:] == tree[:-1], same, 0)
+            depth = joined(tree, key)
             low = depth.copy()
+            if first < window:
+                run = np.logical_and.accumulate(np.append(old == 0, depth >= MIN_DEPTH)[old:] | (np.arange(old, len(node)) == 0))
+                yield marks(node[old:][run][:window - first])
+                first = first + len(run) if run.all() else window
             for j in range(1, min(window, len(node) - 1) + 1):
                 if j > 1:
                     low = np.minimum(low[:-1], depth[j - 1:])
@@ -178,7 +203,13 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None) -> D
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(low[hit].astype(np.int32)), pa.array(alike)],
                         ["a", "b", "depth", "alike"])
+                if mark and j == window:
+                    full = np.flatnonzero((low >= MIN_DEPTH) & (later >= old))
+                    yield marks(np.concatenate([node[full], node[full + j]]))
             tree, key, node, root, short = tree[-window:], key[-window:], node[-window:], root[-window:], short[-window:]
+        if mark and len(node):
+            run = np.logical_and.accumulate(np.append(True, joined(tree, key)[::-1] >= MIN_DEPTH))[::-1]
+            yield marks(node[run])
 
     return orders.mapInArrow(run, "a long, b long, depth int, alike double")
 
@@ -227,13 +258,11 @@ def _bit(ids: np.ndarray) -> np.ndarray:
     return (mix64(ids.astype(np.int64).view(np.uint64)) % np.uint64(BLOOM_BITS)).astype(np.int64)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int,
-               id_col: str, text_col: str) -> DataFrame:
-    """Pairs of nodes with 100 * |x & y| >= percent * |x | y| on full sets.
+def _sets(wanted: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, members): the full sets of the nodes wanted.
 
     firsts: node → doc_id of one document that has the set.
     """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     ids = firsts.join(wanted, "node", "left_semi").select("first")
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(_bloom(ids)))
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).filter("doc_id is not null")
@@ -255,8 +284,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, per
 
     sets = source.mapInArrow(build, "doc_id long, node long, members binary")
     # one document stands for each node: keep exactly that row
-    sets = (sets.join(firsts.select(F.col("first").alias("doc_id"), "node"), ["doc_id", "node"])
+    return (sets.join(firsts.select(F.col("first").alias("doc_id"), "node"), ["doc_id", "node"])
             .dropDuplicates(["node"]).select("node", "members"))
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, percent: int,
+               id_col: str, text_col: str) -> DataFrame:
+    """Pairs of nodes with 100 * |x & y| >= percent * |x | y| on full sets."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(wanted, docs, firsts, k, id_col, text_col)
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -274,6 +310,173 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, per
     return joined.mapInArrow(test, "a long, b long")
 
 
+# ---------------------------------------------------------------- open nodes
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (mix64(h) % np.uint64(COUNT_BUCKETS)).astype(np.int32)
+
+
+def _members(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """Sets per bucket of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at, n = np.unique(_bucket(np.concatenate(_members(batch.column("members")))), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
+
+    found = sets.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
+    counts = np.ones(COUNT_BUCKETS, np.int64)
+    counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, root, rarer): so many of each set's rarest shingles that sets at the threshold share one.
+
+    rarer is the set's next rarer shingle (the node for its rarest one): sets that
+    share it too are compared there.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_counts(sets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            node, root = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+            chosen, before = [], []
+            for own, x in zip(node, _members(batch.column("members"))):
+                least = -(-percent * len(x) // 100)
+                x = x[np.lexsort((x, counts[_bucket(x)]))[:len(x) - least + 1]].view(np.int64)
+                chosen.append(x)
+                before.append(np.append(own, x[:-1]))
+            sizes = [len(x) for x in chosen]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(chosen)), pa.array(np.repeat(node, sizes)), pa.array(np.repeat(root, sizes)), pa.array(np.concatenate(before))],
+                ["token", "node", "root", "rarer"])
+
+    return sets.select("node", "root", "members").mapInArrow(run, "token long, node long, root long, rarer long")
+
+
+def _dealt(rarest: DataFrame) -> DataFrame:
+    """(token, lo, hi, block, node, root): the sets of each shingle in pairs of blocks that have something to compare."""
+    several = (rarest.groupBy("token").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                           F.min("rarer").alias("p0"), F.max("rarer").alias("p1"))
+               .filter("r0 <> r1 and p0 <> p1").select("token", "n"))
+    lists = written(rarest.join(several, "token"), "lists")
+    long = lists.filter(F.col("n") > BLOCK)
+
+    def usual(c: str) -> DataFrame:
+        """The most common value of a column in each long list."""
+        return long.groupBy("token", c).agg(F.count("*").alias("times")).groupBy("token").agg(F.max_by(c, "times").alias(f"usual_{c}"))
+
+    # kind: bit 2 for the most common root, bit 1 for the most common rarer shingle; a bit in common: nothing to compare
+    lists = (lists.join(usual("root"), "token", "left").join(usual("rarer"), "token", "left")
+             .withColumn("kind", F.when(F.col("n") <= BLOCK, 0).otherwise(
+                 2 * (F.col("root") == F.col("usual_root")).cast("int") + (F.col("rarer") == F.col("usual_rarer")).cast("int")))
+             .select("token", "node", "root", "kind"))
+    lists = written(lists, "kinds")
+    blocks = lists.groupBy("token").agg(*(F.ceil(F.count(F.when(F.col("kind") == c, 1)) / BLOCK).cast("int").alias(f"b{c}") for c in range(4)))
+    start = [F.lit(0), F.col("b0"), F.col("b0") + F.col("b1"), F.col("b0") + F.col("b1") + F.col("b2")]
+    own, others = F.lit(0), F.array().cast("array<int>")
+    for c in range(4):
+        size = F.col(f"b{c}")
+        own = F.when(F.col("kind") == c, start[c] + F.pmod(F.xxhash64("node"), F.greatest(size, F.lit(1))).cast("int")).otherwise(own)
+        fits = (size > 0) & (F.col("kind").bitwiseAND(F.lit(c)) == 0)
+        others = F.concat(others, F.when(fits, F.sequence(start[c], start[c] + size - 1)).otherwise(F.array().cast("array<int>")))
+    return (lists.join(blocks, "token").select("token", "node", "root", own.alias("block"), F.explode(others).alias("other"))
+            .select("token", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root"))
+
+
+def _shared(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all x with all y."""
+    flat_x, flat_y = np.concatenate(xs), np.concatenate(ys)
+    row_x, row_y = (np.repeat(np.arange(len(s)), [len(v) for v in s]) for s in (xs, ys))
+    both = np.intersect1d(flat_x, flat_y)
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    if not len(both):
+        return out
+
+    def entries(flat: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+        hit = both[at] == flat
+        order = np.argsort(at[hit], kind="stable")
+        return at[hit][order], row[hit][order]
+
+    (cx, rx), (cy, ry) = entries(flat_x, row_x), entries(flat_y, row_y)
+    for lo in range(0, len(both), COLUMNS):
+        x, y = (np.zeros((n, min(COLUMNS, len(both) - lo)), np.float32) for n in out.shape)
+        for matrix, column, row in ((x, cx, rx), (y, cy, ry)):
+            a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+            matrix[row[a:b], column[a:b] - lo] = 1
+        out += x @ y.T
+    return out
+
+
+def _joining(node: np.ndarray, root: np.ndarray, block: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the two blocks of one group, as many as join components."""
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    size = np.array([len(s) for s in sets], np.int64)
+    both = _shared([sets[i] for i in left], [sets[i] for i in right]).astype(np.int64)
+    near = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+    near &= root[left][:, None] != root[right][None, :]
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(near):
+        i, j = left[i], right[j]
+        x, y = top(int(root[i])), top(int(root[j]))
+        if x != y:
+            above[x] = y
+            out.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+    return out
+
+
+def _far_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join all components with a link between them. sets: node, root, members."""
+    dealt = _dealt(written(_rarest(sets, percent), "rarest"))
+    rows = dealt.join(sets.select("node", "members"), "node").select("token", "lo", "hi", "block", "node", "root", "members")
+    rows = rows.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, parts = None, []
+
+        def links() -> pa.RecordBatch:
+            node, root, block = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("node", "root", "block"))
+            # one block with itself, or two; a pair of blocks with one side empty has nothing to compare
+            found = [] if group[1] != group[2] and block.min() == block.max() else _joining(
+                node, root, block, [x for p in parts for x in _members(p.column("members"))], percent)
+            return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "lo", "hi")])
+            starts = np.append(0, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1)
+            for a, b in zip(starts, np.append(starts[1:], batch.num_rows)):
+                now = tuple(keys[:, a].tolist())
+                if now != group and parts:
+                    yield links()
+                    parts = []
+                group = now
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield links()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
@@ -295,20 +498,28 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     links = written(_confirmed(closest, docs, firsts, k, percent, id_col, text_col), "links")
     roots = components(links)
 
-    # round 2: the most alike of near places, between components; round 3: all of a wide window
+    # round 2: the most alike of near places, between components; round 3: all of a wide window, and the open nodes
     crowd = beside.select(F.col("a").alias("node")).union(beside.select(F.col("b").alias("node"))).distinct()
     crowd = written(nodes.join(crowd, "node", "left_semi").select("node", "sig"), "crowd")
     alike = floor(threshold + (1 - threshold) / 256)
     for window in (NEAR, WINDOW):
         rest = crowd.join(roots, "node", "left").select("node", "sig", F.coalesce("root", "node").alias("root"))
-        within = _neighbours(_orders(written(rest, "rest"), signed=True), window, alike)
+        within = _neighbours(_orders(written(rest, "rest"), signed=True), window, alike, mark=window == WINDOW)
         within = within.groupBy("a", "b").agg(F.max("alike").alias("alike"))
         if window == NEAR:
             within = _best(within, "alike")
-        more = _confirmed(written(within.select("a", "b"), "within"), docs, firsts, k, percent, id_col, text_col)
+        within = written(within.select("a", "b"), "within")
+        more = _confirmed(within.filter("a <> b"), docs, firsts, k, percent, id_col, text_col)
         links = written(links.union(more), "links")
         roots = components(links)
 
+    # round 4: open nodes against each other
+    far = within.filter("a = b").select(F.col("a").alias("node"))
+    sets = _sets(far, docs, firsts, k, id_col, text_col).join(roots, "node", "left")
+    sets = written(sets.select("node", F.coalesce("root", "node").alias("root"), "members"), "open")
+    links = written(links.union(_far_links(sets, percent)), "links")
+    roots = components(links)
+
     # back to documents: the smallest doc_id of a component names it
     named = (nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))

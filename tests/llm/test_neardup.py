@@ -74,3 +74,39 @@ def test_components_of_long_paths(spark, monkeypatch, per_task):
     got = {r["node"]: r["root"] for r in graph.components(df).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(6)}}
     assert graph.components(df.limit(0)).count() == 0
+
+
+def test_regions_far_larger_than_the_window(spark):
+    """Texts with a shared passage (similarity 0.6) and pairs at 0.8 among them; a crowd of near copies with loose ends."""
+    rnd = random.Random(5)
+    passage = prose(70, 75).split()
+    texts = [" ".join(passage + [f"own{i}x{j}" for j in range(28)]) for i in range(1200)]
+    for i in range(0, 120):
+        w = texts[10 * i].split()
+        at = 80 + i % 3
+        texts.append(" ".join(w[:at] + [f"new{i}x{j}" for j in range(len(w) - at - 13)] + w[-13:]))
+    crowd = prose(71, 100).split()
+    for i in range(400):
+        w = list(crowd)
+        for _ in range(rnd.randint(1, 4)):
+            w[rnd.randrange(len(w))] = f"edit{i}x{rnd.randrange(10 ** 6)}"
+        texts.append(" ".join(w))
+    ids = list(range(len(texts)))
+    rnd.shuffle(ids)
+    want = brute(texts, ids, 4, 80)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
+           for r in neardup.near_duplicates(documents(spark, texts, ids, extra=False), k=4).collect()}
+    assert got == want
+
+
+def test_open_nodes_are_joined_exactly(spark, monkeypatch):
+    """All nodes open, long lists in many blocks: the same links' components as all pairs."""
+    monkeypatch.setattr(neardup, "WINDOW", 1)
+    monkeypatch.setattr(neardup, "NEAR", 1)
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    texts = copies(21, 80, 60, 12) + copies(22, 40, 60, 9) + [prose(300 + i, 60) for i in range(5)]
+    ids = list(range(len(texts)))
+    random.Random(2).shuffle(ids)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
+           for r in neardup.near_duplicates(documents(spark, texts, ids), k=4).collect()}
+    assert got == brute(texts, ids, 4, 80)
