@@ -33,7 +33,6 @@ from flowlake.llm.common import chunk_rows, find_words, mix64, text_buffer
 BUCKETS = 1 << 16            # hashed n-gram features
 NGRAMS = (1, 2, 3, 4)
 SWITCH_COST = 12.0           # nats per change of language
-TRAIN_DOCS = 20_000          # bound of the labelled sample (by id hash)
 FOREIGN_SCRIPT = -20.0       # score of a word in a script the language does not use
 
 # Starts of Unicode script ranges and the script from there on.
@@ -194,15 +193,12 @@ class Labeller:
 
 
 def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str = "lang", most: int = TRAIN_DOCS) -> Model:
-    """Counts over a sample of about ``most`` labelled rows, chosen by a hash of the id.
+        lang_col: str = "lang") -> Model:
+    """Counts over all labelled rows.
 
     What reaches the driver is one row per (language, bucket) with a count.
     """
     rows = docs.filter(usable & docs[text_col].isNotNull() & docs[lang_col].isNotNull())
-    n = rows.select(id_col).count()
-    if n > most:
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < int(1_000_000 * most / n))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

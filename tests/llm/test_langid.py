@@ -68,3 +68,13 @@ def test_word_forms_keep_to_their_word():
     w, _ = d.features()
     assert d.letters.tolist()[:4] == [2, 0, 1, 3]
     assert set(w.tolist()) == {0, 2, 3}          # "&&&" has no letters, so no n-grams
+
+
+def test_a_rare_script_among_many_rows_is_learnt(spark):
+    many = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("hello world this is text").alias("text"), F.lit("en").alias("lang"))
+    late = many.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) > 900_000).orderBy("doc_id").limit(2).collect()
+    rare = [(late[0]["doc_id"], "გამარჯობა მსოფლიო ეს არის ტექსტი", "ka"), (late[1]["doc_id"], "გამარჯობა მსოფლიო", "ka"), (None, "բարեւ աշխարհ", "hy")]
+    docs = many.union(spark.createDataFrame(rare, "doc_id long, text string, lang string"))
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == ["en", "hy", "ka"]
+    assert {r["text"] for r in langid.accepted(docs, model).filter("lang <> 'en'").collect()} == {t for _, t, _ in rare}
