@@ -11,7 +11,9 @@ There is one table per choice of three blocks (20); its key is those blocks.
 Both sides are dealt out by (table, key); a task compares the queries of a key
 with the fingerprints of that key, block by block in numpy, and sends only one
 partial count per query.  A pair that agrees on more blocks counts in the table
-of its lowest three.
+of its lowest three.  ``find_within`` gives the matches themselves, as pairs of
+distinct fingerprints; joined with the documents' fingerprints on near_fp they
+name the documents.
 
 ``with_next`` compares each document with its successor by doc_id: one range
 partitioning, a streaming pass, and the last row of each partition is finished
@@ -144,6 +146,19 @@ def count_within(points: DataFrame, queries: DataFrame) -> DataFrame:
 
     Both have a long column fp; equal fingerprints are counted once first.
     """
+    return _search(points, queries, False).groupBy("fp").agg(F.sum("n").alias("n_near"))
+
+
+def find_within(points: DataFrame, queries: DataFrame) -> DataFrame:
+    """(fp, near_fp): each distinct fingerprint of ``points`` within RADIUS bits of one of ``queries``, once.
+
+    A queried fingerprint that is among the points is near itself.
+    """
+    return _search(points, queries, True).withColumnRenamed("n", "near_fp")
+
+
+def _search(points: DataFrame, queries: DataFrame, pairs: bool) -> DataFrame:
+    """(fp, n) by block tables: partial counts of rows near a query, or with ``pairs`` the fingerprints near it."""
     have = points.groupBy("fp").agg(F.count("*").alias("n")).withColumn("asked", F.lit(False))
     asked = queries.select("fp").distinct().withColumn("n", F.lit(0).cast("long")).withColumn("asked", F.lit(True))
     keyed = have.union(asked).withColumn("key", F.explode(F.array(*[
@@ -186,11 +201,15 @@ def count_within(points: DataFrame, queries: DataFrame) -> DataFrame:
                         i, j = np.nonzero(close)
                         agree = np.stack([(x[i, j] & np.uint64(m)) == 0 for m in MASKS], axis=-1)
                         good = _lowest_three(agree) == mine
+                        if pairs:
+                            yield pa.RecordBatch.from_arrays([pa.array(asked_fp[a:a + 256][i[good]].view(np.int64)),
+                                                              pa.array(points_fp[b:b + 4096][j[good]].view(np.int64))], ["fp", "n"])
+                            continue
                         near[a:a + 256] += np.bincount(i[good], weights=weight[b:b + 4096][j[good]], minlength=x.shape[0]).astype(np.int64)
         if near.any():
             yield done()
 
-    return dealt.mapInArrow(run, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n_near"))
+    return dealt.mapInArrow(run, "fp long, n long")
 
 
 def _signed(x: int) -> int:

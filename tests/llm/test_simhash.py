@@ -59,3 +59,24 @@ def test_search_finds_every_fingerprint_within_the_radius(spark):
     got = {r["fp"]: r["n_near"] for r in simhash.count_within(df, asked).collect()}
     for c in centres:
         assert got[int(np.int64(c))] == int((np.bitwise_count(fps ^ c) <= simhash.RADIUS).sum())
+
+
+def test_search_names_the_documents_that_are_near(spark):
+    rnd = np.random.default_rng(3)
+    points = []
+    for c in rnd.integers(0, 2 ** 63, 12, dtype=np.uint64):
+        for flips in range(6):
+            x = int(c)
+            for bit in rnd.choice(64, flips, replace=False):
+                x ^= 1 << int(bit)
+            points += [x] * int(rnd.integers(1, 4))
+    fps = np.array(points, np.uint64)
+    docs = spark.createDataFrame([(i, int(x)) for i, x in enumerate(fps.view(np.int64))], "doc_id long, near_fp long")
+    asked = spark.createDataFrame([(int(x),) for x in fps[::5].view(np.int64)], "fp long")
+    pairs = simhash.find_within(docs.select(docs["near_fp"].alias("fp")), asked)
+    rows = pairs.collect()
+    assert len(rows) == len(set(rows))
+    got = {(r["fp"], r["doc_id"]) for r in pairs.join(docs, "near_fp").collect()}
+    assert got == {(int(q.view(np.int64)), i) for q in fps[::5] for i in np.flatnonzero(np.bitwise_count(fps ^ q) <= simhash.RADIUS)}
+    counts = {r["fp"]: r["n_near"] for r in simhash.count_within(docs.select(docs["near_fp"].alias("fp")), asked).collect()}
+    assert counts == {q: sum(1 for p, _ in got if p == q) for q, _ in got}
