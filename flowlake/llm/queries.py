@@ -163,3 +163,13 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from flowlake.llm.pages import extract_main_text
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@register("op13_shards")
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.shards import LAW, read_shards, text_size, write_shards
+    docs, path = table(spark, sf_dir, "documents"), work_path(spark, "shards")
+    write_shards(docs, 8, path)
+    return read_shards(spark, path, docs.schema).select(
+        "doc_id", text_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
