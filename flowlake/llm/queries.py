@@ -173,3 +173,11 @@ def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_shards(spark, path, docs.schema).select(
         "doc_id", text_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.align import aligned, block_pairs, linked
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    blocks = aligned(table(spark, sf_dir, "documents"), *paths)
+    return linked(blocks, block_pairs(blocks, *paths), *paths, digest=True)
