@@ -8,7 +8,7 @@ it is passed, and halves the bracket.  Common ends cut both lists into groups.
 The ranks of a driving token's two borders differ by the tokens of the other
 side that it overlaps, so links need no second search.
 
-    aligned(docs, a, b)    blocks of documents: ids and tokens per group
+    aligned(docs, a, b)    blocks of documents: ids and tokens per group, packed
     groups(blocks)         one row per document with its groups
     pair_counts(...)       for an id pair, the documents that hold it linked, and
                            whether that is the highest count of its A id
@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,7 +47,7 @@ from flowlake.llm.common import chunk_rows, text_buffer, written
 BLOCK_BYTES = 2 << 20
 PIECE_CHARS = 1 << 16
 BLOCK_SCHEMA = ("block long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, "
-                "a_ids array<int>, b_ids array<int>, a_take array<int>, b_take array<int>")
+                "a_ids binary, b_ids binary, a_take binary, b_take binary")
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -235,6 +236,18 @@ def lengths_of(encoder: ByteLevel | Pieces) -> np.ndarray:
     return np.array([len(x) for x in encoder.bytes_of], np.int64)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Values from 0 in the narrowest of 8, 16 or 32 bits, compressed: u8 width, u32 bytes, data."""
+    top = int(values.max(initial=0))
+    raw = values.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
+    return struct.pack("<BI", raw.itemsize, raw.nbytes) + pa.compress(raw.tobytes(), "zstd", asbytes=True)
+
+
+def unpack(payload: bytes) -> np.ndarray:
+    width, size = struct.unpack_from("<BI", payload)
+    return np.frombuffer(pa.decompress(payload[5:], size, "zstd"), f"<u{width}").astype(np.int64)
+
+
 def _flat(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int32)
 
@@ -266,14 +279,14 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
                 a_ids, b_ids = map(_flat, ids)
                 links = align_ends(a_size[a_ids], b_size[b_ids], n_a, n_b)
                 yield _row(BLOCK_SCHEMA, [number], [batch.column("doc_id").slice(lo, hi - lo)],
-                           [n_a], [n_b], [links.n_groups], [a_ids], [b_ids], [links.a_take], [links.b_take])
+                           [n_a], [n_b], [links.n_groups], *([pack(x)] for x in (a_ids, b_ids, links.a_take, links.b_take)))
                 number += 1
 
     return written(source.mapInArrow(run, BLOCK_SCHEMA), "aligned")
 
 
 def _arrow_type(name: str) -> pa.DataType:
-    plain = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    plain = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     return pa.list_(plain[name[6:-1]]) if name.startswith("array<") else plain[name]
 
 
@@ -301,20 +314,20 @@ class Block:
         self.number = table.column("block")[k].as_py()
         self.doc_id = table.column("doc_id")[k].values
         self.n_a, self.n_b, self.n_groups = (column(n).astype(np.int64) for n in ("n_a", "n_b", "n_groups"))
-        self.a_ids, self.b_ids, self.a_take, self.b_take = (column(n) for n in ("a_ids", "b_ids", "a_take", "b_take"))
+        self.a_ids, self.b_ids, self.a_take, self.b_take = (
+            unpack(table.column(n)[k].as_py()) for n in ("a_ids", "b_ids", "a_take", "b_take"))
 
     def links(self, a_size: np.ndarray, b_size: np.ndarray) -> tuple[Links, np.ndarray, np.ndarray]:
         """(links, document of each link, its id pair as one number)."""
         links = align_ends(a_size[self.a_ids], b_size[self.b_ids], self.n_a, self.n_b)
-        pair = (self.a_ids[links.a].astype(np.int64) << 32) | self.b_ids[links.b]
+        pair = (self.a_ids[links.a] << 32) | self.b_ids[links.b]
         # links are in driver order, which is document order
         return links, np.repeat(np.arange(len(self.n_a)), links.n_links), pair
 
     def texts(self, strings: Strings) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` per document; empty without tokens."""
-        a_stop, b_stop = np.cumsum(self.a_take, dtype=np.int64), np.cumsum(self.b_take, dtype=np.int64)
-        a_group, a_in = _spread(self.a_take.astype(np.int64))
-        b_group, b_in = _spread(self.b_take.astype(np.int64))
+        a_stop, b_stop = np.cumsum(self.a_take), np.cumsum(self.b_take)
+        (a_group, a_in), (b_group, b_in) = _spread(self.a_take), _spread(self.b_take)
         codes = np.empty(len(self.a_ids) + len(self.b_ids), np.int64)
         before = a_stop + b_stop - self.a_take - self.b_take
         last_a, last_b = a_in == self.a_take[a_group] - 1, b_in == self.b_take[b_group] - 1
