@@ -42,10 +42,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.llm.bpe import byte_alphabet
-from flowlake.llm.common import chunk_rows, text_buffer, written
+from flowlake.llm.common import chunk_rows, span_hashes, text_buffer, written
 
-BLOCK_BYTES = 2 << 20
-PIECE_CHARS = 1 << 16
+BLOCK_BYTES = 1 << 20
 BLOCK_SCHEMA = ("block long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, "
                 "a_ids binary, b_ids binary, a_take binary, b_take binary")
 
@@ -53,7 +52,7 @@ BLOCK_SCHEMA = ("block long, doc_id array<long>, n_a array<int>, n_b array<int>,
 # ---------------------------------------------------------------- tokenizers
 
 class ByteLevel:
-    """A byte-level vocabulary of the tokenizers library."""
+    """A byte-level vocabulary of the tokenizers library; special strings are plain text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,60 +71,142 @@ class ByteLevel:
             self.bytes_of[i] = special[i].encode() if i in special else bytes(alphabet[c] for c in token)
         for i, token in special.items():
             self.bytes_of[i] = token.encode()
+        # the split pattern begins a piece at every single space between other characters
+        self.by_words = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", True)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of a space plus each text; the library sees about PIECE_CHARS at a time."""
-        pieces, owner, out = [], [], [[] for _ in texts]
-
-        def flush() -> None:
-            for k, e in zip(owner, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
-                out[k].append(np.array(e.ids, np.int32))
-            pieces.clear()
-            owner.clear()
-
-        size = 0
-        for k, text in enumerate(texts):
-            for piece in cut_at_spaces(" " + text, PIECE_CHARS):
-                pieces.append(piece)
-                owner.append(k)
-                size += len(piece)
-                if size >= PIECE_CHARS:
-                    flush()
-                    size = 0
-        flush()
-        return [np.concatenate(x) if len(x) > 1 else x[0] for x in out]
+    def encode(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
 
 class Pieces:
-    """A sentence-piece model with byte fallback."""
+    """A sentence-piece model with byte fallback; it puts a space before what it encodes."""
 
     def __init__(self, path: str):
         import sentencepiece
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         lib = self.library
-        self.bytes_of = [bytes([int(p[3:-1], 16)]) if lib.is_byte(i) else p.replace("▁", " ").encode()
-                         for i, p in enumerate(lib.id_to_piece(list(range(lib.vocab_size()))))]
+        pieces = lib.id_to_piece(list(range(lib.vocab_size())))
+        self.bytes_of = [bytes([int(p[3:-1], 16)]) if lib.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        # no piece joins a space to a character before it, and spaces are kept as they are
+        self.by_words = (not any("▁" in p.lstrip("▁") for p in pieces)
+                         and "".join(lib.encode("a  b ", out_type=str)) == "▁a▁▁b▁")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.int32) for ids in self.library.encode(texts, num_threads=1)]
+    def encode(self, words: list[str]) -> list[list[int]]:
+        """Ids of words that begin with a space, the one that the model adds."""
+        return self.library.encode([w[1:] for w in words], num_threads=1)
 
 
-def cut_at_spaces(text: str, most: int) -> Iterator[str]:
-    """Parts of a text, cut before a single space between two other characters.
+_MAYBE_BLANK = np.zeros(256, bool)          # white space, or the first byte of a white-space character
+_MAYBE_BLANK[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-    The byte-level pattern always begins a piece there, so the parts' ids are the
-    text's ids.  A text without such a place stays whole.
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Begins of the words of texts data[offsets[i]:offsets[i + 1]] that each begin with a space.
+
+    A word begins with its text, or with a single space between two characters
+    that are certainly no white space.  Neither tokenizer joins bytes across that
+    place, so a text's ids are its words' ids.
     """
-    begin = 0
-    while len(text) - begin > most:
-        at = text.find(" ", begin + most)
-        while 0 < at < len(text) - 1 and (text[at - 1].isspace() or text[at + 1].isspace()):
-            at = text.find(" ", at + 1)
-        if at < 0 or at >= len(text) - 1:
-            break
-        yield text[begin:at]
-        begin = at
-    yield text[begin:]
+    n = len(data)
+    maybe = _MAYBE_BLANK[data]
+    begin = np.zeros(n, bool)
+    if n > 4:
+        clear = ~maybe
+        begin[3:n - 1] = (data[3:n - 1] == 0x20) & clear[2:n - 2] & clear[1:n - 3] & clear[:n - 4] & clear[4:]
+        # near a text's begin the bytes before belong to another text: two spaces there are no danger, as
+        # the three bytes before a cut must be clear, which only leaves cuts out
+    begin[offsets[:-1]] = True
+    return np.flatnonzero(begin)
+
+
+class Memory:
+    """Ids of words under both tokenizers, remembered by the hash of their bytes.
+
+    It is kept by the worker process for later tasks, up to MOST_WORDS words and
+    MOST_IDS ids; then it starts anew.
+    """
+
+    MOST_WORDS = 400_000
+    MOST_IDS = 4_000_000
+    BATCH_BYTES = 1 << 16        # of new words through a library at once
+
+    def __init__(self, sides: tuple[ByteLevel, Pieces]):
+        self.sides = sides
+        self.size = [np.array([len(x) for x in side.bytes_of], np.int64) for side in sides]
+        self.by_words = all(side.by_words for side in sides)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.whole = np.zeros(0, bool)                      # both sides give the word's bytes
+        self.ids = [np.zeros(0, np.int32) for _ in self.sides]
+        self.offset = [np.zeros(1, np.int64) for _ in self.sides]
+
+    def _remember(self, words: list[bytes], hashes: np.ndarray) -> None:
+        text = [w.decode() for w in words]
+        whole = np.ones(len(words), bool)
+        for s, side in enumerate(self.sides):
+            flat, length, size, begin = [], [], 0, 0
+            for k, w in enumerate(words):
+                size += len(w)
+                if size >= self.BATCH_BYTES or k + 1 == len(words):
+                    ids = side.encode(text[begin:k + 1])
+                    flat.append(np.array([i for x in ids for i in x], np.int32))
+                    length += [len(x) for x in ids]
+                    for j, x in enumerate(ids, begin):
+                        if b"".join([side.bytes_of[i] for i in x]) != words[j]:
+                            whole[j] = False
+                    size, begin = 0, k + 1
+            self.ids[s] = np.concatenate([self.ids[s], *flat])
+            self.offset[s] = np.concatenate([self.offset[s], self.offset[s][-1] + np.cumsum(length, dtype=np.int64)])
+        at = np.searchsorted(self.hash, hashes)
+        self.place = np.insert(self.place, at, len(self.whole) + np.arange(len(words)))
+        self.hash = np.insert(self.hash, at, hashes)
+        self.whole = np.append(self.whole, whole)
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids, number per text) of both sides; texts without tokens have none."""
+        raw = [(" " + t).encode() if t else b"" for t in texts]
+        offsets = np.cumsum([0, *map(len, raw)])
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, np.uint8)
+        filled = np.flatnonzero(np.diff(offsets))
+        begins = offsets[:-1][filled]
+        start = cuts(data, np.append(begins, len(data))) if self.by_words else begins
+        end = np.append(start[1:], len(data))[:len(start)]
+        of = np.searchsorted(begins, start, side="right") - 1
+        hashes = span_hashes(data, start, end)
+        if len(self.hash) > self.MOST_WORDS or max(map(len, self.ids)) > self.MOST_IDS:
+            self._forget()
+        different, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, different)
+        new = np.append(self.hash, np.uint64(0))[at] != different
+        new |= at == len(self.hash)
+        if new.any():
+            self._remember([joined[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())], different[new])
+            at = np.searchsorted(self.hash, different)
+        pick = self.place[at][back] if len(back) else np.zeros(0, np.int64)
+        good = np.ones(len(texts), bool)
+        good[filled[of[~self.whole[pick]]]] = False
+        pick = pick[good[filled[of]]]
+        of = filled[of[good[filled[of]]]]
+        ids, counts = [], []
+        for flat, offset in zip(self.ids, self.offset):
+            length = offset[pick + 1] - offset[pick]
+            _, within = _spread(length)
+            ids.append(flat[np.repeat(offset[pick], length) + within])
+            counts.append(np.bincount(of, weights=length, minlength=len(texts)).astype(np.int64))
+        return ids, counts
+
+
+_memories: dict[tuple[str, str], Memory] = {}
+
+
+def memory_of(a_path: str, b_path: str) -> Memory:
+    """The worker process's encoders of these files."""
+    if (a_path, b_path) not in _memories:
+        _memories[a_path, b_path] = Memory((ByteLevel(a_path), Pieces(b_path)))
+    return _memories[a_path, b_path]
 
 
 # ---------------------------------------------------------------- alignment
@@ -232,10 +313,6 @@ def align_ends(a_len: np.ndarray, b_len: np.ndarray, n_a: np.ndarray, n_b: np.nd
                  np.where(drives, short_link, long_link), np.where(drives, long_link, short_link))
 
 
-def lengths_of(encoder: ByteLevel | Pieces) -> np.ndarray:
-    return np.array([len(x) for x in encoder.bytes_of], np.int64)
-
-
 def pack(values: np.ndarray) -> bytes:
     """Values from 0 in the narrowest of 8, 16 or 32 bits, compressed: u8 width, u32 bytes, data."""
     top = int(values.max(initial=0))
@@ -248,10 +325,6 @@ def unpack(payload: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(payload[5:], size, "zstd"), f"<u{width}").astype(np.int64)
 
 
-def _flat(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
-
-
 def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Blocks of aligned documents (BLOCK_SCHEMA), written to the shared folder; no shuffle.
 
@@ -260,24 +333,13 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     source = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = ByteLevel(a_path), Pieces(b_path)
-        a_size, b_size = map(lengths_of, sides)
+        memory = memory_of(a_path, b_path)
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             _, offsets = text_buffer(batch.column("text"))
             for lo, hi in chunk_rows(offsets, BLOCK_BYTES):
-                texts = [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
-                ids = [[np.zeros(0, np.int32)] * len(texts) for _ in sides]
-                some = [k for k, t in enumerate(texts) if t]
-                if some:
-                    a, b = (side.encode([texts[k] for k in some]) for side in sides)
-                    for k, x, y in zip(some, a, b):
-                        whole = (" " + texts[k]).encode()
-                        if all(b"".join(map(side.bytes_of.__getitem__, z.tolist())) == whole for side, z in zip(sides, (x, y))):
-                            ids[0][k], ids[1][k] = x, y
-                n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-                a_ids, b_ids = map(_flat, ids)
-                links = align_ends(a_size[a_ids], b_size[b_ids], n_a, n_b)
+                (a_ids, b_ids), (n_a, n_b) = memory.encode(batch.column("text").slice(lo, hi - lo).to_pylist())
+                links = align_ends(memory.size[0][a_ids], memory.size[1][b_ids], n_a, n_b)
                 yield _row(BLOCK_SCHEMA, [number], [batch.column("doc_id").slice(lo, hi - lo)],
                            [n_a], [n_b], [links.n_groups], *([pack(x)] for x in (a_ids, b_ids, links.a_take, links.b_take)))
                 number += 1
@@ -317,12 +379,10 @@ class Block:
         self.a_ids, self.b_ids, self.a_take, self.b_take = (
             unpack(table.column(n)[k].as_py()) for n in ("a_ids", "b_ids", "a_take", "b_take"))
 
-    def links(self, a_size: np.ndarray, b_size: np.ndarray) -> tuple[Links, np.ndarray, np.ndarray]:
-        """(links, document of each link, its id pair as one number)."""
+    def links(self, a_size: np.ndarray, b_size: np.ndarray) -> tuple[Links, np.ndarray]:
+        """Links in document order and the id pair of each as one number."""
         links = align_ends(a_size[self.a_ids], b_size[self.b_ids], self.n_a, self.n_b)
-        pair = (self.a_ids[links.a] << 32) | self.b_ids[links.b]
-        # links are in driver order, which is document order
-        return links, np.repeat(np.arange(len(self.n_a)), links.n_links), pair
+        return links, (self.a_ids[links.a] << 32) | self.b_ids[links.b]
 
     def texts(self, strings: Strings) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` per document; empty without tokens."""
@@ -350,7 +410,7 @@ class Strings:
 def groups(blocks: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(doc_id, groups): the groups of every document as text, ``a1,a2|b1;a3|b2,b3``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings = Strings(len(ByteLevel(a_path).bytes_of), len(Pieces(b_path).bytes_of))
+        strings = Strings(*map(len, memory_of(a_path, b_path).size))
         for batch in batches:
             for k in range(batch.num_rows):
                 block = Block(batch, k)
@@ -362,14 +422,14 @@ def groups(blocks: DataFrame, a_path: str, b_path: str) -> DataFrame:
 def block_pairs(blocks: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(block, a, b, n): the id pairs linked in a block and how many of its documents hold them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_size, b_size = lengths_of(ByteLevel(a_path)), lengths_of(Pieces(b_path))
+        size = memory_of(a_path, b_path).size
         for batch in batches:
             for k in range(batch.num_rows):
                 block = Block(batch, k)
-                _, doc, pair = block.links(a_size, b_size)
-                different, back = np.unique(pair, return_inverse=True)
-                held = np.unique(doc * max(len(different), 1) + back)
-                n = np.bincount(held % max(len(different), 1), minlength=len(different))
+                links, pair = block.links(*size)
+                stop = np.cumsum(links.n_links).tolist()
+                held = [np.unique(pair[i:j]) for i, j in zip([0, *stop[:-1]], stop)]
+                different, n = np.unique(np.concatenate(held), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(different), block.number)), pa.array((different >> 32).astype(np.int32)),
                      pa.array((different & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["block", "a", "b", "n"])
@@ -398,16 +458,15 @@ def linked(blocks: DataFrame, pairs: DataFrame, a_path: str, b_path: str, digest
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not worker:
-            sides = ByteLevel(a_path), Pieces(b_path)
-            worker["size"] = [lengths_of(side) for side in sides]
-            worker["strings"] = Strings(*(len(side.bytes_of) for side in sides))
+            worker["size"] = memory_of(a_path, b_path).size
+            worker["strings"] = Strings(*map(len, worker["size"]))
         order = np.argsort(right.column("pair").to_numpy())
         known = right.column("pair").to_numpy()[order]
         n_docs, best = right.column("n_docs").to_numpy()[order], right.column("best").to_numpy()[order]
         out = []
         for k in range(left.num_rows):
             block = Block(left, k)
-            links, doc, pair = block.links(*worker["size"])
+            links, pair = block.links(*worker["size"])
             at = np.searchsorted(known, pair)
             stop = np.cumsum(links.n_links)
 

@@ -101,15 +101,20 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _powers.get("up")
-    if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        with np.errstate(over="ignore"):
-            for key, base in (("up", _BASE), ("down", _BASE_INV)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                _powers[key] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
+    """Powers of the base and its inverse; kept up to CHUNK_BYTES, made anew for longer texts."""
+    if "up" not in _powers:
+        _powers["up"], _powers["down"] = _powers_upto(CHUNK_BYTES + 1)
+    return (_powers["up"], _powers["down"]) if n <= CHUNK_BYTES + 1 else _powers_upto(n)
+
+
+def _powers_upto(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    with np.errstate(over="ignore"):
+        for base in (_BASE, _BASE_INV):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            out.append(np.multiply.accumulate(steps, out=steps))
+    return out[0], out[1]
 
 
 @dataclass
@@ -162,6 +167,16 @@ def find_words(data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray = _SPAC
     return Words(data, start, end, h, np.searchsorted(start, offs), heads)
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of byte spans (case kept); another seed gives other hashes."""
+    with np.errstate(over="ignore"):
+        codes = mix64((np.arange(256, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+        up, down = _power_tables(len(data) + 1)
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(codes[data] * up[:len(data)], out=total[1:])
+        return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+
+
 def shingle_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bound): the k-word shingles of each row, in order, repeats kept.
 

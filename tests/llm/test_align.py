@@ -1,5 +1,6 @@
 """Alignment against an intersection of ranges written out plainly."""
 
+import functools
 import hashlib
 from collections import Counter, defaultdict
 
@@ -63,10 +64,15 @@ def test_alignment_equals_brute_force(docs):
     assert sorted(zip(got.a.tolist(), got.b.tolist())) == sorted(links)
 
 
-def brute(texts):
+@functools.cache
+def libraries():
     library = Tokenizer.from_file(A)
     library.encode_special_tokens = True
-    pieces = sentencepiece.SentencePieceProcessor(model_file=B)
+    return library, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def brute(texts):
+    library, pieces = libraries()
     a_bytes, b_bytes = align.ByteLevel(A).bytes_of, align.Pieces(B).bytes_of
     rows = []
     for t in texts:
@@ -119,12 +125,30 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
     assert sorted(map(tuple, result(docs.repartition(3))[0].collect())) == whole
 
 
-@pytest.mark.parametrize("text", [prose(4, 40_000), "x" * 200_000, "a  b " * 40_000, "1 2\n" * 50_000])
-def test_long_texts_are_cut_only_where_ids_stay(text):
-    library = Tokenizer.from_file(A)
-    library.encode_special_tokens = True
-    assert "".join(align.cut_at_spaces(text, 1000)) == text
-    assert align.ByteLevel(A).encode([text])[0].tolist() == library.encode(" " + text, add_special_tokens=False).ids
+ODD = ["", "a", " ", "  ", " a", "a ", "a  b", "a \u00a0b c", "\u3000 x y", "a\u2028 b", "x 's don't 'll", "\u00bfqu\u00e9 tal? \u00a1s\u00ed!", "tab \t x\n\n y", "1 2  3",
+       "a\x85 b", "\u00e9 \u00e9", "<s> </s> <|endoftext|>", "e \u0301 x", "\x1c a \x1f b"]
+
+
+@pytest.mark.parametrize("texts", [ODD, [prose(4, 40_000)], ["x" * 200_000, "a  b " * 40_000], ["1 2\n" * 50_000, "ab " * 70_000]])
+def test_words_give_the_ids_of_whole_texts(texts):
+    library, pieces = libraries()
+    memory = align.memory_of(A, B)
+    memory._forget()
+    assert memory.by_words
+    for _ in range(2):
+        (a, b), (n_a, n_b) = memory.encode(texts)
+        a, b = np.split(a, np.cumsum(n_a)[:-1]), np.split(b, np.cumsum(n_b)[:-1])
+        for t, x, y in zip(texts, a, b):
+            if len(x):
+                assert x.tolist() == library.encode(" " + t, add_special_tokens=False).ids and y.tolist() == pieces.encode(t)
+            else:
+                assert not t or b"".join(memory.sides[1].bytes_of[i] for i in pieces.encode(t)) != (" " + t).encode()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab'1 .\n\t\u00a0\u3000\u00e9\u00bf\u2028\u4e2d"), max_size=30), max_size=4))
+def test_any_text_is_cut_at_safe_places(texts):
+    test_words_give_the_ids_of_whole_texts(texts)
 
 
 def test_empty_table(spark):
