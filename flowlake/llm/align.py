@@ -8,7 +8,7 @@ it is passed, and halves the bracket.  Common ends cut both lists into groups.
 The ranks of a driving token's two borders differ by the tokens of the other
 side that it overlaps, so links need no second search.
 
-    aligned(docs, a, b)    blocks of documents: ids and tokens per group, packed
+    encoded(docs, a, b)    blocks of documents: their ids under both, packed
     groups(blocks)         one row per document with its groups
     pair_counts(...)       for an id pair, the documents that hold it linked, and
                            whether that is the highest count of its A id
@@ -45,8 +45,7 @@ from flowlake.llm.bpe import byte_alphabet
 from flowlake.llm.common import chunk_rows, span_hashes, text_buffer, written
 
 BLOCK_BYTES = 1 << 20
-BLOCK_SCHEMA = ("block long, doc_id array<long>, n_a array<int>, n_b array<int>, n_groups array<int>, "
-                "a_ids binary, b_ids binary, a_take binary, b_take binary")
+BLOCK_SCHEMA = "block long, doc_id array<long>, n_a array<int>, n_b array<int>, a_ids binary, b_ids binary"
 
 
 # ---------------------------------------------------------------- tokenizers
@@ -126,13 +125,14 @@ class Memory:
     MOST_IDS ids; then it starts anew.
     """
 
-    MOST_WORDS = 400_000
-    MOST_IDS = 4_000_000
+    MOST_WORDS = 1_200_000
+    MOST_IDS = 8_000_000
     BATCH_BYTES = 1 << 16        # of new words through a library at once
 
     def __init__(self, sides: tuple[ByteLevel, Pieces]):
         self.sides = sides
         self.size = [np.array([len(x) for x in side.bytes_of], np.int64) for side in sides]
+        self.spelt = [np.frombuffer(b"".join(side.bytes_of), np.uint8) for side in sides]
         self.by_words = all(side.by_words for side in sides)
         self._forget()
 
@@ -153,9 +153,7 @@ class Memory:
                     ids = side.encode(text[begin:k + 1])
                     flat.append(np.array([i for x in ids for i in x], np.int32))
                     length += [len(x) for x in ids]
-                    for j, x in enumerate(ids, begin):
-                        if b"".join([side.bytes_of[i] for i in x]) != words[j]:
-                            whole[j] = False
+                    whole[begin:k + 1] &= self._gives(s, flat[-1], np.array(length[begin:]), words[begin:k + 1])
                     size, begin = 0, k + 1
             self.ids[s] = np.concatenate([self.ids[s], *flat])
             self.offset[s] = np.concatenate([self.offset[s], self.offset[s][-1] + np.cumsum(length, dtype=np.int64)])
@@ -164,6 +162,20 @@ class Memory:
         self.hash = np.insert(self.hash, at, hashes)
         self.whole = np.append(self.whole, whole)
 
+    def _gives(self, s: int, ids: np.ndarray, counts: np.ndarray, words: list[bytes]) -> np.ndarray:
+        """Whether the tokens' bytes are the words' (words have at least one byte)."""
+        size = self.size[s][ids]
+        want = np.array([len(w) for w in words])
+        same = np.bincount(np.repeat(np.arange(len(words)), counts), weights=size, minlength=len(words)) == want
+        ids, size = ids[np.repeat(same, counts)], size[np.repeat(same, counts)]
+        _, within = _spread(size)
+        made = self.spelt[s][np.repeat((np.cumsum(self.size[s]) - self.size[s])[ids], size) + within]
+        given = np.frombuffer(b"".join(words), np.uint8)[np.repeat(same, want)]
+        begin = np.cumsum(want[same]) - want[same]
+        if len(begin):
+            same[np.flatnonzero(same)] = np.logical_and.reduceat(made == given, begin)
+        return same
+
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """(ids, number per text) of both sides; texts without tokens have none."""
         raw = [(" " + t).encode() if t else b"" for t in texts]
@@ -314,19 +326,20 @@ def align_ends(a_len: np.ndarray, b_len: np.ndarray, n_a: np.ndarray, n_b: np.nd
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Values from 0 in the narrowest of 8, 16 or 32 bits, compressed: u8 width, u32 bytes, data."""
-    top = int(values.max(initial=0))
-    raw = values.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4")
-    return struct.pack("<BI", raw.itemsize, raw.nbytes) + pa.compress(raw.tobytes(), "zstd", asbytes=True)
+    """Values from 0 as byte planes (lowest first), compressed: u8 planes, u32 values, data."""
+    planes = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    raw = b"".join((values >> 8 * k & 0xFF).astype(np.uint8).tobytes() for k in range(planes))
+    return struct.pack("<BI", planes, len(values)) + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpack(payload: bytes) -> np.ndarray:
-    width, size = struct.unpack_from("<BI", payload)
-    return np.frombuffer(pa.decompress(payload[5:], size, "zstd"), f"<u{width}").astype(np.int64)
+    planes, n = struct.unpack_from("<BI", payload)
+    raw = np.frombuffer(pa.decompress(payload[5:], planes * n, "zstd"), np.uint8).reshape(planes, n)
+    return sum((raw[k].astype(np.int64) << 8 * k for k in range(planes)), np.zeros(n, np.int64))
 
 
-def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Blocks of aligned documents (BLOCK_SCHEMA), written to the shared folder; no shuffle.
+def encoded(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Blocks of documents (BLOCK_SCHEMA), written to the shared folder; no shuffle.
 
     Both tokenizer files lie at these paths on every worker.
     """
@@ -339,12 +352,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
             _, offsets = text_buffer(batch.column("text"))
             for lo, hi in chunk_rows(offsets, BLOCK_BYTES):
                 (a_ids, b_ids), (n_a, n_b) = memory.encode(batch.column("text").slice(lo, hi - lo).to_pylist())
-                links = align_ends(memory.size[0][a_ids], memory.size[1][b_ids], n_a, n_b)
                 yield _row(BLOCK_SCHEMA, [number], [batch.column("doc_id").slice(lo, hi - lo)],
-                           [n_a], [n_b], [links.n_groups], *([pack(x)] for x in (a_ids, b_ids, links.a_take, links.b_take)))
+                           [n_a], [n_b], [pack(a_ids)], [pack(b_ids)])
                 number += 1
 
-    return written(source.mapInArrow(run, BLOCK_SCHEMA), "aligned")
+    return written(source.mapInArrow(run, BLOCK_SCHEMA), "encoded")
 
 
 def _arrow_type(name: str) -> pa.DataType:
@@ -367,7 +379,7 @@ def _row(schema: str, *columns) -> pa.RecordBatch:
 
 
 class Block:
-    """One row of aligned()."""
+    """One row of encoded()."""
 
     def __init__(self, table: pa.Table | pa.RecordBatch, k: int):
         def column(name: str) -> np.ndarray:
@@ -375,24 +387,23 @@ class Block:
 
         self.number = table.column("block")[k].as_py()
         self.doc_id = table.column("doc_id")[k].values
-        self.n_a, self.n_b, self.n_groups = (column(n).astype(np.int64) for n in ("n_a", "n_b", "n_groups"))
-        self.a_ids, self.b_ids, self.a_take, self.b_take = (
-            unpack(table.column(n)[k].as_py()) for n in ("a_ids", "b_ids", "a_take", "b_take"))
+        self.n_a, self.n_b = (column(n).astype(np.int64) for n in ("n_a", "n_b"))
+        self.a_ids, self.b_ids = (unpack(table.column(n)[k].as_py()) for n in ("a_ids", "b_ids"))
 
     def links(self, a_size: np.ndarray, b_size: np.ndarray) -> tuple[Links, np.ndarray]:
         """Links in document order and the id pair of each as one number."""
         links = align_ends(a_size[self.a_ids], b_size[self.b_ids], self.n_a, self.n_b)
         return links, (self.a_ids[links.a] << 32) | self.b_ids[links.b]
 
-    def texts(self, strings: Strings) -> list[str]:
+    def texts(self, links: Links, strings: Strings) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` per document; empty without tokens."""
-        a_stop, b_stop = np.cumsum(self.a_take), np.cumsum(self.b_take)
-        (a_group, a_in), (b_group, b_in) = _spread(self.a_take), _spread(self.b_take)
+        a_take, b_take = links.a_take, links.b_take
+        (a_group, a_in), (b_group, b_in) = _spread(a_take), _spread(b_take)
         codes = np.empty(len(self.a_ids) + len(self.b_ids), np.int64)
-        before = a_stop + b_stop - self.a_take - self.b_take
-        last_a, last_b = a_in == self.a_take[a_group] - 1, b_in == self.b_take[b_group] - 1
+        before = np.cumsum(a_take + b_take) - a_take - b_take
+        last_a, last_b = a_in == a_take[a_group] - 1, b_in == b_take[b_group] - 1
         codes[before[a_group] + a_in] = self.a_ids + np.where(last_a, strings.a_last, 0)
-        codes[before[b_group] + self.a_take[b_group] + b_in] = self.b_ids + np.where(last_b, strings.b_last, strings.b)
+        codes[before[b_group] + a_take[b_group] + b_in] = self.b_ids + np.where(last_b, strings.b_last, strings.b)
         stop = np.cumsum(self.n_a + self.n_b).tolist()
         parts = strings.table
         return ["".join([parts[c] for c in codes[i:j].tolist()])[:-1] for i, j in zip([0, *stop[:-1]], stop)]
@@ -410,11 +421,13 @@ class Strings:
 def groups(blocks: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """(doc_id, groups): the groups of every document as text, ``a1,a2|b1;a3|b2,b3``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings = Strings(*map(len, memory_of(a_path, b_path).size))
+        size = memory_of(a_path, b_path).size
+        strings = Strings(*map(len, size))
         for batch in batches:
             for k in range(batch.num_rows):
                 block = Block(batch, k)
-                yield pa.RecordBatch.from_arrays([block.doc_id, pa.array(block.texts(strings), pa.string())], ["doc_id", "groups"])
+                texts = block.texts(block.links(*size)[0], strings)
+                yield pa.RecordBatch.from_arrays([block.doc_id, pa.array(texts, pa.string())], ["doc_id", "groups"])
 
     return blocks.mapInArrow(run, "doc_id long, groups string")
 
@@ -434,7 +447,7 @@ def block_pairs(blocks: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     [pa.array(np.full(len(different), block.number)), pa.array((different >> 32).astype(np.int32)),
                      pa.array((different & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["block", "a", "b", "n"])
 
-    return written(blocks.mapInArrow(run, "block long, a int, b int, n long"), "aligned-pairs")
+    return written(blocks.mapInArrow(run, "block long, a int, b int, n long"), "linked-pairs")
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -474,10 +487,10 @@ def linked(blocks: DataFrame, pairs: DataFrame, a_path: str, b_path: str, digest
                 upto = np.append(0, np.cumsum(values, dtype=np.int64))
                 return upto[stop] - upto[stop - links.n_links]
 
-            texts = block.texts(worker["strings"])
+            texts = block.texts(links, worker["strings"])
             if digest:
                 texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-            values = [block.n_a, block.n_b, block.n_groups, links.n_links, per_doc(best[at]), per_doc(n_docs[at])]
+            values = [block.n_a, block.n_b, links.n_groups, links.n_links, per_doc(best[at]), per_doc(n_docs[at])]
             out.append(pa.Table.from_arrays([block.doc_id, *(pa.array(v, pa.int64()) for v in values), pa.array(texts, pa.string())],
                                             ["doc_id", *names, last]))
         return pa.concat_tables(out)

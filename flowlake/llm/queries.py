@@ -177,7 +177,7 @@ def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op12_alignment")
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from flowlake.llm.align import aligned, block_pairs, linked
+    from flowlake.llm.align import block_pairs, encoded, linked
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    blocks = aligned(table(spark, sf_dir, "documents"), *paths)
+    blocks = encoded(table(spark, sf_dir, "documents"), *paths)
     return linked(blocks, block_pairs(blocks, *paths), *paths, digest=True)

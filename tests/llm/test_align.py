@@ -99,7 +99,7 @@ def brute(texts):
 
 
 def result(docs):
-    blocks = align.aligned(docs, A, B)
+    blocks = align.encoded(docs, A, B)
     return align.linked(blocks, align.block_pairs(blocks, A, B), A, B, digest=True), blocks
 
 
