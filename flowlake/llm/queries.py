@@ -181,3 +181,45 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     blocks = encoded(table(spark, sf_dir, "documents"), *paths)
     return linked(blocks, block_pairs(blocks, *paths), *paths, digest=True)
+
+
+#: All phrases counted in full; every longer phrase is asked whether it holds the shorter one.
+_OP11_SQL = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+gram AS (
+  SELECT lang, k, g, count(*) AS f FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+    FROM words, (VALUES (1), (2), (3), (4)) AS size(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 30),
+held AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS g, max(f) AS longer
+  FROM (SELECT lang, k, f, string_split(g, ' ') AS w FROM gram WHERE k > 2),
+    (VALUES (2), (3)) AS part(m), (VALUES (1), (2), (3)) AS place(i)
+  WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+kept AS (
+  SELECT gram.*, string_split(g, ' ') AS w FROM gram LEFT JOIN held USING (lang, g)
+  WHERE k > 1 AND coalesce(100 * longer < 80 * f, true)),
+cut AS (
+  SELECT kept.lang, kept.g, kept.f AS a, c, x.f AS l, y.f AS r,
+    (2000000::HUGEINT * kept.f) // (x.f + y.f) AS score
+  FROM kept, (VALUES (1), (2), (3)) AS cuts(c), gram x, gram y
+  WHERE c < kept.k AND x.lang = kept.lang AND y.lang = kept.lang
+    AND x.g = array_to_string(w[1:c], ' ') AND y.g = array_to_string(w[c + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM best)
+SELECT lang, rank::BIGINT AS rank, g AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+  score::BIGINT AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@register("op11_collocations", _OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from flowlake.llm.phrases import collocations
+    return collocations(table(spark, sf_dir, "documents"))
