@@ -91,12 +91,13 @@ def vault_history(snapshots: DataFrame, universe: DataFrame,
 
 
 def filled_token_index(tokens: DataFrame, indices: list[DataFrame], ctx: RunContext,
-                       join_on: str = "contract") -> DataFrame:
+                       join_on: str = "contract", fill=forward_fill) -> DataFrame:
     """P-31 third branch: token × day spine ⟕ daily indices, forward-filled per token.
 
     ``join_on='contract'`` matches the token address with the index source's
     contract (the reference's join); ``'underlying'`` matches the token's
-    underlying with the index's reserve instead.
+    underlying with the index's reserve instead.  ``fill`` may be
+    ``blocked_forward_fill``, which spreads a long series over several tasks.
     """
     spine = yield_spine(tokens, RunContext(as_of=ctx.as_of))
     idx = union_all([i.select(*INDEX_COLUMNS) for i in indices])
@@ -111,7 +112,7 @@ def filled_token_index(tokens: DataFrame, indices: list[DataFrame], ctx: RunCont
     else:
         raise ValueError("join_on must be 'contract' or 'underlying'")
     joined = spine.join(right, keys, "left")
-    filled = forward_fill(joined, ["chain", "protocol", "token_address"], "dt", "_i", out="index")
+    filled = fill(joined, ["chain", "protocol", "token_address"], "dt", "_i", out="index")
     return filled.select("dt", F.col("chain").alias("blockchain"), "protocol", "token_address", "index")
 
 

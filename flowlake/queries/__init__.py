@@ -11,7 +11,7 @@ from flowlake.queries.registry import ORACLES, QUERIES, register
 
 # Section modules register their queries on import; order follows dependencies.
 from flowlake.queries import (  # noqa: E402,F401
-    transfers, flows, indices, valuation, materializations, data_tests, extras,
+    transfers, flows, indices, valuation, materializations, data_tests, extras, mechanisms,
 )
 
 __all__ = ["ORACLES", "QUERIES", "register"]
