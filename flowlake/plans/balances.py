@@ -64,16 +64,20 @@ def stable_values(daily: DataFrame, index: DataFrame, prices: DataFrame,
     ).withColumn("value_usd", F.col("price_usd") * F.col("balance")).select(*VALUE_COLUMNS)
 
 
-def detailed(stables: DataFrame, rwas: DataFrame, floor: dt.date = DETAIL_FLOOR, rules=None) -> DataFrame:
-    """P-34: union, daily USD total, stable-token class, date floor.
+def united_facts(stables: DataFrame, rwas: DataFrame) -> DataFrame:
+    """Both fact tables as one: what the detail table is made from."""
+    return union_all([stables.select(*VALUE_COLUMNS), rwas.select(*VALUE_COLUMNS)])
+
+
+def detail_of(facts: DataFrame, floor: dt.date = DETAIL_FLOOR, rules=None) -> DataFrame:
+    """P-34: daily USD total, stable-token class and date floor over the united facts.
 
     The daily total is a grouped sum (combined map-side, one row per day) joined
-    back, so no task gathers a day. Both inputs are read twice: pass written
-    tables, as the model graph does. ``amount`` is the balance (the source selects
-    a column its inputs do not have; the balance is the only sensible reading).
+    back, so no task gathers a day. ``facts`` is read twice: pass a written table.
+    ``amount`` is the balance (the source selects a column its inputs do not have;
+    the balance is the only sensible reading).
     """
-    both = union_all([stables.select(*VALUE_COLUMNS), rwas.select(*VALUE_COLUMNS)])
-    both = both.filter(F.col("dt") >= F.lit(floor))
+    both = facts.filter(F.col("dt") >= F.lit(floor))
     totals = both.groupBy("dt").agg(F.sum(F.coalesce(F.col("value_usd"), F.lit(0.0))).alias("value_usd_total"))
     stable_token = F.when(F.col("category") == "rwa", F.lit(None).cast("string")).otherwise(
         ordered_like("token_name", rules or STABLE_TOKEN_RULES, "Others"))
@@ -83,6 +87,11 @@ def detailed(stables: DataFrame, rwas: DataFrame, floor: dt.date = DETAIL_FLOOR,
         F.col("balance").alias("amount"), "value_usd", "value_usd_total")
 
 
+def detailed(stables: DataFrame, rwas: DataFrame, floor: dt.date = DETAIL_FLOOR, rules=None) -> DataFrame:
+    """The detail table over two written fact tables, as the model graph has them."""
+    return detail_of(united_facts(stables, rwas), floor, rules)
+
+
 def sorted_for_write(df: DataFrame) -> DataFrame:
     """The source's final ORDER BY dt DESC, value_usd DESC (NULLs last).
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from flowlake.plans.balances import detailed, rwa_values, STABLE_TOKEN_RULES, stable_values
+from flowlake.plans.balances import detail_of, rwa_values, STABLE_TOKEN_RULES, stable_values, united_facts
 from flowlake.session import workspace_dir
 from flowlake.sinks import write_table
 from flowlake.sources import testdata as td, testdata_sql as tsql
@@ -98,10 +98,10 @@ def _stable_values(spark, d, category_mode="carry"):
 
 
 def _detailed(spark, d, category_mode: str):
-    """The detail table over written fact tables (two reads of each are cheap)."""
-    facts = [write_table(spark, facts, workspace_dir(spark, name)) for name, facts in
-             (("fct_stables", _stable_values(spark, d, category_mode)), ("fct_rwas", _rwa_values(spark, d)))]
-    return _round(detailed(*facts), ["amount", "value_usd", "value_usd_total"])
+    """The detail table over the united facts, written once by one job."""
+    facts = united_facts(_stable_values(spark, d, category_mode), _rwa_values(spark, d))
+    stored = write_table(spark, facts, workspace_dir(spark, "facts"))
+    return _round(detail_of(stored), ["amount", "value_usd", "value_usd_total"])
 
 
 @register("running_balance", f"""SELECT blockchain, dt, category, protocol, token_name, token_address,

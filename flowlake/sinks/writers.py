@@ -20,11 +20,15 @@ warehouse's DELETE-then-INSERT, publishing is not atomic across partitions.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MOVES = 16      # partition folders moved at a time
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -105,10 +109,17 @@ def _publish(spark: SparkSession, stage: str, path: str, partition_by: list[str]
     for _ in partition_by:
         folders = [f.getPath() for d in folders for f in fs.listStatus(d) if f.isDirectory()]
     root = staged.toUri().getPath().rstrip("/") + "/"
+
+
+    def move(folder) -> None:
+        inner = folder.toUri().getPath().removeprefix(root)
+        _move_in(fs, folder, Path(target, inner), Path(aside, inner))
+
     try:
-        for folder in folders:
-            inner = folder.toUri().getPath().removeprefix(root)
-            _move_in(fs, folder, Path(target, inner), Path(aside, inner))
+        # folders do not depend on each other; the first error is raised when all have ended
+        with ThreadPoolExecutor(MOVES) as pool:
+            for done in [pool.submit(move, f) for f in folders]:
+                done.result()
     finally:
         # only a folder that could not be moved back is still in it
         if fs.exists(aside) and fs.getContentSummary(aside).getFileCount() == 0:
