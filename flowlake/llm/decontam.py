@@ -1,28 +1,33 @@
 """Benchmark decontamination by template canonicalisation (DataFrame functions only).
 
 A text becomes a template: numbers, names and units turn into the typed
-placeholders 0, 1 and 2, everything else into lower-case letter runs.  Windows
-of K template words are hash-joined with the windows of all benchmark items:
-
-1. *Search*: items give every window, documents every STRIDE-th one, so any
-   shared run of K + STRIDE - 1 words is found at a quarter of the rows.  Items
-   too short for that are searched by one window of their full length, at every
-   place.
-2. *Score*: for the few (document, item) pairs found, every window counts.
-   ``coverage`` is the share of the item's windows in the document.
-3. *Slots*: in matched windows each value of the item's slots must always meet
-   the same value in the document; ``consistency`` is the share of the item's
-   distinct slot values that do (1 without slots).  A question with new
-   numbers stays consistent, a chance match of placeholders does not.
-
-A pair with coverage >= LEAST_COVERAGE and consistency >= LEAST_CONSISTENCY is
-a leak.  The benchmark's windows are broadcast only up to BROADCAST_WINDOWS
-(about 32 bytes each); beyond that the same join shuffles.
+placeholders 0, 1 and 2, everything else into lower-case letter runs.
+
+1. *Search*: every window of K template words of every document is hash-joined
+   with every window of all benchmark items.  Items of fewer words have one window
+   of their full length, and documents are probed at every place for it too.
+2. *Alignment*: for the few (document, item) pairs found, hits are grouped by
+   alignment (place in the document less place in the item).  So a text that
+   holds an item twice, or an item that repeats itself, is judged copy by copy.
+3. *Slots*: in an alignment each value of the item's slots must always meet the
+   same value in the document; its consistency is the share of the item's distinct
+   slot values that do (1 without slots).  A question with new numbers stays
+   consistent, a chance match of placeholders does not.  Alignments under
+   LEAST_CONSISTENCY are dropped.
+4. *Score*: words put in or left out shift the alignment, so alignments that lie
+   within a band of BAND places (in either of two bandings, half a band apart)
+   are one copy.  ``coverage`` is the share of the item's windows that the band
+   holds; from LEAST_COVERAGE on, the pair is a leak, reported by its best band.
+
+The benchmark's windows are broadcast only up to BROADCAST_WINDOWS (about 32
+bytes each); beyond that the same join shuffles.
 
 Defined cases: null and empty texts and items, and items without a word, match
 nothing; repeated items are separate items; rows with the same doc_id are
-scored apart and the best pair is kept; very long texts are searched whole; an
-empty table on either side gives an empty result; other columns are ignored.
+scored apart and the best pair is kept; very long texts and long runs of numbers
+or names are searched whole (no pattern recurses); the four private-use
+characters that mark slots are taken out of texts; an empty table on either side
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 K = 8
-STRIDE = 4
+BAND = 16
 LEAST_COVERAGE = 0.3
 LEAST_CONSISTENCY = 0.5
 BROADCAST_WINDOWS = 500_000
@@ -44,134 +49,154 @@ UNITS = ("mm|cm|m|km|in|ft|yd|mi|g|kg|mg|lb|oz|t|ml|l|gal|s|sec|min|h|hr|hours|m
 UNIT = rf"0 +({UNITS})([^\p{{L}}]|$)"
 WORD = r"[\p{L}012]+"
 
+# The same patterns for the JVM: possessive loops match the same text without recursion.
+_NUMBER = r"[0-9]++(?:[.,:/][0-9]++)*+"
+_NAME = r"([\p{Ll},;] )(\p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)*+)"
+# A slot is a mark of its type, its value and END.
+MARKS, END = ("\ue000", "\ue001", "\ue002"), "\ue003"
+_UNIT = rf"{END} ++((?i:{UNITS}))([^\p{{L}}]|$)"
+_TOKEN = rf"[{MARKS[0]}{MARKS[1]}{MARKS[2]}][^{END}]*+{END}|\p{{L}}++"
 
-def _numbered(text: Column) -> Column:
-    return F.regexp_replace(text, NUMBER, " 0 ")
 
+def tokens(text: Column) -> Column:
+    """Words and marked slots of a text, in order."""
+    plain = F.translate(F.coalesce(text, F.lit("")), "".join(MARKS) + END, "")
+    numbered = F.regexp_replace(plain, _NUMBER, f" {MARKS[0]}$0{END} ")
+    named = F.regexp_replace(numbered, _NAME, f"$1 {MARKS[1]}$2{END} ")
+    return F.regexp_extract_all(F.regexp_replace(named, _UNIT, f"{END} {MARKS[2]}$1{END} $2"), F.lit(_TOKEN), F.lit(0))
 
-def _named(text: Column) -> Column:
-    return F.lower(F.regexp_replace(_numbered(text), NAME, "$1 1 "))
+
+def word(token: Column) -> Column:
+    """A token's template word: 0, 1 or 2 for a slot, else the word in lower case."""
+    mark = F.substring(token, 1, 1)
+    out = F.lower(token)
+    for code, m in enumerate(MARKS):
+        out = F.when(mark == m, F.lit(str(code))).otherwise(out)
+    return out
+
+
+def slot_value(token: Column) -> Column:
+    """``type:value`` of a slot, NULL for a word; units in lower case."""
+    mark, value = F.substring(token, 1, 1), F.substring(token, F.lit(2), F.length(token) - 2)
+    out = F.lit(None).cast("string")
+    for code, m in enumerate(MARKS):
+        out = F.when(mark == m, F.concat(F.lit(f"{code}:"), F.lower(value) if code == 2 else value)).otherwise(out)
+    return out
 
 
 def template(text: Column) -> Column:
     """The template words of a text, with 0 / 1 / 2 for numbers / names / units."""
-    return F.regexp_extract_all(F.regexp_replace(_named(F.coalesce(text, F.lit(""))), UNIT, "0 2 $2"), F.lit(WORD), F.lit(0))
+    return F.transform(tokens(text), word)
 
 
-def slot_values(text: Column) -> list[Column]:
-    """Values of the number, name and unit slots, each in order of occurrence."""
-    return [F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)),
-            F.regexp_extract_all(_numbered(text), F.lit(NAME), F.lit(2)),
-            F.regexp_extract_all(_named(text), F.lit(UNIT), F.lit(1))]
+def _bounded(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_WINDOWS else df
 
 
-def _windows(words: Column, size: int, step: int) -> Column:
-    """Hashes of the windows of ``size`` words at every ``step``-th place."""
-    last = F.size(words) - size + 1
-    places = F.when(last >= 1, F.sequence(F.lit(1), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i, F.lit(size))))
+def _tokenized(df: DataFrame, text: str) -> DataFrame:
+    """With ``tokens`` and the ``hashes`` of their template words, each computed once."""
+    return (df.withColumn("tokens", tokens(F.col(text)))
+            .withColumn("hashes", F.transform("tokens", lambda t: F.xxhash64(word(t)))))
 
 
-def _bounded(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_WINDOWS else df
+def _sized_windows(df: DataFrame, sizes: list[int], values: bool = False) -> DataFrame:
+    """With ``windows``: (hash, size, at[, values]) of all windows of all these sizes.
+
+    ``values`` adds the slot values of a window's places (NULL for words), so that
+    later rows carry their window and not their text.
+    """
+    if values:
+        df = df.withColumn("values", F.transform("tokens", slot_value))
 
+    def sized(n: int) -> Column:
+        last = F.size("hashes") - n + 1
+        places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
 
-def _window_size(words: str) -> Column:
-    """K, or the full length of an item that is too short for the strided search."""
-    n = F.size(words)
-    return F.when(n < K + STRIDE - 1, n).otherwise(F.lit(K))
+        def window(i: Column) -> Column:
+            # element by element: slice() would copy the whole array for every window
+            own = [F.array(*(F.get("values", i - 1 + j) for j in range(n))).alias("values")] if values else []
+            hashed = F.xxhash64(*(F.get("hashes", i - 1 + j) for j in range(n)))
+            return F.struct(hashed.alias("hash"), F.lit(n).alias("size"), i.alias("at"), *own)
+
+        return F.transform(places, window)
+
+    empty = "array<struct<hash:bigint,size:int,at:int" + (",values:array<string>" if values else "") + ">>"
+    return df.withColumn("windows", F.concat(*map(sized, sizes)) if sizes else F.array().cast(empty))
+
+
+def _each_window(df: DataFrame, *columns: str) -> DataFrame:
+    """A row ``w`` per window.  The outer form, as for the inner one Spark adds a filter
+    that holds the whole expression again, spelt out for every element."""
+    return df.select(*columns, F.explode_outer("windows").alias("w")).filter("w is not null")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, n_matched, n_windows, coverage, consistency) of every leak."""
-    items = (benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("item_text"))
-             .withColumn("item_key", F.xxhash64("item_id", "item_text")).dropDuplicates(["item_key"])
-             .withColumn("item_words", template(F.col("item_text")))
-             .withColumn("size", _window_size("item_words")).filter("size > 0"))
-    n_windows = F.size("item_words") - F.col("size") + 1
-    rows = items.agg(F.sum(n_windows).alias("n")).first()["n"] or 0
-    # the lengths of items too short for the strided search: fewer than K + STRIDE values
-    short = items.filter(F.size("item_words") < K + STRIDE - 1).select("size").distinct().collect()
-    lengths = sorted(r["size"] for r in short)
-
-    def item_windows(size: int) -> Column:
-        return _windows(F.col("item_words"), size, 1)
-
-    hashed = F.when(F.col("size") == K, item_windows(K))
-    for n in lengths:
-        if n != K:
-            hashed = hashed.when(F.col("size") == n, item_windows(n))
-    item_rows = items.select("item_key", "size", F.posexplode(hashed).alias("item_at", "hash"))
-    keys = item_rows.select("hash", "size", "item_key").distinct()
-
-    source = (docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-              .withColumn("words", template(F.col("text"))))
-
-    def keyed(size: int, step: int) -> Column:
-        return F.transform(_windows(F.col("words"), size, step),
-                           lambda h: F.struct(h.alias("hash"), F.lit(size).alias("size")))
-
-    probe = F.concat(keyed(K, STRIDE), *(keyed(n, 1) for n in lengths)) if lengths else keyed(K, STRIDE)
-    found = (source.select("doc_id", "text", F.explode(probe).alias("probe"))
-             .select("doc_id", "text", F.col("probe.hash").alias("hash"), F.col("probe.size").alias("size"))
-             .join(_bounded(keys, rows), ["hash", "size"])
-             .groupBy("doc_id", F.xxhash64("text").alias("row_key"), "item_key").agg(F.any_value("text").alias("text")))
-
-    # every window of the pairs found
-    pairs = found.join(_bounded(items, rows), "item_key")
-    pairs = pairs.withColumn("words", template(F.col("text")))
-    every = F.when(F.col("size") == K, _windows(F.col("words"), K, 1))
-    for n in lengths:
-        if n != K:
-            every = every.when(F.col("size") == n, _windows(F.col("words"), n, 1))
-    doc_rows = pairs.select("doc_id", "row_key", "item_key", F.posexplode(every).alias("doc_at", "hash"))
-    hits = (doc_rows.join(_bounded(item_rows.select("item_key", "item_at", "hash"), rows), ["item_key", "hash"])
-            .groupBy("doc_id", "row_key", "item_key")
-            .agg(F.countDistinct("item_at").alias("n_matched"),
-                 F.collect_set(F.struct("item_at", "doc_at")).alias("places")))
-    scored = pairs.join(hits.withColumnRenamed("doc_id", "d"),
-                        F.col("doc_id").eqNullSafe(F.col("d")) & (pairs["row_key"] == hits["row_key"])
-                        & (pairs["item_key"] == hits["item_key"])).select(
-        "doc_id", "item_id", "n_matched", n_windows.alias("n_windows"), "places", "text", "item_text", "words", "item_words", "size")
-    scored = scored.withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-    leaks = (scored.filter(F.col("coverage") >= LEAST_COVERAGE).withColumn("consistency", _consistency())
-             .filter(F.col("consistency") >= LEAST_CONSISTENCY))
+    leaks = _leaks(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), benchmark, item_col, item_text_col)
     best = F.max(F.struct("coverage", "consistency", "n_matched", "n_windows"))
     return (leaks.groupBy("doc_id", "item_id").agg(best.alias("best"))
             .select("doc_id", "item_id", F.col("best.n_matched").cast("long").alias("n_matched"),
                     F.col("best.n_windows").cast("long").alias("n_windows"), "best.coverage", "best.consistency"))
 
 
-def _consistency() -> Column:
-    """Share of the item's slot values in matched windows that meet one document value only."""
-    doc_values, item_values = slot_values(F.col("text")), slot_values(F.col("item_text"))
-
-    def value(words: str, values: list[Column], at: Column) -> Column:
-        kind = F.element_at(F.col(words), at)
-        ordinal = F.size(F.filter(F.slice(F.col(words), F.lit(1), at), lambda w: w == kind))
-        picked = F.lit(None).cast("string")
-        for code, column in enumerate(values):
-            picked = F.when(kind == str(code), F.try_element_at(column, ordinal)).otherwise(picked)
-        return F.when(kind.isin("0", "1", "2"), F.concat(kind, F.lit(":"), picked))
-
-    offsets = F.sequence(F.lit(1), F.col("size"))
-    matched = F.flatten(F.transform("places", lambda p: F.transform(offsets, lambda j: F.struct(
-        (p["item_at"] + j).alias("i"), (p["doc_at"] + j).alias("d")))))
-    slots = F.filter(F.array_distinct(matched), lambda x: F.element_at(F.col("item_words"), x["i"]).isin("0", "1", "2"))
-    met = F.array_distinct(F.transform(slots, lambda x: F.struct(
-        value("item_words", item_values, x["i"]).alias("iv"), value("words", doc_values, x["d"]).alias("dv"))))
-    met = F.filter(met, lambda x: x["iv"].isNotNull() & x["dv"].isNotNull())
-    sides = F.transform(met, lambda x: x["iv"])
-    different = F.array_distinct(sides)
-    single = F.filter(different, lambda v: F.size(F.filter(sides, lambda s: s == v)) == 1)
-    return F.when(F.size(different) == 0, F.lit(1.0)).otherwise(F.size(single) / F.size(different))
+def _leaks(source: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    """Every leaking band of every row (doc_id, row_key) and item."""
+    source = source.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    items = _tokenized(benchmark.select(benchmark[item_col].alias("item_id"), benchmark[item_text_col].alias("item_text"))
+                       .withColumn("item_key", F.xxhash64("item_id", "item_text")).dropDuplicates(["item_key"]), "item_text")
+    items = items.withColumn("size", F.least(F.size("tokens"), F.lit(K))).filter("size > 0")
+    n_windows = F.size("tokens") - F.col("size") + 1
+    rows = items.agg(F.sum(n_windows).alias("n")).first()["n"] or 0
+    # sizes of items shorter than K, and K: at most K values
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
+    of_item = (_each_window(_sized_windows(items, sizes, True), "item_key", "size").filter("w.size = size")
+               .select("item_key", "size", F.col("w.hash").alias("hash"), F.col("w.at").alias("item_at"), F.col("w.values").alias("item_values")))
+    keys = of_item.select("hash", "size", "item_key").distinct()
+
+    # which rows hold which items: nothing but hashes goes through the join
+    probes = (_each_window(_sized_windows(_tokenized(source, "text"), sizes), "doc_id", "row_key")
+              .select("doc_id", "row_key", F.col("w.hash").alias("hash"), F.col("w.size").alias("size")))
+    pairs = (probes.join(_bounded(keys, rows), ["hash", "size"]).select("doc_id", "row_key", "item_key").distinct())
+
+    # all windows of these rows again, with their slot values where they hit
+    held = pairs.select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_k")).distinct()
+    there = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("row_key") == F.col("_k"))
+    texts = _sized_windows(_tokenized(source.join(held, there, "left_semi").dropDuplicates(["doc_id", "row_key"]), "text"), sizes, True)
+    places = (_each_window(texts, "doc_id", "row_key")
+              .select("doc_id", "row_key", F.col("w.hash").alias("hash"), F.col("w.size").alias("size"), F.col("w.at").alias("doc_at"),
+                      F.col("w.values").alias("doc_values")))
+    hits = (places.join(_bounded(of_item, rows), ["hash", "size"])
+            .select("doc_id", "row_key", "item_key", "item_at", (F.col("doc_at") - F.col("item_at")).alias("shift"),
+                    F.arrays_zip(F.col("item_values").alias("i"), F.col("doc_values").alias("d")).alias("slots")))
+
+    # one alignment holds a window of the item once, so these sets are bounded by the item
+    met = F.filter(F.array_distinct(F.flatten(F.collect_set("slots"))), lambda x: x["i"].isNotNull() & x["d"].isNotNull())
+    aligned = hits.groupBy("doc_id", "row_key", "item_key", "shift").agg(F.collect_set("item_at").alias("ats"), met.alias("met"))
+    aligned = aligned.withColumn("sides", F.transform("met", lambda x: x["i"])).withColumn("different", F.array_distinct("sides"))
+    single = F.filter("different", lambda v: F.size(F.filter("sides", lambda s: s == v)) == 1)
+    aligned = (aligned.withColumn("n_single", F.size(single)).withColumn("n_values", F.size("different"))
+               .filter((F.col("n_values") == 0) | (F.col("n_single") >= LEAST_CONSISTENCY * F.col("n_values"))))
+    halves = F.array(*(F.struct(F.lit(b).alias("half"), F.floor((F.col("shift") + b * (BAND // 2)) / BAND).alias("band")) for b in (0, 1)))
+    bands = (aligned.withColumn("h", F.explode(halves)).groupBy("doc_id", "row_key", "item_key", "h")
+             .agg(F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("n_matched"),
+                  F.sum("n_single").alias("n_single"), F.sum("n_values").alias("n_values")))
+    scored = bands.join(_bounded(items.select("item_key", "item_id", n_windows.alias("n_windows")), rows), "item_key")
+    return (scored.withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
+            .withColumn("consistency", F.when(F.col("n_values") == 0, F.lit(1.0)).otherwise(F.col("n_single") / F.col("n_values")))
+            .filter(F.col("coverage") >= LEAST_COVERAGE))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; all columns stay.
+    """``docs`` without the rows that hold a benchmark item; all columns stay.
 
-    Rows with a null id cannot be named by a leak and stay.
+    A row goes if its own text leaks, or that of another row with its id.
     """
-    leaks = find_leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaks, docs[id_col].cast("long") == leaks["_leaked"], "left_anti")
+    own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    leaks = _leaks(own, benchmark, "item_id", "text").select(F.col("doc_id").alias("_leaked"), F.col("row_key").alias("_leaked_row")).distinct()
+    by_id = leaks.filter("_leaked is not null").select("_leaked").distinct()
+    by_row = leaks.filter("_leaked is null").select("_leaked_row")
+    doc_id = docs[id_col].cast("long")
+    kept = docs.join(by_id, doc_id == by_id["_leaked"], "left_anti")
+    row_key = F.when(kept[id_col].isNull(), F.xxhash64(kept[id_col].cast("long"), kept[text_col]))
+    return kept.join(by_row, row_key == by_row["_leaked_row"], "left_anti")

@@ -73,7 +73,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op3_sql() -> str:
-    """The same templates, windows and slot checks, with all windows of all texts joined by their words."""
+    """All windows of all texts joined by their words, judged alignment by alignment."""
     from flowlake.llm import decontam as d
 
     def lines(table_: str, key: str) -> str:
@@ -97,24 +97,29 @@ FROM {table_}"""
         return f"""SELECT id, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: {{'at': i, 'words': w[i:i + size - 1]}}), recursive := true)
 FROM (SELECT *, {size} AS size FROM {source})"""
 
-    whole = d.K + d.STRIDE - 1
     return f"""WITH doc AS ({lines('documents', 'doc_id')}), item AS (SELECT * FROM ({lines('benchmark', 'item_id')}) WHERE len(w) > 0),
-item_window AS ({windows('item', f'CASE WHEN len(w) < {whole} THEN len(w) ELSE {d.K} END')}),
-doc_window AS ({windows(f'(SELECT doc.*, asked FROM doc, (SELECT DISTINCT size AS asked FROM item_window))', 'asked')}),
-hit AS (SELECT d.id AS doc_id, i.id AS item_id, d.at AS doc_at, i.at AS item_at, i.size
+item_window AS ({windows('item', f'least(len(w), {d.K})')}),
+doc_window AS ({windows('(SELECT doc.*, asked FROM doc, (SELECT DISTINCT size AS asked FROM item_window))', 'asked')}),
+hit AS (SELECT d.id AS doc_id, i.id AS item_id, d.at - i.at AS shift, i.at AS item_at, i.size
   FROM doc_window d JOIN item_window i ON d.size = i.size AND d.words = i.words),
-pair AS (SELECT doc_id, item_id, count(DISTINCT item_at) AS n_matched, any_value(size) AS size FROM hit
-  GROUP BY ALL HAVING bool_or(doc_at % {d.STRIDE} = 1) OR any_value((SELECT len(w) FROM item WHERE item.id = item_id)) < {whole}),
-met AS (SELECT DISTINCT hit.doc_id, hit.item_id, iv.v AS iv, dv.v AS dv
+met AS (SELECT DISTINCT hit.doc_id, hit.item_id, shift, iv.v AS iv, dv.v AS dv
   FROM hit, unnest(range(0, hit.size)) AS step(j), ({values('item')}) iv, ({values('doc')}) dv
-  WHERE iv.id = hit.item_id AND iv.place = hit.item_at + j AND dv.id = hit.doc_id AND dv.place = hit.doc_at + j
+  WHERE iv.id = hit.item_id AND iv.place = hit.item_at + j AND dv.id = hit.doc_id AND dv.place = hit.item_at + shift + j
     AND iv.v IS NOT NULL AND dv.v IS NOT NULL),
-slot AS (SELECT doc_id, item_id, avg(CAST(n = 1 AS DOUBLE)) AS share
-  FROM (SELECT doc_id, item_id, iv, count(*) AS n FROM met GROUP BY ALL) GROUP BY ALL)
-SELECT pair.doc_id, pair.item_id, n_matched, CAST(len(item.w) - pair.size + 1 AS BIGINT) AS n_windows,
-  n_matched / n_windows AS coverage, coalesce(slot.share, 1.0) AS consistency
-FROM pair JOIN item ON item.id = pair.item_id LEFT JOIN slot USING (doc_id, item_id)
-WHERE n_matched / n_windows >= {d.LEAST_COVERAGE} AND coalesce(slot.share, 1.0) >= {d.LEAST_CONSISTENCY}"""
+slot AS (SELECT doc_id, item_id, shift, count(*) AS n_values, count(*) FILTER (WHERE n = 1) AS n_single
+  FROM (SELECT doc_id, item_id, shift, iv, count(*) AS n FROM met GROUP BY ALL) GROUP BY ALL),
+kept AS (SELECT DISTINCT hit.doc_id, hit.item_id, shift, item_at, hit.size, coalesce(n_values, 0) AS n_values, coalesce(n_single, 0) AS n_single
+  FROM hit LEFT JOIN slot USING (doc_id, item_id, shift)
+  WHERE coalesce(n_single >= {d.LEAST_CONSISTENCY} * n_values, true)),
+placed AS (SELECT *, half, floor((shift + half * {d.BAND // 2}) / {d.BAND}) AS band FROM kept, (VALUES (0), (1)) AS halves(half)),
+judged AS (SELECT doc_id, item_id, half, band, sum(n_single) AS n_single, sum(n_values) AS n_values
+  FROM (SELECT DISTINCT doc_id, item_id, half, band, shift, n_single, n_values FROM placed) GROUP BY ALL),
+found AS (SELECT doc_id, item_id, half, band, count(DISTINCT item_at) AS n_matched, any_value(size) AS size FROM placed GROUP BY ALL),
+scored AS (SELECT doc_id, item_id, n_matched, CAST(len(item.w) - found.size + 1 AS BIGINT) AS n_windows,
+    n_matched / n_windows AS coverage, CASE n_values WHEN 0 THEN 1.0 ELSE n_single / n_values END AS consistency
+  FROM found JOIN judged USING (doc_id, item_id, half, band) JOIN item ON item.id = item_id)
+SELECT * FROM scored WHERE coverage >= {d.LEAST_COVERAGE}
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY coverage DESC, consistency DESC) = 1"""
 
 
 @register("op3_decontamination", _op3_sql())

@@ -19,10 +19,48 @@ def leaks(spark, texts, items, ids=None):
 
 def test_template_and_slots(spark):
     t = F.col("t")
-    row = spark.createDataFrame([("He paid 5 kg and John Smith took 7.5 miles, ok",)], "t string").select(
-        decontam.template(t).alias("w"), *(c.alias(f"s{i}") for i, c in enumerate(decontam.slot_values(t)))).first()
+    row = spark.createDataFrame([("He paid 5 KG and John Smith took 7.5 miles, ok \ue001",)], "t string").select(
+        decontam.template(t).alias("w"), F.transform(decontam.tokens(t), decontam.slot_value).alias("v")).first()
     assert row["w"] == ["he", "paid", "0", "2", "and", "1", "took", "0", "miles", "ok"]
-    assert (row["s0"], row["s1"], row["s2"]) == (["5", "7.5"], ["John Smith"], ["kg"])
+    assert row["v"] == [None, None, "0:5", "2:kg", None, "1:John Smith", None, "0:7.5", None, None]
+
+
+def test_long_runs_of_slots_do_not_recurse(spark):
+    n = 100_000
+    texts = ["1." * n, "1 " * n, "a " + "Abc " * n, "a " + "Abc, " * n, "5 kg " * n, "x " * n]
+    t = F.col("text")
+    rows = documents(spark, texts).select("doc_id", F.size(decontam.template(t)).alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in rows} == {0: 1, 1: n, 2: 2, 3: n + 1, 4: 2 * n, 5: n}
+    assert {(5, 0)}.isdisjoint(leaks(spark, texts, [ITEM]))
+
+
+def test_every_offset_is_probed(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+    part = " ".join(item.split()[:9]) + " and then nothing of it"
+    got = leaks(spark, [" ".join(["pad"] * k + [part]) for k in range(12)], [item])
+    assert set(got) == {(k, 0) for k in range(12)} and {r["n_matched"] for r in got.values()} == {2}
+
+
+def test_two_variants_and_repeated_phrases(spark):
+    box = "box one has 5 red balls and 3 blue balls so box two has 4 red balls and 9 blue balls while box six has 8 red balls and 2 blue balls"
+    texts = [f"{ITEM} {prose(1, 30)} {CHANGED}", f"{CHANGED} then {CHANGED.replace('47', '48').replace('9 lb', '7 oz').replace('many lb', 'many oz')}", box,
+             " ".join(map(str, range(40)))]
+    items = [ITEM, box, " ".join(map(str, range(1, 21)))]
+    got = leaks(spark, texts, items)
+    assert {(0, 0), (1, 0), (2, 1), (3, 2)} <= set(got)
+    assert got[(0, 0)]["coverage"] == 1.0 and got[(2, 1)]["coverage"] == 1.0 and got[(3, 2)]["coverage"] == 1.0
+
+
+def test_number_tables_end(spark):
+    table = " ".join(str(k * 7 % 1000) for k in range(3000))
+    got = leaks(spark, [table, prose(2, 50)], [" ".join(str(k) for k in range(100, 140))])
+    assert {d for d, _ in got} <= {0}
+
+
+def test_inserted_words_stay_one_copy(spark):
+    words = ITEM.split()
+    text = " ".join(words[:11] + ["really", "quite"] + words[11:24] + ["indeed"] + words[24:])
+    assert leaks(spark, [text], [ITEM])[(0, 0)]["coverage"] > 0.4
 
 
 def test_planted_reparameterised_and_clean_texts(spark):
@@ -50,6 +88,8 @@ def test_awkward_rows(spark):
     assert decontam.find_leaks(docs, bench.limit(0)).count() == 0
     left = decontam.without_leaks(docs, bench)
     assert left.columns == docs.columns and left.count() == len(texts) - 2
+    nameless = documents(spark, [ITEM, "clean words only", ITEM], [None, None, 3])
+    assert [r["text"] for r in decontam.without_leaks(nameless, bench).collect()] == ["clean words only"]
 
 
 def test_no_python_in_the_plan(spark):
