@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # half-open [lo, hi); the first is "< 100" (negatives included) and the last
 # "≥ 1 000 000" is unbounded but labelled 10 000 000.
 DEFAULT_EDGES = [100, 1000, 10000, 100000, 1000000]
-EXACT = "decimal(38,18)"
+EXACT = "decimal(37,18)"     # sums and differences of two keep all 18 places
 
 
 def bucket_conditions(amount: Column, edges: list[float]) -> list[tuple[str, Column]]:
@@ -41,19 +41,19 @@ LARGE = 1e19      # from here on a double has no fraction
 def split_amount(amount: Column) -> tuple[Column, Column]:
     """(whole, fraction) of an amount as exact decimals.
 
-    Below LARGE they are those of its DECIMAL(38,18) value; a larger double is whole
+    Below LARGE they are those of its value with 18 places; a larger double is whole
     (up to 1e38).  Sums of the two parts neither depend on row order nor stop at
     1e20, where a sum of DECIMAL(38,18) would.
     """
     exact = F.when(F.abs(amount) < LARGE, amount).cast(EXACT)
     whole = F.floor(exact).cast(WHOLE)
     large = F.when(F.abs(amount) >= LARGE, amount).cast(WHOLE)
-    return F.coalesce(whole, large), F.coalesce((exact - whole).cast(PART), F.when(amount.isNotNull(), F.lit(0).cast(PART)))
+    return F.coalesce(whole, large), F.coalesce((exact - whole.cast(EXACT)).cast(PART), F.when(amount.isNotNull(), F.lit(0).cast(PART)))
 
 
 def joined_amount(whole: Column, part: Column) -> Column:
-    """The two sums as one DOUBLE: through DECIMAL(38,18) where it fits."""
-    small = (F.when(F.abs(whole) < LARGE, whole).cast(EXACT) + F.when(F.abs(whole) < LARGE, part)).cast(EXACT)
+    """The two sums as one DOUBLE: through one decimal where it fits."""
+    small = (F.when(F.abs(whole) < LARGE, whole).cast(EXACT) + F.when(F.abs(whole) < LARGE, part).cast(EXACT))
     return F.coalesce(small.cast("double"), whole.cast("double") + part.cast("double"))
 
 
