@@ -11,18 +11,22 @@ Inference aligns the streams of a host one after another:
 * two patterns are aligned child list by child list (longest common subsequence
   of keys); what only one side has becomes optional;
 * a text slot remembers how much text, how much link text and whether all pages
-  had the same text there.
+  had the same text there, and up to LEAST_SAME_PAGES different pages it was on.
 
-Each task folds its own pages into one pattern per host; those partial patterns,
-one per host and task, are merged per host.  Their size follows the variety of a
-host's templates, not its number of pages.
+Each task folds its own pages into one pattern per host; those partial patterns
+are merged per host and salt, then per host.  Their size follows the variety of
+a host's templates, not its number of pages.
 
 A host's slots are then judged once: slots under menus, headers, footers, forms,
 adverts and the like never count; if the host marks an article, its slots are
 the main text, else those of the element that keeps most of the host's running
-text, without slots whose text never changes from page to page or that are
-mostly links.  Extraction matches each page with its host's pattern and joins
-the text of main slots.
+text, without slots whose text never changes between different pages or that
+are mostly links.  Class and id words are weaker evidence than tags: they mark
+nothing on html and body, nor after words such as "no" or "has", and on a host
+without another article a layout word does not condemn the element that holds
+MOST of the running text.  Extraction matches each page with its host's pattern
+and joins the text of main slots; a page that gets no text so is judged by its
+own pattern, so an article is not lost to its neighbours or copies.
 
 Patterns are broadcast up to BROADCAST_BYTES in sum; beyond, they are joined by
 host.
@@ -37,6 +41,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -53,19 +58,26 @@ from flowlake.llm.common import written
 RUN = 4                         # longest sibling run that folds into a repeated group
 DEPTH = 100                     # deeper elements count to their ancestor of this depth
 BROADCAST_BYTES = 16 << 20
-LEAST_SAME_PAGES = 3            # pages before "the same text everywhere" means template text
+LEAST_SAME_PAGES = 3            # different pages before "the same text everywhere" means template text
+MOST = 0.8                      # share of the host's running text
+SALTS = 64                      # partial patterns of a host are merged in so many groups first
 
 # Element roles of HTML, and words of class and id names that mark page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg canvas object math".split())
+RAW = frozenset("script style textarea title noscript template iframe svg canvas object annotation".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-                   "sub sup time tt u var wbr".split())
+                   "sub sup time tt u var wbr math mi mn mo mrow ms msub msubsup msup mtext".split())
 FURNITURE = frozenset("head nav header footer aside form dialog menu button select option fieldset".split()) | RAW
-FURNITURE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
-                            "menu breadcrumb breadcrumbs sidebar aside widget related recommended share sharing social cookie cookies consent "
-                            "notice notices alert popup modal overlay newsletter subscribe subscription signup login search form comment comments "
-                            "reply replies respond disqus footer header masthead pagination pager skip copyright".split())
+NOT_ARTICLE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent "
+                              "popup modal overlay newsletter subscribe subscription signup login comment comments reply replies respond "
+                              "disqus".split())
+LAYOUT_WORDS = frozenset("banner nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget related recommended share sharing social "
+                         "notice notices alert search form footer header masthead pagination pager skip copyright".split())
+#: Words before or after a furniture word in one class that say something about the element, not what it is.
+BEFORE = frozenset("no not has have with without layout page".split())
+AFTER = frozenset("free open closed enabled disabled".split())
 ARTICLE_TAGS = frozenset(["article", "main"])
+ROOTS = frozenset(["html", "body"])
 #: A start tag of the key closes open elements of the set (up to the nearest container).
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}, "body": {"head"}}
@@ -82,35 +94,43 @@ def host_of(url: str | None) -> str:
         return ""
 
 
-def _key(tag: str, attributes: str) -> tuple[str, bool]:
-    """(tag with its class words, is furniture)."""
-    words, marks = [], set()
+def _marked(token: list[str], furniture: frozenset[str]) -> bool:
+    """Whether a class or id, in words, names furniture."""
+    return any(word in furniture and BEFORE.isdisjoint(token[:k]) and AFTER.isdisjoint(token[k + 1:]) for k, word in enumerate(token))
+
+
+def _key(tag: str, attributes: str) -> str:
+    """Tag with its class words; "!" marks furniture, "?" furniture by layout words alone, "*" an article."""
+    words, sure, likely = [], tag in FURNITURE, False
     if attributes and not attributes.isspace():
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                marks.add("ad")
-            elif name == "class" or name == "role":
-                words += _NAME.findall(value)
-                marks.update(_NAME.findall(value))
-            else:
-                marks.update(_NAME.findall(value))
-    furniture = tag in FURNITURE or bool(marks & FURNITURE_WORDS)
-    main = tag in ARTICLE_TAGS or "main" in words
-    return ".".join([tag, *sorted(set(words))]) + ("!" if furniture else "") + ("*" if main and not furniture else ""), furniture
+            if name == "hidden" or name == "aria-hidden":
+                sure = sure or tag not in ROOTS and (name == "hidden" or value == "true")
+                continue
+            tokens = [_NAME.findall(token) for token in value.split()]
+            if name != "id":
+                words += [word for token in tokens for word in token]
+            if tag not in ROOTS:
+                sure = sure or any(_marked(token, NOT_ARTICLE_WORDS) for token in tokens)
+                likely = likely or any(_marked(token, LAYOUT_WORDS) for token in tokens)
+    mark = "!" if sure else "?" if likely else ""
+    main = not sure and (tag in ARTICLE_TAGS or "main" in words)
+    return ".".join([tag, *sorted(set(words))]) + mark + ("*" if main else "")
 
 
 class Element:
-    __slots__ = ("key", "tag", "items")
+    __slots__ = ("key", "tag", "page", "items")
 
-    def __init__(self, key: str, tag: str):
-        self.key, self.tag = key, tag
+    def __init__(self, key: str, tag: str, page: int = 0):
+        self.key, self.tag, self.page = key, tag, page     # page: digest of the whole page, at the root
         self.items: list = []          # Element or str (text; "\n" where an inline run breaks)
 
 
 def parse(page: str) -> Element:
     """The element tree of a page; text keeps its character references."""
-    root = Element("#", "#")
+    digest = hashlib.blake2b(page.encode("utf-8", "surrogatepass"), digest_size=6).digest()
+    root = Element("#", "#", int.from_bytes(digest, "little"))
     stack, at = [root], 0
     too_deep: dict[str, int] = {}
     size = len(page)
@@ -151,8 +171,7 @@ def parse(page: str) -> Element:
         if tag in CLOSES:
             while len(stack) > 1 and (stack[-1].tag in CLOSES[tag] or stack[-1].tag in INLINE and any(e.tag in CLOSES[tag] for e in stack[-3:])):
                 stack.pop()
-        key, _ = _key(tag, attributes)
-        child = Element(key, tag)
+        child = Element(_key(tag, attributes), tag)
         stack[-1].items.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -166,23 +185,24 @@ def parse(page: str) -> Element:
 
 # ---------------------------------------------------------------- patterns
 # A pattern is a list [key, repeated, optional, children, slot]; a slot is
-# [pages, characters, link characters, crc of the text, same on all pages].
+# [least digests of different pages, characters, link characters, crc of the text, same on all pages].
 
-def _slot(texts: list[str], in_link: bool) -> list | None:
+def _slot(texts: list[str], in_link: bool, page: int) -> list | None:
     text = " ".join("".join(texts).split())
-    return [1, len(text), len(text) if in_link else 0, crc32(text.encode("utf-8", "surrogatepass")), True] if text else None
+    return [[page], len(text), len(text) if in_link else 0, crc32(text.encode("utf-8", "surrogatepass")), True] if text else None
 
 
-def _merge_slots(x: list | None, y: list | None, same_page: bool) -> list | None:
+def _merge_slots(x: list | None, y: list | None) -> list | None:
     if x is None or y is None:
         return x or y
-    return [max(x[0], y[0]) if same_page else x[0] + y[0], x[1] + y[1], x[2] + y[2], x[3], x[4] and y[4] and x[3] == y[3]]
+    pages = x[0] if x[0] == y[0] else sorted({*x[0], *y[0]})[:LEAST_SAME_PAGES]
+    return [pages, x[1] + y[1], x[2] + y[2], x[3], x[4] and y[4] and x[3] == y[3]]
 
 
-def pattern(element: Element, in_link: bool = False) -> list:
-    in_link = in_link or element.tag == "a"
-    children = [pattern(x, in_link) for x in element.items if isinstance(x, Element)]
-    return [element.key, False, False, fold(children), _slot([x for x in element.items if isinstance(x, str)], in_link)]
+def pattern(element: Element, in_link: bool = False, page: int = 0) -> list:
+    in_link, page = in_link or element.tag == "a", page or element.page
+    children = [pattern(x, in_link, page) for x in element.items if isinstance(x, Element)]
+    return [element.key, False, False, fold(children), _slot([x for x in element.items if isinstance(x, str)], in_link, page)]
 
 
 def fold(children: list) -> list:
@@ -190,7 +210,7 @@ def fold(children: list) -> list:
     out: list = []
     for c in children:
         if out and out[-1][0] == c[0]:
-            out[-1] = merge(out[-1], c, True)
+            out[-1] = merge(out[-1], c)
             out[-1][1] = True
         else:
             out.append(c)
@@ -199,7 +219,7 @@ def fold(children: list) -> list:
         while k + 2 * run <= len(out):
             if all(out[k + j][0] == out[k + run + j][0] for j in range(run)):
                 for j in range(run):
-                    out[k + j] = merge(out[k + j], out[k + run + j], True)
+                    out[k + j] = merge(out[k + j], out[k + run + j])
                     out[k + j][1] = True
                 del out[k + run:k + 2 * run]
             else:
@@ -207,14 +227,14 @@ def fold(children: list) -> list:
     return out
 
 
-def merge(x: list, y: list, same_page: bool = False) -> list:
+def merge(x: list, y: list) -> list:
     """One pattern for two of the same key."""
-    return [x[0], x[1] or y[1], x[2] or y[2], _align(x[3], y[3], same_page), _merge_slots(x[4], y[4], same_page)]
+    return [x[0], x[1] or y[1], x[2] or y[2], _align(x[3], y[3]), _merge_slots(x[4], y[4])]
 
 
-def _align(xs: list, ys: list, same_page: bool) -> list:
+def _align(xs: list, ys: list) -> list:
     if [c[0] for c in xs] == [c[0] for c in ys]:
-        return [merge(a, b, same_page) for a, b in zip(xs, ys)]
+        return [merge(a, b) for a, b in zip(xs, ys)]
     n, m = len(xs), len(ys)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -223,7 +243,7 @@ def _align(xs: list, ys: list, same_page: bool) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and xs[i][0] == ys[j][0]:
-            out.append(merge(xs[i], ys[j], same_page))
+            out.append(merge(xs[i], ys[j]))
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([*xs[i][:2], True, *xs[i][3:]])
@@ -237,56 +257,85 @@ def _align(xs: list, ys: list, same_page: bool) -> list:
 # ---------------------------------------------------------------- judging
 
 def judge(wrapper: list) -> dict:
-    """The wrapper as nested {key, main, children}: whether each slot is main text."""
-    marked = _has_article(wrapper)
-    tree = _judge(wrapper, inside=False, marked=marked)
-    if not marked:
-        body = _densest(wrapper)
-        tree = _judge(wrapper, inside=False, marked=False, chosen=body)
-    return tree
+    """The wrapper as nested {key, main, children}: whether each slot is main text; skip marks furniture by layout words."""
+    kept = _kept(wrapper)
+    if _has_article(wrapper, kept):
+        return _judge(wrapper, False, kept, None)
+    return _judge(wrapper, False, kept, _densest(wrapper, kept))
+
+
+def _kept(p: list) -> frozenset[int]:
+    """Elements that are no furniture though a layout word says so: without another article, those on the way to MOST of the text."""
+    every = frozenset(_likely(p))
+    if not every or _has_article(p, frozenset()):
+        return frozenset()
+    total, kept = _running(p, every), set()
+    while True:
+        inner = [c for c in p[3] if total and _running(c, every) >= MOST * total]
+        if not inner:
+            return frozenset(kept)
+        p = inner[0]
+        if id(p) in every:
+            kept.add(id(p))
+
+
+def _likely(p: list) -> Iterator[int]:
+    if "?" in p[0]:
+        yield id(p)
+    for c in p[3]:
+        yield from _likely(c)
+
 
+def _furniture(p: list, kept: frozenset[int]) -> bool:
+    return "!" in p[0] or "?" in p[0] and id(p) not in kept
 
-def _furniture(p: list) -> bool:
-    return "!" in p[0]
 
+def _has_article(p: list, kept: frozenset[int]) -> bool:
+    return not _furniture(p, kept) and (p[0].endswith("*") or any(_has_article(c, kept) for c in p[3]))
 
-def _has_article(p: list) -> bool:
-    return not _furniture(p) and (p[0].endswith("*") or any(_has_article(c) for c in p[3]))
 
+def _template(slot: list) -> bool:
+    return slot[4] and len(slot[0]) >= LEAST_SAME_PAGES
 
-def _running(p: list) -> int:
+
+def _running(p: list, kept: frozenset[int]) -> int:
     """Characters of text that is neither furniture, link nor template text."""
-    if _furniture(p):
+    if _furniture(p, kept):
         return 0
-    own = p[4][1] - p[4][2] if p[4] and not (p[4][4] and p[4][0] >= LEAST_SAME_PAGES) else 0
-    return own + sum(_running(c) for c in p[3])
+    own = p[4][1] - p[4][2] if p[4] and not _template(p[4]) else 0
+    return own + sum(_running(c, kept) for c in p[3])
 
 
-def _densest(p: list) -> list:
-    """The deepest element with four fifths of the running text that holds blocks."""
-    total = _running(p)
+def _densest(p: list, kept: frozenset[int]) -> list:
+    """The deepest element with MOST of the running text that holds blocks."""
+    total = _running(p, kept)
     while True:
-        inner = [c for c in p[3] if c[3] and not c[1] and total and _running(c) >= 0.8 * total]
+        inner = [c for c in p[3] if c[3] and not c[1] and total and _running(c, kept) >= MOST * total]
         if not inner:
             return p
         p = inner[0]
 
 
-def _judge(p: list, inside: bool, marked: bool, chosen: list | None = None) -> dict:
-    inside = inside or (marked and p[0].endswith("*")) or p is chosen
-    if _furniture(p):
-        return {"key": p[0], "main": False, "children": []}
+def _judge(p: list, inside: bool, kept: frozenset[int], chosen: list | None) -> dict:
+    """``chosen``: the element taken for the article on a host that marks none."""
+    if _furniture(p, kept):
+        return {"key": p[0], "main": False, "children": []} | ({"skip": True} if "?" in p[0] else {})
+    inside = inside or (p[0].endswith("*") if chosen is None else p is chosen)
     main = inside
-    if main and not marked and p[4]:
-        pages, chars, links, _, same = p[4]
-        main = not (same and pages >= LEAST_SAME_PAGES) and links <= chars / 2
-    return {"key": p[0], "main": main, "children": [_judge(c, inside, marked, chosen) for c in p[3]]}
+    if main and chosen is not None and p[4]:
+        main = not _template(p[4]) and p[4][2] <= p[4][1] / 2
+    return {"key": p[0], "main": main, "children": [_judge(c, inside, kept, chosen) for c in p[3]]}
 
 
 def main_text(page: str, wrapper: dict) -> str:
-    """Texts of the page's main slots, blocks joined by one space."""
+    """Texts of the page's main slots, blocks joined by one space; by the page's own pattern if the wrapper gives it none."""
+    tree = parse(page)
+    return _text(tree, wrapper) or _text(tree, judge(pattern(tree)))
+
+
+def _text(tree: Element, wrapper: dict) -> str:
     out: list[str] = []
-    _collect(parse(page), wrapper, out)
+    _collect(tree, wrapper, out)
     return " ".join("".join(out).replace("\x00", " ").split())
 
 
@@ -305,6 +354,8 @@ def _collect(element: Element, node: dict | None, out: list[str]) -> None:
             continue
         # the pattern's children in order; a repeated run starts over
         k = next((i for i in [*range(at, len(children)), *range(at)] if children[i]["key"] == item.key), None)
+        if k is None and "?" in item.key or k is not None and children[k].get("skip"):
+            continue
         if k is None:
             # not in the pattern: judged as its parent
             _collect(item, {"key": item.key, "main": bool(node and node["main"]), "children": []}, out)
@@ -331,17 +382,23 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([json.dumps(p) for p in seen.values()], pa.string())],
                                          ["host", "pattern"])
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list] = {}
-        for batch in batches:
-            for host, text in zip(batch.column("host").to_pylist(), batch.column("pattern").to_pylist()):
-                own = json.loads(text)
-                seen[host] = merge(seen[host], own) if host in seen else own
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([json.dumps(judge(p)) for p in seen.values()], pa.string())],
-                                         ["host", "wrapper"])
+    def joined(finish):
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: dict[str, list] = {}
+            for batch in batches:
+                for host, text in zip(batch.column("host").to_pylist(), batch.column("pattern").to_pylist()):
+                    own = json.loads(text)
+                    seen[host] = merge(seen[host], own) if host in seen else own
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([json.dumps(finish(p)) for p in seen.values()], pa.string())],
+                                             ["host", "pattern"])
+        return join
 
-    partial = source.mapInArrow(learn, "host string, pattern string")
-    return partial.repartition("host").sortWithinPartitions("host", "pattern").mapInArrow(join, "host string, wrapper string")
+    schema = "host string, pattern string"
+    partial = source.mapInArrow(learn, schema).withColumn("salt", F.pmod(F.xxhash64("pattern"), F.lit(SALTS)))
+    salted = (partial.repartition("host", "salt").sortWithinPartitions("host", "pattern").select("host", "pattern")
+              .mapInArrow(joined(lambda p: p), schema))
+    whole = salted.repartition("host").sortWithinPartitions("host", "pattern").mapInArrow(joined(judge), schema)
+    return whole.withColumnRenamed("pattern", "wrapper")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -370,8 +427,11 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
         return source.mapInArrow(run, schema)
 
-    host = F.udf(host_of, "string")
-    joined = source.withColumn("host", host("url")).join(wrappers, "host", "left")
+    def hosted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("host", pa.array([host_of(u) for u in batch.column("url").to_pylist()], pa.string()))
+
+    joined = source.mapInArrow(hosted, "page_id long, url string, html string, host string").join(wrappers, "host", "left")
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, dict] = {}

@@ -57,6 +57,37 @@ def test_odd_markup():
     assert text_of("<article></article>") == ""
 
 
+def test_class_words_on_wrappers_do_not_drop_the_article():
+    story = "<p>the whole story of the day in many words</p><p>and its end</p>"
+    want = "the whole story of the day in many words and its end"
+    side = "<div class='sidebar'><p>short aside</p></div>"
+    for page in (f"<body><article class='post has-comments'>{story}</article>{side}</body>",
+                 f"<body class='has-sidebar'><article>{story}</article>{side}</body>",
+                 f"<body class='sidebar menu'><article>{story}</article>{side}</body>",
+                 f"<body><div class='layout-no-sidebar'><article>{story}</article></div>{side}</body>",
+                 f"<body><div class='story ad-free'>{story}</div>{side}</body>",
+                 f"<body><div class='banner-page'><article>{story}</article></div></body>",
+                 f"<body><div class='page-header-wide widget'>{story}</div></body>"):
+        assert text_of(page) == want, page
+    # the words still mark what they name
+    for furniture in ("<article class='comment'><p>reader</p></article>", "<div class='related'><article><p>teaser</p></article></div>",
+                      "<div class='cookie-notice'>We use cookies</div>", "<div id='site_footer'>me</div>", "<p class='ad'>Buy</p>"):
+        assert text_of(f"<body><article>{story}</article>{furniture}</body>") == want, furniture
+    assert text_of("<body><div class='cookie-notice'>We use cookies</div></body>") == ""
+
+
+def test_copies_on_an_unmarked_host_keep_their_text():
+    page = "<body><h1>Head</h1><p>One paragraph that all copies have</p></body>"
+    near = [page.replace("</body>", f"<i data-n={k}></i></body>") for k in range(5)]
+    for copies in ([page] * n for n in (1, 2, 3, 50)):
+        assert text_of(page, copies) == "Head One paragraph that all copies have"
+    assert text_of(near[0], near) == "Head One paragraph that all copies have"
+
+
+def test_formulas_stay_and_their_source_goes():
+    assert text_of("<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>") == "So x=2 holds"
+
+
 def test_given_pages(spark):
     rows = {r["page_id"]: r for r in pages.extract_main_text(table(spark, SF, "pages")).collect()}
     for r in table(spark, SF, "pages").collect():
@@ -76,6 +107,7 @@ def test_awkward_rows(spark, monkeypatch):
     want = sorted(("", "", "x", "Head & tail One bold word here. Next Unclosed i1 i2", "Head & tail One bold word here. Next Unclosed i1 i2",
                    " ".join(["word word"] * 5000)))
     assert sorted(r["text"] for r in pages.extract_main_text(df).collect()) == want
+    assert pages.infer_wrappers(df).count() == pages.infer_wrappers(df.repartition(5)).count() == 3
     monkeypatch.setattr(pages, "BROADCAST_BYTES", 0)         # the join instead
     assert sorted(r["text"] for r in pages.extract_main_text(df).collect()) == want
     assert pages.extract_main_text(df.limit(0)).count() == 0
