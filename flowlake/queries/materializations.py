@@ -12,7 +12,7 @@ from flowlake.sinks import append_dedup, compact, delete_insert, merge, write_ta
 from flowlake.sources import testdata as td, testdata_sql as tsql
 from flowlake.streaming import stream_tx_per_block
 
-from flowlake.queries.registry import register
+from flowlake.queries.registry import ORACLES, register
 
 
 # ------------------------------------------------------------ materializations
@@ -117,6 +117,23 @@ def q_inc_append_dedup(spark, d):
                         target_window=F.col("block_date") >= F.lit(WINDOW_START))
 
 
+def _filtered(name: str, write, window: str):
+    """JOIN-11: the same batch with its key filter before the anti join: the same rows."""
+    @register(f"{name}_filtered", ORACLES[name])
+    def query(spark, d):
+        path = workspace_dir(spark, f"{name}_filtered")
+        _first_run(spark, d, path)
+        batch = tx_per_block(_blocks(spark, d), since=WINDOW_START)
+        recent = {window: F.col("block_date") >= F.lit(WINDOW_START)}
+        return write(spark, batch, path, UNIQUE_KEY, PARTITION_BY, filter_keys=True, **recent)
+    return query
+
+
+q_inc_delete_insert_filtered = _filtered("inc_delete_insert", delete_insert, "predicate")
+q_inc_merge_filtered = _filtered("inc_merge", merge, "dest_predicate")
+q_inc_append_dedup_filtered = _filtered("inc_append_dedup", append_dedup, "target_window")
+
+
 _NULL_BLOCK = "CASE WHEN event_type = 'error' THEN NULL ELSE block_number END"
 
 

@@ -1,4 +1,5 @@
-"""One-scan flows, 256-bit sums, stored distinct state, blocked scans, runs and order proofs."""
+"""One-scan flows, 256-bit sums, stored distinct state, blocked scans, runs, order proofs,
+and changes carried down the graph."""
 
 from __future__ import annotations
 
@@ -12,15 +13,16 @@ from flowlake.functions import wide
 from flowlake.operators.blocked import balance_runs, blocked_forward_fill, blocked_running_sum, expand_runs
 from flowlake.operators.ordering import numbered, order_by, read_with_places
 from flowlake.operators.spine import dedup_tokens
-from flowlake.operators.stats import period_start
+from flowlake.operators.stats import period_start, period_stats
 from flowlake.plans.balances import VALUE_COLUMNS
-from flowlake.plans.daily_flows import YIELD_TOKEN_KEYS, all_flows
+from flowlake.plans.daily_flows import YIELD_TOKEN_KEYS, all_flows, yield_daily, yield_spine
 from flowlake.plans.distinct import add_sightings, distinct_counts, sketched_counts, store_sketches
 from flowlake.plans.indices import filled_token_index
+from flowlake.plans.propagate import in_periods, refresh_groups, refresh_running, rows_of, touched_groups, with_double
 from flowlake.plans.router import flow_report, routed_flows
 from flowlake.plans.transfers import all_transfers
 from flowlake.session import workspace_dir
-from flowlake.sinks import write_table
+from flowlake.sinks import delete_insert, write_table
 from flowlake.sources import deployment as dep, testdata as td, testdata_sql as tsql
 from flowlake.sources.seeds import seed_from_rows
 
@@ -256,3 +258,53 @@ def q_fct_rwas_row_numbers(spark, d):
     path = workspace_dir(spark, "fct_rwas_numbered")
     written = write_table(spark, values.orderBy(*order_by(_ORDER)), path)
     return numbered(read_with_places(spark, path, written.schema), _ORDER).select("row_no", "dt", "value_usd", "order_ok")
+
+
+# ------------------------------------------------------------ changes carried down
+
+# Transfers of LATE_MONTH_DAYS and of the last days arrive after the first run, and so do
+# the events of LATE_EVENT_DAYS, weeks before the last day of their table.
+LATE_MONTH_DAYS = (_dt.date(1995, 3, 6), _dt.date(1995, 3, 9))
+NEW_TRANSFERS_FROM = _dt.date(1998, 7, 20)
+LATE_EVENT_DAYS = (_dt.date(2024, 1, 3), _dt.date(2024, 1, 4))
+
+
+def _between(col: str, days: tuple):
+    return F.col(col).between(F.lit(days[0]), F.lit(days[1]))
+
+
+@register("propagated_monthly_stats", ORACLES["stats_monthly_exact"])
+def q_propagated_monthly_stats(spark, d):
+    """SRC-6 / SINK-9: transfers years late; only the (month, chain) groups they touch are counted again."""
+    log = write_table(spark, all_transfers(_normalised(spark, d)), workspace_dir(spark, "log"))
+    arrives = _between("dt", LATE_MONTH_DAYS) | (F.col("dt") >= F.lit(NEW_TRANSFERS_FROM))
+    path = workspace_dir(spark, "propagated-stats")
+    write_table(spark, period_stats(log.filter(~arrives), "month", distinct="exact"), path)
+    refresh_groups(spark, log, log.filter(arrives), "month", ["blockchain"],
+                   lambda rows: period_stats(rows, "month", distinct="exact"), path, ["period", "blockchain"])
+    return spark.read.parquet(path)
+
+
+@register("propagated_balances", ORACLES["running_balance"])
+def q_propagated_balances(spark, d):
+    """SRC-6 / WIN-1: late events change daily nets; balances follow from the first changed day on."""
+    read, ev = _events_reader(spark, d)
+    specs, tokens, seed = [EV_ZERO, EV_SHARES, EV_VARIANTS], td.events_tokens(ev), td.events_token_seed(ev)
+    late = _between("evt_block_date", LATE_EVENT_DAYS)
+    spine = yield_spine(seed, ev_full(ev))
+
+    def nets(flows):
+        return yield_daily(spine, flows, ev_full(ev))
+
+    daily_path, path = workspace_dir(spark, "propagated-daily"), workspace_dir(spark, "propagated-balances")
+    first = write_table(spark, nets(all_flows(specs, lambda n: read(n).filter(~late), tokens)), daily_path, ["dt"])
+    write_table(spark, blocked_running_sum(first, _SERIES, "dt", "daily_net_amount", "balance", block="week"), path, ["dt"])
+
+    arrived = all_flows(specs, lambda n: read(n).filter(late), tokens).withColumnRenamed("chain", "blockchain")
+    changed = write_table(spark, touched_groups(arrived, "day", _SERIES), workspace_dir(spark, "changed"))
+    flows = all_flows(specs, read, tokens)
+    again = rows_of(nets(flows.filter(in_periods(changed, "day"))), changed, "day", _SERIES)
+    daily = delete_insert(spark, again, daily_path, ["dt", *_SERIES], ["dt"])
+    refresh_running(spark, daily, changed.withColumnRenamed("period", "dt"), path, _SERIES, block="week", partition_by=["dt"])
+    out = spark.read.schema(with_double(daily, "balance")).parquet(path)
+    return _round(out.select(*_BALANCE), ["daily_net_amount", "balance"])

@@ -25,6 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlake.sinks.keyfilter import key_filter, unmatched
 
 MOVES = 16      # partition folders moved at a time
 
@@ -213,7 +214,7 @@ def _touched(spark: SparkSession, target: DataFrame, staged: DataFrame,
 
 def _replace_keys(spark: SparkSession, batch: DataFrame, path: str, keys: list[str],
                   partition_by: list[str] | None, predicate: Column | None, null_keys: str,
-                  one_row_per_key: bool) -> DataFrame:
+                  one_row_per_key: bool, filter_keys: bool) -> DataFrame:
     """survivors(target) ∪ batch, restricted to the partitions the batch touches."""
     missing = set(partition_by or []) - set(keys)
     if missing:
@@ -228,13 +229,12 @@ def _replace_keys(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
             raise ValueError(f"merge batch has several rows for one key {keys}")
         if table_exists(spark, path):
             target = _touched(spark, _read(spark, path, batch.schema), staged, partition_by)
-            gone = staged.select(*keys)
             if predicate is None:
-                survivors = target.join(gone, keys, "left_anti")
+                survivors = unmatched(target, staged, keys, filter_keys)
             else:
                 # Rows outside the predicate never match; inside it, matched keys go.
                 survivors = (target.filter(~predicate | predicate.isNull())
-                             .unionByName(target.filter(predicate).join(gone, keys, "left_anti")))
+                             .unionByName(unmatched(target.filter(predicate), staged, keys, filter_keys)))
             _writer(survivors.select(*batch.columns), partition_by).mode("append").parquet(stage)
         _publish(spark, stage, path, partition_by)
     finally:
@@ -244,16 +244,17 @@ def _replace_keys(spark: SparkSession, batch: DataFrame, path: str, keys: list[s
 
 def delete_insert(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str],
                   partition_by: list[str] | None = None, predicate: Column | None = None,
-                  null_keys: str = "reject") -> DataFrame:
+                  null_keys: str = "reject", filter_keys: bool = False) -> DataFrame:
     """SINK-4: delete target rows whose key is in the batch (and that satisfy
     ``predicate``), insert every batch row (duplicates inside a batch are kept).
-    A missing target is created (first run / full refresh)."""
-    return _replace_keys(spark, batch, path, unique_key, partition_by, predicate, null_keys, False)
+    A missing target is created (first run / full refresh). ``filter_keys`` puts
+    the batch's key filter before the anti join: for small batches into large partitions."""
+    return _replace_keys(spark, batch, path, unique_key, partition_by, predicate, null_keys, False, filter_keys)
 
 
 def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str],
           partition_by: list[str] | None = None, dest_predicate: Column | None = None,
-          null_keys: str = "reject") -> DataFrame:
+          null_keys: str = "reject", filter_keys: bool = False) -> DataFrame:
     """SINK-5: matched rows are replaced by the batch row, unmatched batch rows inserted.
 
     ``dest_predicate`` is part of the match condition: target rows failing it
@@ -261,25 +262,35 @@ def merge(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str
     (the source warehouse behaves the same). Several batch rows for one key
     are an error, as in SQL MERGE.
     """
-    return _replace_keys(spark, batch, path, unique_key, partition_by, dest_predicate, null_keys, True)
+    return _replace_keys(spark, batch, path, unique_key, partition_by, dest_predicate, null_keys, True, filter_keys)
 
 
 def append_dedup(spark: SparkSession, batch: DataFrame, path: str, unique_key: list[str],
                  partition_by: list[str] | None = None,
-                 target_window: Column | None = None) -> DataFrame:
+                 target_window: Column | None = None, filter_keys: bool = False) -> DataFrame:
     """SINK-6: append batch rows whose key is absent from the (recent) target.
 
     Existing rows are never updated. ``target_window`` limits the target rows
     looked at (the source's time bound inside the anti join). New rows go to
     the table in one committed append; the target's files are listed before.
+    ``filter_keys``: the batch is written beside the table first, and only target
+    rows that its key filter lets through are joined.
     """
     if not table_exists(spark, path):
         return write_table(spark, batch, path, partition_by)
     target = _read(spark, path, batch.schema)
     if target_window is not None:
         target = target.filter(target_window)
-    new_rows = batch.join(target.select(*unique_key), unique_key, "left_anti").select(*batch.columns)
-    _writer(new_rows, partition_by).mode("append").parquet(path)
+    stage = _beside(path, "stage")
+    try:
+        if filter_keys:
+            batch.write.parquet(stage)
+            batch = _read(spark, stage, batch.schema)
+            target = key_filter(batch, unique_key).candidates(target.select(*unique_key))
+        new_rows = batch.join(target.select(*unique_key), unique_key, "left_anti").select(*batch.columns)
+        _writer(new_rows, partition_by).mode("append").parquet(path)
+    finally:
+        _remove(spark, stage)
     return _read(spark, path, batch.schema)
 
 
