@@ -32,6 +32,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -124,11 +125,13 @@ class WordEncoder:
     The tokenizer's normalizer and pre-tokenizer never join text across ASCII
     white space, so a text's ids are its words' ids in order.  A new word is
     cut by the library's own normalizer and pre-tokenizer (an ASCII word by the
-    same pattern, directly) and its pieces go through the library's model.  Texts that may hold a special token's string are encoded whole.
+    same pattern, directly; others many in a call) and its pieces go through the
+    library's model.  Texts that may hold a special token's string are encoded whole.
     """
 
-    WORDS = 1_000_000        # remembered per task (24 bytes each) before the memory starts anew
+    WORDS = 1_000_000        # remembered (24 bytes each, and their ids) before the memory starts anew
     PIECES = 100_000
+    TOGETHER = 512           # words cut by one call
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -145,17 +148,50 @@ class WordEncoder:
 
     def _cut(self, word: str) -> list[str]:
         """Pieces of one word, in the byte alphabet of the model."""
-        if word.isascii() and word.isprintable():
-            return self.ascii_pieces(word.lower())
         word = self.library.normalizer.normalize_str(word)
         return [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(word)]
 
+    def _cut_together(self, words: list[str]) -> list[list[str]]:
+        """Pieces of words without white space of any kind: one library call for all of them.
+
+        Line ends between the words become single spaces, which no piece crosses.
+        """
+        text = self.library.normalizer.normalize_str("\n".join(words))
+        parts = text.split(" ")
+        if len(parts) != len(words):
+            return [self._cut(w) for w in words]
+        ends = list(accumulate(len(p) + 1 for p in parts))
+        out: list[list[str]] = [[] for _ in words]
+        k = 0
+        for piece, (start, _) in self.library.pre_tokenizer.pre_tokenize_str(text):
+            while start >= ends[k]:
+                k += 1
+            out[k].append(piece)
+        return out
+
+    def _cut_all(self, words: list[str]) -> list[list[str]]:
+        """Pieces of every word: ASCII words by the same pattern, others through the library."""
+        out: list[list[str]] = [[]] * len(words)
+        together = []
+        for i, word in enumerate(words):
+            if word.isascii() and word.isprintable():
+                out[i] = self.ascii_pieces(word.lower())
+            elif len(word.split()) == 1 and not word[0].isspace() and not word[-1].isspace():
+                together.append(i)
+            else:
+                out[i] = self._cut(word)
+        for lo in range(0, len(together), self.TOGETHER):
+            places = together[lo:lo + self.TOGETHER]
+            for i, pieces in zip(places, self._cut_together([words[i] for i in places])):
+                out[i] = pieces
+        return out
+
     def _remember(self, words: list[bytes], hashes: np.ndarray) -> None:
         known, model = self.pieces, self.library.model
         flat, lengths = [], []
-        for w in words:
+        for pieces in self._cut_all([w.decode() for w in words]):
             n = len(flat)
-            for piece in self._cut(w.decode()):
+            for piece in pieces:
                 ids = known.get(piece)
                 if ids is None:
                     if len(known) >= self.PIECES:
@@ -199,6 +235,17 @@ class WordEncoder:
         return out
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder of this file: its memory of words (bounded) serves all tasks of the process."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _ascii_pattern(spec: dict) -> str:
     """The tokenizer's split pattern with its letter and number classes cut to ASCII."""
     (split,) = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
@@ -218,7 +265,7 @@ def write_codes(docs: DataFrame, tokenizer: str, end_id: int, path: str,
               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         names, ids, size = [], [], 0
 

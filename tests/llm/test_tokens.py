@@ -51,6 +51,8 @@ def test_documents_in_spark(spark):
 def test_word_memory_equals_the_library():
     library, own = Tokenizer.from_file(WORDS), codes.WordEncoder(WORDS)
     texts = [t or "" for t in awkward_texts()] + noise(400)
+    # white space inside words, marks at their borders, letters that change length in lower case
+    texts += ["\u0391\u03a3 e\u0301\u0301 \u0301a \u00a8 \u3000z", "\u0130x \u1e9e \x1cq \x85r 1\uff12 a\u200bb", "\u0308\u0301 \ufeff ok"] * 2
     import pyarrow as pa
     got = own.encode(*text_buffer(pa.array(texts)))
     assert [x.tolist() for x in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
