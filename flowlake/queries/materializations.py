@@ -151,6 +151,18 @@ def q_inc_null_key_dup(spark, d):
     return delete_insert(spark, batch, path, UNIQUE_KEY, PARTITION_BY, null_keys="keep")
 
 
+@register("inc_null_keys_dropped", f"""SELECT {_NULL_BLOCK} AS block_number, block_date, count(1) AS total_tx_per_block
+FROM ({_BLOCKS_SQL}) WHERE event_type <> 'error' GROUP BY 1, 2""")
+def q_inc_null_keys_dropped(spark, d):
+    """PRJ-18: rows with a NULL key are filtered out of a first run and of the increment after it."""
+    path = workspace_dir(spark, "inc_null_keys_dropped")
+    blocks = _blocks(spark, d).withColumn(
+        "block_number", F.when(F.col("event_type") == "error", None).otherwise(F.col("block_number")))
+    write_table(spark, tx_per_block(blocks.filter(F.col("block_date") <= F.lit(RUN1_AS_OF))), path, PARTITION_BY,
+                unique_key=UNIQUE_KEY, null_keys="drop")
+    return delete_insert(spark, tx_per_block(blocks, since=WINDOW_START), path, UNIQUE_KEY, PARTITION_BY, null_keys="drop")
+
+
 _TWO_PARTS = """SELECT event_id, CAST(ts AS DATE) AS day, CASE WHEN event_type <> 'error' THEN event_type END AS kind, {value} AS v
 FROM events"""
 
