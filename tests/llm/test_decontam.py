@@ -92,6 +92,14 @@ def test_awkward_rows(spark):
     assert [r["text"] for r in decontam.without_leaks(nameless, bench).collect()] == ["clean words only"]
 
 
+def test_leaking_rows_without_an_id_go_and_clean_ones_stay(spark):
+    clean = prose(1, 30)
+    docs = documents(spark, [ITEM, clean, None, CHANGED, clean, ITEM], [None, None, None, None, 4, 5])
+    bench = spark.createDataFrame([(0, ITEM, 1)], "item_id long, text string, size long")
+    kept = decontam.without_leaks(docs, bench).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(None, clean), (None, None), (4, clean)], key=repr)
+
+
 def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
     plan = decontam.find_leaks(documents(spark, [ITEM, "x"]), bench)._jdf.queryExecution().executedPlan().toString()
