@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from flowlake.session import workspace_dir
 
@@ -39,6 +40,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once, its partitions on the executors' disks: for small tables that are read a few times.
+
+    Unlike ``written`` it makes no file per task; on a local store Hadoop starts a
+    process for every file and folder that it makes, a copy of the JVM until it runs.
+    """
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
     """crc32(doc_id as text) mod modulus = remainder; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import in_fold, table, work_path, written
+from flowlake.llm.common import in_fold, table, work_path
 from flowlake.llm.registry import ORACLES, QUERIES, register
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -133,7 +133,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``: for rows whose id is divisible by 100, the documents (itself
     included) within three bits of its fingerprint; null for the others."""
     from flowlake.llm.simhash import count_within, with_next
-    rows = written(with_next(table(spark, sf_dir, "documents")), "op1")
+    rows = with_next(table(spark, sf_dir, "documents"))
     near = count_within(rows.select("fp"), rows.filter("doc_id % 100 = 0").select("fp"))
 
     def like(x: str, y: str):

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import chunk_rows, find_words, shingle_hashes, text_buffer, written
+from flowlake.llm.common import chunk_rows, find_words, kept, shingle_hashes, text_buffer
 
 TERM_WORDS = 2
 RADIUS = 3
@@ -46,6 +46,7 @@ BITS = 64
 BORDERS = (0, 11, 22, 33, 44, 54, 64)
 MASKS = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(BORDERS, BORDERS[1:])]
 TABLES = list(combinations(range(6), 3))
+TILE = 512                     # queries and fingerprints compared at once, so many of each
 
 
 def fingerprints(column: pa.Array) -> np.ndarray:
@@ -117,7 +118,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         if held is not None:
             yield border(held[0], head, held[1])
 
-    out = written(source.mapInArrow(run, _SQL + ", part int, head string, tail string"), "fingerprints")
+    out = kept(source.mapInArrow(run, _SQL + ", part int, head string, tail string"))
     # one row per non-empty partition: join its last row with the next one's first
     borders = out.filter("part is not null").select("part", "doc_id", "head", "tail")
     following = (borders.select("part").withColumn("next", F.lead("part").over(Window.orderBy("part")))
@@ -135,10 +136,14 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 # ---------------------------------------------------------------- search
 
-def _lowest_three(agree: np.ndarray) -> np.ndarray:
-    """Bit masks of the three lowest agreeing blocks; agree: (..., 6) booleans."""
-    place = np.cumsum(agree, axis=-1)
-    return ((agree & (place <= 3)) << np.arange(6)).sum(-1)
+def _lowest_three(x: np.ndarray) -> np.ndarray:
+    """Bit masks of the three lowest blocks in which x is 0."""
+    out, found = np.zeros(len(x), np.uint8), np.zeros(len(x), np.uint8)
+    for b, m in enumerate(MASKS):
+        same = ((x & np.uint64(m)) == 0) & (found < 3)
+        out |= same.astype(np.uint8) << np.uint8(b)
+        found += same
+    return out
 
 
 def count_within(points: DataFrame, queries: DataFrame) -> DataFrame:
@@ -194,18 +199,19 @@ def _search(points: DataFrame, queries: DataFrame, pairs: bool) -> DataFrame:
                     continue
                 mine = sum(1 << b for b in TABLES[t[lo]])
                 points_fp, weight = fp[lo:hi][~own], n[lo:hi][~own]
-                for a in range(0, len(asked_fp), 256):
-                    for b in range(0, len(points_fp), 4096):
-                        x = asked_fp[a:a + 256, None] ^ points_fp[None, b:b + 4096]
-                        close = np.bitwise_count(x) <= RADIUS
-                        i, j = np.nonzero(close)
-                        agree = np.stack([(x[i, j] & np.uint64(m)) == 0 for m in MASKS], axis=-1)
-                        good = _lowest_three(agree) == mine
+                for a in range(0, len(asked_fp), TILE):
+                    for b in range(0, len(points_fp), TILE):
+                        x = asked_fp[a:a + TILE, None] ^ points_fp[None, b:b + TILE]
+                        i, j = np.nonzero(np.bitwise_count(x) <= RADIUS)
+                        good = _lowest_three(x[i, j]) == mine
+                        i, j = i[good], j[good]
+                        if not len(i):
+                            continue
                         if pairs:
-                            yield pa.RecordBatch.from_arrays([pa.array(asked_fp[a:a + 256][i[good]].view(np.int64)),
-                                                              pa.array(points_fp[b:b + 4096][j[good]].view(np.int64))], ["fp", "n"])
+                            yield pa.RecordBatch.from_arrays([pa.array(asked_fp[a + i].view(np.int64)),
+                                                              pa.array(points_fp[b + j].view(np.int64))], ["fp", "n"])
                             continue
-                        near[a:a + 256] += np.bincount(i[good], weights=weight[b:b + 4096][j[good]], minlength=x.shape[0]).astype(np.int64)
+                        near[a:a + TILE] += np.bincount(i, weights=weight[b + j], minlength=len(x)).astype(np.int64)
         if near.any():
             yield done()
 

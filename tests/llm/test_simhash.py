@@ -1,6 +1,8 @@
 """Fingerprints and block-table search against direct computation."""
 
 import hashlib
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +82,26 @@ def test_search_names_the_documents_that_are_near(spark):
     assert got == {(int(q.view(np.int64)), i) for q in fps[::5] for i in np.flatnonzero(np.bitwise_count(fps ^ q) <= simhash.RADIUS)}
     counts = {r["fp"]: r["n_near"] for r in simhash.count_within(docs.select(docs["near_fp"].alias("fp")), asked).collect()}
     assert counts == {q: sum(1 for p, _ in got if p == q) for q, _ in got}
+
+
+def test_a_crowd_of_near_fingerprints_is_searched_in_little_memory(spark):
+    # all within two bits of one another: every pair of a tile is a hit
+    bits = [1 << k for k in range(64)]
+    fps = np.array([0, *bits, *(a | b for i, a in enumerate(bits) for b in bits[:i])], np.uint64)
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").coalesce(1)
+    got = {r["fp"]: r["n_near"] for r in simhash.count_within(df, df).collect()}
+    for q in fps[::97]:
+        assert got[int(q.view(np.int64))] == int((np.bitwise_count(fps ^ q) <= simhash.RADIUS).sum())
+    x = np.zeros((simhash.TILE, simhash.TILE), np.uint64)
+    tracemalloc.start()
+    simhash._lowest_three(x.reshape(-1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
+def test_the_rows_are_kept_without_a_file_for_each_task(spark):
+    before = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    files = set(Path(before.removeprefix("file:")).rglob("*.parquet"))
+    assert simhash.with_next(documents(spark)).count() == len(awkward_texts())
+    assert set(Path(before.removeprefix("file:")).rglob("*.parquet")) == files
