@@ -1,37 +1,41 @@
-"""LM scoring by online logistic context mixing over the bits of words.
+"""LM scoring by online logistic context mixing over bits, of running text and of spellings.
 
-Tokens are words (A-Z folded) and one end per text.  The spelling of a word, its
-bytes and a closing blank, is predicted bit by bit.  Six hashed contexts (the
-one to five bytes before the bit within the word, and the whole prefix) each look
-up counts of zeros and ones; the six log-odds are combined by a weight
-vector that a gate picks (bit place and how many contexts have been seen), and
-the result is refined by an adaptive probability map (old estimate and byte so
-far → observed share).  Weights learn online, batch after batch, each word
-predicted with its own contribution to the counts taken out.
+Tokens are words (A-Z folded) and one end per text.  ``wordbits`` codes the tokens
+of running text: a token is a path of bits in a tree whose leaves are the most
+frequent words, the end, and one mark for all other words.  The words' own counts
+and the hashed contexts of the words before (one, two, and the class that the
+text so far is most like) predict each bit; a gated logistic mixer learnt online
+over the whole training text combines them, and an adaptive map refines the result.
 
-Spellings carry the words that the training texts lack; known words have counts:
+After the mark comes the other word itself:
 
     P_t(word) = (1 - L) * sum_k g_k,t Q_k(word) + L * P(spelling),   L = D V / N
     Q_k(word) = (max(c_k - D, 0) + (MU + D V_k) q(word)) / (N_k + MU)
 
-with one expert Q_k per class of training texts (the most frequent values of a
-class column, and the rest), q the share of max(c - D, 0), and gates g that
-follow Bayes' rule word by word within a text (the class of a scored text is
-never read).  What a text has used so far refines this once more:
+over the other words only, with one expert Q_k per class of training texts (the
+most frequent values of a class column, and the rest), q the share of
+max(c - D, 0), and gates g that follow Bayes' rule word by word within a text (the
+class of a scored text is never read).  The spelling, its bytes and a closing
+blank, is mixed bit by bit as well: six hashed contexts (the one to five bytes
+before the bit within the word, and the whole prefix), a gate by bit place and
+contexts seen, and a map (old estimate and byte so far); it learns from distinct
+words, each predicted with its own contribution taken out, since it stands for
+words not met before.  What a text has used so far refines all words once more:
 
     (max(times - D_OWN, 0) + (KAPPA + D_OWN * distinct) P_t(word)) / (t + KAPPA)
 
-The end has the fixed chance of ends among training tokens at every step.  Every
-step is a distribution, so the sum of logs is a text's log-probability, and
--score * log2(10) / bytes its bits per byte.
+and likewise its end, which is never used before.  Every step is a distribution,
+so the sum of logs is a text's log-probability, and -score * log2(10) / bytes its
+bits per byte.
 
 Plan.  One pass cuts texts to word numbers of a *block* (BLOCK_BYTES of text)
 with the block's dictionary: only distinct words per block travel afterwards.
 Dictionaries are summed by word (counts), the spelling model is summed over
 distinct training words (tables of fixed size, added up slice by slice), each
 distinct word is scored once, answers go back to their block, and the block's
-texts are scored beside them.  Tables and weights are bounded by SLOTS, however
-large the corpus; they are the only data that reaches the driver.
+texts are scored beside them.  A second pass over the training text learns the
+mixer of running text.  Tables grow with the training text up to a bound; they,
+the weights and the tree's words are the only data that reaches the driver.
 
 Defined cases: null text is empty and has its end as only token; without any
 training text N = V = 0, words have their spelling alone, the end has chance 1/2
@@ -50,12 +54,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm import wordbits
 from flowlake.llm.common import chunk_rows, find_words, mix64, text_buffer, work_path, written
 
 BLOCK_BYTES = 32 << 20
 CONTEXTS = 6
 SLOTS = 1 << 20                # per context
 ORDERS = 5
+STEP = 1024                    # log-odds are kept in such parts
 SLICES = 32                    # parts in which tables are added up
 TABLE_TASKS = 12               # tables built at once
 WORD_BATCH = 4096
@@ -70,6 +76,9 @@ D_OWN = 0.95
 DRIFT = 0.01                   # share of the gates that returns to the classes' own shares
 CLASSES = 7                    # experts besides the rest
 PACKED = 500_000               # answers that a task packs at once
+SLICE_BYTES = 16 << 20         # of all tasks' parts of one slice
+LEARN_TOKENS = 10_000_000      # of running text that a task learns from, about
+SCORE_TOKENS = 1 << 16         # scored at once, unless one text is longer
 LN10 = float(np.log(10))
 
 
@@ -102,10 +111,11 @@ def spelling(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         node = np.ones((len(data), 8), np.uint64)
         for k in range(1, 8):
             node[:, k] = node[:, k - 1] * np.uint64(2) + bits[:, k - 1]
-        slots = np.empty((len(data) * 8, CONTEXTS), np.int32)
+        slots = np.empty((CONTEXTS, len(data) * 8), np.int32).T
+        step = node.astype(np.uint32) * np.uint32(0x9E3779B1)
         for k, c in enumerate(context):
-            h = mix64((c + np.uint64(k + 1) * np.uint64(0x165667B19E3779F9))[:, None] ^ (node << np.uint64(50)))
-            slots[:, k] = (h & np.uint64(SLOTS - 1)).reshape(-1).astype(np.int32)
+            h = (mix64(c + np.uint64(k + 1) * np.uint64(0x165667B19E3779F9)) >> np.uint64(32)).astype(np.uint32)
+            slots[:, k] = ((h[:, None] + step) >> np.uint32(33 - SLOTS.bit_length())).reshape(-1)
     gate = np.tile(np.arange(8, dtype=np.int32), len(data))
     return np.repeat(word, 8), bits.reshape(-1).astype(np.int8), slots, np.stack([gate, node.reshape(-1).astype(np.int32)])
 
@@ -126,8 +136,10 @@ class Tables:
 
     def __init__(self, counts: np.ndarray | None = None):
         self.counts = np.zeros((CONTEXTS, SLOTS, 2), np.uint32) if counts is None else counts
+        self.odds: dict[bool, np.ndarray] = {}
 
     def add(self, words: list[bytes]) -> None:
+        self.odds.clear()
         flat = self.counts.reshape(-1)
         for lo, hi in word_batches(words):
             _, bit, slots, _ = spelling(words[lo:hi])
@@ -140,19 +152,29 @@ class Tables:
 
     def inputs(self, slots: np.ndarray, bit: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """(log-odds scaled by confidence, number of seen contexts); ``bit`` is taken out if given."""
-        x = np.empty(slots.shape, np.float32)
+        x = np.empty(slots.shape[::-1], np.float32).T
         seen = np.zeros(len(slots), np.int32)
+        odds = self._odds(bit is not None)
         for k in range(CONTEXTS):
-            pair = self.counts[k][slots[:, k]].astype(np.float32)
-            n0, n1 = pair[:, 0], pair[:, 1]
-            if bit is not None:
-                n1 = np.maximum(n1 - bit, 0)
-                n0 = np.maximum(n0 - (1 - bit), 0)
-            n = n0 + n1
-            x[:, k] = np.log((n1 + np.float32(0.4)) / (n0 + np.float32(0.4))) * (n / (n + np.float32(0.5)))
-            seen += n > 0
+            packed = odds[k][slots[:, k]] if bit is None else odds[k][slots[:, k] * 2 + bit]
+            x[:, k] = (packed >> 1).astype(np.float32) * np.float32(1 / STEP)
+            seen += packed & 1
         return x, seen
 
+    def _odds(self, without: bool) -> np.ndarray:
+        """By slot, or by slot and bit with one such bit taken out: the log-odds in parts of STEP, and whether it was seen."""
+        if without not in self.odds:
+            self.odds[without] = np.empty((CONTEXTS, SLOTS * (2 if without else 1)), np.int16)
+            for k in range(CONTEXTS):
+                for out in range(2 if without else 1):
+                    n0, n1 = self.counts[k].astype(np.float32).T
+                    if without:
+                        n0, n1 = np.maximum(n0 - (1 - out), 0), np.maximum(n1 - out, 0)
+                    n = n0 + n1
+                    x = np.log((n1 + np.float32(0.4)) / (n0 + np.float32(0.4))) * (n / (n + np.float32(0.5)))
+                    self.odds[without][k, out::2 if without else 1] = np.rint(np.clip(x, -15, 15) * STEP).astype(np.int16) * 2 + (n > 0)
+        return self.odds[without]
+
 
 def _halved(counts: np.ndarray) -> np.ndarray:
     top = np.maximum(counts.max(axis=-1, keepdims=True) / 65535.0, 1.0)
@@ -180,12 +202,16 @@ class Mixer:
     def _bin(z: np.ndarray) -> np.ndarray:
         return np.clip((z + 9) * (MAP_BINS / 18), 0, MAP_BINS - 1).astype(np.int64)
 
+    def _mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        weights = self.weights.astype(np.float32)
+        return sum(x[:, k] * weights[:, k][gate] for k in range(CONTEXTS))
+
     def learn(self, tables: Tables, words: list[bytes]) -> None:
         for step, (lo, hi) in enumerate(word_batches(words)):
             _, bit, slots, (place, node) = spelling(words[lo:hi])
             x, seen = tables.inputs(slots, bit)
             gate = self.gate(place, seen)
-            z = np.einsum("ij,ij->i", x, self.weights[gate])
+            z = self._mixed(x, gate)
             p = _squash(z)
             key = node.astype(np.int64) * MAP_BINS + self._bin(z)
             self.map_all += np.bincount(key, minlength=256 * MAP_BINS).reshape(256, MAP_BINS)
@@ -206,7 +232,7 @@ class Mixer:
         for lo, hi in word_batches(words):
             word, bit, slots, (place, node) = spelling(words[lo:hi])
             x, seen = tables.inputs(slots, None)
-            z = np.einsum("ij,ij->i", x, self.weights[self.gate(place, seen)])
+            z = self._mixed(x, self.gate(place, seen))
             at = self._bin(z)
             p = _squash(z)
             t = trust[node, at]
@@ -329,7 +355,7 @@ def fit_tables(words: DataFrame) -> Tables:
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([small.astype("<u2").tobytes()], pa.binary())], ["slice", "part"])
 
     parts = words.select("word").repartition(TABLE_TASKS).mapInArrow(build, "slice int, part binary")
-    rows = parts.repartition(4, "slice").mapInArrow(add, "slice int, part binary").collect()
+    rows = parts.repartition(SLICES, "slice").mapInArrow(add, "slice int, part binary").collect()
     both = np.zeros((SLICES, cells), np.uint16)
     for r in rows:
         both[r["slice"]] = np.frombuffer(r["part"], "<u2")
@@ -359,6 +385,48 @@ def fit_mixer(words: DataFrame, tables) -> Mixer:
     return mixer
 
 
+def fit_running(texts: DataFrame, tree, tokens: int) -> wordbits.Mixer:
+    """The mixer of running text, learnt from the whole column ``text``; ``tokens``: how many there are, about."""
+    bits, tasks = wordbits.table_bits(tokens), max(4, tokens // LEARN_TOKENS)
+    # the parts of all tasks for one slice stay within SLICE_BYTES
+    slices = 1 << max(5, int(np.ceil(np.log2(tasks * wordbits.CONTEXTS * (8 << bits) / SLICE_BYTES))))
+    cells = wordbits.CONTEXTS * (2 << bits) // slices
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = wordbits.Mixer(bits)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            for lo, hi in chunk_rows(offsets):
+                for token, context in wordbits.learnable(find_words(data, offsets[lo:hi + 1]), tree.value):
+                    mixer.learn(tree.value, token, context)
+        if not mixer.steps:
+            return
+        for k, part in enumerate([*mixer.counts.reshape(slices, cells), mixer.state()]):
+            part = planes(part.astype("<u4")) if k < slices else part.astype("<f8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.binary())], ["slice", "part"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column("slice").to_pylist(), batch.column("part")):
+                raw = np.frombuffer(part.as_buffer(), np.uint8)
+                x = from_planes(raw, "<u4", cells).astype(np.int64) if k < slices else raw.view("<f8")
+                sums[k] = x + sums[k] if k in sums else x
+        for k, x in sums.items():
+            x = wordbits.packed_odds(x.reshape(-1, 2)).astype("<i2") if k < slices else x
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["slice", "part"])
+
+    parts = texts.select("text").coalesce(tasks).mapInArrow(learn, "slice int, part binary")
+    mixer = wordbits.Mixer(bits).freeze()
+    odds = mixer.odds.reshape(slices, -1)
+    for r in parts.repartition(min(slices, 256), "slice").mapInArrow(add, "slice int, part binary").collect():
+        if r["slice"] < slices:
+            odds[r["slice"]] = np.frombuffer(r["part"], "<i2")
+        else:
+            mixer.merge([np.frombuffer(r["part"], "<f8")])
+    return mixer
+
+
 # ---------------------------------------------------------------- scoring
 
 class Experts:
@@ -381,36 +449,49 @@ class Experts:
 
     def log10(self, ids: np.ndarray, known: np.ndarray, spelling: np.ndarray) -> float:
         """log10 probability of one text; known and spelling (log10) are by word number."""
-        n = len(ids)
-        if not n:
-            return float(np.log10(self.end))
+        bound = np.array([0, len(ids)])
+        p, _ = own_text(ids, self.steps(ids, known, spelling, bound), np.zeros(1), bound)
+        return float(p.sum() / LN10 + len(ids) * np.log10(1 - self.end) + np.log10(self.end))
+
+    def steps(self, ids: np.ndarray, known: np.ndarray, spelling: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """ln of the chance of each word of the runs bound[i]..bound[i+1], whatever was used before."""
         q = known[ids]
         heard = q[:, 0] > 0
         gains = np.where(heard[:, None], np.log(np.maximum(q, 1e-300)), 0.0)
-        gate = np.vstack([np.zeros((1, q.shape[1])), np.cumsum(gains, axis=0)[:-1]]) + np.log(np.maximum(self.prior, 1e-300))
+        gate = np.vstack([np.zeros((1, q.shape[1])), np.cumsum(gains, axis=0)])
+        gate = gate[:-1] - np.repeat(gate[bound[:-1]], np.diff(bound), axis=0) + np.log(np.maximum(self.prior, 1e-300))
         gate = np.exp(gate - gate.max(1, keepdims=True))
         gate = (1 - DRIFT) * gate / gate.sum(1, keepdims=True) + DRIFT * self.prior
         # a long odd word has a spelling far below the least double: its sum stays in logs
         with np.errstate(divide="ignore"):
-            p = np.logaddexp(np.log((1 - self.spelled) * (gate * q).sum(1)), np.log(self.spelled) + LN10 * spelling[ids])
-        order = np.argsort(ids, kind="stable")
-        ranked = ids[order]
-        new = np.ones(n, bool)
-        new[1:] = ranked[1:] != ranked[:-1]
-        used = np.empty(n)
-        used[order] = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        distinct = np.cumsum(used == 0) - (used == 0)
-        with np.errstate(divide="ignore"):
-            p = np.logaddexp(np.log(np.maximum(used - D_OWN, 0)), np.log(KAPPA + D_OWN * distinct) + p) - np.log(np.arange(n) + KAPPA)
-        return float(p.sum() / LN10 + n * np.log10(1 - self.end) + np.log10(self.end))
-
-
-def _unpacked(data: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(at, lp, counts by class) of one payload."""
-    n = len(data) // (8 + 8 * classes)
-    at, lp = from_planes(data[:4 * n], "<i4", n), from_planes(data[4 * n:8 * n], "<f4", n)
-    counts = [from_planes(data[8 * n * (k + 1):8 * n * (k + 2)], "<i8", n) for k in range(classes)]
-    return at, lp, np.stack(counts, axis=1)
+            return np.logaddexp(np.log((1 - self.spelled) * (gate * q).sum(1)), np.log(self.spelled) + LN10 * spelling[ids])
+
+
+def own_text(ids: np.ndarray, p: np.ndarray, ends: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ln chances of words and ends, refined by what each text, bound[i]..bound[i+1], has used so far."""
+    n, size = len(ids), np.diff(bound)
+    row = np.repeat(np.arange(len(size)), size)
+    at = np.arange(n) - np.repeat(bound[:-1], size)
+    key = row * (int(ids.max(initial=0)) + 1) + ids
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    new = np.ones(n, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    used = np.empty(n)
+    used[order] = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    met = np.concatenate([[0], np.cumsum(used == 0)])
+    distinct = met[:-1] - np.repeat(met[bound[:-1]], size)
+    with np.errstate(divide="ignore"):
+        p = np.logaddexp(np.log(np.maximum(used - D_OWN, 0)), np.log(KAPPA + D_OWN * distinct) + p) - np.log(at + KAPPA)
+    return p, ends + np.log(KAPPA + D_OWN * (met[bound[1:]] - met[bound[:-1]])) - np.log(size + KAPPA)
+
+
+def _unpacked(data: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
+    """(at, lp, symbol, short hash, counts by class) of one payload."""
+    n = len(data) // (16 + 8 * classes)
+    four = [from_planes(data[4 * n * k:4 * n * (k + 1)], t, n) for k, t in enumerate(("<i4", "<f4", "<i4", "<u4"))]
+    counts = [from_planes(data[8 * n * (k + 2):8 * n * (k + 3)], "<i8", n) for k in range(classes)]
+    return *four, np.stack(counts, axis=1)
 
 
 SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
@@ -449,8 +530,16 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     sums = known.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cs), *(F.count_if(F.col(c) > 0).alias(f"v_{c}") for c in cs),
                      F.count("*").alias("v")).first()
     ends = texts.filter(~F.col("held_out")).count()
-    experts = Experts(np.array([sums[c] for c in cs]), np.array([sums[f"v_{c}"] for c in cs]), sums["v"], ends)
-    total, distinct = int(experts.words) + ends, sums["v"] + (ends > 0)
+    total, distinct = sum(sums[c] for c in cs) + ends, sums["v"] + (ends > 0)
+
+    # the most frequent words are coded in running text, the others as one mark and a word of theirs
+    every = sum((F.col(c) for c in cs[1:]), F.col(cs[0]))
+    top = known.filter(every >= wordbits.LEAST).select("h", *cs).orderBy(F.desc(every), "h").limit(wordbits.WORDS).collect()
+    top_h, top_n = np.array([r["h"] for r in top], np.int64), np.array([[r[c] for c in cs] for r in top], np.int64).reshape(-1, classes)
+    rest = np.array([sums[c] for c in cs]) - top_n.sum(0)
+    experts = Experts(rest, np.array([sums[f"v_{c}"] for c in cs]) - (top_n > 0).sum(0), sums["v"] - len(top), ends)
+    tree = sc.broadcast(wordbits.Tree(top_h, top_n, int(rest.sum()), ends))
+    running = sc.broadcast(fit_running(docs.filter(~held_out).select(docs[text_col].alias("text")), tree, total))
 
     tables = fit_tables(known)
     shared = sc.broadcast(tables.counts)
@@ -460,13 +549,16 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         own = Tables(shared.value)
         for batch in batches:
             lp = mixer.value.log10(own, batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("h"), *(batch.column(c) for c in cs), pa.array(lp.astype(np.float32))], ["h", *cs, "lp"])
+            h = batch.column("h").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), *(batch.column(c) for c in cs), pa.array(lp.astype(np.float32)),
+                                              pa.array(tree.value.symbols(h)), pa.array(wordbits.short(h).view(np.int32))],
+                                             ["h", *cs, "lp", "symbol", "short"])
 
-    scored = words.mapInArrow(spell, ", ".join(["h long", *(f"{c} long" for c in cs), "lp float"]))
-    answers = dictionary.select("block", "at", "h").join(scored, "h").select("block", "at", *cs, "lp")
+    scored = words.mapInArrow(spell, ", ".join(["h long", *(f"{c} long" for c in cs), "lp float, symbol int, short int"]))
+    answers = dictionary.select("block", "at", "h").join(scored, "h").select("block", "at", *cs, "lp", "symbol", "short")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per block for up to PACKED answers: byte planes of at, lp and the counts."""
+        """One row per block for up to PACKED answers: byte planes of at, lp, symbol, short hash and the counts."""
         held: list[pa.RecordBatch] = []
         size = 0
 
@@ -475,7 +567,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
             block = whole.column("block").to_numpy()
             order = np.argsort(block, kind="stable")
             block = block[order]
-            columns = [whole.column("at").to_numpy()[order].astype("<i4"), whole.column("lp").to_numpy()[order].astype("<f4"),
+            columns = [*(whole.column(c).to_numpy()[order].astype(t) for c, t in (("at", "<i4"), ("lp", "<f4"), ("symbol", "<i4"), ("short", "<i4"))),
                        *(whole.column(c).to_numpy()[order].astype("<i8") for c in cs)]
             cut = np.flatnonzero(np.diff(block)) + 1
             for lo, hi in zip([0, *cut], [*cut, len(block)]):
@@ -502,6 +594,16 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     scale = np.log10(total + distinct + 1.0)
     end_base = np.log10(ends + 1.0) - scale
 
+    def groups(ids: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        lo = size = 0
+        for i, x in enumerate(ids):
+            size += len(x)
+            if size >= SCORE_TOKENS:
+                yield lo, i + 1
+                lo, size = i + 1, 0
+        if lo < len(ids):
+            yield lo, len(ids)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts, base = None, [], None
         for batch in batches:
@@ -517,19 +619,33 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                         parts.append(_unpacked(np.frombuffer(payload.as_buffer(), np.uint8), classes))
                     continue
                 if base is None:
-                    n = sum(len(at) for at, _, _ in parts)
+                    n = sum(len(at) for at, *_ in parts)
                     counts, spelling = np.zeros((n, classes), np.int64), np.zeros(n)
-                    for at, lp, own in parts:
-                        counts[at], spelling[at] = own, lp
-                    c, q = counts.sum(1), experts.known(counts)
+                    symbol, short = np.zeros(n, np.int32), np.zeros(n, np.uint32)
+                    for at, lp, sym, h, own in parts:
+                        counts[at], spelling[at], symbol[at], short[at] = own, lp, sym, h
+                    c = counts.sum(1)
                     base, parts = np.log10(c + 1.0) - scale, []
-                out = []
-                for doc_id, held, ids, n_bytes in zip(*(batch.column(x).slice(lo, hi - lo).to_pylist()
-                                                        for x in ("doc_id", "held_out", "ids", "n_bytes"))):
-                    ids = from_planes(np.frombuffer(ids, np.uint8), "<i4", len(ids) // 4)
-                    value = experts.log10(ids, q, spelling)
-                    out.append((doc_id, held, len(ids) + 1, int((c[ids] > 0).sum()) + (ends > 0), total,
-                                float(base[ids].sum() + end_base), value, -value * np.log2(10) / n_bytes if n_bytes else None))
-                yield pa.RecordBatch.from_pydict({n: list(v) for n, v in zip(_RESULT.names, zip(*out))}, schema=_RESULT)
+                    counts[symbol != wordbits.OTHER] = 0
+                    q = experts.known(counts)
+                part = batch.slice(lo, hi - lo)
+                texts_ids = [from_planes(np.frombuffer(x.as_buffer(), np.uint8), "<i4", len(x.as_buffer()) // 4) for x in part.column("ids")]
+                for a, b in groups(texts_ids):
+                    ids = np.concatenate([np.zeros(0, np.int32), *texts_ids[a:b]])
+                    bound = np.concatenate([[0], np.cumsum([len(x) for x in texts_ids[a:b]])])
+                    row = np.repeat(np.arange(b - a), np.diff(bound))
+                    token, context, of = wordbits.sequence(tree.value, symbol[ids], short[ids], bound)
+                    coded = LN10 * running.value.log10(tree.value, token, context)
+                    p, ends_p = coded[token != wordbits.END], coded[token == wordbits.END]
+                    other = symbol[ids] == wordbits.OTHER
+                    p[other] += experts.steps(ids[other], q, spelling, np.concatenate([[0], np.cumsum(other)])[bound])
+                    p, ends_p = own_text(ids, p, ends_p, bound)
+                    value = (np.bincount(row, weights=p, minlength=b - a) + ends_p) / LN10
+                    size = part.column("n_bytes").slice(a, b - a).to_numpy()
+                    columns = [part.column("doc_id").slice(a, b - a), part.column("held_out").slice(a, b - a), np.diff(bound) + 1,
+                               np.bincount(row[c[ids] > 0], minlength=b - a) + (ends > 0), np.full(b - a, total),
+                               np.bincount(row, weights=base[ids], minlength=b - a) + end_base, value,
+                               pa.array(-value * np.log2(10) / np.maximum(size, 1), mask=size == 0)]
+                    yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, _RESULT)], schema=_RESULT)
 
     return dealt.mapInArrow(score, SCHEMA)

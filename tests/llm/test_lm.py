@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.llm import lm
+from flowlake.llm import lm, wordbits
 from flowlake.llm.common import in_fold, table
 from tests.llm.helpers import awkward_texts, documents, prose
 
@@ -106,3 +106,60 @@ def test_scores_of_whole_long_words(spark):
     texts = [prose(1, 300), "z9" * 1500, "z9" * 3000]
     rows = {r["doc_id"]: r["score"] for r in lm.score_texts(documents(spark, texts), F.col("doc_id") > 0).collect()}
     assert rows[2] < rows[1] - 200 and rows[1] < -200
+
+
+def running_model(seed=5):
+    rnd = np.random.default_rng(seed)
+    hashes = rnd.integers(-2 ** 63, 2 ** 63 - 1, 40)
+    counts = rnd.integers(8, 400, (40, 2))
+    tree = wordbits.Tree(hashes, counts, 900, 120)
+    mixer = wordbits.Mixer(16)
+    h = np.concatenate([hashes.view(np.uint64), rnd.integers(0, 2 ** 63, 30, dtype=np.uint64)])
+    for _ in range(20):
+        row = h[rnd.integers(0, len(h), 200).cumsum() % len(h)]
+        token, context, _ = wordbits.sequence(tree, tree.symbols(row), wordbits.short(row), np.array([0, 90, 90, 200]))
+        mixer.learn(tree, token, context)
+    mixer.merge([mixer.state()])
+    return tree, mixer.freeze(), h
+
+
+def test_the_bits_of_all_tokens_sum_to_one_in_any_context():
+    tree, mixer, h = running_model()
+    assert tree.symbols(h[:40]).tolist() == list(range(2, 42)) and not tree.symbols(h[40:]).any()
+    _, context, _ = wordbits.sequence(tree, tree.symbols(h), wordbits.short(h), np.array([0, 20, 70]))
+    every = np.arange(42, dtype=np.int32)
+    for at in (0, 1, 2, 20, 21, 55):
+        own = np.repeat(context[:, at:at + 1], 42, axis=1)
+        assert (10 ** mixer.log10(tree, every, own)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_contexts_are_the_words_before_within_the_row():
+    tree, _, h = running_model()
+    bound = np.array([0, 3, 3, 5])
+    token, context, row = wordbits.sequence(tree, tree.symbols(h[:5]), wordbits.short(h[:5]), bound)
+    assert row.tolist() == [0, 0, 0, 0, 1, 2, 2, 2] and (token == wordbits.END).tolist() == [False] * 3 + [True, True] + [False] * 2 + [True]
+    assert context[0, 0] == context[0, 4] == context[0, 5] and context[1, 0] == context[1, 4] == context[1, 5]
+    assert len(set(context[0].tolist())) == 6 and len(set(context[1].tolist())) == 6
+
+
+def test_own_text_and_its_end_share_one():
+    p = np.log([0.3, 0.2, 0.4])
+    for history in ([], [0], [0, 2, 2, 1]):
+        total = 0.0
+        for w in range(3):
+            ids = np.array([*history, w])
+            total += math.exp(lm.own_text(ids, p[ids], np.zeros(1), np.array([0, len(ids)]))[0][-1])
+        ids = np.array(history, int)
+        total += math.exp(lm.own_text(ids, p[ids], np.log([0.1]), np.array([0, len(ids)]))[1][0])
+        assert total == pytest.approx(1)
+
+
+def test_known_words_are_scored_by_the_words_before_them(spark):
+    rnd = np.random.default_rng(1)
+    words = [f"w{chr(97 + i)}" for i in range(20)]
+    texts = [" ".join(words[(k + j) % 20] for j in range(20)) for k in rnd.integers(0, 20, 300)]
+    learnt = " ".join(words)
+    texts += [learnt, " ".join(rnd.permutation(words))]     # the same words, each once
+    rows = {r["doc_id"]: r for r in lm.score_texts(documents(spark, texts, lang=["en"] * 302), F.col("doc_id") >= 300).collect()}
+    assert rows[300]["base_score"] == pytest.approx(rows[301]["base_score"])
+    assert rows[300]["score"] > rows[301]["score"] + 5
