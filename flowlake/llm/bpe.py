@@ -32,6 +32,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from flowlake.llm.common import chunk_rows, text_buffer
+
 # The public byte-level pre-token pattern.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -202,11 +204,22 @@ def _ragged(flat: np.ndarray, offset: np.ndarray, pick: np.ndarray) -> np.ndarra
     return flat[np.arange(total[-1]) + shift]
 
 
+_vocabularies: dict[str, Vocabulary] = {}
+
+
+def vocabulary_of(path: str) -> Vocabulary:
+    """One per worker process: tasks that follow each other share it."""
+    if path not in _vocabularies:
+        _vocabularies.clear()
+        _vocabularies[path] = Vocabulary(path)
+    return _vocabularies[path]
+
+
 class Encoder:
     """Whole-text encoding with a memory of the pieces seen by this task."""
 
     def __init__(self, path: str):
-        self.vocab = Vocabulary(path)
+        self.vocab = vocabulary_of(path)
         self.find = regex.compile(PIECES).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")") \
             if self.vocab.special else None
@@ -250,18 +263,7 @@ class Encoder:
                 for c in cut]
 
 
-BATCH_CHARS = 2_000_000
-
-
-def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= BATCH_CHARS:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+BATCH_BYTES = 500_000         # of text whose pieces are held at once, unless one text is longer
 
 
 SCHEMA = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -282,9 +284,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in _batches(texts):
-                ids = encoder.encode_batch(texts[lo:hi])
+            column = batch.column("text")
+            for lo, hi in chunk_rows(text_buffer(column)[1], BATCH_BYTES):
+                ids = encoder.encode_batch([t or "" for t in column.slice(lo, hi - lo).to_pylist()])
                 decoded = [encoder.vocab.decode(x).decode("utf-8", "replace") for x in ids]
                 columns = [batch.column("doc_id").slice(lo, hi - lo),
                            pa.array([len(x) for x in ids], pa.int64()),

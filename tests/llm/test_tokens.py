@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from flowlake.llm import bpe, codes
 from flowlake.llm.common import text_buffer, work_path
-from tests.llm.helpers import awkward_texts, documents
+from tests.llm.helpers import awkward_texts, documents, prose
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -93,3 +93,16 @@ def test_an_empty_table_gives_an_empty_file(spark):
     path = work_path(spark, "test-codes-empty")
     codes.write_codes(documents(spark).limit(0), WORDS, 2, path)
     assert codes.read_documents(spark, path).count() == 0
+
+
+def test_encoders_of_a_worker_share_the_vocabulary():
+    first, second = bpe.Encoder(BYTES), bpe.Encoder(BYTES)
+    assert first.vocab is second.vocab and first.place is not second.place
+
+
+def test_texts_are_cut_into_small_batches_without_loss(spark):
+    texts = [prose(k, 40_000) for k in range(6)] + ["", None, "x" * 3]
+    assert sum(len(t or "") for t in texts) > 2 * bpe.BATCH_BYTES
+    rows = {r["doc_id"]: r for r in bpe.encode_documents(documents(spark, texts).coalesce(1), BYTES).collect()}
+    encoder = bpe.Encoder(BYTES)
+    assert {k: r["n_tokens"] for k, r in rows.items()} == {k: len(encoder.encode_batch([t or ""])[0]) for k, t in enumerate(texts)}
