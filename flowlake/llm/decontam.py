@@ -35,6 +35,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm.common import written
+
 K = 8
 BAND = 16
 LEAST_COVERAGE = 0.3
@@ -193,10 +195,14 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A row goes if its own text leaks, or that of another row with its id.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    leaks = _leaks(own, benchmark, "item_id", "text").select(F.col("doc_id").alias("_leaked"), F.col("row_key").alias("_leaked_row")).distinct()
-    by_id = leaks.filter("_leaked is not null").select("_leaked").distinct()
+    leaks = written(_leaks(own, benchmark, "item_id", "text").select(F.col("doc_id").alias("_leaked"), F.col("row_key").alias("_leaked_row"))
+                    .distinct(), "leaks")
+    rows = leaks.count()
+    by_id = _bounded(leaks.filter("_leaked is not null").select("_leaked").distinct(), rows)
     by_row = leaks.filter("_leaked is null").select("_leaked_row")
-    doc_id = docs[id_col].cast("long")
-    kept = docs.join(by_id, doc_id == by_id["_leaked"], "left_anti")
+    kept = docs.join(by_id, docs[id_col].cast("long") == by_id["_leaked"], "left_anti")
+    if by_row.isEmpty():
+        return kept
+    by_row = _bounded(by_row, rows)
     row_key = F.when(kept[id_col].isNull(), F.xxhash64(kept[id_col].cast("long"), kept[text_col]))
     return kept.join(by_row, row_key == by_row["_leaked_row"], "left_anti")

@@ -104,3 +104,12 @@ def test_no_python_in_the_plan(spark):
     bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
     plan = decontam.find_leaks(documents(spark, [ITEM, "x"]), bench)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoop"))
+
+
+def test_texts_are_not_shuffled_to_drop_leaks(spark):
+    docs = documents(spark, [ITEM, "clean words only", prose(4, 30)], [1, 2, 3])
+    bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    left = decontam.without_leaks(docs, bench)
+    assert sorted(r["doc_id"] for r in left.collect()) == [2, 3]
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan

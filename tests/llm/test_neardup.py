@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from flowlake.llm import graph, neardup
@@ -110,3 +111,28 @@ def test_open_nodes_are_joined_exactly(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"])
            for r in neardup.near_duplicates(documents(spark, texts, ids), k=4).collect()}
     assert got == brute(texts, ids, 4, 80)
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    texts = [prose(300 + i, 40) for i in range(40)] + [prose(300, 40)]
+    ids = [*range(40), 77]
+    docs = documents(spark, texts, ids).repartition(3)
+    left = neardup.without_near_duplicates(docs)
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(40))
+    doubtful = neardup._perhaps(spark.createDataFrame([(77,), (None,)], "doc_id long"))
+    found = docs.filter(doubtful(docs["doc_id"])).collect()
+    assert [r["doc_id"] for r in found] == [77]
+    # a part of the union reads the table and moves nothing
+    parts = left._jdf.queryExecution().optimizedPlan()
+    assert parts.nodeName() == "Union" and "Join" not in parts.children().head().toString()
+    awkward = documents(spark, ["a b", "c d"], [None, 77])
+    assert awkward.filter(doubtful(awkward["doc_id"])).count() == 2
+
+
+def test_short_signatures_agree_as_their_low_bits_do():
+    rnd = np.random.default_rng(3)
+    x = rnd.integers(0, 1 << 16, (50, neardup.HASHES)).astype(">u2")
+    y = np.where(rnd.random(x.shape) < 0.7, x, rnd.integers(0, 1 << 16, x.shape)).astype(">u2")
+    low = (1 << neardup.SHORT_BITS) - 1
+    assert neardup._short(x).nbytes == len(x) * neardup.HASHES * neardup.SHORT_BITS // 8
+    assert np.allclose(neardup._agreement(neardup._short(x), neardup._short(y)), ((x & low) == (y & low)).mean(axis=1))
