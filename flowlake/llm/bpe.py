@@ -32,7 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from flowlake.llm.common import chunk_rows, text_buffer
+from flowlake.llm.common import chunk_rows, released, text_buffer
 
 # The public byte-level pre-token pattern.
 PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -299,4 +299,4 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id",
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)

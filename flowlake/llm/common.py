@@ -7,8 +7,9 @@ word: every word is a difference of a running polynomial sum.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,6 +22,8 @@ from pyspark.storagelevel import StorageLevel
 from flowlake.session import workspace_dir
 
 CHUNK_BYTES = 1 << 20
+ROWS_A_FILE = 100_000        # of small rows
+SMALL_CHUNK = 1 << 18         # where the arrays of a chunk take over a hundred times its bytes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +52,33 @@ def kept(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.DISK_ONLY)
 
 
+def gathered(df: DataFrame, name: str) -> DataFrame:
+    """``written``, for rows that may be few: they are counted first and go to files of ROWS_A_FILE, not to one per task."""
+    once = kept(df)
+    try:
+        return written(once.coalesce(max(1, -(-once.count() // ROWS_A_FILE))), name)
+    finally:
+        once.unpersist()
+
+
+def release_memory() -> None:
+    """What this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, releasing memory at its end: Spark keeps idle worker
+    processes for later tasks, and what they hold adds to that of the busy ones."""
+    def to_the_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return to_the_end
+
+
 def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
     """crc32(doc_id as text) mod modulus = remainder; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(False))
@@ -111,10 +141,12 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and its inverse; kept up to CHUNK_BYTES, made anew for longer texts."""
-    if "up" not in _powers:
-        _powers["up"], _powers["down"] = _powers_upto(CHUNK_BYTES + 1)
-    return (_powers["up"], _powers["down"]) if n <= CHUNK_BYTES + 1 else _powers_upto(n)
+    """Powers of the base and its inverse; kept up to CHUNK_BYTES as far as they were asked for, made anew for longer texts."""
+    if n > CHUNK_BYTES + 1:
+        return _powers_upto(n)
+    if "up" not in _powers or len(_powers["up"]) < n:
+        _powers["up"], _powers["down"] = _powers_upto(SMALL_CHUNK + 1 if n <= SMALL_CHUNK + 1 else CHUNK_BYTES + 1)
+    return _powers["up"], _powers["down"]
 
 
 def _powers_upto(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import written
+from flowlake.llm.common import released, written
 
 EDGES_PER_TASK = 500_000
 
@@ -62,7 +62,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     first); loops and repeats are ignored.
     """
     tasks = 1 + edges.count() // EDGES_PER_TASK
-    now = written(edges.select("a", "b").coalesce(tasks).mapInArrow(_contract, "a long, b long"), name)
+    now = written(edges.select("a", "b").coalesce(tasks).mapInArrow(released(_contract), "a long, b long"), name)
     seen = None
     while tasks > 1:
         now = written(_star(_star(now, True), False), name)

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import chunk_rows, find_words, mix64, text_buffer
+from flowlake.llm.common import SMALL_CHUNK, chunk_rows, find_words, mix64, released, text_buffer
 
 BUCKETS = 1 << 16            # hashed n-gram features
 NGRAMS = (1, 2, 3, 4)
@@ -179,7 +179,7 @@ class Labeller:
                 yield (np.zeros(0, np.int64),) * 4 + (np.zeros((0, 0)),)
             return
         data, offsets = text_buffer(column)
-        for lo, hi in chunk_rows(offsets):
+        for lo, hi in chunk_rows(offsets, SMALL_CHUNK):
             words = find_words(data, offsets[lo:hi + 1])
             _, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
             raw = words.data.tobytes()
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             data, offsets = text_buffer(batch.column("text"))
-            for lo, hi in chunk_rows(offsets):
+            for lo, hi in chunk_rows(offsets, SMALL_CHUNK):
                 words = find_words(data, offsets[lo:hi + 1])
                 raw = words.data.tobytes()
                 _, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
@@ -231,7 +231,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(values[at], pa.float64())],
                                              ["lang", "key", "n"])
 
-    sums = rows.mapInArrow(run, "lang string, key int, n double").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
+    sums = rows.mapInArrow(released(run), "lang string, key int, n double").groupBy("lang", "key").agg(F.sum("n").alias("n")).toArrow()
     lang_column = sums.column("lang").combine_chunks()
     languages = sorted(pc.unique(lang_column).to_pylist())
     place = {x: i for i, x in enumerate(languages)}
@@ -273,7 +273,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def label_row(model: Model, row: tuple, spans: bool) -> tuple[str, float, int, str]:
@@ -307,4 +307,4 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.2, id_col: str = "d
                     for row in (label_row(model, x, False) for x in labeller.rows(batch.column(at)))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

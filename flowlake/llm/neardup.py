@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import chunk_rows, find_words, mix64, shingle_hashes, text_buffer, written
+from flowlake.llm.common import SMALL_CHUNK, chunk_rows, find_words, mix64, released, shingle_hashes, text_buffer, written
 from flowlake.llm.graph import components
 
 HASHES = 256
@@ -74,7 +74,7 @@ _XOR, _ODD = _SEEDS[:HASHES], _SEEDS[HASHES:] | np.uint64(1)
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """Per chunk of texts: their sorted distinct shingle hashes, and signatures."""
     data, offsets = text_buffer(column)
-    for lo, hi in chunk_rows(offsets):
+    for lo, hi in chunk_rows(offsets, SMALL_CHUNK):
         h, bound = shingle_hashes(find_words(data, offsets[lo:hi + 1]), k)
         sets = [np.unique(h[a:b]) for a, b in zip(bound[:-1], bound[1:])]
         flat = np.concatenate(sets)
@@ -108,7 +108,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary())],
                 ["doc_id", "n_shingles", "node", "sig"])
 
-    return source.mapInArrow(run, "doc_id long, n_shingles long, node long, sig binary")
+    return source.mapInArrow(released(run), "doc_id long, n_shingles long, node long, sig binary")
 
 
 def _rows(column: pa.Array, dtype: str) -> np.ndarray:
@@ -160,7 +160,7 @@ def _orders(nodes: DataFrame, signed: bool = False) -> DataFrame:
                     [pa.array(np.full(len(sig), t, np.int32)), keys, batch.column("node"), batch.column("root"), short],
                     ["tree", "key", "node", "root", "short"])
 
-    rows = nodes.select("node", "sig", "root").mapInArrow(run, "tree int, key binary, node long, root long, short binary")
+    rows = nodes.select("node", "sig", "root").mapInArrow(released(run), "tree int, key binary, node long, root long, short binary")
     return rows.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
 
 
@@ -226,7 +226,7 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None, mark
             run = np.logical_and.accumulate(np.append(True, joined(tree, key)[::-1] >= MIN_DEPTH))[::-1]
             yield marks(node[run])
 
-    return orders.mapInArrow(run, "a long, b long, depth int, alike double")
+    return orders.mapInArrow(released(run), "a long, b long, depth int, alike double")
 
 
 def _best(pairs: DataFrame, *order: str) -> DataFrame:
@@ -251,7 +251,7 @@ def _alike(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
             keep = (x == y).mean(axis=1) >= least
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
 
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(released(run), "a long, b long")
 
 
 def _bloom(ids: DataFrame) -> np.ndarray:
@@ -264,7 +264,7 @@ def _bloom(ids: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
     total = np.zeros(BLOOM_BITS // 8, np.uint8)
-    for row in ids.coalesce(8).mapInArrow(run, "bits binary").collect():
+    for row in ids.coalesce(8).mapInArrow(released(run), "bits binary").collect():
         total |= np.frombuffer(row["bits"], np.uint8)
     return np.unpackbits(total).astype(bool)
 
@@ -302,14 +302,14 @@ def _sets(wanted: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, id_col:
                 continue
             sets = []
             data, offsets = text_buffer(batch.column("text"))
-            for lo, hi in chunk_rows(offsets):
+            for lo, hi in chunk_rows(offsets, SMALL_CHUNK):
                 h, bound = shingle_hashes(find_words(data, offsets[lo:hi + 1]), k)
                 sets += [np.unique(h[a:b]) for a, b in zip(bound[:-1], bound[1:])]
             node = [int.from_bytes(_digest(s)[:8], "big", signed=True) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(node, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                                              ["doc_id", "node", "members"])
 
-    sets = source.mapInArrow(build, "doc_id long, node long, members binary")
+    sets = source.mapInArrow(released(build), "doc_id long, node long, members binary")
     # one document stands for each node: keep exactly that row
     return (sets.join(firsts.select(F.col("first").alias("doc_id"), "node"), ["doc_id", "node"])
             .dropDuplicates(["node"]).select("node", "members"))
@@ -334,7 +334,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, k: int, per
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return joined.mapInArrow(test, "a long, b long")
+    return joined.mapInArrow(released(test), "a long, b long")
 
 
 # ---------------------------------------------------------------- open nodes
@@ -356,7 +356,7 @@ def _counts(sets: DataFrame) -> np.ndarray:
                 at, n = np.unique(_bucket(np.concatenate(_members(batch.column("members")))), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], ["at", "n"])
 
-    found = sets.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
+    found = sets.mapInArrow(released(run), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()
     counts = np.ones(COUNT_BUCKETS, np.int64)
     counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
     return counts
@@ -387,7 +387,7 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
                 [pa.array(np.concatenate(chosen)), pa.array(np.repeat(node, sizes)), pa.array(np.repeat(root, sizes)), pa.array(np.concatenate(before))],
                 ["token", "node", "root", "rarer"])
 
-    return sets.select("node", "root", "members").mapInArrow(run, "token long, node long, root long, rarer long")
+    return sets.select("node", "root", "members").mapInArrow(released(run), "token long, node long, root long, rarer long")
 
 
 def _dealt(rarest: DataFrame) -> DataFrame:
@@ -501,7 +501,7 @@ def _far_links(sets: DataFrame, percent: int) -> DataFrame:
         if parts:
             yield links()
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(released(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.llm.common import chunk_rows, released, text_buffer
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
 THRESHOLD = 0.95
@@ -269,7 +271,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
             ["kind", "a", "b", "n"])
 
     source = _candidates(docs, id_col, text_col).select("text").filter("text is not null")
-    rows = source.mapInArrow(run, "kind int, a int, b int, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    rows = source.mapInArrow(released(run), "kind int, a int, b int, n long").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     return Model([tuple(r) for r in rows.collect()])
 
 
@@ -308,7 +310,7 @@ def find_personal_data(docs: DataFrame, model: Model | None = None,
                 [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types))],
                 ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
 
-    return _candidates(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return _candidates(docs, id_col, text_col).mapInArrow(released(run), SCHEMA)
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -335,14 +337,15 @@ def mask_personal_data(docs: DataFrame, model: Model | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.column(at).to_pylist():
-                if text is not None and ("@" in text or _DIGITS.search(text)):
-                    base, added = model.spans(text)
-                    text = mask(text, base + added)
-                out.append(text)
-            columns = list(batch.columns)
-            columns[at] = pa.array(out, batch.schema.field(at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            for lo, hi in chunk_rows(text_buffer(batch.column(at))[1]):
+                part, out = batch.slice(lo, hi - lo), []
+                for text in part.column(at).to_pylist():
+                    if text is not None and ("@" in text or _DIGITS.search(text)):
+                        base, added = model.spans(text)
+                        text = mask(text, base + added)
+                    out.append(text)
+                columns = list(part.columns)
+                columns[at] = pa.array(out, batch.schema.field(at).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(released(run), docs.schema)
