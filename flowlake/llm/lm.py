@@ -55,7 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.llm import wordbits
-from flowlake.llm.common import chunk_rows, find_words, mix64, text_buffer, work_path, written
+from flowlake.llm.common import chunk_rows, find_words, mix64, released, text_buffer, work_path, written
 
 BLOCK_BYTES = 32 << 20
 CONTEXTS = 6
@@ -78,6 +78,7 @@ CLASSES = 7                    # experts besides the rest
 PACKED = 500_000               # answers that a task packs at once
 SLICE_BYTES = 16 << 20         # of all tasks' parts of one slice
 LEARN_TOKENS = 10_000_000      # of running text that a task learns from, about
+KNOWN_WORDS = 1 << 15          # whose chances are worked out at once
 SCORE_TOKENS = 1 << 16         # scored at once, unless one text is longer
 LN10 = float(np.log(10))
 
@@ -316,7 +317,7 @@ def index_texts(docs: DataFrame, held_out: Column, number: Column, classes: int,
         yield from dictionary()
 
     path = work_path(spark, "lm-index")
-    source.mapInArrow(run, sql).write.partitionBy("kind").parquet(path)
+    source.mapInArrow(released(run), sql).write.partitionBy("kind").parquet(path)
     both = spark.read.schema(sql).parquet(path)
     return (both.filter("kind = 0").select("block", "doc_id", "held_out", "ids", "n_bytes"),
             both.filter("kind = 1").select("block", "at", "h", "word", *(f"c{k}" for k in range(classes))))
@@ -354,8 +355,8 @@ def fit_tables(words: DataFrame) -> Tables:
             small = _halved(x.reshape(-1, 2)).reshape(-1)
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([small.astype("<u2").tobytes()], pa.binary())], ["slice", "part"])
 
-    parts = words.select("word").repartition(TABLE_TASKS).mapInArrow(build, "slice int, part binary")
-    rows = parts.repartition(SLICES, "slice").mapInArrow(add, "slice int, part binary").collect()
+    parts = words.select("word").repartition(TABLE_TASKS).mapInArrow(released(build), "slice int, part binary")
+    rows = parts.repartition(SLICES, "slice").mapInArrow(released(add), "slice int, part binary").collect()
     both = np.zeros((SLICES, cells), np.uint16)
     for r in rows:
         both[r["slice"]] = np.frombuffer(r["part"], "<u2")
@@ -374,7 +375,7 @@ def fit_mixer(words: DataFrame, tables) -> Mixer:
 
     mixer = Mixer()
     total = np.zeros((GATES, CONTEXTS))
-    for r in words.select("word").repartition(TABLE_TASKS).mapInArrow(learn, "w binary, uses binary, ones binary, every binary").collect():
+    for r in words.select("word").repartition(TABLE_TASKS).mapInArrow(released(learn), "w binary, uses binary, ones binary, every binary").collect():
         w, uses, ones, every = (np.frombuffer(r[c], "<f8") for c in ("w", "uses", "ones", "every"))
         total += w.reshape(GATES, CONTEXTS) * uses[:, None]
         mixer.uses += uses
@@ -416,10 +417,10 @@ def fit_running(texts: DataFrame, tree, tokens: int) -> wordbits.Mixer:
             x = wordbits.packed_odds(x.reshape(-1, 2)).astype("<i2") if k < slices else x
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["slice", "part"])
 
-    parts = texts.select("text").coalesce(tasks).mapInArrow(learn, "slice int, part binary")
+    parts = texts.select("text").coalesce(tasks).mapInArrow(released(learn), "slice int, part binary")
     mixer = wordbits.Mixer(bits).freeze()
     odds = mixer.odds.reshape(slices, -1)
-    for r in parts.repartition(min(slices, 256), "slice").mapInArrow(add, "slice int, part binary").collect():
+    for r in parts.repartition(min(slices, 256), "slice").mapInArrow(released(add), "slice int, part binary").collect():
         if r["slice"] < slices:
             odds[r["slice"]] = np.frombuffer(r["part"], "<i2")
         else:
@@ -490,8 +491,27 @@ def _unpacked(data: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
     """(at, lp, symbol, short hash, counts by class) of one payload."""
     n = len(data) // (16 + 8 * classes)
     four = [from_planes(data[4 * n * k:4 * n * (k + 1)], t, n) for k, t in enumerate(("<i4", "<f4", "<i4", "<u4"))]
-    counts = [from_planes(data[8 * n * (k + 2):8 * n * (k + 3)], "<i8", n) for k in range(classes)]
-    return *four, np.stack(counts, axis=1)
+    counts = np.empty((n, classes), np.int64)
+    for k in range(classes):
+        counts[:, k] = from_planes(data[8 * n * (k + 2):8 * n * (k + 3)], "<i8", n)
+    return *four, counts
+
+
+def block_words(payloads: list[np.ndarray], classes: int, experts: Experts) -> tuple[np.ndarray, ...]:
+    """(uses, chance by class, spelling, symbol, short hash) of a block's words by their number.
+
+    The payloads are taken off the list one by one: counts by class are never there for all words at once.
+    """
+    n = sum(len(x) for x in payloads) // (16 + 8 * classes)
+    uses, known, spelling = np.zeros(n, np.int64), np.zeros((n, classes)), np.zeros(n)
+    symbol, short = np.zeros(n, np.int32), np.zeros(n, np.uint32)
+    while payloads:
+        at, lp, own_symbol, h, counts = _unpacked(payloads.pop(), classes)
+        uses[at], spelling[at], symbol[at], short[at] = counts.sum(1), lp, own_symbol, h
+        counts[own_symbol != wordbits.OTHER] = 0
+        for lo in range(0, len(at), KNOWN_WORDS):
+            known[at[lo:lo + KNOWN_WORDS]] = experts.known(counts[lo:lo + KNOWN_WORDS])
+    return uses, known, spelling, symbol, short
 
 
 SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
@@ -554,7 +574,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                                               pa.array(tree.value.symbols(h)), pa.array(wordbits.short(h).view(np.int32))],
                                              ["h", *cs, "lp", "symbol", "short"])
 
-    scored = words.mapInArrow(spell, ", ".join(["h long", *(f"{c} long" for c in cs), "lp float, symbol int, short int"]))
+    scored = words.mapInArrow(released(spell), ", ".join(["h long", *(f"{c} long" for c in cs), "lp float, symbol int, short int"]))
     answers = dictionary.select("block", "at", "h").join(scored, "h").select("block", "at", *cs, "lp", "symbol", "short")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -586,7 +606,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     def empty(kind: str, name: str) -> Column:
         return F.lit(None).cast(kind).alias(name)
 
-    rows = (answers.mapInArrow(pack, "block long, answers binary")
+    rows = (answers.mapInArrow(released(pack), "block long, answers binary")
             .select("block", F.lit(0).alias("kind"), "answers", empty("long", "doc_id"), empty("boolean", "held_out"),
                     empty("binary", "ids"), empty("long", "n_bytes"))
             .union(texts.select("block", F.lit(1), empty("binary", "answers"), "doc_id", "held_out", "ids", "n_bytes")))
@@ -594,15 +614,15 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     scale = np.log10(total + distinct + 1.0)
     end_base = np.log10(ends + 1.0) - scale
 
-    def groups(ids: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    def groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
         lo = size = 0
-        for i, x in enumerate(ids):
-            size += len(x)
+        for i, n in enumerate(sizes):
+            size += n
             if size >= SCORE_TOKENS:
                 yield lo, i + 1
                 lo, size = i + 1, 0
-        if lo < len(ids):
-            yield lo, len(ids)
+        if lo < len(sizes):
+            yield lo, len(sizes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, parts, base = None, [], None
@@ -613,26 +633,20 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                 if lo == hi:
                     continue
                 if blocks[lo] != block:
-                    block, parts, base = blocks[lo], [], None
+                    block, parts, base, q, spelling, symbol, short = blocks[lo], [], None, None, None, None, None
                 if kinds[lo] == 0:
                     for payload in batch.column("answers").slice(lo, hi - lo):
-                        parts.append(_unpacked(np.frombuffer(payload.as_buffer(), np.uint8), classes))
+                        parts.append(np.frombuffer(payload.as_buffer(), np.uint8))
                     continue
                 if base is None:
-                    n = sum(len(at) for at, *_ in parts)
-                    counts, spelling = np.zeros((n, classes), np.int64), np.zeros(n)
-                    symbol, short = np.zeros(n, np.int32), np.zeros(n, np.uint32)
-                    for at, lp, sym, h, own in parts:
-                        counts[at], spelling[at], symbol[at], short[at] = own, lp, sym, h
-                    c = counts.sum(1)
-                    base, parts = np.log10(c + 1.0) - scale, []
-                    counts[symbol != wordbits.OTHER] = 0
-                    q = experts.known(counts)
+                    c, q, spelling, symbol, short = block_words(parts, classes, experts)
+                    base = np.log10(c + 1.0) - scale
                 part = batch.slice(lo, hi - lo)
-                texts_ids = [from_planes(np.frombuffer(x.as_buffer(), np.uint8), "<i4", len(x.as_buffer()) // 4) for x in part.column("ids")]
-                for a, b in groups(texts_ids):
-                    ids = np.concatenate([np.zeros(0, np.int32), *texts_ids[a:b]])
-                    bound = np.concatenate([[0], np.cumsum([len(x) for x in texts_ids[a:b]])])
+                sizes = [len(x.as_buffer()) // 4 for x in part.column("ids")]
+                for a, b in groups(sizes):
+                    raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in part.column("ids").slice(a, b - a)]
+                    ids = np.concatenate([np.zeros(0, np.int32), *(from_planes(x, "<i4", n) for x, n in zip(raw, sizes[a:b]))])
+                    bound = np.concatenate([[0], np.cumsum(sizes[a:b])])
                     row = np.repeat(np.arange(b - a), np.diff(bound))
                     token, context, of = wordbits.sequence(tree.value, symbol[ids], short[ids], bound)
                     coded = LN10 * running.value.log10(tree.value, token, context)
@@ -648,4 +662,4 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                                pa.array(-value * np.log2(10) / np.maximum(size, 1), mask=size == 0)]
                     yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, _RESULT)], schema=_RESULT)
 
-    return dealt.mapInArrow(score, SCHEMA)
+    return dealt.mapInArrow(released(score), SCHEMA)

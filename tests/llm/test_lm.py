@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -163,3 +164,27 @@ def test_known_words_are_scored_by_the_words_before_them(spark):
     rows = {r["doc_id"]: r for r in lm.score_texts(documents(spark, texts, lang=["en"] * 302), F.col("doc_id") >= 300).collect()}
     assert rows[300]["base_score"] == pytest.approx(rows[301]["base_score"])
     assert rows[300]["score"] > rows[301]["score"] + 5
+
+
+def test_block_words_take_payloads_one_by_one():
+    rnd = np.random.default_rng(5)
+    n, classes = 400_000, 8
+    counts = rnd.integers(0, 9, (n, classes)) * (rnd.random((n, 1)) < 0.7)
+    experts = lm.Experts(counts.sum(0), (counts > 0).sum(0), int((counts.sum(1) > 0).sum()), 77)
+    symbol = np.where(rnd.random(n) < 0.9, wordbits.OTHER, 5).astype(np.int32)
+    lp, short = rnd.normal(-9, 2, n).astype(np.float32), rnd.integers(0, 1 << 32, n, dtype=np.uint32)
+    order = rnd.permutation(n).astype(np.int32)
+    payloads = [np.frombuffer(b"".join(lm.planes(x) for x in (at, lp[at], symbol[at], short[at], *(counts[at, k].astype("<i8") for k in range(classes)))), np.uint8)
+                for at in np.array_split(order, 5)]
+    tracemalloc.start()
+    try:
+        uses, known, spelling, symbols, shorts = lm.block_words(payloads, classes, experts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    other = np.where((symbol == wordbits.OTHER)[:, None], counts, 0)
+    assert (uses == counts.sum(1)).all() and (known == experts.known(other)).all()
+    assert (spelling == lp).all() and (symbols == symbol).all() and (shorts == short).all()
+    # the answers and a share of the payloads; all counts beside the chances and their terms would be four times that
+    assert peak < 2 * n * (8 * classes + 24)
+    assert not payloads
