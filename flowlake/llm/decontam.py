@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.common import written
+from flowlake.llm.common import gathered
 
 K = 8
 BAND = 16
@@ -137,9 +137,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """(doc_id, item_id, n_matched, n_windows, coverage, consistency) of every leak."""
     leaks = _leaks(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), benchmark, item_col, item_text_col)
     best = F.max(F.struct("coverage", "consistency", "n_matched", "n_windows"))
-    return (leaks.groupBy("doc_id", "item_id").agg(best.alias("best"))
-            .select("doc_id", "item_id", F.col("best.n_matched").cast("long").alias("n_matched"),
-                    F.col("best.n_windows").cast("long").alias("n_windows"), "best.coverage", "best.consistency"))
+    pairs = (leaks.groupBy("doc_id", "item_id").agg(best.alias("best"))
+             .select("doc_id", "item_id", F.col("best.n_matched").cast("long").alias("n_matched"),
+                     F.col("best.n_windows").cast("long").alias("n_windows"), "best.coverage", "best.consistency"))
+    return gathered(pairs, "leaking-pairs")
 
 
 def _leaks(source: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
@@ -195,8 +196,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A row goes if its own text leaks, or that of another row with its id.
     """
     own = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    leaks = written(_leaks(own, benchmark, "item_id", "text").select(F.col("doc_id").alias("_leaked"), F.col("row_key").alias("_leaked_row"))
-                    .distinct(), "leaks")
+    leaks = gathered(_leaks(own, benchmark, "item_id", "text").select(F.col("doc_id").alias("_leaked"), F.col("row_key").alias("_leaked_row"))
+                     .distinct(), "leaks")
     rows = leaks.count()
     by_id = _bounded(leaks.filter("_leaked is not null").select("_leaked").distinct(), rows)
     by_row = leaks.filter("_leaked is null").select("_leaked_row")

@@ -113,3 +113,20 @@ def test_texts_are_not_shuffled_to_drop_leaks(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 3]
     plan = left._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_few_leaks_are_not_spread_over_a_file_per_task(spark):
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = documents(spark, [f"{prose(k, 20)} {ITEM}" for k in range(30)] + [prose(2, 90)])
+        bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+        out = decontam.find_leaks(docs, bench)
+        assert out.rdd.getNumPartitions() <= 2
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(30))
+        assert decontam.find_leaks(docs.limit(0), bench).collect() == []
+        assert [r["doc_id"] for r in decontam.without_leaks(docs, bench).collect()] == [30]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
