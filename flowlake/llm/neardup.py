@@ -10,8 +10,8 @@
 3. Links are confirmed on full shingle sets.  First the few closest neighbours
    per node are tested and contracted to components, then the most alike within
    NEAR places; third, every pair of an order within WINDOW places that still
-   joins two components.  In a crowd of near copies this spans the crowd without
-   testing all its pairs.
+   joins two components (within CROWD places if both are open, see 4).  In a crowd
+   of near copies this spans the crowd without testing all its pairs.
 4. A node is *open* if rows with its prefix go on past its window, or past a
    task border, in any order.  Pairs further apart than that have two open ends,
    and the open nodes are joined exactly: sets at the threshold share one of
@@ -25,7 +25,7 @@ A pair at the threshold 0.8 shares a prefix of 4 in one order with probability
 pairs pass whose estimate is at most 5 standard deviations below the threshold
 (a true link fails it with probability 3e-7).
 The orders are range-partitioned by tree, prefix and node, so that a crowded
-prefix spreads over tasks; a task keeps the last WINDOW rows only.
+prefix spreads over tasks; a task keeps the last 2 * WINDOW rows only.
 
 Full sets are rebuilt only for nodes in a pair that passed, chosen by a Bloom
 filter of fixed size (BLOOM_BITS) whatever the number of documents.  Another one
@@ -44,6 +44,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,7 @@ KEY_HASHES = 12            # length of a sort key, in hashes
 MIN_DEPTH = 4
 NEAR = 4                   # places looked at in round 2
 WINDOW = 48                # and in round 3; what is further away is left to round 4
+CROWD = 2 * NEAR           # and in round 3 between two nodes that round 4 compares anyway
 SHORT_BITS = 2             # of each hash that a signed row carries: 64 bytes of 512
 BLOCK = 256                # sets of one shingle compared at once in round 4
 COUNT_BUCKETS = 1 << 22    # counts that order the shingles of round 4 (hashed: only its speed depends on them)
@@ -169,7 +171,9 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None, mark
 
     With ``least`` (signed orders) only pairs whose short signatures agree so far.
     With ``mark`` also a row a = b for each node whose prefix goes on past its
-    window or may go on past the border of its task.
+    window or may go on past the border of its task.  Two such nodes are paired
+    within CROWD places only: round 4 compares them whatever their places, so that a
+    crowd of any size makes CROWD pairs a row at most, and not ``window``.
     """
 
     def marks(ids: np.ndarray) -> pa.RecordBatch:
@@ -184,31 +188,53 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None, mark
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, key = np.zeros(0, np.int32), np.zeros((0, KEY_HASHES), np.uint16)
-        node, root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        node, root, opened = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         short = np.zeros((0, HASHES * SHORT_BITS // 8), np.uint8)
         first = 0 if mark else window              # rows so far of the run at the task's lower border
-        for batch in batches:
-            if not batch.num_rows:
+        due = 0                                    # the rows from here on are not paired yet
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                if not batch.num_rows:
+                    continue
+                old = len(node)
+                fresh = _rows(batch.column("key"), ">u2")
+                tree = np.concatenate([tree, batch.column("tree").to_numpy()])
+                key = np.concatenate([key, fresh])
+                node = np.concatenate([node, batch.column("node").to_numpy()])
+                root = np.concatenate([root, batch.column("root").to_numpy()])
+                opened = np.concatenate([opened, np.zeros(len(fresh), bool)])
+                if least is not None:
+                    short = np.concatenate([short, _rows(batch.column("short"), np.uint8)])
+            if not len(node):
                 continue
-            old = len(node)
-            fresh = _rows(batch.column("key"), ">u2")
-            tree = np.concatenate([tree, batch.column("tree").to_numpy()])
-            key = np.concatenate([key, fresh])
-            node = np.concatenate([node, batch.column("node").to_numpy()])
-            root = np.concatenate([root, batch.column("root").to_numpy()])
-            if least is not None:
-                short = np.concatenate([short, _rows(batch.column("short"), np.uint8)])
-            depth = joined(tree, key)
-            low = depth.copy()
-            if first < window:
-                run = np.logical_and.accumulate(np.append(old == 0, depth >= MIN_DEPTH)[old:] | (np.arange(old, len(node)) == 0))
-                yield marks(node[old:][run][:window - first])
-                first = first + len(run) if run.all() else window
-            for j in range(1, min(window, len(node) - 1) + 1):
+            depth, stop = joined(tree, key), len(node)
+            if mark:
+                # marks come before pairs: a row is paired when the rows of its window have been seen
+                missed = np.append(0, np.cumsum(depth < MIN_DEPTH))
+                full = np.flatnonzero(missed[window:] == missed[:-window])
+                ends = [full, full + window]
+                if batch is None:
+                    tail = np.logical_and.accumulate(np.append(True, depth[::-1] >= MIN_DEPTH))[::-1]
+                    ends.append(np.flatnonzero(tail)[-window:])
+                else:
+                    stop = max(stop - window, due)
+                    if first < window:
+                        head = np.logical_and.accumulate(np.append(old == 0, depth >= MIN_DEPTH)[old:])
+                        ends.append(old + np.flatnonzero(head)[:window - first])
+                        first = first + len(head) if head.all() else window
+                at = np.unique(np.concatenate(ends))
+                at = at[~opened[at]]
+                opened[at] = True
+                yield marks(node[at])
+            low = depth[:max(stop - 1, 0)]
+            for j in range(1, min(window, stop - 1) + 1):
                 if j > 1:
-                    low = np.minimum(low[:-1], depth[j - 1:])
-                later = np.arange(j, len(node))
-                hit = np.flatnonzero((low >= MIN_DEPTH) & (later >= old) & (root[j:] != root[:-j]))
+                    low = np.minimum(low[:-1], depth[j - 1:stop - 1])
+                later = np.arange(j, stop)
+                hit = (low >= MIN_DEPTH) & (later >= due) & (root[j:stop] != root[:stop - j])
+                if j > CROWD:
+                    hit &= ~(opened[j:stop] & opened[:stop - j])
+                hit = np.flatnonzero(hit)
                 alike = np.ones(len(hit))
                 if least is not None and len(hit):
                     alike = _agreement(short[hit], short[hit + j])
@@ -218,13 +244,9 @@ def _neighbours(orders: DataFrame, window: int, least: float | None = None, mark
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(low[hit].astype(np.int32)), pa.array(alike)],
                         ["a", "b", "depth", "alike"])
-                if mark and j == window:
-                    full = np.flatnonzero((low >= MIN_DEPTH) & (later >= old))
-                    yield marks(np.concatenate([node[full], node[full + j]]))
-            tree, key, node, root, short = tree[-window:], key[-window:], node[-window:], root[-window:], short[-window:]
-        if mark and len(node):
-            run = np.logical_and.accumulate(np.append(True, joined(tree, key)[::-1] >= MIN_DEPTH))[::-1]
-            yield marks(node[run])
+            begin = max(stop - window, 0)
+            tree, key, node, root, short, opened = (x[begin:] for x in (tree, key, node, root, short, opened))
+            due = stop - begin
 
     return orders.mapInArrow(released(run), "a long, b long, depth int, alike double")
 

@@ -113,6 +113,42 @@ def test_open_nodes_are_joined_exactly(spark, monkeypatch):
     assert got == brute(texts, ids, 4, 80)
 
 
+def places(runs, seed=0):
+    """Rows of one order, in runs of equal prefixes: run of a node, and the rows (tree, key, node, root, short)."""
+    rnd = np.random.default_rng(seed)
+    of = np.repeat(np.arange(len(runs)), runs)
+    keys = rnd.integers(0, 1 << 16, (len(of), neardup.KEY_HASHES)).astype(">u2")
+    keys[:, 0], keys[:, 1:neardup.MIN_DEPTH] = of + 1, 7
+    keys = keys[np.lexsort(keys.T[::-1])]
+    short = bytes(neardup.HASHES * neardup.SHORT_BITS // 8)
+    return of.tolist(), [(0, bytearray(k.tobytes()), n, n, bytearray(short)) for n, k in enumerate(keys)]
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_crowds_make_few_rows_and_lose_no_pair(spark, tasks):
+    """A pair with a common prefix is given, or round 4 has both its nodes; the rows grow with a crowd, not with its window."""
+    runs = [1, 30, 49, 60, 97, 1500, 2, 48, 700]
+    of, rows = places(runs)
+    orders = spark.createDataFrame(rows, "tree int, key binary, node long, root long, short binary")
+    cut = -(-len(rows) // tasks)
+    orders = orders.repartitionById(tasks, (orders["node"] / cut).cast("int")).sortWithinPartitions("tree", "key", "node")
+    got = neardup._neighbours(orders, neardup.WINDOW, 0.5, mark=True).collect()
+    pairs = {(r["a"], r["b"]) for r in got if r["a"] != r["b"]}
+    opened = {r["a"] for r in got if r["a"] == r["b"]}
+    first = np.append(0, np.cumsum(runs))
+    for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+        for a in range(lo, hi):
+            assert all((a, b) in pairs or (a in opened and b in opened) for b in range(a + 1, hi))
+            assert all((a, b) in pairs for b in range(a + 1, min(a + 1 + neardup.CROWD, hi)) if a // cut == b // cut)
+    assert all(of[a] == of[b] and b - a <= neardup.WINDOW for a, b in pairs)
+    assert len(pairs) == sum(r["a"] != r["b"] for r in got) and len(opened) == len(got) - len(pairs)
+    if tasks == 1:
+        # as many open nodes as have a node of their run WINDOW places away
+        far = {n for n in range(len(of)) for m in (n - neardup.WINDOW, n + neardup.WINDOW) if 0 <= m < len(of) and of[m] == of[n]}
+        assert far <= opened and len(opened - far) <= neardup.WINDOW * 2
+        assert len(got) < (neardup.CROWD + 4) * len(of)
+
+
 def test_rows_that_stay_are_not_shuffled(spark):
     texts = [prose(300 + i, 40) for i in range(40)] + [prose(300, 40)]
     ids = [*range(40), 77]
