@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlake.llm.common import written
+from flowlake.llm.common import kept
 
 LAW = "bytes"
 RANGES_PER_SHARD = 16
@@ -191,15 +191,9 @@ def plan_shards(keys: DataFrame, n_shards: int) -> Plan:
     return Plan(splitters, size, count, shard, before - start[shard])
 
 
-def write_shards(docs: DataFrame, n_shards: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> Plan:
-    """Write the rows with ``shard`` and ``slot`` into a folder per shard; returns the plan."""
-    if n_shards < 1:
-        raise ValueError("at least one shard")
+def placed(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
+    """The rows with ``slot`` and ``shard`` in the tasks that write them, ascending by shard."""
     spark = docs.sparkSession
-    docs = docs.drop("shard", "slot")
-    h, i = text_key(docs[text_col]), id_key(docs[id_col])
-    keys = written(docs.select(h.alias("h"), i.alias("i"), text_size(docs[text_col]).alias("size")), "shard-keys")
-    plan = plan_shards(keys, n_shards)
     # neighbouring ranges share a task up to TASK_BYTES; their number also keeps all cores busy
     total = int(plan.size.sum())
     tasks = max(1, min(len(plan.size), max(2 * spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))))
@@ -211,12 +205,27 @@ def write_shards(docs: DataFrame, n_shards: int, path: str, id_col: str = "doc_i
         list(zip(range(len(task)), task.tolist(), plan.shard.tolist(), offset.tolist())),
         "_range int, _task int, shard int, _offset long")
     in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    rows = (docs.withColumn("_h", h).withColumn("_i", i)
+    rows = (docs.withColumn("_h", text_key(docs[text_col])).withColumn("_i", id_key(docs[id_col]))
             .withColumn("_range", plan.splitters.column(F.col("_h"), F.col("_i")))
             .join(F.broadcast(ranges), "_range")      # one row per range: MOST_RANGES and some
-            .repartitionById(tasks, F.col("_task")).sortWithinPartitions("_range", "_h", "_i")
+            # shards ascend with ranges: named first, the writer finds the rows in its order and sorts no second time
+            .repartitionById(tasks, F.col("_task")).sortWithinPartitions("shard", "_range", "_h", "_i")
             .withColumn("slot", in_task + F.col("_offset")))
-    rows.select(*docs.columns, "slot", "shard").write.partitionBy("shard").parquet(path)
+    return rows.select(*docs.columns, "slot", "shard")
+
+
+def write_shards(docs: DataFrame, n_shards: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> Plan:
+    """Write the rows with ``shard`` and ``slot`` into a folder per shard; returns the plan."""
+    if n_shards < 1:
+        raise ValueError("at least one shard")
+    docs = docs.drop("shard", "slot")
+    h, i = text_key(docs[text_col]), id_key(docs[id_col])
+    keys = kept(docs.select(h.alias("h"), i.alias("i"), text_size(docs[text_col]).alias("size")))
+    try:
+        plan = plan_shards(keys, n_shards)
+    finally:
+        keys.unpersist()
+    placed(docs, plan, id_col, text_col).write.partitionBy("shard").parquet(path)
     return plan
 
 

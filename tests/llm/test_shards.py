@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from flowlake.llm import shards
+from flowlake.llm import common, shards
 from tests.llm.helpers import CLASHING, awkward_texts, documents, prose
 
 
@@ -98,3 +98,17 @@ def test_empty_table_and_own_shard_column(spark, tmp_dir):
     assert rows == []
     rows, _ = run(docs.withColumnRenamed("node", "shard").withColumnRenamed("root", "slot"), 2, f"{tmp_dir}/1")
     assert len(rows) == 3 and {r["slot"] for r in rows} <= {0, 1, 2}
+
+
+def test_rows_are_sorted_once_and_keys_make_no_files(spark, tmp_dir, monkeypatch):
+    """A second sort in the writer holds a task's rows twice; on a local store each file starts a copy of the JVM."""
+    docs = documents(spark, [prose(k, 5 + k % 40) for k in range(300)] + [None, ""], extra=False)
+    made = []
+    for module in (common, shards):
+        if hasattr(module, "written"):
+            monkeypatch.setattr(module, "written", lambda df, name, real=module.written: made.append(name) or real(df, name))
+    rows, plan = run(docs, 8, tmp_dir)
+    check(rows, docs, 8)
+    assert not made
+    order = shards.placed(docs, plan, "doc_id", "text")._jdf.queryExecution().optimizedPlan().outputOrdering()
+    assert order.head().child().toString().startswith("shard#")
