@@ -141,11 +141,10 @@ class Tables:
 
     def add(self, words: list[bytes]) -> None:
         self.odds.clear()
-        flat = self.counts.reshape(-1)
         for lo, hi in word_batches(words):
             _, bit, slots, _ = spelling(words[lo:hi])
             for k in range(CONTEXTS):
-                np.add.at(flat, (slots[:, k].astype(np.int64) + k * SLOTS) * 2 + bit, np.uint32(1))
+                np.add.at(self.counts[k].reshape(-1), slots[:, k].astype(np.intp) * 2 + bit, np.uint32(1))
 
     def small(self) -> "Tables":
         """The same ratios in 16 bits: pairs that are too large are halved together."""
@@ -157,7 +156,8 @@ class Tables:
         seen = np.zeros(len(slots), np.int32)
         odds = self._odds(bit is not None)
         for k in range(CONTEXTS):
-            packed = odds[k][slots[:, k]] if bit is None else odds[k][slots[:, k] * 2 + bit]
+            at = slots[:, k].astype(np.intp)      # numpy casts other index arrays in slow steps
+            packed = odds[k][at if bit is None else at * 2 + bit]
             x[:, k] = (packed >> 1).astype(np.float32) * np.float32(1 / STEP)
             seen += packed & 1
         return x, seen
@@ -197,15 +197,15 @@ class Mixer:
 
     @staticmethod
     def gate(place: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        return place * (CONTEXTS + 1) + seen
+        return (place * (CONTEXTS + 1) + seen).astype(np.intp)
 
     @staticmethod
     def _bin(z: np.ndarray) -> np.ndarray:
         return np.clip((z + 9) * (MAP_BINS / 18), 0, MAP_BINS - 1).astype(np.int64)
 
     def _mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        weights = self.weights.astype(np.float32)
-        return sum(x[:, k] * weights[:, k][gate] for k in range(CONTEXTS))
+        weights = np.ascontiguousarray(self.weights.T, np.float32)
+        return sum(x[:, k] * weights[k][gate] for k in range(CONTEXTS))
 
     def learn(self, tables: Tables, words: list[bytes]) -> None:
         for step, (lo, hi) in enumerate(word_batches(words)):
@@ -227,17 +227,17 @@ class Mixer:
 
     def log10(self, tables: Tables, words: list[bytes]) -> np.ndarray:
         """log10 probability of each word's spelling."""
-        share = (self.map_ones + 0.5) / (self.map_all + 1)
-        trust = self.map_all / (self.map_all + 64) * 0.5
+        share = ((self.map_ones + 0.5) / (self.map_all + 1)).reshape(-1)
+        trust = (self.map_all / (self.map_all + 64) * 0.5).reshape(-1)
         out = np.zeros(len(words))
         for lo, hi in word_batches(words):
             word, bit, slots, (place, node) = spelling(words[lo:hi])
             x, seen = tables.inputs(slots, None)
             z = self._mixed(x, self.gate(place, seen))
-            at = self._bin(z)
+            key = node.astype(np.int64) * MAP_BINS + self._bin(z)
             p = _squash(z)
-            t = trust[node, at]
-            p = np.clip((1 - t) * p + t * share[node, at], 1e-6, 1 - 1e-6)
+            t = trust[key]
+            p = np.clip((1 - t) * p + t * share[key], 1e-6, 1 - 1e-6)
             out[lo:hi] = np.bincount(word, weights=np.log10(np.where(bit == 1, p, 1 - p)), minlength=hi - lo)
         return out
 
@@ -304,7 +304,7 @@ def index_texts(docs: DataFrame, held_out: Column, number: Column, classes: int,
                 ids = place[at][back].astype(np.int32) if len(back) else np.zeros(0, np.int32)
                 training = np.repeat(~out[lo:hi], np.diff(found.bound))
                 cell = ids.astype(np.int64) * classes + np.repeat(number_of[lo:hi], np.diff(found.bound))
-                counts += np.bincount(cell[training], minlength=counts.size).reshape(counts.shape)
+                np.add.at(counts.reshape(-1), cell[training], 1)
                 n = hi - lo
                 cut = [planes(ids[a:b].astype("<i4")) for a, b in zip(found.bound[:-1], found.bound[1:])]
                 yield index_rows(n, kind=np.zeros(n, np.int32), block=np.full(n, block), doc_id=batch.column("doc_id").slice(lo, n),
@@ -482,8 +482,9 @@ def own_text(ids: np.ndarray, p: np.ndarray, ends: np.ndarray, bound: np.ndarray
     used[order] = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
     met = np.concatenate([[0], np.cumsum(used == 0)])
     distinct = met[:-1] - np.repeat(met[bound[:-1]], size)
-    with np.errstate(divide="ignore"):
-        p = np.logaddexp(np.log(np.maximum(used - D_OWN, 0)), np.log(KAPPA + D_OWN * distinct) + p) - np.log(at + KAPPA)
+    p, again = np.log(KAPPA + D_OWN * distinct) + p, np.flatnonzero(used)
+    p[again] = np.logaddexp(np.log(used[again] - D_OWN), p[again])
+    p -= np.log(at + KAPPA)
     return p, ends + np.log(KAPPA + D_OWN * (met[bound[1:]] - met[bound[:-1]])) - np.log(size + KAPPA)
 
 
@@ -645,7 +646,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
                 sizes = [len(x.as_buffer()) // 4 for x in part.column("ids")]
                 for a, b in groups(sizes):
                     raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in part.column("ids").slice(a, b - a)]
-                    ids = np.concatenate([np.zeros(0, np.int32), *(from_planes(x, "<i4", n) for x, n in zip(raw, sizes[a:b]))])
+                    ids = np.concatenate([np.zeros(0, np.int32), *(from_planes(x, "<i4", n) for x, n in zip(raw, sizes[a:b]))]).astype(np.intp)
                     bound = np.concatenate([[0], np.cumsum(sizes[a:b])])
                     row = np.repeat(np.arange(b - a), np.diff(bound))
                     token, context, of = wordbits.sequence(tree.value, symbol[ids], short[ids], bound)

@@ -13,6 +13,7 @@ Learning is online, text after text: a batch is predicted with what the batches
 before have left, moves weights and map, and is then added to the tables.  Tasks
 learn apart; tables and maps are added up, weights averaged by use.  Both sides
 of a node share one, so the chances of all tokens sum to one at every step.
+Index arrays are made ``intp`` once: numpy casts others in slow steps at each use.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ def _likeliest(tree: Tree, token: np.ndarray, first: np.ndarray, row: np.ndarray
     classes = tree.gain.shape[1]
     if classes == 1:
         return np.zeros(len(token), np.uint64)
-    gain = tree.gain[token]
+    gain = tree.gain[token.astype(np.intp)]
     total = np.cumsum(gain, axis=0) - gain
     total += tree.prior - total[first][row]
     best = total.argmax(1)
@@ -174,34 +175,36 @@ class Mixer:
         self.ones, self.every = ones.reshape(self.ones.shape), every.reshape(self.every.shape)
 
     def _steps(self, tree: Tree, token: np.ndarray, context: np.ndarray) -> tuple:
-        """Of all bits of the tokens: token number, bit, slots, own counts' log-odds, depth."""
+        """The tokens' numbers of bits; of all their bits: bit, slots, own counts' log-odds, depth."""
+        token = token.astype(np.intp)
         length = tree.length[token]
-        of = np.repeat(np.arange(len(token), dtype=np.int32), length)
-        at = np.arange(len(of)) + np.repeat(tree.start[token] - (np.cumsum(length) - length), length)
+        at = np.arange(int(length.sum())) + np.repeat(tree.start[token] - (np.cumsum(length) - length), length)
         node = tree.node_hash[at]
         shift = np.uint32(32 - self.bits)
-        return of, tree.bit[at], [(c[of] + node) >> shift for c in context], tree.own[at], tree.depth[at]
+        slots = [((np.repeat(c, length) + node) >> shift).astype(np.intp) for c in context]
+        return length, tree.bit[at], slots, tree.own[at], tree.depth[at]
 
     def _mixed(self, xs: list[np.ndarray], levels: list[np.ndarray], depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gate = depth
         for level in levels:
             gate = gate * LEVELS + level
-        weights = self.weights.astype(np.float32)
-        z = sum(x * np.take(weights[:, k], gate) for k, x in enumerate(xs))
+        gate = gate.astype(np.intp)
+        weights = np.ascontiguousarray(self.weights.T, np.float32)
+        z = sum(x * weights[k][gate] for k, x in enumerate(xs))
         return np.clip(z, -14, 14), gate
 
     @staticmethod
     def _bin(z: np.ndarray) -> np.ndarray:
-        return np.clip((z + 9) * (BINS / 18), 0, BINS - 1).astype(np.int32)
+        return np.clip((z + 9) * (BINS / 18), 0, BINS - 1).astype(np.intp)
 
     def learn(self, tree: Tree, token: np.ndarray, context: np.ndarray) -> None:
         _, bit, slots, own, depth = self._steps(tree, token, context)
         # a slot's two counts are read as one number
-        pairs = [np.take(self.counts[k].view(np.uint64).reshape(-1), slots[k]).view(np.uint32).reshape(-1, 2) for k in range(CONTEXTS)]
+        pairs = [self.counts[k].view(np.uint64).reshape(-1)[slots[k]].view(np.uint32).reshape(-1, 2) for k in range(CONTEXTS)]
         seen = [_odds(p) for p in pairs]
         xs = [own, *(x for x, _ in seen)]
         z, gate = self._mixed(xs, [level for _, level in seen], depth)
-        one, bit = bit.astype(np.uint32), bit.astype(np.float32)
+        one, bit = bit.astype(np.intp), bit.astype(np.float32)
         error = bit - 1 / (1 + np.exp(-z))
         cell = gate * BINS + self._bin(z)
         every = np.bincount(cell, minlength=GATES * BINS).reshape(GATES, BINS)
@@ -214,7 +217,7 @@ class Mixer:
         self.uses += uses
         self.steps += 1
         for k in range(CONTEXTS):
-            np.add.at(self.counts[k].reshape(-1), slots[k] * np.uint32(2) + one, np.uint32(1))
+            np.add.at(self.counts[k].reshape(-1), slots[k] * 2 + one, np.uint32(1))
 
     def log10(self, tree: Tree, token: np.ndarray, context: np.ndarray) -> np.ndarray:
         """log10 probability of each token, by the frozen tables."""
@@ -222,7 +225,7 @@ class Mixer:
         trust = (self.every / (self.every + 64) * 0.5).astype(np.float32).reshape(-1)
         out = np.empty(len(token))
         for lo in range(0, len(token), BATCH):
-            of, bit, slots, own, depth = self._steps(tree, token[lo:lo + BATCH], context[:, lo:lo + BATCH])
+            length, bit, slots, own, depth = self._steps(tree, token[lo:lo + BATCH], context[:, lo:lo + BATCH])
             packed = [self.odds[k][slots[k]] for k in range(CONTEXTS)]
             xs = [own, *((v >> 2).astype(np.float32) * np.float32(1 / STEP) for v in packed)]
             z, gate = self._mixed(xs, [v & np.int16(LEVELS - 1) for v in packed], depth)
@@ -230,7 +233,7 @@ class Mixer:
             cell = gate * BINS + self._bin(z)
             p += trust[cell] * (share[cell] - p)
             p = np.clip(np.where(bit == 1, p, 1 - p), 1e-6, 1 - 1e-6)
-            out[lo:lo + BATCH] = np.bincount(of, weights=np.log10(p), minlength=min(BATCH, len(token) - lo))
+            out[lo:lo + BATCH] = np.bincount(np.repeat(np.arange(len(length)), length), weights=np.log10(p), minlength=len(length))
         return out
 
 

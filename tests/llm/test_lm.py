@@ -188,3 +188,29 @@ def test_block_words_take_payloads_one_by_one():
     # the answers and a share of the payloads; all counts beside the chances and their terms would be four times that
     assert peak < 2 * n * (8 * classes + 24)
     assert not payloads
+
+
+def test_index_arrays_are_native():
+    """numpy casts others in slow steps at each use."""
+    tree, mixer, _ = running_model()
+    token = np.array([wordbits.OTHER, 2, wordbits.END, 3], np.int32)
+    context = np.arange(4 * wordbits.CONTEXTS, dtype=np.uint32).reshape(wordbits.CONTEXTS, 4) * np.uint32(0x9E3779B1)
+    length, bit, slots, own, depth = mixer._steps(tree, token, context)
+    assert length.tolist() == [tree.length[t] for t in token] and all(len(x) == length.sum() for x in (bit, own, depth, *slots))
+    z, gate = mixer._mixed([own] * (1 + wordbits.CONTEXTS), [np.zeros(len(own), np.int8)] * wordbits.CONTEXTS, depth)
+    _, _, spelt, (place, _) = lm.spelling([b"abc", b"d"])
+    assert {x.dtype for x in (*slots, gate, mixer._bin(z), lm.Mixer.gate(place, np.zeros(len(spelt), np.int32)))} == {np.dtype(np.intp)}
+
+
+def test_own_text_takes_unused_words_as_they_are():
+    rnd = np.random.default_rng(4)
+    bound = np.array([0, 0, 40, 41, 300])
+    ids, p, ends = rnd.integers(0, 30, 300), np.log(rnd.random(300)), np.log(rnd.random(4))
+    got, got_ends = lm.own_text(ids, p, ends, bound)
+    for i, (lo, hi) in enumerate(zip(bound[:-1].tolist(), bound[1:].tolist())):
+        seen = Counter()
+        for t, k in enumerate(ids[lo:hi].tolist()):
+            chance = (max(seen[k] - lm.D_OWN, 0) + (lm.KAPPA + lm.D_OWN * len(seen)) * math.exp(p[lo + t])) / (t + lm.KAPPA)
+            assert math.isclose(got[lo + t], math.log(chance), rel_tol=1e-12, abs_tol=1e-12)
+            seen[k] += 1
+        assert math.isclose(got_ends[i], ends[i] + math.log((lm.KAPPA + lm.D_OWN * len(seen)) / (hi - lo + lm.KAPPA)), rel_tol=1e-12, abs_tol=1e-12)
